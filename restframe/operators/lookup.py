@@ -8,13 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from restframe.operators.keys import resolve_keys
-from restframe.operators.request import (
-    REQUEST_KEY,
-    distinct_requests,
-    fail_on_request_error,
-    with_requests,
-)
+from restframe.operators.request import distinct_requests, fail_on_request_error, key_columns
 from restframe.operators.response import (
     EXCEPTION,
     emit_rows,
@@ -30,10 +24,14 @@ Keys = Mapping[str, str | Column] | Sequence[str]
 
 
 def fetch_outcomes(
-    requests: DataFrame, spec: LookupSpec, transport: Transport, select: Sequence[str] | None = None
+    requests: DataFrame,
+    spec: LookupSpec,
+    transport: Transport,
+    select: Sequence[str] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Send distinct requests and classify and decode what comes back, one row per response."""
-    outcome = process_responses(transport.fetch(requests, spec), spec, select)
+    outcome = process_responses(transport.fetch(requests, spec, carry), spec, select)
     return fail_on_error(outcome, spec)
 
 
@@ -65,36 +63,42 @@ def lookup_join(
     clash = sorted(set(wanted) & set(fetched))
     if clash:
         raise ValueError(f"columns {clash} are on both sides; use keep= or select=")
-    planned = with_requests(probe, spec, keys, "_request")
-    if null_keys != "request":
-        present = reduce(
-            lambda a, b: a & b, [c.isNotNull() for _, c, _ in resolve_keys(probe, keys)], F.lit(True)
-        )
-        if how == "inner":
-            planned = planned.where(present)
-        else:
-            planned = planned.withColumn("_request", F.when(present, F.col("_request")))
-    requests = distinct_requests(planned.where(F.col("_request").isNotNull()))
+    ident, values = key_columns(probe, keys)
+    present = reduce(lambda a, b: a & b, [c.isNotNull() for c in values.values()], F.lit(True))
+    sent = probe if null_keys == "request" else probe.where(present)
+    requests, on = distinct_requests(sent, spec, keys)
+    counts = requests.select(*on, "n_rows")
     if fail_on_bad_request:
         requests = fail_on_request_error(requests)
-    counts = requests.select("request_id", F.col("n_rows").alias("n"))
-    good = requests.where(F.col("error").isNull())
-    outcome = fetch_outcomes(good, spec, transport, select)
-    rows = emit_rows(outcome, spec, metadata, ("request_id",), select)
+    carry = [*on, "n_rows"]
+    outcome = fetch_outcomes(requests.where(F.col("error").isNull()), spec, transport, select, carry)
+    rows = emit_rows(outcome, spec, metadata, carry, select)
     if not fail_on_bad_request and metadata:
-        rows = rows.unionByName(_bad_request_rows(requests, metadata), allowMissingColumns=True)
-    sides = planned.select(*wanted, F.col("_request.request_id").alias("request_id"))
+        rows = rows.unionByName(_bad_request_rows(requests, carry, metadata), allowMissingColumns=True)
+    if null_keys == "request":
+        # Null keys are requests too, so they have to match: compare the keys as one value.
+        whole = F.struct(*on)
+        counts, rows = counts.withColumn("_whole", whole), rows.withColumn("_whole", whole).drop(*on)
+        sides = probe.select(
+            *wanted, F.struct(*[c.alias(n) for n, c in ident.items()]).alias("_whole")
+        )
+        on = ["_whole"]
+    else:
+        # A left join keeps rows with a null key, but under a key that matches nothing.
+        keyed = {n: F.when(present, c) if how == "left" else c for n, c in ident.items()}
+        base = sent if how == "inner" else probe
+        sides = base.select(*wanted, *[c.alias(n) for n, c in keyed.items()])
     if skew:
-        joined = salted_join(sides, rows, "request_id", how, counts=counts)
+        joined = salted_join(sides, rows, on, how, counts=counts, n="n_rows")
     else:
-        joined = sides.join(rows, "request_id", how)
+        joined = sides.join(rows, on, how)
     return joined.select(*wanted, *[F.col(f"`{c}`") for c in fetched])
 
 
-def _bad_request_rows(requests: DataFrame, metadata: Sequence[str]) -> DataFrame:
+def _bad_request_rows(requests: DataFrame, carry: Sequence[str], metadata: Sequence[str]) -> DataFrame:
     values = {"error-string": F.col("error"), "http-completion-state": F.lit(EXCEPTION)}
     known = [values[m].alias(m) for m in metadata if m in values]
-    return requests.where(F.col("error").isNotNull()).select("request_id", *known)
+    return requests.where(F.col("error").isNotNull()).select(*carry, *known)
 
 
 def call_counter(requests: DataFrame) -> DataFrame:
@@ -104,6 +108,3 @@ def call_counter(requests: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("calls"),
         (F.sum("n_rows") - F.count(F.lit(1))).alias("calls_saved"),
     )
-
-
-__all__ = ["REQUEST_KEY", "call_counter", "fetch_outcomes", "lookup_join"]

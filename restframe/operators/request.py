@@ -139,37 +139,48 @@ def assemble_url(
 
 
 def request_id(method: Column, url: Column, body: Column) -> Column:
-    return F.sha2(F.concat_ws("|", method, url, body), 256)
+    # Never null, so joins on it need no null filter that would compute it again.
+    return F.coalesce(F.sha2(F.concat_ws("|", method, url, body), 256), F.lit(""))
 
 
-def request_columns(keys: Sequence[Key], spec: LookupSpec) -> dict[str, Column]:
-    """method, url, body and error Columns of one request per row."""
-    parts = query_parts(keys, spec)
-    if spec.is_get:
-        url, problem = assemble_url(spec.url, parts.query, parts.path_params)
-        body = F.lit(None).cast("string")
-    else:
-        params = None if parts.url_params is None else format_params(parts.url_params)
-        url, problem = assemble_url(spec.url, params, parts.path_params)
-        body = parts.query
-    error = F.lit(problem) if problem else F.when(~is_valid_url(url), F.concat(F.lit("invalid URL: "), url))
-    return {
-        "method": F.lit(spec.method.upper()),
-        "url": url,
-        "body": body,
-        "error": error.cast("string"),
-    }
+REQUEST_FIELDS = ("request_id", "method", "url", "body", "error")
 
 
 def with_requests(
-    probe: DataFrame, spec: LookupSpec, keys: Mapping[str, str | Column] | Sequence[str], into: str = "request"
+    probe: DataFrame, spec: LookupSpec, keys: Mapping[str, str | Column] | Sequence[str], prefix: str = ""
 ) -> DataFrame:
-    """Add a struct column ``into`` holding request_id, method, url, body, error."""
-    columns = request_columns(resolve_keys(probe, keys), spec)
-    # URL and body are built once and the id is taken from exactly those bytes.
-    built = probe.withColumn(into, F.struct(*[c.alias(n) for n, c in columns.items()]))
-    ident = request_id(F.col(f"{into}.method"), F.col(f"{into}.url"), F.col(f"{into}.body"))
-    return built.withColumn(into, F.col(into).withField("request_id", ident))
+    """Add request_id, method, url, body and error of one request per row, named with ``prefix``."""
+    parts = query_parts(resolve_keys(probe, keys), spec)
+    # Each step is a column of its own: what later steps use more than once is computed once,
+    # and the id is taken from exactly the bytes that are sent.
+    query, url = f"{prefix}query", f"{prefix}url"
+    if spec.is_get:
+        staged = probe.withColumn(query, parts.query)
+        address, problem = assemble_url(spec.url, F.col(query), parts.path_params)
+        body = F.lit(None).cast("string")
+    else:
+        params = F.lit(None).cast("string") if parts.url_params is None else format_params(parts.url_params)
+        staged = probe.withColumn(query, params).withColumn(f"{prefix}body", parts.query)
+        address, problem = assemble_url(spec.url, F.col(query), parts.path_params)
+        body = F.col(f"{prefix}body")
+    error = (
+        F.lit(problem)
+        if problem
+        else F.when(~is_valid_url(F.col(url)), F.concat(F.lit("invalid URL: "), F.col(url)))
+    )
+    method = F.lit(spec.method.upper())
+    return (
+        staged.withColumn(url, address)
+        .withColumns(
+            {
+                f"{prefix}method": method,
+                f"{prefix}body": body,
+                f"{prefix}error": error.cast("string"),
+                f"{prefix}request_id": request_id(method, F.col(url), body),
+            }
+        )
+        .drop(query)
+    )
 
 
 def plan_requests(
@@ -181,22 +192,47 @@ def plan_requests(
 ) -> DataFrame:
     """The request table: one row per probe row, the ``keep`` columns in front."""
     named = {f"_h{i}": c for i, c in enumerate((dynamic_headers or {}).values())}
-    planned = with_requests(probe.withColumns(named) if named else probe, spec, keys, "_request")
+    planned = with_requests(probe.withColumns(named) if named else probe, spec, keys, "_rq_")
     headers = header_column(spec.headers, dict(zip(dynamic_headers or {}, map(F.col, named), strict=True)))
-    fields = ["request_id", "method", "url", "body", "error"]
-    return planned.select(*keep, *[F.col(f"_request.{f}").alias(f) for f in fields], headers.alias("headers"))
-
-
-REQUEST_KEY = ["request_id", "method", "url", "body", "error"]
-
-
-def distinct_requests(planned: DataFrame, request: str = "_request") -> DataFrame:
-    """One row per distinct request with the number of probe rows behind it."""
-    # Every column is a grouping key (all follow from the id): partial aggregation folds the
-    # copies of a hot request before the shuffle.
-    return planned.groupBy(*[F.col(f"{request}.{f}").alias(f) for f in REQUEST_KEY]).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
+    fields = [F.col(f"_rq_{f}").alias(f) for f in REQUEST_FIELDS]
+    return planned.select(*keep, *fields, headers.alias("headers"))
+
+
+def key_columns(
+    probe: DataFrame, keys: Mapping[str, str | Column] | Sequence[str]
+) -> tuple[dict[str, Column], dict[str, Column]]:
+    """(columns that identify a key row, the key columns themselves), by generated names.
+
+    Maps can be neither grouped nor joined on, so keys that hold one are identified by text.
+    """
+    resolved = resolve_keys(probe, keys)
+    values = {f"_k{i}": c for i, (_, c, _) in enumerate(resolved)}
+    if any("map<" in dtype.simpleString() for _, _, dtype in resolved):
+        fields = F.struct(*[c.alias(name) for name, c in values.items()])
+        # Never null: a null filter inferred on so wide an expression is very slow to optimize.
+        # For the same reason callers put it behind the columns it is made of.
+        return {"_key": F.coalesce(F.to_json(fields, {"ignoreNullFields": "false"}), F.lit(""))}, values
+    return values, values
+
+
+def distinct_requests(
+    probe: DataFrame, spec: LookupSpec, keys: Mapping[str, str | Column] | Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """One request per distinct key row with ``n_rows``, the probe rows behind it; and its key names.
+
+    Keys are made distinct before the request is built: the probe rows of a hot key fold into
+    one on the map side, and URLs are put together once per key, not once per row.
+    """
+    names = list(keys)
+    ident, values = key_columns(probe, keys)
+    keyed = probe.select(*[c.alias(n) for n, c in {**values, **ident}.items()])
+    rest = [F.any_value(v).alias(v) for v in values if v not in ident]
+    distinct = keyed.groupBy(*ident).agg(F.count(F.lit(1)).alias("n_rows"), *rest)
+    requests = with_requests(distinct, spec, dict(zip(names, values, strict=True)))
+    # Tied to the count, a filter on the error stays above the aggregation; it would otherwise
+    # be pushed down and put together a URL for every probe row.
+    tied = F.when(F.col("n_rows") > 0, F.col("error"))
+    return requests.withColumn("error", tied), list(ident)
 
 
 def fail_on_request_error(requests: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it holds more than one in HOT_KEYS of all rows, so there are fewer
@@ -13,48 +14,46 @@ HOT_KEYS = 1000
 SALTS = 64
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], n: str, hot_share: int = HOT_KEYS) -> DataFrame:
-    """The keys of a (keys, n) count table that hold more than 1/hot_share of the total."""
-    total = counts.select(F.sum(n)).scalar()
-    return counts.where(F.col(n) * hot_share > total).select(*keys)
+def is_hot(counts: DataFrame, n: str) -> Column:
+    """Whether a row's key count ``n`` is more than 1/HOT_KEYS of the total of ``counts``."""
+    return F.col(n) * HOT_KEYS > counts.select(F.sum(n)).scalar()
 
 
 def salted_join(
     big: DataFrame,
     small: DataFrame,
-    key: str,
+    keys: Sequence[str],
     how: str = "inner",
     counts: DataFrame | None = None,
+    n: str = "n",
     salts: int = SALTS,
-    hot_share: int = HOT_KEYS,
 ) -> DataFrame:
-    """``big JOIN small USING (key)``, hot keys of ``big`` spread over ``salts`` tasks.
+    """``big JOIN small USING (keys)``, hot keys of ``big`` spread over ``salts`` tasks.
 
     ``how`` is inner or left. Only rows of hot keys get a salt and only the matching rows of
     ``small`` are copied, once per salt; with no hot key this is the plain join. The salt is a
     hash of the row, so a task that is run again sends every row to the same place.
-    ``counts`` is a (key, n) table of ``big`` when the caller already has one.
+    ``salts`` is a power of two. ``counts`` is a (keys, n) table of ``big`` when the caller already has one; where
+    ``small`` has the column ``n`` it is taken from there.
     """
     if counts is None:
-        counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(counts, [key], "n", hot_share).withColumn("_hot", F.lit(True))
+        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    hot = counts.where(is_hot(counts, n)).select(*keys, F.lit(True).alias("_hot"))
     row_hash = F.xxhash64(*[F.col(c) for c in _hashable(big)])
+    # A null key matches nothing, so its rows may go anywhere.
+    free = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("_hot"))
     left = (
-        big.join(F.broadcast(hot), key, "left")
-        # A null key matches nothing, so its rows may go anywhere.
-        .withColumn(
-            "_salt",
-            F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(row_hash, F.lit(salts))).otherwise(F.expr("0L")),
-        )
+        big.join(F.broadcast(hot), list(keys), "left")
+        .withColumn("_salt", F.when(free, row_hash.bitwiseAND(salts - 1)).otherwise(F.expr("0L")))
         .drop("_hot")
     )
+    if n in small.columns:
+        marked = small.withColumn("_hot", is_hot(counts, n)).drop(n)
+    else:
+        marked = small.join(F.broadcast(hot), list(keys), "left")
     copies = F.when(F.col("_hot"), F.expr(f"sequence(0L, {salts - 1}L)")).otherwise(F.expr("array(0L)"))
-    right = (
-        small.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
-    )
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    right = marked.withColumn("_salt", F.explode(copies)).drop("_hot")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def _hashable(df: DataFrame) -> list[str]:

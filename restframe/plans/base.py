@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a stream of its files, at most a gigabyte per micro-batch."""
+    source = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    # As a pattern the path may be one file or a folder of files.
+    return source.option("maxBytesPerTrigger", str(1 << 30)).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 # Derivations that read the same in both SQL dialects.
 EVENT_STATUS = "case event_type when 'error' then 503 when 'click' then 404 when 'view' then 201 else 200 end"
 # Bodies of every kind: an object, blank, no JSON, an object with a field of another type.

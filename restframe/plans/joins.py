@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from restframe.operators.audit import audit_log
 from restframe.operators.lookup import lookup_join
 from restframe.operators.request import plan_requests
-from restframe.plans.base import query, table
+from restframe.plans.base import query, stream, table
 from restframe.session import new_dir
 from restframe.sources.sqlapi import register_fetch
 from restframe.sources.transport import CallableTransport, ReplayTransport, TableTransport
@@ -400,14 +400,8 @@ def audit_log_query(spark, sf_dir):
 )
 def lookup_stream(spark, sf_dir):
     path, checkpoint = new_dir(spark, "enriched"), new_dir(spark, "enriched-state")
-    batch = table(spark, sf_dir, "orders")
-    stream = (
-        spark.readStream.schema(batch.schema)
-        .option("maxBytesPerTrigger", str(1 << 30))
-        .parquet(f"{sf_dir}/orders.parquet")
-    )
     running = enrich_stream(
-        stream,
+        stream(spark, sf_dir, "orders"),
         CUSTOMER,
         {"c_custkey": "o_custkey"},
         _customer_endpoint(spark, sf_dir),
@@ -417,6 +411,6 @@ def lookup_stream(spark, sf_dir):
         keep=["o_orderkey"],
     )
     running.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("o_orderkey bigint, c_name string, c_mktsegment string").parquet(path)
+    return spark.read.parquet(path).select("o_orderkey", "c_name", "c_mktsegment")
 
 

@@ -13,7 +13,7 @@ from restframe.operators.batches import (
     split_elements,
     with_elements,
 )
-from restframe.plans.base import LINE_METHOD, query, table
+from restframe.plans.base import LINE_METHOD, query, stream, table
 from restframe.session import new_dir
 from restframe.sources.delivery import deliver, sink_metrics
 from restframe.sources.transport import CallableTransport
@@ -346,16 +346,12 @@ def sink_order(spark, sf_dir):
 )
 def sink_stream(spark, sf_dir):
     path, checkpoint = new_dir(spark, "stream-log"), new_dir(spark, "stream-state")
-    batch = table(spark, sf_dir, "events")
-    stream = (
-        spark.readStream.schema(batch.schema)
-        .option("maxBytesPerTrigger", str(1 << 30))
-        .parquet(f"{sf_dir}/events.parquet")
-        .selectExpr("event_id", "event_type", "event_id % 4 as lane", "event_id div 1000 as id_range")
+    events = stream(spark, sf_dir, "events").selectExpr(
+        "event_id", "event_type", "event_id % 4 as lane", "event_id div 1000 as id_range"
     )
     spec = SinkSpec(url=URL, mode="single")
     writer = deliver_stream(
-        stream,
+        events,
         spec,
         CallableTransport(answer_by_size),
         path,

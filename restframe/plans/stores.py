@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from restframe.operators.cache import access_ttl, calls_made, lru, split_by_store, storable, write_ttl
 from restframe.operators.lookup import call_counter
-from restframe.operators.request import distinct_requests, plan_requests, with_requests
+from restframe.operators.request import distinct_requests, plan_requests
 from restframe.operators.response import process_responses
-from restframe.plans.base import query, table
+from restframe.plans.base import query, stream, table
 from restframe.plans.joins import CUSTOMER, _customer_endpoint
 from restframe.session import new_dir
 from restframe.streaming.cache_state import cache_stream
@@ -17,8 +17,8 @@ SIX_HOURS_MS = 6 * 3600 * 1000
 
 
 def _order_requests(spark, sf_dir):
-    planned = with_requests(table(spark, sf_dir, "orders"), CUSTOMER, {"c_custkey": "o_custkey"}, "_request")
-    return distinct_requests(planned)
+    requests, _ = distinct_requests(table(spark, sf_dir, "orders"), CUSTOMER, {"c_custkey": "o_custkey"})
+    return requests
 
 
 @query(
@@ -81,14 +81,8 @@ def cache_write_ttl(spark, sf_dir):
 
 @query("cache_stream", _WRITE_TTL)
 def cache_stream_query(spark, sf_dir):
-    batch = table(spark, sf_dir, "events")
-    stream = (
-        spark.readStream.schema(batch.schema)
-        .option("maxBytesPerTrigger", str(1 << 30))
-        .parquet(f"{sf_dir}/events.parquet")
-    )
     path, checkpoint = new_dir(spark, "cache"), new_dir(spark, "cache-state")
-    hits = cache_stream(stream, "user_id", "ts", "event_id", SIX_HOURS_MS)
+    hits = cache_stream(stream(spark, sf_dir, "events"), "user_id", "ts", "event_id", SIX_HOURS_MS)
     writer = hits.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(hits.schema).parquet(path).select("event_id", "user_id", "hit")

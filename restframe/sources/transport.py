@@ -188,16 +188,16 @@ class TableTransport:
     def fetch(
         self, requests: DataFrame, spec: LookupSpec | SinkSpec, carry: Sequence[str] = ()
     ) -> DataFrame:
-        planned = with_requests(self.table, spec, self.keys, "_request")
+        planned = with_requests(self.table, spec, self.keys, "_rq_")
         names = list(self.columns or [f for f in spec.row_type.fieldNames() if f in self.table.columns])
         dtypes = {f.name: f.dataType for f in self.table.schema.fields}
         document = encode_json([(n, F.col(n), dtypes[n]) for n in names])
         if spec.result_type == ARRAY:
             document = F.concat(F.lit("["), document, F.lit("]"))
-        served = planned.select(F.col("_request.request_id").alias("request_id"), document.alias("body"))
+        served = planned.select(F.col("_rq_request_id").alias("request_id"), document.alias("body"))
         wanted = requests.select("request_id", *carry)
         if spec.result_type == ARRAY:
-            found = salted_join(served, wanted, "request_id").unionByName(
+            found = salted_join(served, wanted, ["request_id"]).unionByName(
                 wanted.join(served.select("request_id"), "request_id", "left_anti").withColumn(
                     "body", F.lit(None).cast("string")
                 )

@@ -6,11 +6,12 @@ from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from restframe.operators.greedy import greedy_marks
-from restframe.operators.sequence import last_value_before, number_rows
+from restframe.operators.sequence import last_value_before
 
 
 def _slice(at: str, slice_of: str) -> Column:
@@ -47,10 +48,11 @@ def lru(
     What a cache holds when a slice begins is the ``max_rows`` latest keys of the slices
     before it, so each slice hands on at most ``max_rows`` keys.
     """
-    sliced = accesses.select(lane, key, at, *order, _slice(at, slice_of))
-    numbered = number_rows(sliced, [lane], ["_slice"], [at, *order], "_seq")
+    kept = list(dict.fromkeys([lane, key, at, *order]))
+    sliced = accesses.select(*kept, _slice(at, slice_of))
     group = [lane, "_slice"]
-    latest = numbered.groupBy(*group, key).agg(F.max("_seq").alias("_last"))
+    types = {f.name: f.dataType.simpleString() for f in sliced.schema.fields}
+    latest = sliced.groupBy(*group, key).agg(F.max(F.struct(at, *order)).alias("_last"))
     newest = Window.partitionBy(*group).orderBy(F.desc("_last"))
     closing = (
         latest.withColumn("_rank", F.row_number().over(newest))
@@ -58,7 +60,14 @@ def lru(
         .groupBy(*group)
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("_last", key))), lambda s: s[key]).alias("_keys"))
     )
-    types = {f.name: f.dataType.simpleString() for f in numbered.schema.fields}
+
+    def use(held: OrderedDict, k: object) -> bool:
+        hit = k in held
+        held[k] = None
+        held.move_to_end(k)
+        if len(held) > max_rows:
+            held.popitem(last=False)
+        return hit
 
     def hand_on(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, held = None, OrderedDict()
@@ -69,35 +78,37 @@ def lru(
                     current, held = this, OrderedDict()
                 entry.append(list(held))
                 for k in used:
-                    held[k] = None
-                    held.move_to_end(k)
-                while len(held) > max_rows:
-                    held.popitem(last=False)
-            yield pdf[group].assign(_entry=entry)
+                    use(held, k)
+            yield pdf[group].assign(_held=entry)
 
     entered = (
         closing.repartition(lane)
         .sortWithinPartitions(*group)
-        .mapInPandas(hand_on, f"`{lane}` {types[lane]}, _slice bigint, _entry array<{types[key]}>")
+        .mapInPandas(hand_on, f"`{lane}` {types[lane]}, _slice bigint, _held array<{types[key]}>")
     )
 
-    def replay(pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_seq", kind="stable")
-        held = OrderedDict.fromkeys(entry["_entry"].iloc[0])
-        hits = []
-        for k in pdf[key]:
-            hits.append(k in held)
-            held[k] = None
-            held.move_to_end(k)
-            if len(held) > max_rows:
-                held.popitem(last=False)
-        return pdf.assign(hit=hits).drop(columns=["_slice", "_seq"])
-
-    kept = [lane, key, at, *order]
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The entry row of a slice comes before its accesses and says what the cache holds.
+        held: OrderedDict = OrderedDict()
+        for batch in batches:
+            kinds = batch.column("_kind").to_pylist()
+            hits = []
+            for kind, k, entry in zip(
+                kinds, batch.column(key).to_pylist(), batch.column("_held").to_pylist(), strict=True
+            ):
+                if kind == 0:
+                    held = OrderedDict.fromkeys(entry)
+                hits.append(kind == 1 and use(held, k))
+            arrays = [*[batch.column(c) for c in kept], pa.array(hits, pa.bool_())]
+            answered = pa.RecordBatch.from_arrays(arrays, names=[*kept, "hit"])
+            yield answered.filter(pa.array([kind == 1 for kind in kinds]))
+
     return (
-        numbered.groupBy(*group)
-        .cogroup(entered.groupBy(*group))
-        .applyInPandas(replay, ", ".join(f"`{c}` {types[c]}" for c in kept) + ", hit boolean")
+        sliced.withColumn("_kind", F.lit(1))
+        .unionByName(entered.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+        .repartition(*group)
+        .sortWithinPartitions(*group, "_kind", at, *order)
+        .mapInArrow(replay, ", ".join(f"`{c}` {types[c]}" for c in kept) + ", hit boolean")
     )
 
 

@@ -6,7 +6,8 @@ time) and flushes by size (``lo``/``hi`` = running total before and after the ro
 this kind. What happens in one block depends on the mark before it, so it is done in three
 steps: every block works out, for each row that could be its first mark, what its last mark
 would then be; one light pass per lane walks from block to block over those answers; then
-every block, knowing its entry, sets its marks. No step holds more than one block.
+every block, knowing its entry, sets its marks. No step holds more than one block, so a lane
+of any size is spread over as many tasks as it has blocks.
 """
 
 from __future__ import annotations
@@ -15,12 +16,20 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _NONE_YET = np.iinfo(np.int64).min
 
 
+def group_bounds(groups: pd.DataFrame) -> list[tuple[int, int]]:
+    """(start, end) of every stretch of equal rows."""
+    changed = (groups != groups.shift()).any(axis=1).to_numpy()
+    starts = np.flatnonzero(changed)
+    return list(zip(starts, np.append(starts[1:], len(groups)), strict=True))
+
+
 def greedy_marks(
     df: DataFrame,
     lane: Sequence[str],
@@ -35,25 +44,24 @@ def greedy_marks(
 ) -> DataFrame:
     """(lane, block, order, keep) of every row with ``is_mark`` and ``mark_lo``, its mark's ``lo``.
 
-    ``block`` grows along the lane; ``lo`` <= ``hi`` are bigint and never fall along it. With
-    ``max_rows``, ``seq`` numbers the rows of the lane and ``mark_seq`` is added.
+    ``lane`` and ``block`` are never null and ``block`` grows along the lane; ``lo`` <= ``hi``
+    are bigint and never fall along it. With ``max_rows``, ``seq`` numbers the rows of the lane
+    and ``mark_seq`` is added.
     """
     if (max_rows is None) != (seq is None):
         raise ValueError("max_rows and seq go together")
     group = [*lane, block]
-    position = F.col(seq) if seq else F.lit(0)
-    kept = list(dict.fromkeys([*order, *keep]))
+    kept = [c for c in dict.fromkeys([*order, *keep]) if c not in group]
     rows = df.select(
         *group,
-        *[c for c in kept if c not in group],
+        *kept,
         F.col(lo).cast("bigint").alias("_lo"),
         F.col(hi).cast("bigint").alias("_hi"),
-        position.cast("bigint").alias("_at"),
+        (F.col(seq) if seq else F.lit(0)).cast("bigint").alias("_at"),
+        F.lit(1).alias("_kind"),
     )
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     group_ddl = ", ".join(f"`{c}` {types[c]}" for c in group)
-    extra = [c for c in kept if c not in group]
-    sort_by = list(order)
 
     def next_mark(his, ats, mark_lo, mark_at):
         """Index of the row that follows the given mark as a mark; takes arrays of marks too."""
@@ -62,13 +70,8 @@ def greedy_marks(
             found = np.minimum(found, np.searchsorted(ats, mark_at + max_rows, side="left"))
         return found
 
-    def in_order(pdf: pd.DataFrame):
-        pdf = pdf.sort_values(sort_by, kind="stable")
-        return pdf, *(pdf[c].to_numpy() for c in ("_lo", "_hi", "_at"))
-
-    def answers(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, los, his, ats = in_order(pdf)
-        n = len(pdf)
+    def answer(los: np.ndarray, his: np.ndarray, ats: np.ndarray) -> tuple:
+        n = len(los)
         follow = np.maximum(next_mark(his, ats, los, ats), np.arange(1, n + 1))
         last = np.arange(n)
         for i in range(n - 1, -1, -1):
@@ -76,20 +79,34 @@ def greedy_marks(
                 last[i] = last[follow[i]]
         # The mark before this block is no later than its first row, which bounds the entries.
         entries = min(n, int(next_mark(his, ats, los[0], ats[0])) + 1)
-        return pd.DataFrame(
-            {
-                **{c: [pdf[c].iloc[0]] for c in group},
-                "his": [his[:entries]],
-                "ats": [ats[:entries]],
-                "last_lo": [los[last[:entries]]],
-                "last_at": [ats[last[:entries]]],
-            }
-        )
+        return his[:entries], ats[:entries], los[last[:entries]], ats[last[:entries]]
+
+    def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Rows arrive sorted, so a block is complete when the next one begins.
+        names = [*group, "his", "ats", "last_lo", "last_at"]
+        held_key: tuple | None = None
+        held: list[np.ndarray] = []
+        for pdf in batches:
+            done = []
+            values = pdf[["_lo", "_hi", "_at"]].to_numpy(dtype=np.int64)
+            keys = pdf[group]
+            for start, end in group_bounds(keys):
+                key = tuple(keys.iloc[start])
+                if key != held_key and held:
+                    done.append((*held_key, *answer(*np.concatenate(held).T)))
+                    held = []
+                held_key = key
+                held.append(values[start:end])
+            yield pd.DataFrame(done, columns=names)
+        if held:
+            yield pd.DataFrame([(*held_key, *answer(*np.concatenate(held).T))], columns=names)
 
     per_block = (
         rows.select(*dict.fromkeys([*group, *order, "_lo", "_hi", "_at"]))
-        .groupBy(*group)
-        .applyInPandas(
+        .repartition(*group)
+        .sortWithinPartitions(*group, *order)
+        .select(*group, "_lo", "_hi", "_at")
+        .mapInPandas(
             answers,
             f"{group_ddl}, his array<bigint>, ats array<bigint>, last_lo array<bigint>, last_at array<bigint>",
         )
@@ -112,30 +129,53 @@ def greedy_marks(
                     first = int(next_mark(np.asarray(row.his), np.asarray(row.ats), mark_lo, mark_at))
                 if first < len(row.his):
                     mark_lo, mark_at = int(row.last_lo[first]), int(row.last_at[first])
-            yield pdf[group].assign(_entry_lo=entry_lo, _entry_at=entry_at)
+            yield pdf[group].assign(_lo=entry_lo, _at=entry_at)
 
     entered = (
         (per_block.repartition(*lane) if lane else per_block.repartition(1))
         .sortWithinPartitions(*group)
-        .mapInPandas(walk, f"{group_ddl}, _entry_lo bigint, _entry_at bigint")
+        .mapInPandas(walk, f"{group_ddl}, _lo bigint, _at bigint")
+        .withColumns({"_hi": F.lit(0).cast("bigint"), "_kind": F.lit(0)})
     )
 
-    def mark(pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        pdf, los, his, ats = in_order(pdf)
-        mark_lo, mark_at = int(entry["_entry_lo"].iloc[0]), int(entry["_entry_at"].iloc[0])
-        n = len(pdf)
-        mark_los, mark_ats = np.full(n, mark_lo), np.full(n, mark_at)
-        is_mark = np.zeros(n, dtype=bool)
-        i = 0 if mark_lo == _NONE_YET else int(next_mark(his, ats, mark_lo, mark_at))
-        while i < n:
-            is_mark[i], mark_los[i:], mark_ats[i:] = True, los[i], ats[i]
-            i = max(i + 1, int(next_mark(his, ats, los[i], ats[i])))
-        return pdf[[*group, *extra]].assign(is_mark=is_mark, mark_lo=mark_los, mark_seq=mark_ats)
-
-    extra_ddl = "".join(f", `{c}` {types[c]}" for c in extra)
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The entry row of a block comes before its rows; the state is the mark in force.
+        mark_lo = mark_at = _NONE_YET
+        for batch in batches:
+            kinds, los, his, ats = (batch.column(c).to_numpy() for c in ("_kind", "_lo", "_hi", "_at"))
+            is_mark = np.zeros(len(kinds), dtype=bool)
+            mark_los, mark_ats = np.empty(len(kinds), np.int64), np.empty(len(kinds), np.int64)
+            cuts = np.flatnonzero(kinds == 0)
+            for start, end in zip([0, *(cuts + 1)], [*cuts, len(kinds)], strict=True):
+                if start > 0:
+                    mark_lo, mark_at = los[start - 1], ats[start - 1]
+                at = start
+                while at < end:
+                    if mark_lo == _NONE_YET:
+                        stop = at
+                    else:
+                        stop = at + int(next_mark(his[at:end], ats[at:end], mark_lo, mark_at))
+                    mark_los[at:stop], mark_ats[at:stop] = mark_lo, mark_at
+                    if stop < end:
+                        mark_lo, mark_at = los[stop], ats[stop]
+                        is_mark[stop], mark_los[stop], mark_ats[stop] = True, mark_lo, mark_at
+                    at = stop + 1
+            marked = pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c) for c in (*group, *kept)],
+                    pa.array(is_mark),
+                    pa.array(mark_los),
+                    pa.array(mark_ats),
+                ],
+                names=[*group, *kept, "is_mark", "mark_lo", "mark_seq"],
+            )
+            yield marked.filter(pa.array(kinds == 1))
+
+    kept_ddl = "".join(f", `{c}` {types[c]}" for c in kept)
     marked = (
-        rows.groupBy(*group)
-        .cogroup(entered.groupBy(*group))
-        .applyInPandas(mark, f"{group_ddl}{extra_ddl}, is_mark boolean, mark_lo bigint, mark_seq bigint")
+        rows.unionByName(entered, allowMissingColumns=True)
+        .repartition(*group)
+        .sortWithinPartitions(*group, "_kind", *order)
+        .mapInArrow(mark, f"{group_ddl}{kept_ddl}, is_mark boolean, mark_lo bigint, mark_seq bigint")
     )
     return marked if seq else marked.drop("mark_seq")

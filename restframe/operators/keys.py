@@ -43,13 +43,23 @@ def key_text(value: Column, dtype: T.DataType, date_keys: str = "iso") -> Column
     return value.cast("string")
 
 
+def key_leaves(keys: Sequence[Key], date_keys: str = "iso") -> list[tuple[str, Column, bool]]:
+    """(name, text, needs_encoding) of every leaf key; the text is null where the key is."""
+    flat = [leaf for key in keys for leaf in leaves(*key)]
+    return [
+        (name, key_text(value, dtype, date_keys), not isinstance(dtype, _SAFE_TEXT)) for name, value, dtype in flat
+    ]
+
+
+# Types whose text holds only characters that form encoding leaves alone.
+_SAFE_TEXT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType, T.DateType)
+
+
 def lookup_args(keys: Sequence[Key], date_keys: str = "iso") -> Column:
     """All non-null leaf keys as ``array<struct<name, value>>``."""
-    flat = [leaf for key in keys for leaf in leaves(*key)]
-    if not flat:
-        return F.expr(f"cast(array() as {ARGS_TYPE})")
     pairs = [
-        F.struct(F.lit(name).alias("name"), key_text(value, dtype, date_keys).alias("value"))
-        for name, value, dtype in flat
+        F.struct(F.lit(name).alias("name"), text.alias("value")) for name, text, _ in key_leaves(keys, date_keys)
     ]
+    if not pairs:
+        return F.expr(f"cast(array() as {ARGS_TYPE})")
     return F.filter(F.array(*pairs), lambda p: p["value"].isNotNull())

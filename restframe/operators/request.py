@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import quote_plus
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,14 +12,15 @@ from pyspark.sql import types as T
 
 from restframe.functions.formats import ENCODERS
 from restframe.functions.headers import header_column
-from restframe.functions.urls import form_encode, format_params, is_valid_url
-from restframe.operators.keys import Key, key_text, leaves, lookup_args, resolve_keys
+from restframe.functions.urls import form_encode, is_valid_url
+from restframe.operators.keys import Key, key_leaves, key_text, leaves, resolve_keys
 from restframe.spec import LookupSpec
 
 
 @dataclass(frozen=True)
 class RequestParts:
-    """What a query creator yields: the query (GET) or body text, URL and path parameters."""
+    """What a query creator yields: the query (GET) or body text, a query string to go with a
+    body, path parameters."""
 
     query: Column
     url_params: Column | None = None
@@ -28,8 +30,18 @@ class RequestParts:
 QueryCreator = Callable[[Sequence[Key], LookupSpec], RequestParts]
 
 
+def _form_pairs(leaves: Sequence[tuple[str, Column, bool]]) -> Column:
+    """``name=value`` pairs, form-encoded; a null value leaves its pair out."""
+    # The names are known when the query is planned, so this is one flat concatenation.
+    pairs = [
+        F.concat(F.lit(f"{quote_plus(name, safe='*')}=".replace("~", "%7E")), form_encode(text) if unsafe else text)
+        for name, text, unsafe in leaves
+    ]
+    return F.concat_ws("&", *pairs)
+
+
 def get_query(keys: Sequence[Key], spec: LookupSpec) -> RequestParts:
-    return RequestParts(format_params(lookup_args(keys, spec.date_keys)))
+    return RequestParts(_form_pairs(key_leaves(keys, spec.date_keys)))
 
 
 def json_query(keys: Sequence[Key], spec: LookupSpec) -> RequestParts:
@@ -38,11 +50,10 @@ def json_query(keys: Sequence[Key], spec: LookupSpec) -> RequestParts:
 
 def search_query(keys: Sequence[Key], spec: LookupSpec) -> RequestParts:
     """Search-lite syntax; values go in as they are."""
-    terms = F.transform(
-        lookup_args(keys, spec.date_keys),
-        lambda p: F.concat(p["name"], F.lit(":%22"), p["value"], F.lit("%22")),
-    )
-    joined = F.array_join(terms, "%20AND%20")
+    terms = [
+        F.concat(F.lit(f"{name}:%22"), text, F.lit("%22")) for name, text, _ in key_leaves(keys, spec.date_keys)
+    ]
+    joined = F.concat_ws("%20AND%20", *terms)
     return RequestParts(F.when(joined == "", "").otherwise(F.concat(F.lit("q="), joined)))
 
 
@@ -77,17 +88,9 @@ def flexible_query(keys: Sequence[Key], spec: LookupSpec) -> RequestParts:
         return RequestParts(F.concat_ws("&", *pairs), path_params=path)
     body_keys = [key for key in keys if key[0] in spec.body_fields]
     body = ENCODERS[spec.request_format](body_keys, spec.request_options)
-    chosen = sorted(n for n in set(spec.query_param_fields) if n in flat)
-    params = F.filter(
-        F.array(
-            *[
-                F.struct(F.lit(n).alias("name"), key_text(*flat[n], spec.date_keys).alias("value"))
-                for n in chosen
-            ]
-        ),
-        lambda p: p["value"].isNotNull(),
-    ) if chosen else None
-    return RequestParts(body, params, path)
+    chosen = {leaf[0]: leaf for leaf in key_leaves(keys, spec.date_keys)}
+    wanted = [chosen[n] for n in sorted(set(spec.query_param_fields)) if n in chosen]
+    return RequestParts(body, _form_pairs(wanted) if wanted else None, path)
 
 
 QUERY_CREATORS: dict[str, QueryCreator] = {
@@ -159,7 +162,7 @@ def with_requests(
         address, problem = assemble_url(spec.url, F.col(query), parts.path_params)
         body = F.lit(None).cast("string")
     else:
-        params = F.lit(None).cast("string") if parts.url_params is None else format_params(parts.url_params)
+        params = F.lit("") if parts.url_params is None else parts.url_params
         staged = probe.withColumn(query, params).withColumn(f"{prefix}body", parts.query)
         address, problem = assemble_url(spec.url, F.col(query), parts.path_params)
         body = F.col(f"{prefix}body")

@@ -144,17 +144,13 @@ def fail_on_error(outcome: DataFrame, spec: LookupSpec) -> DataFrame:
     """Unless errors are to be survived, stop the job on the first failed lookup."""
     if spec.continue_on_error:
         return outcome
-    # In a filter condition the check cannot be pruned away with its column.
-    return outcome.where(
-        F.when(
-            F.col("completion_state").isin(*FAILED_STATES),
-            F.raise_error(
-                F.concat_ws(
-                    " ", F.lit("lookup failed:"), F.col("completion_state"), F.col("status"), F.col("error_string")
-                )
-            ).cast("boolean"),
-        ).otherwise(True)
+    # The check sits in the rows, which emission always reads. As a filter it would be pushed
+    # down and decode every body a second time.
+    problem = F.concat_ws(
+        " ", F.lit("lookup failed:"), F.col("completion_state"), F.col("status"), F.col("error_string")
     )
+    failed = F.col("completion_state").isin(*FAILED_STATES)
+    return outcome.withColumn("rows", F.when(failed, F.raise_error(problem)).otherwise(F.col("rows")))
 
 
 def metadata_columns(names: Sequence[str]) -> list[Column]:
@@ -180,8 +176,10 @@ def emit_rows(
     rows = F.col("rows")
     if spec.max_rows_per_key == 1:
         rows = F.slice(rows, 1, 1)
-    explode = F.explode_outer if metadata else F.explode
-    exploded = outcome.withColumn("_row", explode(rows))
+    # Outer, then filtered: a plain explode adds a test of the rows that decodes them twice.
+    exploded = outcome.withColumn("_row", F.explode_outer(rows))
+    if not metadata:
+        exploded = exploded.where(F.col("_row").isNotNull())
     return exploded.select(
         *carry, *[F.col("_row")[name].alias(name) for name in fields], *metadata_columns(metadata)
     )

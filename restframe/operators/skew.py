@@ -30,7 +30,7 @@ def salted_join(
 ) -> DataFrame:
     """``big JOIN small USING (keys)``, hot keys of ``big`` spread over ``salts`` tasks.
 
-    ``how`` is inner or left. Only rows of hot keys get a salt and only the matching rows of
+    ``how`` is inner, left or right. Only rows of hot keys get a salt and only the matching rows of
     ``small`` are copied, once per salt; with no hot key this is the plain join. The salt is a
     hash of the row, so a task that is run again sends every row to the same place.
     ``salts`` is a power of two. ``counts`` is a (keys, n) table of ``big`` when the caller already has one; where
@@ -52,8 +52,13 @@ def salted_join(
     else:
         marked = small.join(F.broadcast(hot), list(keys), "left")
     copies = F.when(F.col("_hot"), F.expr(f"sequence(0L, {salts - 1}L)")).otherwise(F.expr("array(0L)"))
-    right = marked.withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    right = marked.withColumn("_salt", F.explode(copies))
+    if how != "right":
+        return left.join(right.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
+    # A hot key has matches, though maybe not under every salt: those copies are no misses.
+    joined = left.withColumn("_found", F.lit(True)).join(right, [*keys, "_salt"], "right")
+    missed_copy = F.col("_found").isNull() & F.coalesce(F.col("_hot"), F.lit(False))
+    return joined.where(~missed_copy).drop("_salt", "_found", "_hot")
 
 
 def _hashable(df: DataFrame) -> list[str]:

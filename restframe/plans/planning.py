@@ -165,10 +165,8 @@ def query_jsonurl_params(spark, sf_dir):
     spec = _spec(
         method="POST", query_creator="generic-json-url", query_param_fields=("state", "priority", "cust", "unknown")
     )
-    from restframe.functions.urls import format_params
-
     parts = query_parts(_flexible_keys(orders), spec)
-    return orders.select("o_orderkey", format_params(parts.url_params).alias("params"))
+    return orders.select("o_orderkey", parts.url_params.alias("params"))
 
 
 @query(

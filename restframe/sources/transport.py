@@ -197,11 +197,7 @@ class TableTransport:
         served = planned.select(F.col("_rq_request_id").alias("request_id"), document.alias("body"))
         wanted = requests.select("request_id", *carry)
         if spec.result_type == ARRAY:
-            found = salted_join(served, wanted, ["request_id"]).unionByName(
-                wanted.join(served.select("request_id"), "request_id", "left_anti").withColumn(
-                    "body", F.lit(None).cast("string")
-                )
-            )
+            found = salted_join(served, wanted, ["request_id"], "right")
         else:
             found = wanted.join(served, "request_id", "left")
         status = F.when(F.col("body").isNull(), self.missing_status).otherwise(200)

@@ -70,7 +70,7 @@ def lookup_join(
     counts = requests.select(*on, "n_rows")
     if fail_on_bad_request:
         requests = fail_on_request_error(requests)
-    carry = [*on, "n_rows"]
+    carry = on
     outcome = fetch_outcomes(requests.where(F.col("error").isNull()), spec, transport, select, carry)
     rows = emit_rows(outcome, spec, metadata, carry, select)
     if not fail_on_bad_request and metadata:
@@ -89,7 +89,7 @@ def lookup_join(
         base = sent if how == "inner" else probe
         sides = base.select(*wanted, *[c.alias(n) for n, c in keyed.items()])
     if skew:
-        joined = salted_join(sides, rows, on, how, counts=counts, n="n_rows")
+        joined = salted_join(sides, rows, on, how, counts, "n_rows")
     else:
         joined = sides.join(rows, on, how)
     return joined.select(*wanted, *[F.col(f"`{c}`") for c in fetched])

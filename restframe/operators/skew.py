@@ -8,15 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one in HOT_KEYS of all rows, so there are fewer
-# than HOT_KEYS hot keys whatever the data: that is the size bound of the broadcast below.
+# A key is hot when it holds more than one in HOT_KEYS of all rows, so there are fewer than
+# HOT_KEYS hot keys whatever the data; each is kept as an eight-byte hash.
 HOT_KEYS = 1000
 SALTS = 64
 
 
-def is_hot(counts: DataFrame, n: str) -> Column:
-    """Whether a row's key count ``n`` is more than 1/HOT_KEYS of the total of ``counts``."""
-    return F.col(n) * HOT_KEYS > counts.select(F.sum(n)).scalar()
+def hot_hashes(counts: DataFrame, keys: Sequence[str], n: str) -> Column:
+    """The hashes of the hot keys of a (keys, n) count table, as one small array."""
+    total = counts.select(F.sum(n)).scalar()
+    hot = counts.where(F.col(n) * HOT_KEYS > total)
+    return hot.select(F.collect_set(F.xxhash64(*keys))).scalar()
 
 
 def salted_join(
@@ -30,29 +32,23 @@ def salted_join(
 ) -> DataFrame:
     """``big JOIN small USING (keys)``, hot keys of ``big`` spread over ``salts`` tasks.
 
-    ``how`` is inner, left or right. Only rows of hot keys get a salt and only the matching rows of
-    ``small`` are copied, once per salt; with no hot key this is the plain join. The salt is a
-    hash of the row, so a task that is run again sends every row to the same place.
-    ``salts`` is a power of two. ``counts`` is a (keys, n) table of ``big`` when the caller already has one; where
-    ``small`` has the column ``n`` it is taken from there.
+    ``how`` is inner, left or right. Only rows of hot keys get a salt and only the matching
+    rows of ``small`` are copied, once per salt; with no hot key this is the plain join. The
+    salt is a hash of the row, so a task that is run again sends every row to the same place.
+    ``salts`` is a power of two. ``counts`` is a (keys, n) table of ``big`` when the caller
+    already has one.
     """
     if counts is None:
         counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
-    hot = counts.where(is_hot(counts, n)).select(*keys, F.lit(True).alias("_hot"))
+    # Both sides test the same hash, so a key that shares its hash with a hot one is treated
+    # as hot on both.
+    hot = F.array_contains(hot_hashes(counts, keys, n), F.xxhash64(*keys))
     row_hash = F.xxhash64(*[F.col(c) for c in _hashable(big)])
     # A null key matches nothing, so its rows may go anywhere.
-    free = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("_hot"))
-    left = (
-        big.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("_salt", F.when(free, row_hash.bitwiseAND(salts - 1)).otherwise(F.expr("0L")))
-        .drop("_hot")
-    )
-    if n in small.columns:
-        marked = small.withColumn("_hot", is_hot(counts, n)).drop(n)
-    else:
-        marked = small.join(F.broadcast(hot), list(keys), "left")
+    free = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], hot)
+    left = big.withColumn("_salt", F.when(free, row_hash.bitwiseAND(salts - 1)).otherwise(F.expr("0L")))
     copies = F.when(F.col("_hot"), F.expr(f"sequence(0L, {salts - 1}L)")).otherwise(F.expr("array(0L)"))
-    right = marked.withColumn("_salt", F.explode(copies))
+    right = small.withColumn("_hot", hot).withColumn("_salt", F.explode(copies))
     if how != "right":
         return left.join(right.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
     # A hot key has matches, though maybe not under every salt: those copies are no misses.

@@ -100,13 +100,24 @@ def map_requests(
     threads: int | None = None,
     sleep=time.sleep,
     carry: Sequence[str] = (),
+    parallelism: int | None = None,
 ) -> DataFrame:
-    """Run the calls of every partition on the executors, a few at a time, one Arrow batch in memory."""
+    """Run the calls of every partition on the executors, a few at a time, one Arrow batch in memory.
+
+    Calls in flight = tasks x threads. Lookup requests are small rows that adaptive execution
+    would gather in few tasks, so they are spread over ``parallelism`` tasks, by default one
+    per core. Sink requests carry their data and stay where they are unless it is given.
+    """
     workers = threads or _threads(spec)
+    tasks = parallelism
+    if tasks is None and isinstance(spec, LookupSpec):
+        tasks = requests.sparkSession.sparkContext.defaultParallelism
     fields = [c for c in ("request_id", "method", "url", "body", "headers") if c in requests.columns]
     carried = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
     names = [f"carry_{i}" for i in range(len(carry))]
     chosen = requests.select(*fields, *carried)
+    if tasks:
+        chosen = chosen.repartition(tasks, "request_id")
     types = {f.name: f.dataType.simpleString() for f in chosen.schema.fields}
     ddl = ", ".join([*[f"{n} {types[n]}" for n in names], RESPONSE_DDL])
 
@@ -125,7 +136,8 @@ def map_requests(
             with ThreadPoolExecutor(workers) as pool:
                 for pdf in batches:
                     # map() keeps the order, so one worker means calls in row order.
-                    done = list(pool.map(one, pdf[fields].to_dict("records")))
+                    rows = [dict(zip(fields, row, strict=True)) for row in zip(*(pdf[f] for f in fields), strict=True)]
+                    done = list(pool.map(one, rows) if workers > 1 else map(one, rows))
                     answers = pd.DataFrame(done, columns=RESPONSE_COLUMNS, dtype=object)
                     yield pd.concat([pdf[names].reset_index(drop=True), answers], axis=1)
         finally:
@@ -144,12 +156,15 @@ class CallableTransport:
     hook: Hook | None = None
     threads: int | None = None
     sleep: Callable[[float], None] = time.sleep
+    parallelism: int | None = None
 
     def fetch(
         self, requests: DataFrame, spec: LookupSpec | SinkSpec, carry: Sequence[str] = ()
     ) -> DataFrame:
         send = self.send
-        return map_requests(requests, spec, lambda: send, self.hook, self.threads, self.sleep, carry)
+        return map_requests(
+            requests, spec, lambda: send, self.hook, self.threads, self.sleep, carry, self.parallelism
+        )
 
 
 @dataclass(frozen=True)
@@ -274,11 +289,7 @@ def bearer_token(spec: LookupSpec, opener: Any, now: Callable[[], float] = time.
 
 @dataclass(frozen=True)
 class HttpTransport:
-    """Real HTTP/1.1 calls from the executors; ``opener`` builds the session of a task.
-
-    Requests in flight = tasks x threads. Request rows are small, so adaptive execution would
-    run many calls in few tasks; ``parallelism`` sets the number of tasks.
-    """
+    """Real HTTP/1.1 calls from the executors; ``opener`` builds the session of a task."""
 
     opener: Callable[[LookupSpec | SinkSpec], Any] = make_opener
     hook: Hook | None = None
@@ -289,8 +300,6 @@ class HttpTransport:
     def fetch(
         self, requests: DataFrame, spec: LookupSpec | SinkSpec, carry: Sequence[str] = ()
     ) -> DataFrame:
-        if self.parallelism:
-            requests = requests.repartition(self.parallelism, "request_id")
         fixed = {**spec.headers, **self.headers}
         make = self.opener
 
@@ -298,7 +307,9 @@ class HttpTransport:
             opener = make(spec)
             return lambda request: _call(opener, request, spec, fixed)
 
-        return map_requests(requests, spec, make_send, self.hook, None, self.sleep, carry)
+        return map_requests(
+            requests, spec, make_send, self.hook, None, self.sleep, carry, self.parallelism
+        )
 
 
 def _call(opener: Any, request: Request, spec: LookupSpec | SinkSpec, fixed: Mapping[str, str]) -> Answer:

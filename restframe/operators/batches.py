@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from restframe.functions.formats import ENCODERS, format_options
 from restframe.operators.greedy import greedy_marks
-from restframe.operators.sequence import number_rows, number_runs, running_totals
+from restframe.operators.sequence import join_slices, number_rows, number_runs, running_totals
 from restframe.spec import INSERT_METHODS, SinkSpec
 
 Converter = Callable[[DataFrame], tuple[Column, Column]]
@@ -69,11 +69,12 @@ def plan_batches(
     slices: Sequence[str],
     order: Sequence[str],
     by_method: bool = True,
+    by_bytes: bool = False,
 ) -> DataFrame:
     """Add ``seq``, ``flush_seq`` and ``batch_seq`` to every row of a lane.
 
     A lane is one ordered stream to the endpoint. It is cut into flushes of ``max_batch_size``
-    rows, a flush into runs of equal method, a run into requests of ``batch_size`` rows; each
+    rows (and of ``max_batch_bytes``, if ``by_bytes``), a flush into runs of equal method, a run into requests of ``batch_size`` rows; each
     is named by the position of its first row. ``slices`` are the leading columns of the
     ordering by which a lane of any size is spread over tasks.
     """
@@ -81,11 +82,14 @@ def plan_batches(
         placed = number_runs(elements, lane, slices, order, F.upper("method"))
     else:
         placed = number_rows(elements, lane, slices, order).withColumn("run_seq", F.lit(0).cast("bigint"))
-    flush = F.col("seq") - F.col("seq") % spec.max_batch_size
+    if by_bytes:
+        flushes = plan_byte_flushes(elements, spec, lane, slices[0], [*slices[1:], *order])
+        placed = join_slices(placed, flushes.select(*lane, "seq", "flush_seq"), [*lane, "seq"])
+    else:
+        placed = placed.withColumn("flush_seq", F.col("seq") - F.col("seq") % spec.max_batch_size)
     start = F.greatest(F.col("flush_seq"), F.col("run_seq"))
     return (
-        placed.withColumn("flush_seq", flush)
-        .withColumn("_start", start)
+        placed.withColumn("_start", start)
         .withColumn("batch_seq", F.col("seq") - (F.col("seq") - F.col("_start")) % spec.batch_size)
         .drop("_start", "run_seq")
     )

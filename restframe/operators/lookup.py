@@ -8,7 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from restframe.operators.request import distinct_requests, fail_on_request_error, key_columns
+from restframe.operators.keys import resolve_keys
+from restframe.operators.request import (
+    distinct_requests,
+    fail_on_request_error,
+    key_columns,
+    with_requests,
+)
 from restframe.operators.response import (
     EXCEPTION,
     emit_rows,
@@ -17,7 +23,7 @@ from restframe.operators.response import (
     pruned_schema,
 )
 from restframe.operators.skew import salted_join
-from restframe.sources.transport import Transport
+from restframe.sources.transport import Transport, spread_calls
 from restframe.spec import LookupSpec
 
 Keys = Mapping[str, str | Column] | Sequence[str]
@@ -46,13 +52,16 @@ def lookup_join(
     keep: Sequence[str] | None = None,
     null_keys: str = "skip",
     fail_on_bad_request: bool = True,
+    dedup: bool = True,
     skew: bool = True,
 ) -> DataFrame:
     """Join every probe row with what the endpoint answers for its keys.
 
     ``keys`` maps lookup columns to probe columns. ``keep`` names the probe columns wanted,
     ``select`` the lookup columns (nested paths allowed), ``metadata`` the HTTP metadata
-    columns. Equal requests are sent once. A row whose top-level key is null matches nothing:
+    columns. Equal requests are sent once; with ``dedup=False`` every row makes its own call,
+    which takes no shuffle and no join back: for keys that hardly repeat, and for endpoints
+    that answer every call differently. A row whose top-level key is null matches nothing:
     it is left out of an inner join and kept by a left join; ``null_keys="request"`` sends it
     all the same. Lookup columns that clash with probe columns must be selected away.
     """
@@ -66,12 +75,18 @@ def lookup_join(
     ident, values = key_columns(probe, keys)
     present = reduce(lambda a, b: a & b, [c.isNotNull() for c in values.values()], F.lit(True))
     sent = probe if null_keys == "request" else probe.where(present)
+    if not dedup:
+        return _join_row_by_row(
+            sent, probe.where(~present) if how == "left" and null_keys != "request" else None,
+            spec, keys, transport, how, select, metadata, wanted, fail_on_bad_request,
+        )
     requests, on = distinct_requests(sent, spec, keys)
     counts = requests.select(*on, "n_rows")
     if fail_on_bad_request:
         requests = fail_on_request_error(requests)
     carry = on
-    outcome = fetch_outcomes(requests.where(F.col("error").isNull()), spec, transport, select, carry)
+    good = spread_calls(requests.where(F.col("error").isNull()), transport)
+    outcome = fetch_outcomes(good, spec, transport, select, carry)
     rows = emit_rows(outcome, spec, metadata, carry, select)
     if not fail_on_bad_request and metadata:
         rows = rows.unionByName(_bad_request_rows(requests, carry, metadata), allowMissingColumns=True)
@@ -95,6 +110,38 @@ def lookup_join(
     return joined.select(*wanted, *[F.col(f"`{c}`") for c in fetched])
 
 
+def _join_row_by_row(
+    sent: DataFrame,
+    unsent: DataFrame | None,
+    spec: LookupSpec,
+    keys: Keys,
+    transport: Transport,
+    how: str,
+    select: Sequence[str] | None,
+    metadata: Sequence[str],
+    wanted: Sequence[str],
+    fail_on_bad_request: bool,
+) -> DataFrame:
+    # Probe columns travel with their request, under names no response column has.
+    carried = {f"_w{i}": name for i, name in enumerate(wanted)}
+    resolved = {f"_k{i}": (name, c) for i, (name, c, _) in enumerate(resolve_keys(sent, keys))}
+    flat = sent.select(
+        *[F.col(f"`{name}`").alias(alias) for alias, name in carried.items()],
+        *[c.alias(alias) for alias, (_, c) in resolved.items()],
+    )
+    requests = with_requests(flat, spec, {name: alias for alias, (name, _) in resolved.items()})
+    if fail_on_bad_request:
+        requests = fail_on_request_error(requests)
+    outcome = fetch_outcomes(requests.where(F.col("error").isNull()), spec, transport, select, list(carried))
+    rows = emit_rows(outcome, spec, metadata, list(carried), select, keep_empty=how == "left")
+    if not fail_on_bad_request and (metadata or how == "left"):
+        rows = rows.unionByName(_bad_request_rows(requests, list(carried), metadata), allowMissingColumns=True)
+    rows = rows.withColumnsRenamed(carried)
+    if unsent is not None:
+        rows = rows.unionByName(unsent.select(*wanted), allowMissingColumns=True)
+    return rows
+
+
 def _bad_request_rows(requests: DataFrame, carry: Sequence[str], metadata: Sequence[str]) -> DataFrame:
     values = {"error-string": F.col("error"), "http-completion-state": F.lit(EXCEPTION)}
     known = [values[m].alias(m) for m in metadata if m in values]

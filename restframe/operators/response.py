@@ -167,10 +167,12 @@ def emit_rows(
     metadata: Sequence[str] = (),
     carry: Sequence[str] = ("request_id",),
     select: Sequence[str] | None = None,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """Carried columns, decoded columns, metadata columns; one output row per decoded row.
 
-    Without data there is no row, unless metadata was asked for: then one row of nulls.
+    Without data there is no row, unless metadata was asked for (or ``keep_empty``): then one
+    row of nulls.
     """
     fields = pruned_schema(spec.row_type, select).fieldNames()
     rows = F.col("rows")
@@ -178,7 +180,7 @@ def emit_rows(
         rows = F.slice(rows, 1, 1)
     # Outer, then filtered: a plain explode adds a test of the rows that decodes them twice.
     exploded = outcome.withColumn("_row", F.explode_outer(rows))
-    if not metadata:
+    if not metadata and not keep_empty:
         exploded = exploded.where(F.col("_row").isNotNull())
     return exploded.select(
         *carry, *[F.col("_row")[name].alias(name) for name in fields], *metadata_columns(metadata)

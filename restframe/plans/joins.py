@@ -318,6 +318,28 @@ def lookup_async(spark, sf_dir):
     return _echo_join(spark, sf_dir, async_polling=True)
 
 
+@query(
+    "lookup_uncached",
+    """
+    select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when l_partkey % 10 <> 0 then 2 * l_partkey end as twice
+    from lineitem""",
+)
+def lookup_uncached(spark, sf_dir):
+    """One call per row, as without a cache; a left join."""
+    spec = LookupSpec(url="http://parts.example.com/double", schema="part bigint, twice bigint", ignored_codes="404")
+    keep = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return lookup_join(
+        table(spark, sf_dir, "lineitem"),
+        spec,
+        {"part": "l_partkey"},
+        CallableTransport(echo),
+        how="left",
+        select=["twice"],
+        keep=keep,
+        dedup=False,
+    )
+
+
 @query(
     "lookup_sql",
     """

@@ -42,6 +42,7 @@ def deliver(
     method: Column | None = None,
     converter: Converter | None = None,
     ordered: bool = False,
+    by_bytes: bool = False,
     keep_body: bool = False,
     log_path: str | None = None,
 ) -> DataFrame:
@@ -49,7 +50,8 @@ def deliver(
 
     The log is lazy and every action on it sends again, so give ``log_path`` to send once and
     read the written log back. Failed requests are logged, not retried, and do not fail the
-    job. Delivery is at least once; the ``Idempotency-Key`` header repeats with a repeated
+    job. ``by_bytes`` holds flushes to ``max_batch_bytes`` too, for large records. Delivery is
+    at least once; the ``Idempotency-Key`` header repeats with a repeated
     request. ``ordered`` keeps the order of a lane with one sender per lane.
     """
     elements = with_elements(df, spec, columns, method, converter)
@@ -58,7 +60,7 @@ def deliver(
         # One record, one request: nothing to number, so nothing to shuffle.
         planned = good.withColumn("batch_seq", F.concat_ws("-", *[F.col(c).cast("string") for c in order]))
     else:
-        planned = plan_batches(good, spec, lane, slices, order)
+        planned = plan_batches(good, spec, lane, slices, order, by_bytes=by_bytes)
     requests = make_requests(planned, spec, lane).withColumn("request_id", F.col("batch_id"))
     requests = requests.withColumn(
         "headers", header_column(spec.headers, {"Idempotency-Key": F.col("batch_id")})

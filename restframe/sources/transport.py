@@ -100,24 +100,13 @@ def map_requests(
     threads: int | None = None,
     sleep=time.sleep,
     carry: Sequence[str] = (),
-    parallelism: int | None = None,
 ) -> DataFrame:
-    """Run the calls of every partition on the executors, a few at a time, one Arrow batch in memory.
-
-    Calls in flight = tasks x threads. Lookup requests are small rows that adaptive execution
-    would gather in few tasks, so they are spread over ``parallelism`` tasks, by default one
-    per core. Sink requests carry their data and stay where they are unless it is given.
-    """
+    """Run the calls of every partition on the executors, a few at a time, one Arrow batch in memory."""
     workers = threads or _threads(spec)
-    tasks = parallelism
-    if tasks is None and isinstance(spec, LookupSpec):
-        tasks = requests.sparkSession.sparkContext.defaultParallelism
     fields = [c for c in ("request_id", "method", "url", "body", "headers") if c in requests.columns]
     carried = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
     names = [f"carry_{i}" for i in range(len(carry))]
     chosen = requests.select(*fields, *carried)
-    if tasks:
-        chosen = chosen.repartition(tasks, "request_id")
     types = {f.name: f.dataType.simpleString() for f in chosen.schema.fields}
     ddl = ", ".join([*[f"{n} {types[n]}" for n in names], RESPONSE_DDL])
 
@@ -162,9 +151,7 @@ class CallableTransport:
         self, requests: DataFrame, spec: LookupSpec | SinkSpec, carry: Sequence[str] = ()
     ) -> DataFrame:
         send = self.send
-        return map_requests(
-            requests, spec, lambda: send, self.hook, self.threads, self.sleep, carry, self.parallelism
-        )
+        return map_requests(requests, spec, lambda: send, self.hook, self.threads, self.sleep, carry)
 
 
 @dataclass(frozen=True)
@@ -186,6 +173,25 @@ class ReplayTransport:
         ).select(*carry, *RESPONSE_COLUMNS)
 
 
+@dataclass(frozen=True)
+class StoreTransport:
+    """Answers kept from earlier runs first, calls for the rest; the user owns the store.
+
+    ``store`` holds responses, unique by request id. Drop what has expired before passing it.
+    """
+
+    store: DataFrame
+    inner: Transport
+
+    def fetch(
+        self, requests: DataFrame, spec: LookupSpec | SinkSpec, carry: Sequence[str] = ()
+    ) -> DataFrame:
+        known = requests.select("request_id", *carry).join(self.store.select(*RESPONSE_COLUMNS), "request_id")
+        missing = requests.join(self.store.select("request_id"), "request_id", "left_anti")
+        called = self.inner.fetch(spread_calls(missing, self.inner), spec, carry)
+        return known.select(*carry, *RESPONSE_COLUMNS).unionByName(called.select(*carry, *RESPONSE_COLUMNS))
+
+
 @dataclass(frozen=True)
 class TableTransport:
     """An endpoint backed by a table: JSON of the rows whose keys make the same request.
@@ -307,9 +313,7 @@ class HttpTransport:
             opener = make(spec)
             return lambda request: _call(opener, request, spec, fixed)
 
-        return map_requests(
-            requests, spec, make_send, self.hook, None, self.sleep, carry, self.parallelism
-        )
+        return map_requests(requests, spec, make_send, self.hook, None, self.sleep, carry)
 
 
 def _call(opener: Any, request: Request, spec: LookupSpec | SinkSpec, fixed: Mapping[str, str]) -> Answer:
@@ -334,3 +338,16 @@ def _call(opener: Any, request: Request, spec: LookupSpec | SinkSpec, fixed: Map
             "headers": {name: reply.headers.get_all(name) for name in set(reply.headers.keys())},
             "body": reply.read().decode("utf-8", "replace"),
         }
+
+
+def spread_calls(requests: DataFrame, transport: Transport) -> DataFrame:
+    """Spread distinct requests over the tasks of a transport that makes calls.
+
+    Calls in flight = tasks x threads, and distinct requests are rows so small that adaptive
+    execution would gather them in few tasks. ``parallelism`` sets the number of tasks, by
+    default one per core.
+    """
+    if not isinstance(transport, (CallableTransport, HttpTransport)):
+        return requests
+    cores = requests.sparkSession.sparkContext.defaultParallelism
+    return requests.repartition(transport.parallelism or cores)

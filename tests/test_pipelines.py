@@ -17,6 +17,7 @@ from restframe.sources.transport import (
     CallableTransport,
     HttpTransport,
     ReplayTransport,
+    StoreTransport,
     TableTransport,
     bearer_token,
     make_opener,
@@ -85,6 +86,46 @@ def test_async_equals_sync_and_dedup_changes_nothing(probe):
     assert len(results[0]) == 27
 
 
+def test_row_by_row_equals_dedup(spark):
+    probe = spark.range(30).selectExpr("id as n", "case when id % 7 <> 0 then id % 10 end as status")
+    spec = SPEC.replace(ignored_codes="404")
+    for how in ("inner", "left"):
+        for names in ([], ["http-completion-state"]):
+            rows = [
+                lookup_join(
+                    probe, spec, {"id": "status"}, CallableTransport(double), how, ["twice"], names, dedup=dedup
+                ).collect()
+                for dedup in (True, False)
+            ]
+            assert sorted(map(str, rows[0])) == sorted(map(str, rows[1]))
+
+
+def test_store_spares_calls(spark, probe):
+    spec = SPEC.replace(ignored_codes="404")
+    requests = plan_requests(probe, spec, {"id": "cust"}).dropDuplicates(["request_id"])
+    store = keep(CallableTransport(double).fetch(requests.where("url not like '%=7'"), spec))
+
+    def only_seven(request):
+        if not request["url"].endswith("=7"):
+            raise ValueError("this answer is in the store")
+        return {"status": 200, "body": '{"twice": 14}'}
+
+    stored = StoreTransport(store, CallableTransport(only_seven))
+    strict = spec.replace(continue_on_error=False)
+    got = lookup_join(probe, strict, {"id": "cust"}, stored, select=["twice"])
+    want = lookup_join(probe, spec, {"id": "cust"}, CallableTransport(double), select=["twice"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize(("name", "body", "want"), [("raw", "17", 17), ("csv", "17,x", 17)])
+def test_other_response_formats(spark, name, body, want):
+    schema = "v int" if name == "raw" else "v int, s string"
+    spec = LookupSpec(url="http://h", schema=schema, response_format=name)
+    answer = CallableTransport(lambda r: {"status": 200, "body": body})
+    got = lookup_join(spark.range(1), spec, {"v": "id"}, answer, select=["v"])
+    assert got.first().v == want
+
+
 def test_null_keys(spark):
     probe = spark.createDataFrame([(1, 5), (2, None)], "n int, cust long")
     endpoint = TableTransport(spark.sql("select 5L as id, 10L as twice"), ["id"])
@@ -172,6 +213,17 @@ def test_deliver_logs_every_record(spark):
     assert redrive(log, log).count() == 16
 
 
+def test_byte_limit(spark):
+    rows = spark.range(40).selectExpr("id", "id % 2 as lane", "id div 10 as part", "repeat('x', cast(id as int)) as t")
+    spec = SinkSpec(url="http://s", format="raw", max_batch_bytes=60, request_batch_size=3)
+    log = deliver(
+        rows, spec, CallableTransport(fake_http_post), ["lane"], ["part"], ["id"], columns=["t"], by_bytes=True
+    ).collect()
+    assert sum(r.n_records for r in log) == 40
+    assert all(r.n_bytes <= 60 and r.n_records <= 3 for r in log)
+    assert len(log) > 14
+
+
 def test_single_mode(spark):
     rows = spark.range(5).selectExpr("id", "0 as lane")
     spec = SinkSpec(url="http://s", mode="single", method="PUT")

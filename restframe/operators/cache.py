@@ -11,37 +11,59 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from restframe.operators.greedy import greedy_marks
-from restframe.operators.sequence import last_value_before
-
-
-def _slice(at: str, slice_of: str) -> Column:
-    """The start of the time slice an access falls into, as a number."""
-    return F.unix_seconds(F.date_trunc(slice_of, at).cast("timestamp")).alias("_slice")
+from restframe.operators.sequence import last_value_before, time_slices
 
 
 def access_ttl(
-    accesses: DataFrame, key: str, at: str, order: Sequence[str], ttl: Column, slice_of: str = "day"
+    accesses: DataFrame,
+    key: str,
+    at: str,
+    order: Sequence[str],
+    ttl: Column,
+    slice_of: str = "day",
+    hot_slice_of: str = "minute",
 ) -> DataFrame:
     """expire-after-access: a hit when the gap to the previous access of the key is within ``ttl``."""
-    sliced = accesses.select("*", _slice(at, slice_of))
+    sliced = accesses.withColumn("_slice", time_slices(accesses, [key], at, slice_of, hot_slice_of))
     seen = last_value_before(sliced, [key], ["_slice"], [at, *order], F.col(at), "_seen")
     hit = F.coalesce(F.col(at) - F.col("_seen") <= ttl, F.lit(False))
     return seen.withColumn("hit", hit).drop("_slice", "_seen")
 
 
 def write_ttl(
-    accesses: DataFrame, key: str, at: str, order: Sequence[str], ttl_ms: int, slice_of: str = "day"
+    accesses: DataFrame,
+    key: str,
+    at: str,
+    order: Sequence[str],
+    ttl_ms: int,
+    slice_of: str = "day",
+    hot_slice_of: str = "minute",
 ) -> DataFrame:
-    """expire-after-write: an entry lives ``ttl_ms`` from the miss that loaded it."""
+    """expire-after-write: an entry lives ``ttl_ms`` from the miss that loaded it.
+
+    A slice of a key is held in memory; for keys that are not hot, several times the ttl is a
+    good length for it.
+    """
     sliced = accesses.select(
-        key, at, *order, _slice(at, slice_of), F.unix_micros(F.col(at).cast("timestamp")).alias("_us")
+        key,
+        at,
+        *order,
+        time_slices(accesses, [key], at, slice_of, hot_slice_of).alias("_slice"),
+        F.unix_micros(F.col(at).cast("timestamp")).alias("_us"),
     )
     marked = greedy_marks(sliced, [key], "_slice", [at, *order], "_us", "_us", ttl_ms * 1000)
     return marked.select(key, at, *order, (~F.col("is_mark")).alias("hit"))
 
 
 def lru(
-    accesses: DataFrame, lane: str, key: str, at: str, order: Sequence[str], max_rows: int, slice_of: str = "day"
+    accesses: DataFrame,
+    lane: str,
+    key: str,
+    at: str,
+    order: Sequence[str],
+    max_rows: int,
+    slice_of: str = "day",
+    hot_slice_of: str = "hour",
 ) -> DataFrame:
     """max-rows: a cache per lane that keeps the ``max_rows`` most recently used keys.
 
@@ -49,7 +71,9 @@ def lru(
     before it, so each slice hands on at most ``max_rows`` keys.
     """
     kept = list(dict.fromkeys([lane, key, at, *order]))
-    sliced = accesses.select(*kept, _slice(at, slice_of))
+    sliced = accesses.select(
+        *kept, time_slices(accesses, [lane], at, slice_of, hot_slice_of).alias("_slice")
+    )
     group = [lane, "_slice"]
     types = {f.name: f.dataType.simpleString() for f in sliced.schema.fields}
     latest = sliced.groupBy(*group, key).agg(F.max(F.struct(at, *order)).alias("_last"))

@@ -79,7 +79,8 @@ def greedy_marks(
                 last[i] = last[follow[i]]
         # The mark before this block is no later than its first row, which bounds the entries.
         entries = min(n, int(next_mark(his, ats, los[0], ats[0])) + 1)
-        return his[:entries], ats[:entries], los[last[:entries]], ats[last[:entries]]
+        positions = entries if seq else 0
+        return his[:entries], ats[:positions], los[last[:entries]], ats[last[:positions]]
 
     def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Rows arrive sorted, so a block is complete when the next one begins.
@@ -128,7 +129,8 @@ def greedy_marks(
                 if mark_lo != _NONE_YET:
                     first = int(next_mark(np.asarray(row.his), np.asarray(row.ats), mark_lo, mark_at))
                 if first < len(row.his):
-                    mark_lo, mark_at = int(row.last_lo[first]), int(row.last_at[first])
+                    mark_lo = int(row.last_lo[first])
+                    mark_at = int(row.last_at[first]) if seq else 0
             yield pdf[group].assign(_lo=entry_lo, _at=entry_at)
 
     entered = (

@@ -13,6 +13,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from restframe.operators.skew import hot_hashes
+
+
+def time_slices(df: DataFrame, lane: Sequence[str], at: str, slice_of: str, hot_slice_of: str) -> Column:
+    """Slices by time, as a number: ``slice_of`` long, or ``hot_slice_of`` in a hot lane."""
+    wide, fine = (F.unix_seconds(F.date_trunc(unit, at).cast("timestamp")) for unit in (slice_of, hot_slice_of))
+    if not lane:
+        return fine
+    counts = df.groupBy(*lane).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.array_contains(hot_hashes(counts, lane, "n"), F.xxhash64(*lane))
+    return F.when(hot, fine).otherwise(wide)
+
 
 def _earlier_slices(lane: Sequence[str], slices: Sequence[str]):
     return (

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from restframe.operators.sequence import last_value_before
+from restframe.operators.sequence import last_value_before, time_slices
 
 
 def token_expiry(issued: Column, expires_in: Column, reduction: int = 1) -> Column:
@@ -21,7 +21,8 @@ def assign_tokens(
     tokens: DataFrame,
     at: str,
     lane: Sequence[str] = (),
-    slice_of: str = "hour",
+    slice_of: str = "day",
+    hot_slice_of: str = "minute",
     order: Sequence[str] = (),
     reduction: int = 1,
 ) -> DataFrame:
@@ -38,10 +39,10 @@ def assign_tokens(
         ),
     )
     asked = requests.withColumn("_at", F.col(at)).withColumn("_asks", F.lit(1))
-    merged = asked.unionByName(stamped, allowMissingColumns=True).withColumn(
-        "_slice", F.date_trunc(slice_of, "_at")
+    slices = time_slices(requests, lane, "_at", slice_of, hot_slice_of)
+    merged = asked.unionByName(stamped, allowMissingColumns=True).withColumns(
+        {"_slice": slices, "_asks": F.coalesce("_asks", F.lit(0))}
     )
-    merged = merged.withColumn("_asks", F.coalesce("_asks", F.lit(0)))
     matched = last_value_before(
         merged, lane, ["_slice"], ["_at", "_asks", *order], F.col("_issued"), "_token", inclusive=True
     )

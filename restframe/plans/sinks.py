@@ -34,7 +34,7 @@ def _lines(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").selectExpr(
         "*",
         "l_suppkey % 4 as lane",
-        "l_orderkey div 10000 as order_range",
+        "l_orderkey div 100000 as order_range",
         "l_partkey % 8 as part_group",
         f"{LINE_METHOD} as verb",
     )
@@ -50,7 +50,7 @@ _ELEMENT = "json_object(" + ", ".join(f"'{c}', {c}" for c in LINE_COLUMNS) + "):
 _NUMBERED = f"""
     select *, l_suppkey % 4 as lane, {_ELEMENT} as element, {LINE_METHOD} as method,
            row_number() over (partition by l_suppkey % 4
-                              order by l_orderkey // 10000, l_partkey % 8, {', '.join(ORDER)}) - 1 as seq
+                              order by l_orderkey // 100000, l_partkey % 8, {', '.join(ORDER)}) - 1 as seq
     from lineitem"""
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from restframe.functions.formats import ENCODERS, format_options
 from restframe.operators.greedy import greedy_marks
-from restframe.operators.sequence import join_slices, number_rows, number_runs, running_totals
+from restframe.operators.sequence import number_rows, number_runs, running_totals, with_group
 from restframe.spec import INSERT_METHODS, SinkSpec
 
 Converter = Callable[[DataFrame], tuple[Column, Column]]
@@ -84,7 +84,8 @@ def plan_batches(
         placed = number_rows(elements, lane, slices, order).withColumn("run_seq", F.lit(0).cast("bigint"))
     if by_bytes:
         flushes = plan_byte_flushes(elements, spec, lane, slices[0], [*slices[1:], *order])
-        placed = join_slices(placed, flushes.select(*lane, "seq", "flush_seq"), [*lane, "seq"])
+        places = with_group(flushes, [*lane, "seq"]).select("_group", "flush_seq")
+        placed = with_group(placed, [*lane, "seq"]).join(places, "_group").drop("_group")
     else:
         placed = placed.withColumn("flush_seq", F.col("seq") - F.col("seq") % spec.max_batch_size)
     start = F.greatest(F.col("flush_seq"), F.col("run_seq"))

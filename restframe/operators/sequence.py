@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from restframe.operators.skew import hot_hashes
@@ -26,24 +26,20 @@ def time_slices(df: DataFrame, lane: Sequence[str], at: str, slice_of: str, hot_
     return F.when(hot, fine).otherwise(wide)
 
 
-def _earlier_slices(lane: Sequence[str], slices: Sequence[str]):
-    return (
-        Window.partitionBy(*lane)
-        .orderBy(*slices)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+def with_group(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``_group``, the columns as one value that is never null.
+
+    Null lanes and slices so match in a plain equality, and a window and a join over the
+    groups share one shuffle.
+    """
+    return df.withColumn("_group", F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(columns)]))
 
 
-def join_slices(rows: DataFrame, per_slice: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Bring the per-slice columns to the rows; null lanes and slices match as well."""
-    renamed = per_slice.select(
-        *[F.col(g).alias(f"_s{i}") for i, g in enumerate(group)],
-        *[c for c in per_slice.columns if c not in group],
-    )
-    condition = F.lit(True)
-    for i, g in enumerate(group):
-        condition = condition & rows[g].eqNullSafe(renamed[f"_s{i}"])
-    return rows.join(renamed, condition).drop(*[f"_s{i}" for i in range(len(group))])
+def _lane_windows(lane: Sequence[str], slices: Sequence[str]) -> tuple[WindowSpec, WindowSpec]:
+    """Over a table with one row per group: (all slices of the lane, the earlier ones)."""
+    names = [F.col(f"_group.g{i}") for i in range(len(lane) + len(slices))]
+    in_lane = Window.partitionBy(*names[: len(lane)]).orderBy(*names[len(lane) :])
+    return in_lane, in_lane.rowsBetween(Window.unboundedPreceding, -1)
 
 
 def running_totals(
@@ -54,22 +50,18 @@ def running_totals(
     weights: Mapping[str, Column],
 ) -> DataFrame:
     """For each name, the sum of its weight over the rows before this one in the lane."""
-    group = [*lane, *slices]
-    weighted = df.withColumns({f"_w_{name}": weight for name, weight in weights.items()})
-    sizes = weighted.groupBy(*group).agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in weights])
-    earlier = _earlier_slices(lane, slices)
+    weighted = with_group(df.withColumns({f"_w_{n}": weight for n, weight in weights.items()}), [*lane, *slices])
+    sizes = weighted.groupBy("_group").agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in weights])
+    _, earlier = _lane_windows(lane, slices)
     offsets = sizes.select(
-        *group, *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in weights]
-    )
-    inside = (
-        Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        "_group", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in weights]
     )
+    inside = Window.partitionBy("_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = weighted.withColumns(
         {f"_l_{n}": F.coalesce(F.sum(f"_w_{n}").over(inside), F.lit(0)) for n in weights}
     )
-    joined = join_slices(local, offsets, group)
-    totals = joined.withColumns({n: F.col(f"_o_{n}") + F.col(f"_l_{n}") for n in weights})
-    return totals.drop(*[f"_{kind}_{n}" for kind in "wlo" for n in weights])
+    totals = local.join(offsets, "_group").withColumns({n: F.col(f"_o_{n}") + F.col(f"_l_{n}") for n in weights})
+    return totals.drop("_group", *[f"_{kind}_{n}" for kind in "wlo" for n in weights])
 
 
 def number_rows(
@@ -89,20 +81,18 @@ def last_value_before(
     inclusive: bool = False,
 ) -> DataFrame:
     """The latest non-null ``value`` before each row of its lane (or up to it, if inclusive)."""
-    group = [*lane, *slices]
-    valued = df.withColumn("_value", value)
-    frame = Window.partitionBy(*group).orderBy(*order)
+    valued = with_group(df.withColumn("_value", value), [*lane, *slices])
+    frame = Window.partitionBy("_group").orderBy(*order)
     local = F.last("_value", ignorenulls=True).over(
         frame.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
-    closing = valued.groupBy(*group).agg(
+    closing = valued.groupBy("_group").agg(
         F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*order))).alias("_closing")
     )
-    carried = closing.withColumn(
-        "_carried", F.last("_closing", ignorenulls=True).over(_earlier_slices(lane, slices))
-    ).drop("_closing")
-    joined = join_slices(valued.withColumn("_local", local), carried, group)
-    return joined.withColumn(into, F.coalesce("_local", "_carried")).drop("_local", "_carried", "_value")
+    _, earlier = _lane_windows(lane, slices)
+    carried = closing.select("_group", F.last("_closing", ignorenulls=True).over(earlier).alias("_carried"))
+    joined = valued.withColumn("_local", local).join(carried, "_group")
+    return joined.withColumn(into, F.coalesce("_local", "_carried")).drop("_group", "_local", "_carried", "_value")
 
 
 def number_runs(
@@ -118,10 +108,9 @@ def number_runs(
 
     A run is a maximal stretch of neighbouring rows with the same ``value``.
     """
-    group = [*lane, *slices]
-    inside = Window.partitionBy(*group).orderBy(*order)
+    inside = Window.partitionBy("_group").orderBy(*order)
     local = (
-        df.withColumn("_value", value)
+        with_group(df.withColumn("_value", value), [*lane, *slices])
         .withColumn("_rn", F.row_number().over(inside))
         .withColumn("_prev", F.lag("_value").over(inside))
         .withColumn(
@@ -129,35 +118,30 @@ def number_runs(
             F.when((F.col("_rn") > 1) & ~F.col("_value").eqNullSafe(F.col("_prev")), F.col("_rn")),
         )
     )
-    borders = local.groupBy(*group).agg(
+    borders = local.groupBy("_group").agg(
         F.max("_rn").alias("_n"),
         F.min_by("_value", "_rn").alias("_first"),
         F.max_by("_value", "_rn").alias("_final"),
         F.max("_change").alias("_last_change"),
     )
-    earlier = _earlier_slices(lane, slices)
-    by_slice = Window.partitionBy(*lane).orderBy(*slices)
+    in_lane, earlier = _lane_windows(lane, slices)
+    opens = (F.row_number().over(in_lane) == 1) | ~F.col("_first").eqNullSafe(F.lag("_final").over(in_lane))
+    last_start = F.coalesce(
+        F.col("_before") + F.col("_last_change") - 1, F.when(F.col("_opens"), F.col("_before"))
+    )
+    entry = F.when(F.col("_opens"), F.col("_before")).otherwise(
+        F.last("_last_start", ignorenulls=True).over(earlier)
+    )
     borders = (
         borders.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .withColumn(
-            "_opens",
-            (F.row_number().over(by_slice) == 1)
-            | ~F.col("_first").eqNullSafe(F.lag("_final").over(by_slice)),
-        )
-        .withColumn(
-            "_last_start",
-            F.coalesce(
-                F.col("_before") + F.col("_last_change") - 1, F.when(F.col("_opens"), F.col("_before"))
-            ),
-        )
-        .withColumn("_carried", F.last("_last_start", ignorenulls=True).over(earlier))
-        .withColumn("_entry", F.when(F.col("_opens"), F.col("_before")).otherwise(F.col("_carried")))
-        .select(*group, "_before", "_entry")
+        .withColumn("_opens", opens)
+        .withColumn("_last_start", last_start)
+        .select("_group", "_before", entry.alias("_entry"))
     )
     last_change = F.last("_change", ignorenulls=True).over(inside)
-    joined = join_slices(local.withColumn("_at", last_change), borders, group)
+    joined = local.withColumn("_at", last_change).join(borders, "_group")
     return (
         joined.withColumn(seq, F.col("_before") + F.col("_rn") - 1)
         .withColumn(run, F.coalesce(F.col("_before") + F.col("_at") - 1, F.col("_entry")))
-        .drop("_value", "_rn", "_prev", "_change", "_at", "_before", "_entry")
+        .drop("_group", "_value", "_rn", "_prev", "_change", "_at", "_before", "_entry")
     )

@@ -326,7 +326,12 @@ def lookup_async(spark, sf_dir):
 )
 def lookup_uncached(spark, sf_dir):
     """One call per row, as without a cache; a left join."""
-    spec = LookupSpec(url="http://parts.example.com/double", schema="part bigint, twice bigint", ignored_codes="404")
+    spec = LookupSpec(
+        url="http://parts.example.com/double",
+        schema="part bigint, twice bigint",
+        ignored_codes="404",
+        cache="NONE",
+    )
     keep = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     return lookup_join(
         table(spark, sf_dir, "lineitem"),
@@ -336,7 +341,6 @@ def lookup_uncached(spark, sf_dir):
         how="left",
         select=["twice"],
         keep=keep,
-        dedup=False,
     )
 
 

@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +92,12 @@ def _threads(spec: LookupSpec | SinkSpec) -> int:
     return spec.threads if isinstance(spec, LookupSpec) else spec.writer_threads
 
 
+def _response_types() -> dict[str, pa.DataType]:
+    text, number = pa.string(), pa.int32()
+    kinds = [text, number, number, pa.map_(text, pa.list_(text)), text, text]
+    return dict(zip(RESPONSE_COLUMNS, kinds, strict=True))
+
+
 def map_requests(
     requests: DataFrame,
     spec: LookupSpec | SinkSpec,
@@ -110,12 +116,14 @@ def map_requests(
     types = {f.name: f.dataType.simpleString() for f in chosen.schema.fields}
     ddl = ", ".join([*[f"{n} {types[n]}" for n in names], RESPONSE_DDL])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         send = make_send()
         if hook is not None:
             hook.open()
 
         def one(request: Request) -> dict[str, Any]:
+            if request.get("headers") is not None:
+                request["headers"] = dict(request["headers"])
             response = send_with_retry(send, request, spec, sleep)
             if hook is not None:
                 hook.call(request, response)
@@ -123,17 +131,24 @@ def map_requests(
 
         try:
             with ThreadPoolExecutor(workers) as pool:
-                for pdf in batches:
+                for batch in batches:
+                    columns = [batch.column(f).to_pylist() for f in fields]
+                    rows = [dict(zip(fields, row, strict=True)) for row in zip(*columns, strict=True)]
                     # map() keeps the order, so one worker means calls in row order.
-                    rows = [dict(zip(fields, row, strict=True)) for row in zip(*(pdf[f] for f in fields), strict=True)]
                     done = list(pool.map(one, rows) if workers > 1 else map(one, rows))
-                    answers = pd.DataFrame(done, columns=RESPONSE_COLUMNS, dtype=object)
-                    yield pd.concat([pdf[names].reset_index(drop=True), answers], axis=1)
+                    # Carried columns pass through as they are.
+                    arrays = [batch.column(n) for n in names]
+                    for column, kind in _response_types().items():
+                        values = [d[column] for d in done]
+                        if column == "headers":
+                            values = [None if v is None else list(v.items()) for v in values]
+                        arrays.append(pa.array(values, kind))
+                    yield pa.RecordBatch.from_arrays(arrays, names=[*names, *RESPONSE_COLUMNS])
         finally:
             if hook is not None:
                 hook.close()
 
-    sent = chosen.mapInPandas(run, ddl)
+    sent = chosen.mapInArrow(run, ddl)
     return sent.withColumnsRenamed(dict(zip(names, carry, strict=True)))
 
 

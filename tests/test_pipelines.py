@@ -100,6 +100,18 @@ def test_row_by_row_equals_dedup(spark):
             assert sorted(map(str, rows[0])) == sorted(map(str, rows[1]))
 
 
+def test_carried_columns_come_through_unchanged(spark):
+    probe = spark.sql(
+        "select 1L as id_, cast(null as bigint) as big, timestamp_ntz'2024-01-02 03:04:05.123456' as t, "
+        "named_struct('a', cast(null as int)) as s, map('k', array(1, null)) as m, date'1500-01-01' as d "
+        "union all select 2L, 9007199254740993L, null, null, null, null"
+    )
+    spec = SPEC.replace(cache="NONE")
+    joined = lookup_join(probe, spec, {"id": "id_"}, CallableTransport(double), select=["twice"])
+    want = [(*row, 2 * row.id_) for row in probe.orderBy("id_").collect()]
+    assert [tuple(r) for r in joined.orderBy("id_").collect()] == want
+
+
 def test_store_spares_calls(spark, probe):
     spec = SPEC.replace(ignored_codes="404")
     requests = plan_requests(probe, spec, {"id": "cust"}).dropDuplicates(["request_id"])

@@ -19,12 +19,14 @@ RECOMMENDED = {
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a temporary one only if it names none."""
+    """The folder all executors share, as the cluster names it; a temporary one only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="restframe-")
         spark.sparkContext.setCheckpointDir(current)
     return current

@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from restframe.llm import mixing
+from restframe.llm import bpe, mixing
 from restframe.llm.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "mixing"]
+__all__ = ["ORACLES", "QUERIES", "bpe", "mixing"]

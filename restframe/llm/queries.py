@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from restframe.llm import bpe, mixing, tokenfile
+from restframe.llm import bpe, mixing, simhash, tokenfile
 from restframe.llm.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "bpe", "mixing", "tokenfile"]
+__all__ = ["ORACLES", "QUERIES", "bpe", "mixing", "simhash", "tokenfile"]

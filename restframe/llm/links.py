@@ -13,6 +13,7 @@ blocks.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 from typing import Protocol
 
 import numpy as np
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from restframe.llm.base import fields, keep
+from restframe.llm.base import keep
 
 #: Items of a bucket that are compared in one piece of work.
 BLOCK = 1024
@@ -89,35 +90,39 @@ def _edge_batch(u: list[int], v: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def bucket_links(members: DataFrame, near: Near, block: int = BLOCK) -> DataFrame:
+def bucket_links(members: DataFrame, near: Near, payload: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """A spanning forest (u, v) of the links between items that share a bucket.
 
-    ``members`` has the columns bucket, id (long), and what ``near`` needs, one row for each item of
-    a bucket; it is read several times. Repeated edges are possible. No bucket may be null.
+    ``members`` has the columns bucket and id (both long), one row for each item of a bucket;
+    ``payload`` has for each id once what ``near`` needs besides the id. Both are read several times.
+    Repeated edges are possible.
     """
+    extra = [c for c in payload.columns if c != "id"] if payload is not None else []
+
+    def loaded(rows: DataFrame) -> DataFrame:
+        return rows.join(payload, "id") if payload is not None else rows
+
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1")
     rows = members.join(sizes, "bucket")
-    payload = [c for c in members.columns if c not in ("bucket", "id")]
-    shape = fields(", ".join(["bucket", "id", *payload]), members)
 
-    large = rows.where(F.col("n") > block)
-    leaders = large.where("id = lead").select("bucket", *[F.col(c).alias(f"lead_{c}") for c in payload])
+    large = loaded(rows.where(F.col("n") > block))
+    leaders = large.where("id = lead").select("bucket", *[F.col(c).alias(f"lead_{c}") for c in extra])
 
     def against_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
             n = batch.num_rows
-            own = batch.select(["id", *payload])
-            heads = [batch.column("lead"), *(batch.column(f"lead_{c}") for c in payload)]
-            both = pa.Table.from_batches([own, pa.RecordBatch.from_arrays(heads, schema=own.schema)])
-            items = near.items(both.combine_chunks().to_batches()[0])
+            own = batch.select(["id", *extra])
+            heads = pa.RecordBatch.from_arrays(
+                [batch.column("lead"), *(batch.column(f"lead_{c}") for c in extra)], schema=own.schema
+            )
+            items = near.items(_one([own, heads]))
             hit = [bool(near.to_many(items, i, np.array([n + i]))[0]) for i in range(n)]
-            yield pa.RecordBatch.from_arrays([*batch.select(["bucket", "id", *payload, "lead"]).columns, pa.array(hit)],
-                                             ["bucket", "id", *payload, "lead", "hit"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.select(["bucket", "id", "lead"]).columns, pa.array(hit, pa.bool_())], ["bucket", "id", "lead", "hit"]
+            )
 
-    led = large.join(leaders, "bucket") if payload else large
-    judged = keep(led.mapInArrow(against_leader, f"{shape}, lead long, hit boolean"), "leaders")
+    led = large.join(leaders, "bucket") if extra else large
+    judged = keep(led.mapInArrow(against_leader, "bucket long, id long, lead long, hit boolean"), "leaders")
     led_edges = judged.where("hit and id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v"))
 
     # What the leader has not settled: blocks of the rest against each other and against the linked ones.
@@ -131,27 +136,23 @@ def bucket_links(members: DataFrame, near: Near, block: int = BLOCK) -> DataFram
             F.ceil(F.col("n_rest") / block).cast("int").alias("rest_blocks"),
         )
     )
-    numbered = judged.join(split, "bucket").withColumn(
-        "own", F.pmod(F.xxhash64("id"), F.when(F.col("hit"), F.col("hit_blocks")).otherwise(F.col("rest_blocks"))).cast("int")
-    )
-    rest_range = F.sequence(F.lit(0), F.col("rest_blocks") - 1)
-    cell = "struct<row:int,col:int,side:int>"
-    to_rest = F.transform(rest_range, lambda i: F.struct(F.least(i, F.col("own")).alias("row"), F.greatest(i, F.col("own")).alias("col"), (F.col("own") > i).cast("int").alias("side")))
-    to_hit = F.transform(
-        F.sequence(F.lit(0), F.col("hit_blocks") - 1),
-        lambda j: F.struct(F.col("own").alias("row"), (-1 - j).alias("col"), F.lit(0).alias("side")),
-    )
-    from_hit = F.transform(
-        rest_range, lambda i: F.struct(i.alias("row"), (-1 - F.col("own")).alias("col"), F.lit(1).alias("side"))
-    )
-    cells = F.when(F.col("hit"), from_hit.cast(f"array<{cell}>")).otherwise(
-        F.concat(to_rest.cast(f"array<{cell}>"), to_hit.cast(f"array<{cell}>"))
-    )
-    wide = numbered.withColumn("cell", F.explode(cells)).select(
-        "bucket", "cell.row", "cell.col", "cell.side", "id", *payload
+    blocks = F.when(F.col("hit"), F.col("hit_blocks")).otherwise(F.col("rest_blocks"))
+    numbered = judged.join(split, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+
+    def cell(row, col, side):
+        return F.struct(row.cast("int").alias("row"), col.cast("int").alias("col"), side.cast("int").alias("side"))
+
+    own, rest = F.col("own"), F.sequence(F.lit(0), F.col("rest_blocks") - 1)
+    to_rest = F.transform(rest, lambda i: cell(F.least(i, own), F.greatest(i, own), own > i))
+    to_hit = F.transform(F.sequence(F.lit(0), F.col("hit_blocks") - 1), lambda j: cell(own, -1 - j, F.lit(0)))
+    from_hit = F.transform(rest, lambda i: cell(i, -1 - own, F.lit(1)))
+    cells = F.when(F.col("hit"), from_hit).otherwise(F.concat(to_rest, to_hit))
+    wide = numbered.select("bucket", F.explode(cells).alias("cell"), "id").select(
+        "bucket", "cell.row", "cell.col", "cell.side", "id"
     )
+    nought = F.lit(0)
     whole = rows.where(F.col("n") <= block).select(
-        "bucket", F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit(0).alias("side"), "id", *payload
+        "bucket", nought.alias("row"), nought.alias("col"), nought.alias("side"), "id"
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +163,7 @@ def bucket_links(members: DataFrame, near: Near, block: int = BLOCK) -> DataFram
             items = near.items(run)
             left = np.flatnonzero(side == 0)
             right = left if run.column("row")[0] == run.column("col")[0] else np.flatnonzero(side == 1)
-            for a, b in forest(left, right, lambda one, many, items=items: near.to_many(items, one, many)):
+            for a, b in forest(left, right, partial(near.to_many, items)):
                 u.append(int(ids[a]))
                 v.append(int(ids[b]))
             if len(u) >= 1 << 16:
@@ -170,10 +171,10 @@ def bucket_links(members: DataFrame, near: Near, block: int = BLOCK) -> DataFram
                 u, v = [], []
         yield _edge_batch(u, v)
 
-    work = whole.unionByName(wide)
     places = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     compared = (
-        work.repartition(places, "bucket", "row", "col")
+        loaded(whole.unionByName(wide))
+        .repartition(places, "bucket", "row", "col")
         .sortWithinPartitions("bucket", "row", "col", "side", "id")
         .mapInArrow(compare, "u long, v long")
     )

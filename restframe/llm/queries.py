@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from restframe.llm import bpe, linededup, mixing, simhash, tokenfile
+from restframe.llm import bpe, linededup, mixing, simhash, tokenfile, topk
 from restframe.llm.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "bpe", "linededup", "mixing", "simhash", "tokenfile"]
+__all__ = ["ORACLES", "QUERIES", "bpe", "linededup", "mixing", "simhash", "tokenfile", "topk"]

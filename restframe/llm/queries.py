@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from restframe.llm import bpe, embeddings, langid, linededup, linkgraph, mixing, simhash, tokenfile, topk
+from restframe.llm import bpe, embeddings, langid, linededup, linkgraph, lm, mixing, simhash, tokenfile, topk
 from restframe.llm.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "bpe", "embeddings", "langid", "linededup", "linkgraph", "mixing", "simhash", "tokenfile", "topk"]
+__all__ = ["ORACLES", "QUERIES", "bpe", "embeddings", "langid", "linededup", "linkgraph", "lm", "mixing", "simhash", "tokenfile", "topk"]

@@ -205,18 +205,18 @@ def _lists(column: pa.Array) -> Iterator[list[int] | None]:
         yield None if not row.is_valid else row.values.to_numpy(zero_copy_only=False).tolist()
 
 
-def digests(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, n_tokens, and the SHA-256 of the ids as text and of the decoded bytes, for every document."""
-    decoded = decode(encode(docs, **options), path=options.get("path"))
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(F.col("bytes"), 256).alias("decoded_sha256"),
+def described(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """Adds n_tokens and the SHA-256 of the ids as text (decimal, by commas) and of the decoded bytes."""
+    return (
+        decode(encoded, path=path)
+        .withColumn("n_tokens", F.size("ids").cast("long"))
+        .withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256))
+        .withColumn("decoded_sha256", F.sha2(F.col("bytes"), 256))
+        .drop("bytes")
     )
 
 
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, decoded, and described by digests."""
-    return digests(table(spark, sf_dir, "documents"))
+    return described(encode(table(spark, sf_dir, "documents"))).drop("ids")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from restframe.session import keep
 
@@ -13,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-__all__ = ["ORACLES", "QUERIES", "WORD", "fields", "keep", "query", "table"]
+__all__ = ["ORACLES", "QUERIES", "WORD", "extended", "keep", "query", "table"]
 
 #: Fixed value: a word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,9 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fields(columns: str, df: DataFrame) -> str:
-    """A schema for Python stages: columns written as text, those of a frame taken from it."""
-    return ", ".join(
-        part if " " in part else f"`{part}` {df.schema[part].dataType.simpleString()}"
-        for part in map(str.strip, columns.split(","))
-    )
+def extended(df: DataFrame, added: str) -> StructType:
+    """The schema of a Python stage that passes on the columns of a frame and adds others, written as text."""
+    passed = [StructField(f.name, f.dataType) for f in df.schema.fields]
+    return StructType(passed + StructType.fromDDL(added).fields)

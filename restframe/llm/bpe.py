@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from restframe.llm.base import fields, query, table
+from restframe.llm.base import extended, query, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Characters of a chunk without its overlap, and of the overlap.
@@ -32,7 +32,7 @@ OVERLAP = 256
 #: What decides on a match can lie this many characters beyond its end ('re, 've, 'll; white space: one).
 LOOKAHEAD = 3
 #: Characters handed to the encoder at once; the ids of a batch are built before the next.
-BATCH_CHARS = 1 << 22
+BATCH_CHARS = 1 << 20
 
 
 @lru_cache(maxsize=4)
@@ -83,13 +83,14 @@ def _ids(texts: list[str], code: tiktoken.Encoding) -> pa.Array:
 
 def _slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """A batch in parts of a limited number of characters, with the texts (null: empty)."""
-    texts = [text or "" for text in batch.column(column).to_pylist()]
+    texts: list[str] = []
     start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= BATCH_CHARS or i + 1 == len(texts):
-            yield batch.slice(start, i + 1 - start), texts[start : i + 1]
-            start, size = i + 1, 0
+    for i, value in enumerate(batch.column(column)):
+        texts.append(value.as_py() or "")
+        size += len(texts[-1])
+        if size >= BATCH_CHARS or i + 1 == batch.num_rows:
+            yield batch.slice(start, i + 1 - start), texts
+            texts, start, size = [], i + 1, 0
 
 
 def encode(
@@ -197,7 +198,7 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> Dat
             out = [None if row is None else b"".join(map(token, row)) for row in _lists(batch.column(ids))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "bytes"])
 
-    return encoded.mapInArrow(run, fields(f"{', '.join(encoded.columns)}, bytes binary", encoded))
+    return encoded.mapInArrow(run, extended(encoded, "bytes binary"))
 
 
 def _lists(column: pa.Array) -> Iterator[list[int] | None]:

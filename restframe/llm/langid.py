@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from restframe.llm.base import fields, keep, query, table
+from restframe.llm.base import extended, keep, query, table
 
 #: Lengths of n-grams; words are padded on both sides.
 ORDERS = (2, 3, 4)
@@ -215,7 +215,7 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
                 [*batch.schema.names, "lang_pred", "score"],
             )
 
-    return docs.mapInArrow(run, fields(f"{', '.join(docs.columns)}, lang_pred string, score double", docs))
+    return docs.mapInArrow(run, extended(docs, "lang_pred string, score double"))
 
 
 def is_held_out(key: Column) -> Column:

@@ -111,7 +111,7 @@ class Vocabulary:
         self.word_class = np.concatenate([np.arange(self.single), self.single + shape]).astype(np.int64)
         self.first_rare = self.single + ENDINGS
         self.size = self.single + 2 * ENDINGS
-        total = np.bincount(self.word_class, weights=self.counts, minlength=self.size)
+        total = np.bincount(self.word_class, weights=self.counts, minlength=self.size).astype(np.float64)
         self.share = np.log10(self.counts / total[self.word_class]) if len(self.words) else np.zeros(0)
         total[self.first_rare :] += self.rare_counts
         #: Smoothed, so that no class is impossible.

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from restframe.llm.base import fields, keep, query, table
+from restframe.llm.base import extended, keep, query, table
 from restframe.llm.links import bucket_links, components
 
 MAX_BITS = 3
@@ -61,7 +61,7 @@ def with_fingerprints(docs: DataFrame, text: str, shingle: int, column: str) ->
             made = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(text)], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made.view(np.int64))], [*batch.schema.names, column])
 
-    return docs.mapInArrow(run, fields(f"{', '.join(docs.columns)}, {column} long", docs))
+    return docs.mapInArrow(run, extended(docs, f"{column} long"))
 
 
 class FewBits:

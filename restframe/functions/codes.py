@@ -18,7 +18,7 @@ IGNORED = "IGNORED"
 ERROR = "ERROR"
 
 _GROUP = r"[1-5][xX]{2}"
-_NUMBER = r"[+]?[0-9]{1,9}"
+_NUMBER = r"[+]?[0-9]+"
 
 
 def parse_code_set(expression: str | None) -> frozenset[int]:
@@ -50,7 +50,9 @@ def _tokens(expression: Column) -> Column:
 
 def _code(token: Column) -> Column:
     """A plain code as an int, null when it is not one."""
-    number = F.when(token.rlike(f"^{_NUMBER}$"), token.try_cast("int"))
+    # Without leading zeros, so that a code of any length can be read.
+    digits = F.regexp_replace(token, "^[+]?0*(?=[0-9])", "")
+    number = F.when(token.rlike(f"^{_NUMBER}$"), digits.try_cast("int"))
     return F.when(number.between(MIN_CODE, MAX_CODE), number)
 
 
@@ -71,7 +73,7 @@ def code_set(expression: Column) -> Column:
     )
     excluded = F.transform(
         F.filter(tokens, lambda t: t.startswith("!")),
-        lambda t: _code(F.substring(t, 2, 1000)),
+        lambda t: _code(t.substr(F.lit(2), F.length(t))),
     )
     valid = ~F.exists(F.concat(included, excluded), lambda c: c.isNull())
     return F.when(valid, F.array_sort(F.array_except(included, excluded)))

@@ -148,6 +148,7 @@ def decode_wire(wire: Column, schema: T.StructType) -> Column:
 Encoder = Callable[[Fields, Mapping[str, str]], Column]
 Decoder = Callable[[Column, T.StructType, Mapping[str, str]], Column]
 
+# The ids of the formats.
 ENCODERS: dict[str, Encoder] = {"json": encode_json, "raw": encode_raw, "csv": encode_csv}
 
 

@@ -32,11 +32,12 @@ def headers_from_options(options: Mapping[str, str], prefix: str, raw_auth: bool
 
 
 def header_column(headers: Mapping[str, str], dynamic: Mapping[str, Column] | None = None) -> Column:
-    """``map<string,string>``: fixed headers, with per-row values where given."""
+    """``map<string,string>``: fixed headers, with per-row values where given (names in any case)."""
     pairs: list[Column] = []
     dynamic = dict(dynamic or {})
+    taken = {name.lower() for name in dynamic}
     for name, value in sorted(headers.items()):
-        if name not in dynamic:
+        if name.lower() not in taken:
             pairs += [F.lit(name), F.lit(value)]
     for name, value in sorted(dynamic.items()):
         pairs += [F.lit(name), value.cast("string")]

@@ -54,10 +54,21 @@ def method_error(allowed: Sequence[str] = INSERT_METHODS) -> Column:
     )
 
 
-def split_elements(elements: DataFrame, spec: SinkSpec) -> tuple[DataFrame, DataFrame]:
+def reject_reason(spec: SinkSpec, allowed: Sequence[str] | None = None) -> Column:
+    """Why a row cannot be delivered; null when it can. ``allowed``: the methods of the table form."""
+    no_method = F.when(F.col("method").isNull(), "method not allowed: null")
+    return F.coalesce(
+        F.when(F.col("element").isNull(), "no element"),
+        no_method if allowed is None else method_error(allowed),
+        F.when(is_oversize(spec), "record too large"),
+    )
+
+
+def split_elements(
+    elements: DataFrame, spec: SinkSpec, allowed: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(deliverable rows, rejected rows with a ``reject_reason``)."""
-    reason = F.when(is_oversize(spec), "record too large")
-    marked = elements.withColumn("reject_reason", reason)
+    marked = elements.withColumn("reject_reason", reject_reason(spec, allowed))
     good = marked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     return good, marked.where(F.col("reject_reason").isNotNull())
 
@@ -74,8 +85,8 @@ def plan_batches(
     """Add ``seq``, ``flush_seq`` and ``batch_seq`` to every row of a lane.
 
     A lane is one ordered stream to the endpoint. It is cut into flushes of ``max_batch_size``
-    rows (and of ``max_batch_bytes``, if ``by_bytes``), a flush into runs of equal method, a run into requests of ``batch_size`` rows; each
-    is named by the position of its first row. ``slices`` are the leading columns of the
+    rows (and of ``max_batch_bytes``, if ``by_bytes``), a flush into runs of equal method, a run
+    into requests of ``batch_size`` rows; each is named by the position of its first row. ``slices`` are the leading columns of the
     ordering by which a lane of any size is spread over tasks.
     """
     if by_method:
@@ -123,10 +134,14 @@ def plan_byte_flushes(
     return marked.withColumnRenamed("mark_seq", "flush_seq").drop("is_mark", "mark_lo")
 
 
+def name_of(*parts: Column) -> Column:
+    """A JSON array of texts: other parts give another name, null is not the text ``null``."""
+    return F.to_json(F.array(*[p.cast("string") for p in parts]))
+
+
 def batch_id(lane: Sequence[str]) -> Column:
     """A name for a request that stays the same when the plan is run again."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in lane]
-    return F.concat_ws("-", *parts, F.col("batch_seq").cast("string"))
+    return name_of(*map(F.col, lane), F.col("batch_seq"))
 
 
 def make_requests(planned: DataFrame, spec: SinkSpec, lane: Sequence[str]) -> DataFrame:

@@ -28,7 +28,8 @@ def assign_tokens(
 ) -> DataFrame:
     """As-of join: the newest token issued at or before ``at``, null once it has expired.
 
-    ``tokens`` has (lane..., token, issued, expires_in). ``order`` breaks ties of ``at``.
+    ``tokens`` has (lane..., token, issued, expires_in). ``order`` breaks ties of ``at``; of tokens
+    issued at the same time the greatest wins, of equal ones the one that lives longest.
     """
     width = [f for f in requests.schema.fields]
     stamped = tokens.select(
@@ -38,13 +39,15 @@ def assign_tokens(
             "_issued"
         ),
     )
+    # Only tokens have a tie to break; requests come after all tokens of their time.
+    stamped = stamped.withColumn("_tie", F.struct("_issued.token", "_issued.expires"))
     asked = requests.withColumn("_at", F.col(at)).withColumn("_asks", F.lit(1))
     slices = time_slices(requests, lane, "_at", slice_of, hot_slice_of)
     merged = asked.unionByName(stamped, allowMissingColumns=True).withColumns(
         {"_slice": slices, "_asks": F.coalesce("_asks", F.lit(0))}
     )
     matched = last_value_before(
-        merged, lane, ["_slice"], ["_at", "_asks", *order], F.col("_issued"), "_token", inclusive=True
+        merged, lane, ["_slice"], ["_at", "_asks", "_tie", *order], F.col("_issued"), "_token", inclusive=True
     )
     fresh = F.when(F.col("_at") <= F.col("_token.expires"), F.col("_token.token"))
     return matched.where(F.col("_asks") == 1).select(*[f.name for f in width], fresh.alias("token"))

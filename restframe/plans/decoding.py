@@ -25,12 +25,12 @@ def _responses(spark, sf_dir, body_sql):
 
 # An object with a nested object, a missing field and an extra one.
 NESTED_BODY = (
-    "concat('{\"id\":', event_id, ',\"extra\":[1,2],\"details\":{\"isActive\":', "
-    "case when event_id % 2 = 0 then 'true' else 'false' end, ',\"nested\":{\"balance\":\"$', user_id, '\"}}"
+    "concat('{\"id\":', event_id, ',\"extra\":[1,2],\"profile\":{\"even\":', "
+    "case when event_id % 2 = 0 then 'true' else 'false' end, ',\"account\":{\"owner\":\"u-', user_id, '\"}}"
     ",\"tags\":[\"', event_type, '\",\"t\"]}')"
 )
 _NESTED_DDL = (
-    "id bigint, absent string, details struct<isActive:boolean,nested:struct<balance:string>>, tags array<string>"
+    "id bigint, absent string, profile struct<even:boolean,account:struct<owner:string>>, tags array<string>"
 )
 
 
@@ -38,7 +38,7 @@ _NESTED_DDL = (
     "decode_single",
     """
     select event_id, event_id as id, null::varchar as absent, event_id % 2 = 0 as active,
-           '$' || user_id as balance, event_type || ',t' as tags
+           'u-' || user_id as owner, event_type || ',t' as tags
     from events""",
 )
 def decode_single(spark, sf_dir):
@@ -48,8 +48,8 @@ def decode_single(spark, sf_dir):
         "event_id",
         "id",
         "absent",
-        F.col("details.isActive").alias("active"),
-        F.col("details.nested.balance").alias("balance"),
+        F.col("profile.even").alias("active"),
+        F.col("profile.account.owner").alias("owner"),
         F.array_join("tags", ",").alias("tags"),
     )
 

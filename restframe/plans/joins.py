@@ -103,20 +103,20 @@ def lookup_join_struct(spark, sf_dir):
 def lookup_join_mixed(spark, sf_dir):
     spec = LookupSpec(
         url="http://geo.example.com/nation",
-        schema="enrichedString string, row struct<n_nationkey:int>, region int",
+        schema="nation_name string, nation struct<n_nationkey:int>, region int",
         method="POST",
     )
     nation = table(spark, sf_dir, "nation").selectExpr(
-        "n_name as enrichedString", "named_struct('n_nationkey', n_nationkey) as row", "n_regionkey as region"
+        "n_name as nation_name", "named_struct('n_nationkey', n_nationkey) as nation", "n_regionkey as region"
     )
     return lookup_join(
         table(spark, sf_dir, "customer"),
         spec,
         {
-            "enrichedString": F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")),
-            "row": F.struct(F.col("c_nationkey").alias("n_nationkey")),
+            "nation_name": F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")),
+            "nation": F.struct(F.col("c_nationkey").alias("n_nationkey")),
         },
-        TableTransport(nation, ["enrichedString", "row"]),
+        TableTransport(nation, ["nation_name", "nation"]),
         select=["region"],
         keep=["c_custkey"],
     )
@@ -131,12 +131,12 @@ def lookup_join_mixed(spark, sf_dir):
 def lookup_join_nested(spark, sf_dir):
     spec = LookupSpec(
         url="http://parts.example.com/supplier",
-        schema="nestedRow struct<s_suppkey:bigint,place:struct<s_nationkey:int>>, supplier string",
+        schema="supplied_by struct<s_suppkey:bigint,place:struct<s_nationkey:int>>, supplier string",
         method="POST",
         ignored_codes="404",
     )
     suppliers = table(spark, sf_dir, "supplier").selectExpr(
-        "named_struct('s_suppkey', s_suppkey, 'place', named_struct('s_nationkey', s_nationkey)) as nestedRow",
+        "named_struct('s_suppkey', s_suppkey, 'place', named_struct('s_nationkey', s_nationkey)) as supplied_by",
         "s_name as supplier",
     )
     nested = F.expr(
@@ -146,41 +146,40 @@ def lookup_join_nested(spark, sf_dir):
     return lookup_join(
         table(spark, sf_dir, "lineitem"),
         spec,
-        {"nestedRow": nested},
-        TableTransport(suppliers, ["nestedRow"]),
+        {"supplied_by": nested},
+        TableTransport(suppliers, ["supplied_by"]),
         select=["supplier"],
         keep=keep,
     )
 
 
-# One key column per type.
+# One key column per type, each from columns of orders.
 TYPED_KEYS = {
-    "bool": "o_orderstatus = 'F'",
-    "tinyint": "cast(o_orderkey % 100 as tinyint)",
-    "smallint": "cast(o_orderkey % 30000 as smallint)",
-    "idInt": "cast(o_custkey as int)",
-    "bigint": "o_orderkey",
-    "float": "cast(o_custkey as float) / 4",
-    "name": "o_orderpriority",
-    "decimal": "cast(o_custkey / 8 as decimal(9,6))",
-    "doubles": "array(cast(o_custkey as double), 0.5D)",
-    "date": "cast(o_orderdate as date)",
-    "time": "date_format(o_orderdate, 'HH:mm:ss')",
-    "timestamp3": "cast(o_orderdate as timestamp_ntz)",
-    "timestampWithLocalZone": "cast(o_orderdate as timestamp)",
-    "map": "map('k', o_custkey)",
-    "multiSet": "map(o_orderstatus, 1)",
-    "map2map": "map('m', map('n', cast(o_custkey as int)))",
-    "row": "named_struct('aStringColumn', o_orderstatus, 'anIntColumn', cast(o_custkey as int))",
-    "nestedRow": "named_struct('a', o_orderstatus, 'aRow', named_struct('b', o_orderpriority))",
-    "aTable": "array(named_struct('aStringColumn', o_orderstatus, 'aFloatColumn', cast(o_custkey as float)))",
+    "is_final": "o_orderstatus = 'F'",
+    "day_of_month": "cast(day(o_orderdate) as tinyint)",
+    "year_placed": "cast(year(o_orderdate) as smallint)",
+    "custkey": "cast(o_custkey as int)",
+    "orderkey": "o_orderkey",
+    "quarter_key": "cast(o_custkey as float) / 4",
+    "priority": "o_orderpriority",
+    "eighth_key": "cast(o_custkey / 8 as decimal(9,6))",
+    "key_and_half": "array(cast(o_custkey as double), 0.5D)",
+    "placed_on": "cast(o_orderdate as date)",
+    "placed_at_time": "date_format(o_orderdate, 'HH:mm:ss')",
+    "placed_local": "cast(o_orderdate as timestamp_ntz)",
+    "placed": "cast(o_orderdate as timestamp)",
+    "key_by_status": "map(o_orderstatus, o_custkey)",
+    "nested_by_status": "map(o_orderstatus, map(o_orderpriority, cast(o_custkey as int)))",
+    "buyer": "named_struct('o_custkey', cast(o_custkey as int), 'o_orderstatus', o_orderstatus)",
+    "handling": "named_struct('o_orderstatus', o_orderstatus, 'urgency', named_struct('o_orderpriority', o_orderpriority))",
+    "buyers": "array(named_struct('o_orderstatus', o_orderstatus, 'weight', cast(o_custkey as float)))",
 }
 
 
 @query(
     "lookup_join_types",
     """
-    select o_orderkey, 'order-' || o_orderkey as label, o_custkey::int as "idInt", o_orderstatus as status
+    select o_orderkey, 'order-' || o_orderkey as label, o_custkey::int as custkey, o_orderstatus as status
     from orders""",
 )
 def lookup_join_types(spark, sf_dir):
@@ -194,10 +193,10 @@ def lookup_join_types(spark, sf_dir):
         spec,
         {n: f"k_{n}" for n in TYPED_KEYS},
         TableTransport(served, list(TYPED_KEYS)),
-        select=["label", "idInt", "row.aStringColumn"],
+        select=["label", "custkey", "buyer.o_orderstatus"],
         keep=["o_orderkey"],
     )
-    return joined.select("o_orderkey", "label", "idInt", F.col("row.aStringColumn").alias("status"))
+    return joined.select("o_orderkey", "label", "custkey", F.col("buyer.o_orderstatus").alias("status"))
 
 
 @query(

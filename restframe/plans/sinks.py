@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from restframe.operators.batches import (
@@ -214,6 +216,11 @@ def sink_method(spark, sf_dir):
     return elements.select("conv_id", "turn", "method", method_error().alias("problem"))
 
 
+def _part(index: int):
+    """A part of the name of a request: its lane's columns, then its place in the lane."""
+    return F.get(F.from_json("batch_id", "array<string>"), F.lit(index))
+
+
 def answer_by_size(request):
     """An endpoint that answers from the request alone: by the length of its body."""
     size = len(request["body"].encode())
@@ -229,7 +236,7 @@ _ANSWERED = """case when s % 7 = 0 then null when s % 3 = 0 then case when s % 2
                else 201 end::int as status, case when s % 7 = 0 then 'connection reset' end as io_error"""
 
 _SENT = f"""
-    select lane || '-' || batch_seq as batch_id, method, n_records, n_bytes, flush_seq, {_ANSWERED}
+    select lane, '["' || lane || '","' || batch_seq || '"]' as batch_id, method, n_records, n_bytes, flush_seq, {_ANSWERED}
     from (select lane, batch_seq, min_by(method, seq) as method, count(*) as n_records,
                  sum(strlen(element))::bigint as n_bytes, max(seq - seq % 500) as flush_seq,
                  (sum(strlen(element)) + count(*) + 1)::bigint as s
@@ -282,7 +289,7 @@ def sink_outcome(spark, sf_dir):
 @query(
     "sink_metrics",
     f"""
-    with s as (select *, split_part(batch_id, '-', 1) as lane from ({_SENT})),
+    with s as (select * replace (lane::varchar as lane) from ({_SENT})),
     f as (select lane, flush_seq, count(*) as requests, sum(n_records) as records,
                  count(*) filter (where status is null or status = 500) as requests_failed,
                  sum(case when status is null or status = 500 then n_records else 0 end) as records_failed,
@@ -295,20 +302,14 @@ def sink_outcome(spark, sf_dir):
 )
 def sink_metrics_query(spark, sf_dir):
     log = _delivery_log(spark, sf_dir)
-    placed = log.withColumn("lane", F.substring_index("batch_id", "-", 1)).withColumn(
-        "flush_seq", F.substring_index("batch_id", "-", -1).cast("bigint")
-    )
+    placed = log.withColumn("lane", _part(0)).withColumn("flush_seq", _part(1).cast("bigint"))
     placed = placed.withColumn("flush_seq", F.col("flush_seq") - F.col("flush_seq") % _DELIVERY.max_batch_size)
     return sink_metrics(placed, ["lane"], "flush_seq")
 
 
 def in_order(request):
-    """An endpoint that reports the order in which one sender called it."""
-    in_order.count += 1
-    return {"status": 200, "body": str(in_order.count)}
-
-
-in_order.count = 0
+    """An endpoint that reports when it was called, on the clock of its machine."""
+    return {"status": 200, "body": str(time.monotonic_ns())}
 
 
 @query(
@@ -331,8 +332,7 @@ def sink_order(spark, sf_dir):
         ordered=True,
         log_path=new_dir(spark, "ordered"),
     )
-    lane = F.substring_index("batch_id", "-", 1).cast("bigint")
-    batch_seq = F.substring_index("batch_id", "-", -1).cast("bigint")
+    lane, batch_seq = _part(0).cast("bigint"), _part(1).cast("bigint")
     calls = log.select(lane.alias("lane"), batch_seq.alias("batch_seq"), F.col("response").cast("bigint").alias("call"))
     before = F.lag("batch_seq").over(Window.partitionBy("lane").orderBy("call"))
     return calls.select("lane", "batch_seq", before.alias("sent_before"))
@@ -363,7 +363,104 @@ def sink_stream(spark, sf_dir):
     )
     writer.trigger(availableNow=True).start().awaitTermination()
     log = spark.read.parquet(path)
-    lane = F.substring_index("batch_id", "-", 1).cast("bigint")
-    return log.groupBy(lane.alias("lane")).agg(
+    return log.groupBy(_part(0).cast("bigint").alias("lane")).agg(
         F.sum("n_records").alias("n_records"), F.count(F.lit(1)).alias("n_requests")
     )
+
+
+@query(
+    "sink_stream_batch",
+    """
+    select event_id % 4 as lane, count(*)::bigint as n_records, true as keys_differ, true as in_epochs from events
+    group by event_id % 4""",
+)
+def sink_stream_batch(spark, sf_dir):
+    """Batch mode over several micro-batches: no two requests under one key."""
+    path, checkpoint = new_dir(spark, "stream-log"), new_dir(spark, "stream-state")
+    parts = new_dir(spark, "stream-parts")
+    # The table as files of their own, one micro-batch each.
+    table(spark, sf_dir, "events").select("event_id", "event_type").repartitionByRange(4, "event_id").write.parquet(parts)
+    events = (
+        spark.readStream.schema("event_id long, event_type string")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(parts)
+        .selectExpr("*", "event_id % 4 as lane", "event_id div 1000 as id_range")
+    )
+    spec = SinkSpec(url=URL, request_batch_size=50)
+    writer = deliver_stream(
+        events, spec, CallableTransport(answer_by_size), path, checkpoint, ["lane"], ["id_range"], ["event_id"],
+        columns=["event_id", "event_type"],
+    )
+    writer.trigger(availableNow=True).start().awaitTermination()
+    log = spark.read.parquet(path)
+    keys = log.agg(
+        (F.count_distinct("idempotency_key") == F.count("*")).alias("keys_differ"),
+        (F.count_distinct("epoch") >= 3).alias("in_epochs"),
+    )
+    lanes = log.groupBy(_part(0).cast("bigint").alias("lane")).agg(F.sum("n_records").alias("n_records"))
+    return lanes.crossJoin(F.broadcast(keys))
+
+
+_ODD_LANES = [
+    "case event_id % 4 when 0 then 'a-b' when 1 then 'a' when 2 then 'null' end as one",
+    "case event_id % 4 when 0 then 'c' when 1 then 'b-c' when 2 then 'z' when 3 then 'z' end as two",
+]
+
+
+@query(
+    "sink_lane_keys",
+    f"""
+    select one, two, count(*)::bigint as n_records, ((count(*) + 499) // 500)::bigint as keys
+    from (select {", ".join(_ODD_LANES)} from events) group by all""",
+)
+def sink_lane_keys(spark, sf_dir):
+    """Lanes with dashes, nulls and the text null: keys of their own for each."""
+    events = table(spark, sf_dir, "events").selectExpr("event_id", "event_id div 1000 as id_range", *_ODD_LANES)
+    log = deliver(
+        events, SPEC, CallableTransport(answer_by_size), ["one", "two"], ["id_range"], ["event_id"], columns=["event_id"]
+    )
+    return log.groupBy(_part(0).alias("one"), _part(1).alias("two")).agg(
+        F.sum("n_records").alias("n_records"), F.count_distinct("idempotency_key").alias("keys")
+    )
+
+
+@query(
+    "sink_reject",
+    """
+    select io_error, count(*)::bigint as n_records from (
+      select case when event_id % 7 = 0 then 'no element' when event_id % 5 = 0 then 'method not allowed: DELETE'
+                  when event_id % 3 = 0 then 'method not allowed: null'
+                  when strlen(props) > 12 then 'record too large' end as io_error
+      from events) where io_error is not null group by io_error""",
+)
+def sink_reject(spark, sf_dir):
+    """Null elements, methods outside the table form and large records are logged, not sent and not lost."""
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "event_id % 4 as lane", "event_id div 1000 as id_range",
+        "case when event_id % 7 <> 0 then props end as text",
+        "case when event_id % 5 = 0 then 'DELETE' when event_id % 3 <> 0 then 'PUT' end as verb",
+    )
+    spec = SinkSpec(url=URL, format="raw", max_record_bytes=12)
+    log = deliver(
+        events, spec, CallableTransport(answer_by_size), ["lane"], ["id_range"], ["event_id"], ["text"], F.col("verb")
+    )
+    rejected = log.where(F.get_json_object("batch_id", "$[0]") == "rejected")
+    return rejected.groupBy("io_error").agg(F.sum("n_records").alias("n_records"))
+
+
+@query(
+    "sink_deliver_bytes",
+    "select count(*)::bigint as n_records, sum(strlen(text))::bigint as n_bytes, true as within from documents",
+)
+def sink_deliver_bytes(spark, sf_dir):
+    """The byte limit holds without being asked for."""
+    documents = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "text", "doc_id % 4 as lane", "doc_id div 1000 as id_range"
+    )
+    spec = SinkSpec(url=URL, format="raw", max_batch_bytes=200_000)
+    log = deliver(documents, spec, CallableTransport(answer_by_size), ["lane"], ["id_range"], ["doc_id"], ["text"])
+    return log.agg(
+        F.sum("n_records").alias("n_records"),
+        F.sum("n_bytes").alias("n_bytes"),
+        F.min((F.col("n_records") == 1) | (F.col("n_bytes") <= 200_000)).alias("within"),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,16 +12,19 @@ from restframe.functions.codes import is_sink_error
 from restframe.functions.headers import header_column
 from restframe.operators.batches import (
     Converter,
+    element_bytes,
     make_requests,
+    name_of,
     plan_batches,
     split_elements,
     with_elements,
 )
 from restframe.sources.transport import Transport
-from restframe.spec import SinkSpec
+from restframe.spec import INSERT_METHODS, SinkSpec
 
 LOG_COLUMNS = [
-    "batch_id", "method", "url", "n_records", "n_bytes", "status", "headers", "response", "io_error", "is_error",
+    "batch_id", "idempotency_key", "method", "url", "n_records", "n_bytes", "status", "headers", "response",
+    "io_error", "is_error",
 ]
 
 
@@ -42,33 +46,45 @@ def deliver(
     method: Column | None = None,
     converter: Converter | None = None,
     ordered: bool = False,
-    by_bytes: bool = False,
+    by_bytes: bool | None = None,
     keep_body: bool = False,
     log_path: str | None = None,
+    delivery_id: str | None = None,
 ) -> DataFrame:
     """Serialize, batch and send ``df``; gives the delivery log, one row per request.
 
-    The log is lazy and every action on it sends again, so give ``log_path`` to send once and
-    read the written log back. Failed requests are logged, not retried, and do not fail the
-    job. ``by_bytes`` holds flushes to ``max_batch_bytes`` too, for large records. Delivery is
-    at least once; the ``Idempotency-Key`` header repeats with a repeated
-    request. ``ordered`` keeps the order of a lane with one sender per lane.
+    The log is lazy and every action on it sends again, so give ``log_path``, a new folder, to send
+    once and read the written log back. Failed requests are logged, not retried, and do not fail the
+    job. Rows without an element or an allowed method, and records that are too large, are logged as
+    rejected. A flush holds at most ``max_batch_bytes``; ``by_bytes`` says whether that needs a plan
+    of its own, by default the largest element tells (one pass over the rows).
+
+    Delivery is at least once. The ``Idempotency-Key`` header names the delivery, the lane and the
+    request in it: it repeats when a task or an action is repeated, and with the same
+    ``delivery_id`` given again; by default every call of this function is another delivery.
+    ``ordered`` keeps the order of a lane with one sender per lane.
     """
+    delivery = delivery_id or uuid.uuid4().hex
     elements = with_elements(df, spec, columns, method, converter)
-    good, rejected = split_elements(elements, spec)
+    # A converter may use any method; the table form has the two.
+    good, rejected = split_elements(elements, spec, INSERT_METHODS if converter is None else None)
     if spec.mode == "single" and not ordered:
         # One record, one request: nothing to number, so nothing to shuffle.
-        planned = good.withColumn("batch_seq", F.concat_ws("-", *[F.col(c).cast("string") for c in order]))
+        planned = good.withColumn("batch_seq", name_of(*map(F.col, order)))
     else:
+        if by_bytes is None:
+            largest = good.agg(F.max(element_bytes())).first()[0] or 0
+            by_bytes = largest * spec.max_batch_size > spec.max_batch_bytes
         planned = plan_batches(good, spec, lane, slices, order, by_bytes=by_bytes)
     requests = make_requests(planned, spec, lane).withColumn("request_id", F.col("batch_id"))
+    requests = requests.withColumn("idempotency_key", F.sha2(name_of(F.lit(delivery), F.col("batch_id")), 256))
     requests = requests.withColumn(
-        "headers", header_column(spec.headers, {"Idempotency-Key": F.col("batch_id")})
+        "headers", header_column(spec.headers, {"Idempotency-Key": F.col("idempotency_key")})
     )
     if ordered:
         requests = requests.repartition(*lane).sortWithinPartitions(*lane, "batch_seq")
         spec = spec.replace(writer_threads=1)
-    carry = ["batch_id", "method", "url", "n_records", "n_bytes"]
+    carry = ["batch_id", "idempotency_key", "method", "url", "n_records", "n_bytes"]
     if keep_body:
         requests = requests.withColumn("request_body", F.col("body"))
         carry.append("request_body")
@@ -76,7 +92,7 @@ def deliver(
     log = delivery_outcome(sent.withColumnRenamed("body", "response"), spec)
     log = log.select(*LOG_COLUMNS, *(["request_body"] if keep_body else []))
     refused = rejected.select(
-        F.concat_ws("-", F.lit("rejected"), *[F.col(c).cast("string") for c in [*lane, *order]]).alias("batch_id"),
+        name_of(F.lit("rejected"), *map(F.col, [*lane, *order])).alias("batch_id"),
         "method",
         F.lit(spec.url).alias("url"),
         F.lit(1).cast("bigint").alias("n_records"),
@@ -87,7 +103,8 @@ def deliver(
     log = log.unionByName(refused, allowMissingColumns=True)
     if log_path is None:
         return log
-    log.write.mode("overwrite").parquet(log_path)
+    # The log of an earlier delivery is the only source for a redrive: never written over.
+    log.write.mode("errorifexists").parquet(log_path)
     return df.sparkSession.read.schema(log.schema).parquet(log_path)
 
 

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
 import importlib
+import json
+import logging
+import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from restframe.functions.codes import parse_sink_codes
 from restframe.operators.batches import with_elements
-from restframe.spec import SinkSpec
+from restframe.spec import INSERT_METHODS, SinkSpec
+
+_LOG = logging.getLogger(__name__)
 
 
 @dataclass
@@ -23,6 +30,7 @@ class Delivered(WriterCommitMessage):
     records: int
     requests_failed: int
     records_failed: int
+    rejected: int = 0
 
 
 def as_elements(df: DataFrame, spec: SinkSpec) -> DataFrame:
@@ -33,7 +41,9 @@ def as_elements(df: DataFrame, spec: SinkSpec) -> DataFrame:
 class HttpSinkSource(DataSource):
     """Batches every partition as it streams by. Options are the sink option keys.
 
-    ``sender`` names a ``module:function`` giving the call to use, for tests.
+    Records without an element, with a method the table form does not allow, or above the largest
+    size are counted as rejected and not sent. The counts of the whole write are logged; with
+    ``fail-on-error`` true, a write with a failed request or a rejected record fails. ``sender`` names a ``module:function`` giving the call to use, for tests.
     """
 
     @classmethod
@@ -43,17 +53,21 @@ class HttpSinkSource(DataSource):
     def writer(self, schema: T.StructType, overwrite: bool) -> HttpSinkWriter:
         options = dict(self.options)
         sender = options.pop("sender", None)
+        strict = str(options.pop("fail-on-error", "false")).lower() == "true"
         for extra in ("path",):
             options.pop(extra, None)
         if "element" not in schema.fieldNames():
             raise ValueError("http-sink writes an element column (and a method column); see as_elements")
-        return HttpSinkWriter(SinkSpec.from_options(options), sender)
+        return HttpSinkWriter(SinkSpec.from_options(options), sender, strict)
 
 
 class HttpSinkWriter(DataSourceArrowWriter):
-    def __init__(self, spec: SinkSpec, sender: str | None) -> None:
+    def __init__(self, spec: SinkSpec, sender: str | None, strict: bool = False) -> None:
         self.spec = spec
         self.sender = sender
+        self.strict = strict
+        # Made once for the write and sent to its tasks: a repeated task repeats its keys.
+        self.delivery = uuid.uuid4().hex
 
     def _send(self):
         from restframe.sources.transport import _call, make_opener
@@ -64,7 +78,10 @@ class HttpSinkWriter(DataSourceArrowWriter):
         opener = make_opener(self.spec)
         return lambda request: _call(opener, request, self.spec, self.spec.headers)
 
-    def _batches(self, iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
+    def _deliverable(self, element: str | None, method: str | None) -> bool:
+        return element is not None and method in INSERT_METHODS and len(element.encode()) <= self.spec.max_record_bytes
+
+    def _batches(self, iterator: Iterator[pa.RecordBatch], total: Delivered) -> Iterator[tuple[str, list[str]]]:
         """Requests in order: full, at the byte limit, or ended by a change of method."""
         spec = self.spec
         held: list[str] = []
@@ -74,9 +91,10 @@ class HttpSinkWriter(DataSourceArrowWriter):
             named = "method" in batch.schema.names
             verbs = batch.column("method").to_pylist() if named else [spec.method] * len(elements)
             for element, method in zip(elements, verbs, strict=True):
+                if not self._deliverable(element, method):
+                    total.rejected += 1
+                    continue
                 length = len(element.encode())
-                if length > spec.max_record_bytes:
-                    raise ValueError(f"record of {length} bytes, at most {spec.max_record_bytes} are allowed")
                 if held and (
                     len(held) == spec.batch_size
                     or size + length > spec.max_batch_bytes
@@ -96,10 +114,15 @@ class HttpSinkWriter(DataSourceArrowWriter):
         classes, singles, excluded = parse_sink_codes(spec.error_codes, spec.error_exclude)
         total = Delivered(0, 0, 0, 0)
 
-        def post(item: tuple[str, list[str]]) -> tuple[int, bool]:
+        context = TaskContext.get()
+        part = context.partitionId() if context else 0
+
+        def post(number: int, item: tuple[str, list[str]]) -> tuple[int, bool]:
             verb, elements = item
             body = elements[0] if spec.mode == "single" else f"[{','.join(elements)}]"
-            request = {"request_id": "", "method": verb.upper(), "url": spec.url, "body": body}
+            name = json.dumps([self.delivery, part, number])
+            headers = {"Idempotency-Key": hashlib.sha256(name.encode()).hexdigest()}
+            request = {"request_id": name, "method": verb.upper(), "url": spec.url, "body": body, "headers": headers}
             status = send_with_retry(send, request, spec)["status"]
             bad = status is None or (
                 (status // 100 in classes or status in singles) and status not in excluded
@@ -109,15 +132,21 @@ class HttpSinkWriter(DataSourceArrowWriter):
         # One client thread per partition keeps the order of submission.
         with ThreadPoolExecutor(1) as pool:
             pending = []
-            for item in self._batches(iterator):
-                pending.append(pool.submit(post, item))
+            for number, item in enumerate(self._batches(iterator, total)):
+                pending.append(pool.submit(post, number, item))
                 if len(pending) >= spec.max_in_flight:
                     _count(total, *pending.pop(0).result())
             for future in pending:
                 _count(total, *future.result())
         return total
 
-    def commit(self, messages: list[WriterCommitMessage | None]) -> None: ...
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        parts = [m for m in messages if m is not None]
+        counts = {name: sum(getattr(m, name) for m in parts) for name in Delivered.__dataclass_fields__}
+        bad = counts["requests_failed"] or counts["rejected"]
+        _LOG.log(logging.WARNING if bad else logging.INFO, "http-sink to %s: %s", self.spec.url, json.dumps(counts))
+        if self.strict and bad:
+            raise RuntimeError(f"http-sink to {self.spec.url}: {json.dumps(counts)}")
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None: ...
 

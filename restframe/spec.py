@@ -54,7 +54,7 @@ def plain_options(options: Mapping[str, str]) -> dict[str, str]:
     return {re.sub(r"^(?:\w+\.)?connector\.http\.", "", key): value for key, value in options.items()}
 
 
-# Option key -> (field, reader).
+# The option keys that users' table definitions hold. Option key -> (field, reader).
 _LOOKUP_OPTIONS = {
     "url": ("url", str),
     "format": ("response_format", str),
@@ -244,7 +244,7 @@ class LookupSpec:
         return cls(schema=schema, options=rest, headers=headers, **values)
 
 
-# Option key -> (field, reader).
+# The option keys that users' table definitions hold. Option key -> (field, reader).
 _SINK_OPTIONS = {
     "url": ("url", str),
     "format": ("format", str),
@@ -268,6 +268,7 @@ _SINK_OPTIONS = {
     "logging.level": ("logging_level", str),
 }
 
+# The methods the table form allows.
 INSERT_METHODS = ("POST", "PUT")
 
 

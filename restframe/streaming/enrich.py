@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -47,12 +48,13 @@ def deliver_stream(
     """Deliver an unbounded stream; the delivery log grows below ``path``.
 
     The trigger interval is the flush time. After a failure the whole micro-batch is sent
-    again under the same idempotency keys: at least once.
+    again under the same idempotency keys: at least once. ``checkpoint``, which belongs to one
+    stream, and the epoch name a micro-batch, so no other one has its keys.
     """
 
     def work(batch: DataFrame, epoch: int) -> DataFrame:
-        keyed = spec.replace(headers={**spec.headers, "X-Epoch": str(epoch)})
-        return deliver(batch, keyed, transport, lane, slices, order, **options)
+        named = json.dumps([checkpoint, epoch])
+        return deliver(batch, spec, transport, lane, slices, order, delivery_id=named, **options)
 
     writer = stream.writeStream.foreachBatch(epoch_writer(work, path)).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=f"{spec.max_time_ms} milliseconds")

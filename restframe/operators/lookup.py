@@ -60,8 +60,9 @@ def lookup_join(
     ``keys`` maps lookup columns to probe columns. ``keep`` names the probe columns wanted,
     ``select`` the lookup columns (nested paths allowed), ``metadata`` the HTTP metadata
     columns. Equal requests are sent once; with ``lookup.cache=NONE`` (or ``dedup=False``) every
-    row makes its own call, which takes no shuffle and no join back: for keys that hardly repeat, and for endpoints
-    that answer every call differently. A row whose top-level key is null matches nothing:
+    row makes its own call, which takes no shuffle and no join back: for keys that hardly repeat,
+    and for endpoints that answer every call differently. A partial cache with limits (rows, times,
+    missing keys) makes rows call one by one through a cache that each worker keeps. A row whose top-level key is null matches nothing:
     it is left out of an inner join and kept by a left join; ``null_keys="request"`` sends it
     all the same. Lookup columns that clash with probe columns must be selected away.
     """
@@ -75,7 +76,7 @@ def lookup_join(
     ident, values = key_columns(probe, keys)
     present = reduce(lambda a, b: a & b, [c.isNotNull() for c in values.values()], F.lit(True))
     sent = probe if null_keys == "request" else probe.where(present)
-    if not (spec.cache == "PARTIAL" if dedup is None else dedup):
+    if not (spec.cache == "PARTIAL" and not spec.limits_cache if dedup is None else dedup):
         return _join_row_by_row(
             sent, probe.where(~present) if how == "left" and null_keys != "request" else None,
             spec, keys, transport, how, select, metadata, wanted, fail_on_bad_request,

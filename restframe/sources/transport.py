@@ -7,16 +7,19 @@ io_error). Only ``HttpTransport`` touches a network, and only on the executors.
 
 from __future__ import annotations
 
+import http.client
 import json
 import ssl
 import threading
 import time
 import urllib.error
 import urllib.request
+from collections import OrderedDict
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from typing import Any, Protocol
+from urllib.parse import urljoin, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +36,9 @@ RESPONSE_DDL = (
 )
 RESPONSE_COLUMNS = ["request_id", "attempt", "status", "headers", "body", "io_error"]
 
+#: Answers, and characters of their bodies, that a task holds before it hands them on.
+ANSWERS, ANSWER_CHARS = 10_000, 16 << 20
+
 Request = dict[str, Any]
 Answer = Mapping[str, Any]
 Send = Callable[[Request], Answer]
@@ -54,6 +60,74 @@ class Hook:
     def close(self) -> None: ...
 
 
+#: Hooks by the ids that the callback options name.
+HOOKS: dict[str, Hook] = {}
+
+
+def register_hook(name: str, hook: Hook) -> None:
+    """Make a hook known under the id that a ``request-callback`` option gives."""
+    HOOKS[name] = hook
+
+
+def hook_of(spec: LookupSpec | SinkSpec, hook: Hook | None) -> Hook | None:
+    """The transport's own hook, or the one the spec's callback option names."""
+    if hook is not None or spec.callback is None:
+        return hook
+    if spec.callback not in HOOKS:
+        raise ValueError(f"no callback is registered as {spec.callback!r}; see register_hook")
+    return HOOKS[spec.callback]
+
+
+class PartialCache:
+    """Answers a worker remembers between its calls, under the partial-cache options.
+
+    At most ``cache_max_rows`` answers, the least recently used one goes first; an answer is dropped
+    after its time since it was written or last used. Only successful answers are kept; those
+    without a row to give (an ignored status, a blank body) only with ``cache_missing_key``.
+    """
+
+    def __init__(self, spec: LookupSpec, now: Callable[[], float] = time.monotonic) -> None:
+        self.spec, self.now = spec, now
+        self.held: OrderedDict[tuple, list[Any]] = OrderedDict()
+        self.lock = threading.Lock()
+
+    def get(self, key: tuple) -> dict[str, Any] | None:
+        with self.lock:
+            entry, at = self.held.get(key), self.now()
+            if entry is None:
+                return None
+            answer, written, used = entry
+            write, access = self.spec.cache_expire_after_write, self.spec.cache_expire_after_access
+            if (write is not None and at - written > write) or (access is not None and at - used > access):
+                del self.held[key]
+                return None
+            entry[2] = at
+            self.held.move_to_end(key)
+            return answer
+
+    def put(self, key: tuple, answer: dict[str, Any]) -> None:
+        status = answer["status"]
+        empty = status in self.spec.ignored_set or not (answer["body"] or "").strip()
+        if status not in self.spec.success_set or (empty and not self.spec.cache_missing_key):
+            return
+        with self.lock:
+            self.held[key] = [answer, self.now(), self.now()]
+            self.held.move_to_end(key)
+            while self.spec.cache_max_rows is not None and len(self.held) > self.spec.cache_max_rows:
+                self.held.popitem(last=False)
+
+
+#: The caches of a Python worker, by what decides on their answers.
+_CACHES: dict[str, PartialCache] = {}
+
+
+def worker_cache(spec: LookupSpec | SinkSpec) -> PartialCache | None:
+    """The worker's cache for a lookup with partial-cache limits; it outlives tasks and micro-batches."""
+    if not isinstance(spec, LookupSpec) or not spec.limits_cache:
+        return None
+    return _CACHES.setdefault(repr(spec), PartialCache(spec))
+
+
 def _response(request: Request, answer: Answer, attempt: int) -> dict[str, Any]:
     headers = answer.get("headers")
     if headers is not None:
@@ -78,7 +152,7 @@ def send_with_retry(send: Send, request: Request, spec: LookupSpec | SinkSpec, s
         try:
             answer: Answer = send(request)
             again = answer.get("status") in retry_codes
-        except OSError as error:
+        except (OSError, http.client.HTTPException) as error:  # also a reply cut short
             answer, again = {"io_error": str(error) or type(error).__name__}, True
         except Exception as error:  # any other failure belongs to this one row
             answer = {"io_error": str(error) or type(error).__name__}
@@ -107,8 +181,12 @@ def map_requests(
     sleep=time.sleep,
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Run the calls of every partition on the executors, a few at a time, one Arrow batch in memory."""
+    """Run the calls of every partition on the executors, a few at a time.
+
+    Answers go on in portions limited by number and size.
+    """
     workers = threads or _threads(spec)
+    hook = hook_of(spec, hook)
     fields = [c for c in ("request_id", "method", "url", "body", "headers") if c in requests.columns]
     carried = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
     names = [f"carry_{i}" for i in range(len(carry))]
@@ -117,33 +195,70 @@ def map_requests(
     ddl = ", ".join([*[f"{n} {types[n]}" for n in names], RESPONSE_DDL])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        send = make_send()
+        send, cache = make_send(), worker_cache(spec)
         if hook is not None:
             hook.open()
 
         def one(request: Request) -> dict[str, Any]:
             if request.get("headers") is not None:
                 request["headers"] = dict(request["headers"])
+            key = (request["method"], request["url"], request.get("body"))
+            known = cache.get(key) if cache is not None else None
+            if known is not None:
+                return known | {"request_id": request["request_id"]}
             response = send_with_retry(send, request, spec, sleep)
+            if cache is not None:
+                cache.put(key, response)
             if hook is not None:
                 hook.call(request, response)
             return response
 
+        def rows() -> Iterator[tuple[pa.RecordBatch, int, Request]]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    yield batch, i, {f: batch.column(f)[i].as_py() for f in fields}
+
+        def answered(done: list[tuple[pa.RecordBatch, int, dict[str, Any]]]) -> Iterator[pa.RecordBatch]:
+            # Carried columns pass through as they are, from the batch that brought them.
+            sources: dict[int, list[tuple[pa.RecordBatch, int, dict[str, Any]]]] = {}
+            for item in done:
+                sources.setdefault(id(item[0]), []).append(item)
+            for items in sources.values():
+                own = items[0][0].select(names).take(pa.array([i for _, i, _ in items]))
+                arrays = list(own.columns)
+                for column, kind in _response_types().items():
+                    values = [d[column] for _, _, d in items]
+                    if column == "headers":
+                        values = [None if v is None else list(v.items()) for v in values]
+                    arrays.append(pa.array(values, kind))
+                yield pa.RecordBatch.from_arrays(arrays, names=[*names, *RESPONSE_COLUMNS])
+
+        def calls(pool: ThreadPoolExecutor) -> Iterator[tuple[pa.RecordBatch, int, dict[str, Any]]]:
+            """Answers as they come: a slow call holds up no other one."""
+            if workers == 1:  # calls in row order
+                for batch, i, request in rows():
+                    yield batch, i, one(request)
+                return
+            running: dict[Future, tuple[pa.RecordBatch, int]] = {}
+            for batch, i, request in rows():
+                if len(running) >= 2 * workers:
+                    for future in wait(running, return_when=FIRST_COMPLETED).done:
+                        yield *running.pop(future), future.result()
+                running[pool.submit(one, request)] = (batch, i)
+            for future, place in running.items():
+                yield *place, future.result()
+
         try:
             with ThreadPoolExecutor(workers) as pool:
-                for batch in batches:
-                    columns = [batch.column(f).to_pylist() for f in fields]
-                    rows = [dict(zip(fields, row, strict=True)) for row in zip(*columns, strict=True)]
-                    # map() keeps the order, so one worker means calls in row order.
-                    done = list(pool.map(one, rows) if workers > 1 else map(one, rows))
-                    # Carried columns pass through as they are.
-                    arrays = [batch.column(n) for n in names]
-                    for column, kind in _response_types().items():
-                        values = [d[column] for d in done]
-                        if column == "headers":
-                            values = [None if v is None else list(v.items()) for v in values]
-                        arrays.append(pa.array(values, kind))
-                    yield pa.RecordBatch.from_arrays(arrays, names=[*names, *RESPONSE_COLUMNS])
+                held: list[tuple[pa.RecordBatch, int, dict[str, Any]]] = []
+                size = 0
+                for item in calls(pool):
+                    held.append(item)
+                    size += len(item[2]["body"] or "")
+                    if size >= ANSWER_CHARS or len(held) >= ANSWERS:
+                        yield from answered(held)
+                        held, size = [], 0
+                yield from answered(held)
         finally:
             if hook is not None:
                 hook.close()
@@ -264,27 +379,117 @@ def _ssl_context(spec: LookupSpec | SinkSpec) -> ssl.SSLContext:
     return context
 
 
-class _NoRedirect(urllib.request.HTTPRedirectHandler):
-    """A redirect is an answer like any other: its status is classified, not followed."""
+def redirected(method: str, url: str, status: int, location: str | None) -> tuple[str, str] | None:
+    """(method, url) of the request that follows a redirect; None where the reply is the answer.
 
-    def redirect_request(self, *args: Any, **kwargs: Any) -> None:
+    307 and 308 repeat the request, other redirects turn it into a GET. From https none leads to http.
+    """
+    if status not in (301, 302, 303, 307, 308) or not location:
         return None
-
-
-def make_opener(spec: LookupSpec | SinkSpec) -> urllib.request.OpenerDirector:
-    """A session with the spec's TLS and proxy settings."""
-    handlers: list[urllib.request.BaseHandler] = [
+    target = urljoin(url, location)
+    old, new = urlsplit(url).scheme.lower(), urlsplit(target).scheme.lower()
+    if new not in ("http", "https") or (old == "https" and new == "http"):
+        return None
+    return (method if status in (307, 308) or method == "HEAD" else "GET"), target
+
+
+class _Redirects(urllib.request.HTTPRedirectHandler):
+    """The same rule for sessions through a proxy."""
+
+    def redirect_request(self, req, fp, code, msg, headers, newurl):  # noqa: ANN001, ANN201
+        following = redirected(req.get_method(), req.full_url, code, newurl)
+        if following is None:
+            return None
+        method, url = following
+        data = req.data if method == req.get_method() else None
+        return urllib.request.Request(url, data=data, headers=dict(req.header_items()), method=method)
+
+    http_error_308 = urllib.request.HTTPRedirectHandler.http_error_302
+
+
+class Reply:
+    """An answer that was read whole, so that its connection can be used again."""
+
+    def __init__(self, status: int, headers: Any, body: bytes) -> None:
+        self.status, self.headers, self.body = status, headers, body
+
+    def read(self) -> bytes:
+        return self.body
+
+    def __enter__(self) -> Reply:
+        return self
+
+    def __exit__(self, *_: object) -> None: ...
+
+
+class KeptConnections:
+    """A session that keeps a connection per thread and host, and opens it anew after an error."""
+
+    def __init__(self, context: ssl.SSLContext, connect: Callable[..., Any] | None = None) -> None:
+        self.context, self.connect, self.local = context, connect or self._connect, threading.local()
+
+    def _connect(self, scheme: str, netloc: str, timeout: float) -> http.client.HTTPConnection:
+        if scheme == "https":
+            return http.client.HTTPSConnection(netloc, timeout=timeout, context=self.context)
+        return http.client.HTTPConnection(netloc, timeout=timeout)
+
+    def open(self, request: urllib.request.Request, timeout: float) -> Reply:
+        method, url, body = request.get_method(), request.full_url, request.data
+        headers = dict(request.header_items())
+        for _ in range(MAX_REDIRECTS):
+            reply = self._exchange(method, url, body, headers, timeout)
+            following = redirected(method, url, reply.status, reply.headers.get("Location"))
+            if following is None:
+                return reply
+            if urlsplit(following[1]).netloc != urlsplit(url).netloc:
+                headers = {k: v for k, v in headers.items() if k.lower() != "authorization"}
+            body = body if following[0] == method else None
+            method, url = following
+        raise OSError("too many redirects")
+
+    def _exchange(self, method: str, url: str, body: bytes | None, headers: dict[str, str], timeout: float) -> Reply:
+        parts = urlsplit(url)
+        place = (parts.scheme.lower(), parts.netloc.rpartition("@")[2])
+        path = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
+        held = self.local.__dict__.setdefault("held", {})
+        while True:
+            kept = place in held
+            connection = held.get(place) or self.connect(*place, timeout)
+            held[place] = connection
+            try:
+                connection.request(method, path, body, headers)
+                answer = connection.getresponse()
+                reply = Reply(answer.status, answer.headers, answer.read())
+            except (OSError, http.client.HTTPException) as error:
+                held.pop(place, None)
+                connection.close()
+                # The other side may have closed a kept connection meanwhile; a new one tells.
+                if kept and not isinstance(error, TimeoutError):
+                    continue
+                raise
+            if answer.will_close:
+                held.pop(place, None)
+                connection.close()
+            return reply
+
+
+MAX_REDIRECTS = 10
+
+
+def make_opener(spec: LookupSpec | SinkSpec) -> Any:
+    """A session with the spec's TLS and proxy settings; without a proxy it keeps its connections."""
+    if not getattr(spec, "proxy_host", None):
+        return KeptConnections(_ssl_context(spec))
+    login = f"{spec.proxy_username}:{spec.proxy_password}@" if spec.proxy_username else ""
+    proxy = f"http://{login}{spec.proxy_host}:{spec.proxy_port}"
+    return urllib.request.build_opener(
         urllib.request.HTTPSHandler(context=_ssl_context(spec)),
-        _NoRedirect(),
-    ]
-    if isinstance(spec, LookupSpec) and spec.proxy_host:
-        login = f"{spec.proxy_username}:{spec.proxy_password}@" if spec.proxy_username else ""
-        proxy = f"http://{login}{spec.proxy_host}:{spec.proxy_port}"
-        handlers.append(urllib.request.ProxyHandler({"http": proxy, "https": proxy}))
-    return urllib.request.build_opener(*handlers)
+        _Redirects(),
+        urllib.request.ProxyHandler({"http": proxy, "https": proxy}),
+    )
 
 
-def bearer_token(spec: LookupSpec, opener: Any, now: Callable[[], float] = time.time) -> str:
+def bearer_token(spec: LookupSpec | SinkSpec, opener: Any, now: Callable[[], float] = time.time) -> str:
     """A valid access token, fetched once per Python worker and again when it has expired."""
     key = (spec.oidc_url, spec.oidc_request)
     with _TOKENS_LOCK:
@@ -333,7 +538,7 @@ class HttpTransport:
 
 def _call(opener: Any, request: Request, spec: LookupSpec | SinkSpec, fixed: Mapping[str, str]) -> Answer:
     headers = {**fixed, **dict(request.get("headers") or {})}
-    if isinstance(spec, LookupSpec) and spec.oidc_url:
+    if spec.oidc_url:
         headers = {k: v for k, v in headers.items() if k.lower() != "authorization"}
         headers["Authorization"] = f"Bearer {bearer_token(spec, opener)}"
     body = request.get("body")
@@ -359,10 +564,12 @@ def spread_calls(requests: DataFrame, transport: Transport) -> DataFrame:
     """Spread distinct requests over the tasks of a transport that makes calls.
 
     Calls in flight = tasks x threads, and distinct requests are rows so small that adaptive
-    execution would gather them in few tasks. ``parallelism`` sets the number of tasks, by
-    default one per core.
+    execution would gather them in few tasks. ``parallelism`` sets the number of tasks. By default
+    it is that of shuffle partitions, which is set for the size of the data, and not less than the
+    cores there are; the executors of the moment when the plan is made say nothing about the calls.
     """
-    if not isinstance(transport, (CallableTransport, HttpTransport)):
+    if isinstance(transport, (TableTransport, ReplayTransport, StoreTransport)):
         return requests
-    cores = requests.sparkSession.sparkContext.defaultParallelism
-    return requests.repartition(transport.parallelism or cores)
+    spark = requests.sparkSession
+    usual = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return requests.repartition(getattr(transport, "parallelism", None) or usual)

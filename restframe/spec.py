@@ -200,6 +200,12 @@ class LookupSpec:
     def retry_set(self) -> frozenset[int]:
         return parse_code_set(self.retry_codes)
 
+    @property
+    def limits_cache(self) -> bool:
+        """Whether a partial cache was asked for that forgets."""
+        limits = (self.cache_max_rows, self.cache_expire_after_write, self.cache_expire_after_access)
+        return self.cache == "PARTIAL" and (any(x is not None for x in limits) or not self.cache_missing_key)
+
     @property
     def threads(self) -> int:
         """Requests in flight per task."""
@@ -261,6 +267,9 @@ _SINK_OPTIONS = {
     "sink.request-callback": ("callback", str),
     "sink.error.code": ("error_codes", str),
     "sink.error.code.exclude": ("error_exclude", str),
+    "security.oidc.token.endpoint.url": ("oidc_url", str),
+    "security.oidc.token.request": ("oidc_request", str),
+    "security.oidc.token.expiry.reduction": ("oidc_reduction", seconds),
     "security.cert.server": ("server_cert", str),
     "security.cert.server.allowSelfSigned": ("allow_self_signed", _flag),
     "security.cert.client": ("client_cert", str),
@@ -294,6 +303,9 @@ class SinkSpec:
     request_timeout: float = 30.0
     writer_threads: int = 4
     callback: str | None = None
+    oidc_url: str | None = None
+    oidc_request: str | None = None
+    oidc_reduction: float = 1.0
     server_cert: str | None = None
     allow_self_signed: bool = False
     client_cert: str | None = None
@@ -303,6 +315,8 @@ class SinkSpec:
     def __post_init__(self) -> None:
         if not self.url:
             raise ValueError("url is required")
+        if (self.oidc_url is None) != (self.oidc_request is None):
+            raise ValueError("the OIDC token endpoint and token request go together")
         if self.mode not in ("single", "batch"):
             raise ValueError(f"request mode must be single or batch, got {self.mode!r}")
         for name in ("max_batch_size", "batch_size", "max_in_flight", "max_buffered", "max_batch_bytes"):

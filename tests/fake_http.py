@@ -2,6 +2,7 @@
 
 import io
 import json
+import time
 import urllib.error
 from email.message import Message
 from urllib.parse import parse_qs, urlsplit
@@ -71,3 +72,29 @@ class CountingHook(Hook):
     def close(self):
         with open(self.path, "a") as out:
             out.write("\n".join([*self.lines, "close", ""]))
+
+
+class UrlLog(Hook):
+    """Appends the url of every call to a file."""
+
+    def __init__(self, path):
+        self.path = path
+
+    def call(self, request, response):
+        with open(self.path, "a") as out:
+            out.write(request["url"] + "\n")
+
+
+def echo(request):
+    return {"status": 200, "body": '{"id":1}'} if not request["url"].endswith("=3") else {"status": 404}
+
+
+def refuse(request):
+    return {"status": 500, "body": ""}
+
+
+def slow_first(request):
+    """Answers with the time; the first one is late."""
+    if request["url"].endswith("=0"):
+        time.sleep(1.5)
+    return {"status": 200, "body": f'{{"id":{time.monotonic_ns() // 10**6 % 10**9}}}'}

@@ -81,11 +81,19 @@ def cache_write_ttl(spark, sf_dir):
 
 @query("cache_stream", _WRITE_TTL)
 def cache_stream_query(spark, sf_dir):
-    path, checkpoint = new_dir(spark, "cache"), new_dir(spark, "cache-state")
-    hits = cache_stream(stream(spark, sf_dir, "events"), "user_id", "ts", "event_id", SIX_HOURS_MS)
+    """The table as several files that are out of order in time, one micro-batch each."""
+    path, checkpoint, parts = (new_dir(spark, label) for label in ("cache", "cache-state", "cache-parts"))
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp"))
+    events.repartition(5, F.pmod(F.xxhash64("event_id"), F.lit(5))).write.parquet(parts)
+    # One access far ahead closes the stream: the watermark passes all others.
+    last = events.agg(F.max("ts").alias("ts")).selectExpr("-1L as user_id", "-1L as event_id", "ts + interval 3000 days as ts")
+    last.coalesce(1).write.mode("append").parquet(parts)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(parts)
+    hits = cache_stream(source, "user_id", "ts", "event_id", SIX_HOURS_MS, lateness="1000 days")
     writer = hits.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(hits.schema).parquet(path).select("event_id", "user_id", "hit")
+    got = spark.read.schema(hits.schema).parquet(path).select("event_id", "user_id", "hit")
+    return got.where("event_id >= 0")
 
 
 @query(

@@ -16,6 +16,7 @@ from restframe.operators.batches import (
     make_requests,
     name_of,
     plan_batches,
+    reject_reason,
     split_elements,
     with_elements,
 )
@@ -67,14 +68,20 @@ def deliver(
     delivery = delivery_id or uuid.uuid4().hex
     elements = with_elements(df, spec, columns, method, converter)
     # A converter may use any method; the table form has the two.
-    good, rejected = split_elements(elements, spec, INSERT_METHODS if converter is None else None)
+    allowed = INSERT_METHODS if converter is None else None
+    good, rejected = split_elements(elements, spec, allowed)
+    any_rejected = True
     if spec.mode == "single" and not ordered:
         # One record, one request: nothing to number, so nothing to shuffle.
         planned = good.withColumn("batch_seq", name_of(*map(F.col, order)))
     else:
         if by_bytes is None:
-            largest = good.agg(F.max(element_bytes())).first()[0] or 0
-            by_bytes = largest * spec.max_batch_size > spec.max_batch_bytes
+            reason = reject_reason(spec, allowed)
+            seen = elements.agg(
+                F.max(F.when(reason.isNull(), element_bytes())).alias("largest"), F.count_if(reason.isNotNull()).alias("bad")
+            ).first()
+            by_bytes = (seen.largest or 0) * spec.max_batch_size > spec.max_batch_bytes
+            any_rejected = seen.bad > 0
         planned = plan_batches(good, spec, lane, slices, order, by_bytes=by_bytes)
     requests = make_requests(planned, spec, lane).withColumn("request_id", F.col("batch_id"))
     requests = requests.withColumn("idempotency_key", F.sha2(name_of(F.lit(delivery), F.col("batch_id")), 256))
@@ -100,7 +107,7 @@ def deliver(
         F.col("reject_reason").alias("io_error"),
         F.lit(True).alias("is_error"),
     )
-    log = log.unionByName(refused, allowMissingColumns=True)
+    log = log.unionByName(refused.where(F.lit(any_rejected)), allowMissingColumns=True)
     if log_path is None:
         return log
     # The log of an earlier delivery is the only source for a redrive: never written over.

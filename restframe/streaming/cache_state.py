@@ -13,11 +13,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 def cache_stream(
     accesses: DataFrame, key: str, at: str, ident: str, ttl_ms: int, lateness: str | None = None
 ) -> DataFrame:
-    """(key, ident, at, hit) per access; the state of a key is one number, the load time of its entry.
+    """(key, ident, at, hit) per access; the state of a key is the load time of its entry.
 
-    Accesses of a key are taken in time order within a micro-batch, so limit the micro-batch
-    (``maxBytesPerTrigger``). With ``lateness`` the state is dropped once the entry has expired
-    and no access that late is expected; without it the state lives on and no access is late.
+    With ``lateness`` accesses may come out of order by that much: an access waits in the state until
+    the watermark has passed it, then all are answered in time order, however the stream is cut into
+    micro-batches. The last ones wait for later accesses (of any key) to move the watermark. The state
+    is dropped once the entry has expired. Without ``lateness`` nothing waits: accesses are answered
+    as they come, in time order within a micro-batch only, and the state lives on.
     """
     if lateness is not None:
         accesses = accesses.withWatermark(at, lateness)
@@ -25,27 +27,37 @@ def cache_stream(
     types = {f.name: f.dataType.simpleString() for f in narrow.schema.fields}
 
     def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        loaded = state.get[0] if state.exists else None
-        pdf = pd.concat(list(frames)).sort_values([at, ident], kind="stable")
+        loaded, times, idents = state.get if state.exists else (None, [], [])
+        waiting = list(zip(times or [], idents or [], strict=True))
+        if not state.hasTimedOut:
+            for pdf in frames:
+                waiting += zip(pdf["_us"].tolist(), pdf[ident].tolist(), strict=True)
+        waiting.sort()
+        ready = waiting
+        if lateness is not None:
+            mark = state.getCurrentWatermarkMs() * 1000
+            ready = [access for access in waiting if access[0] < mark]
         hits = []
-        for us in pdf["_us"]:
+        for us, _ in ready:
             hit = loaded is not None and us - loaded <= ttl_ms * 1000
             if not hit:
                 loaded = int(us)
             hits.append(hit)
-        state.update((loaded,))
-        if lateness is not None:
-            expires_ms = loaded // 1000 + ttl_ms + 1
-            state.setTimeoutTimestamp(max(expires_ms, state.getCurrentWatermarkMs() + 1))
-        yield pdf[[key, ident, at]].assign(hit=hits)
+        later = waiting[len(ready) :]
+        if lateness is None or later or not state.hasTimedOut or ready:
+            state.update((loaded, [us for us, _ in later], [i for _, i in later]))
+            if lateness is not None:
+                due = later[0][0] // 1000 if later else loaded // 1000 + ttl_ms
+                state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs()) + 1)
+        else:
+            state.remove()
+        yield pd.DataFrame({key: [group[0]] * len(ready), ident: [i for _, i in ready], "_us": [us for us, _ in ready], "hit": hits})
 
-    return narrow.groupBy(key).applyInPandasWithState(
+    answered = narrow.groupBy(key).applyInPandasWithState(
         step,
-        ", ".join(f"`{c}` {types[c]}" for c in (key, ident, at)) + ", hit boolean",
-        "loaded bigint",
+        f"`{key}` {types[key]}, `{ident}` {types[ident]}, _us bigint, hit boolean",
+        f"loaded bigint, times array<bigint>, idents array<{types[ident]}>",
         "append",
         GroupStateTimeout.NoTimeout if lateness is None else GroupStateTimeout.EventTimeTimeout,
     )
+    return answered.select(key, ident, F.timestamp_micros("_us").cast(types[at]).alias(at), "hit")

@@ -148,6 +148,11 @@ def split_by_store(requests: DataFrame, store: DataFrame) -> tuple[DataFrame, Da
     return known, missing
 
 
+def is_storable(empty: Column, cache_missing_key: bool = True) -> Column:
+    """Whether a response is worth keeping for the next run."""
+    return F.lit(True) if cache_missing_key else ~empty
+
+
 def storable(responses: DataFrame, empty: Column, cache_missing_key: bool = True) -> DataFrame:
     """Responses worth keeping for the next run."""
-    return responses if cache_missing_key else responses.where(~empty)
+    return responses.where(is_storable(empty, cache_missing_key))

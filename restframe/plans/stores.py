@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from restframe.operators.cache import access_ttl, calls_made, lru, split_by_store, storable, write_ttl
+from restframe.operators.cache import access_ttl, calls_made, is_storable, lru, split_by_store, write_ttl
 from restframe.operators.lookup import call_counter
 from restframe.operators.request import distinct_requests, plan_requests
 from restframe.operators.response import process_responses
-from restframe.plans.base import query, stream, table
+from restframe.plans.base import query, table
 from restframe.plans.joins import CUSTOMER, _customer_endpoint
 from restframe.session import new_dir
+from restframe.spec import LookupSpec
 from restframe.streaming.cache_state import cache_stream
 
 SIX_HOURS_MS = 6 * 3600 * 1000
@@ -128,14 +129,16 @@ def cache_missing_key(spark, sf_dir):
     answers = process_responses(endpoint.fetch(requests, CUSTOMER, ["n_rows"]), CUSTOMER)
     empty = F.size("rows") == 0
     answers = answers.withColumn("is_empty", empty)
-    cached = calls_made(answers, F.col("is_empty"), cache_missing_key=True)
-    uncached = calls_made(answers, F.col("is_empty"), cache_missing_key=False)
-    counted = answers.groupBy("is_empty").agg(
-        F.sum(cached).alias("calls_cached"), F.sum(uncached).cast("bigint").alias("calls_uncached")
+    # The option as a table definition gives it.
+    off = LookupSpec.from_options(
+        {"url": "http://c", "format": "json", "lookup.partial-cache.cache-missing-key": "false"}, "c_custkey bigint"
+    ).cache_missing_key
+    is_empty = F.col("is_empty")
+    return answers.groupBy("is_empty").agg(
+        F.sum(calls_made(answers, is_empty, cache_missing_key=True)).alias("calls_cached"),
+        F.sum(calls_made(answers, is_empty, cache_missing_key=off)).cast("bigint").alias("calls_uncached"),
+        F.count_if(is_storable(is_empty, cache_missing_key=off)).alias("stored"),
     )
-    kept = storable(answers, F.col("is_empty"), cache_missing_key=False)
-    stored = kept.groupBy("is_empty").agg(F.count(F.lit(1)).alias("stored"))
-    return counted.join(stored, "is_empty", "left").withColumn("stored", F.coalesce("stored", F.lit(0).cast("bigint")))
 
 
 @query(

@@ -41,6 +41,8 @@ SEED = 7
 #: Different words counted in a task before they are handed on; characters of texts split at once.
 COUNTED = 500_000
 CHARS = 1 << 21
+#: Codes of tokens read at once.
+CODES = 1 << 20
 #: Contexts normalised by one matrix product.
 CONTEXTS = 4096
 
@@ -116,22 +118,18 @@ class Vocabulary:
         total[self.first_rare :] += self.rare_counts
         #: Smoothed, so that no class is impossible.
         self.class_share = (total + 1) / (total.sum() + self.size)
-        self.end = self.class_of(b"")
+        self.end = int(self.classes_of(self.codes([b""]))[0])
 
-    def class_of(self, word: bytes) -> int:
-        at = self.place.get(word)
-        return int(self.word_class[at]) if at is not None else self.first_rare + ending(word)
-
-    def places(self, tokens: list[bytes]) -> np.ndarray:
+    def codes(self, tokens: list[bytes]) -> np.ndarray:
+        """The place of a frequent word; of a rare one, below zero, its ending."""
         get = self.place.get
-        return np.array([get(t, -1) for t in tokens], np.int64)
-
-    def classes_of(self, tokens: list[bytes], places: np.ndarray) -> np.ndarray:
-        out = np.empty(len(tokens), np.int64)
-        known = places >= 0
-        out[known] = self.word_class[places[known]]
-        rare = np.flatnonzero(~known)
-        out[rare] = [self.first_rare + ending(tokens[i]) for i in rare]
+        found = [get(token) for token in tokens]
+        return np.array([-1 - ending(t) if c is None else c for t, c in zip(tokens, found, strict=True)], np.int32)
+
+    def classes_of(self, codes: np.ndarray) -> np.ndarray:
+        known = codes >= 0
+        out = self.first_rare - 1 - codes.astype(np.int64)
+        out[known] = self.word_class[codes[known]]
         return out
 
     def contexts(self, classes: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -183,10 +181,15 @@ class LogBilinear:
         a, b = given[one], given[two]
         context = a @ positions[0] + b @ positions[1]
         real = (context * classes[target]).sum(axis=1) + bias[target] - log_noise[target]
-        false = context @ classes[noise].T + bias[noise] - log_noise[noise]
         # Gradients of the log-likelihood of telling the data from the noise.
         d_real = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        d_false = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
+        d_false = context @ classes[noise].T
+        d_false += bias[noise] - log_noise[noise]
+        np.clip(d_false, -30, 30, out=d_false)
+        np.negative(d_false, out=d_false)
+        np.exp(d_false, out=d_false)
+        d_false += 1
+        np.divide(-1, d_false, out=d_false)
         d_context = d_real[:, None] * classes[target] + d_false @ classes[noise]
         scale = np.float32(1 / len(target))
         d_classes = _scattered(target, d_real[:, None] * context, len(bias))
@@ -227,23 +230,36 @@ def _scattered(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def train_round(docs: DataFrame, vocabulary: Vocabulary, start: np.ndarray, number: int) -> np.ndarray:
-    """The parameters after all tasks went through their documents from the same start, averaged."""
-    sent = docs.sparkSession.sparkContext.broadcast((vocabulary, start))
+def coded_groups(column: pa.Array) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """The codes of a limited number of tokens at once, and how many of them belong to each row."""
+    held: list[bytes] = []
+    size = 0
+    for value in column:
+        held.append(value.as_py())
+        size += len(held[-1])
+        if size >= 4 * CODES:
+            yield np.frombuffer(b"".join(held), np.int32), [len(row) // 4 for row in held]
+            held, size = [], 0
+    if held:
+        yield np.frombuffer(b"".join(held), np.int32), [len(row) // 4 for row in held]
+
+
+def train_round(coded: DataFrame, vocabulary: Vocabulary, start: np.ndarray, number: int) -> np.ndarray:
+    """The parameters after all tasks went through their rows (codes) from the same start, averaged."""
+    sent = coded.sparkSession.sparkContext.broadcast((vocabulary, start))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, first = sent.value
         model, rng, seen = LogBilinear(words).load(first), np.random.default_rng([SEED, number]), 0
         for batch in batches:
-            for texts in batches_of(batch.column("text")):
-                tokens = [t for text in texts for t in text]
-                classes = words.classes_of(tokens, words.places(tokens))
-                one, two = words.contexts(classes, [len(text) for text in texts])
-                order = rng.permutation(len(tokens))
-                for i in range(0, len(tokens), BATCH):
+            for codes, lengths in coded_groups(batch.column("codes")):
+                classes = words.classes_of(codes)
+                one, two = words.contexts(classes, lengths)
+                order = rng.permutation(len(codes))
+                for i in range(0, len(codes), BATCH):
                     part = order[i : i + BATCH]
                     model.train(classes[part], one[part], two[part], rng)
-                seen += len(tokens)
+                seen += len(codes)
         if seen:
             yield _weighed(model.flat().astype(np.float64) * seen, seen)
 
@@ -257,10 +273,11 @@ def train_round(docs: DataFrame, vocabulary: Vocabulary, start: np.ndarray, numb
             yield _weighed(total, seen)
 
     shape = "sums binary, n long"
-    parts = docs.select("text").mapInArrow(run, shape)
+    parts = coded.select("codes").mapInArrow(run, shape).withColumn("task", F.spark_partition_id())
     # Two levels, so that no task adds up the parameters of all others.
-    places = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    summed = parts.repartition(places).mapInArrow(add, shape).coalesce(1).mapInArrow(add, shape).collect()
+    places = max(1, int(int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions")) ** 0.5))
+    parts = parts.repartition(places, "task").mapInArrow(add, shape)
+    summed = parts.coalesce(1).mapInArrow(add, shape).collect()
     return np.frombuffer(summed[0].sums) / summed[0].n if summed else start
 
 
@@ -296,30 +313,45 @@ def score_texts(docs: DataFrame, is_training: Column, key: str = "doc_id", text:
     rare = keep(counts.where(~is_frequent).mapInArrow(_with_ending, "word binary, c long, ending int"), "rare-words")
     shares = _rare_shares(rare)
     vocabulary = Vocabulary(words, often.astype(np.float64), shares["n"])
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    kind = rows.schema["key"].dataType.simpleString()
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start = 0
+            for texts in batches_of(batch.column("text")):
+                yield _coded(batch.slice(start, len(texts)), texts, sent.value)
+                start += len(texts)
+
+    # Each text becomes codes once; training and scoring read these. Every row is stored with a
+    # number, to which the sums over its rare words come back.
+    coded = keep(
+        rows.mapInArrow(
+            code,
+            f"key {kind}, learn boolean, n_tokens long, codes binary, "
+            "rare array<struct<word:binary,n:long,ending:int>>",
+        ).withColumn("place", F.monotonically_increasing_id()),
+        "codes",
+    )
     flat = LogBilinear(vocabulary).flat()
     for number in range(rounds if whole.n else 0):
-        flat = train_round(training, vocabulary, flat, number)
-    sent = docs.sparkSession.sparkContext.broadcast((vocabulary, flat))
+        flat = train_round(coded.where("learn"), vocabulary, flat, number)
+    trained = docs.sparkSession.sparkContext.broadcast(flat)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, parameters = sent.value
-        model = LogBilinear(known).load(parameters)
+        model = LogBilinear(sent.value).load(trained.value)
         for batch in batches:
             start = 0
-            for texts in batches_of(batch.column("text")):
-                yield _scored(batch.column("key").slice(start, len(texts)), texts, known, model)
-                start += len(texts)
+            for codes, lengths in coded_groups(batch.column("codes")):
+                own = batch.slice(start, len(lengths)).select(["key", "place", "n_tokens"])
+                yield _scored(own, codes, lengths, sent.value, model)
+                start += len(lengths)
 
-    kind = rows.schema["key"].dataType.simpleString()
-    scored = rows.select("key", "text").mapInArrow(
-        run,
-        f"key {kind}, n_tokens long, frequent long, log_counts double, log_model double, "
-        "rare array<struct<word:binary,n:long,ending:int>>",
+    scored = coded.select("key", "place", "n_tokens", "codes").mapInArrow(
+        run, f"key {kind}, place long, n_tokens long, frequent long, log_counts double, log_model double"
     )
-    # Stored with a number for each row, to which the sums over its rare words come back.
-    scored = keep(scored.withColumn("place", F.monotonically_increasing_id()), "scores")
     found = (
-        scored.select("place", F.explode("rare").alias("token"))
+        coded.select("place", F.explode("rare").alias("token"))
         .select("place", "token.word", "token.n", F.col("token.ending").alias("shape"))
         .join(rare.select("word", "c"), "word", "left")
     )
@@ -337,7 +369,7 @@ def score_texts(docs: DataFrame, is_training: Column, key: str = "doc_id", text:
     )
     nothing = F.lit(0.0)
     all_log = float(np.log10(whole.n + whole.v + 1))
-    return scored.drop("rare").join(sums, "place", "left").select(
+    return scored.join(sums, "place", "left").select(
         F.col("key").alias(key),
         "n_tokens",
         (F.col("frequent") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
@@ -371,34 +403,40 @@ def _rare_shares(rare: DataFrame) -> dict[str, np.ndarray]:
     return {"n": n, "discount": discount, "log_n": np.log10(np.maximum(n, 1)), "log_unknown": np.log10(unknown)}
 
 
-def _scored(keys: pa.Array, texts: list[list[bytes]], words: Vocabulary, model: LogBilinear) -> pa.RecordBatch:
-    tokens, lengths = [t for text in texts for t in text], [len(text) for text in texts]
-    places = words.places(tokens)
-    classes = words.classes_of(tokens, places)
-    known = places >= 0
-    log_model = model.log10(classes, *words.contexts(classes, lengths))
-    log_model[known] += words.share[places[known]]
-    log_counts = np.zeros(len(tokens))
-    log_counts[known] = np.log10(words.counts[places[known]] + 1)
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    rare: list[list[dict]] = [[] for _ in texts]
-    missing = np.flatnonzero(~known)
-    rows = np.searchsorted(starts, missing, side="right") - 1
-    for row in np.unique(rows):
-        a, b = np.searchsorted(rows, [row, row + 1])
-        counted = Counter(tokens[i] for i in missing[a:b])
-        rare[row] = [{"word": w, "n": n, "ending": ending(w)} for w, n in counted.items()]
+def _coded(rows: pa.RecordBatch, texts: list[list[bytes]], words: Vocabulary) -> pa.RecordBatch:
+    tokens, ends = [t for text in texts for t in text], np.cumsum([len(text) for text in texts])
+    codes = words.codes(tokens)
+    starts = ends - [len(text) for text in texts]
+    missing = np.flatnonzero(codes < 0)
+    rare: list[list[dict]] = []
+    for a, b in zip(np.searchsorted(missing, starts), np.searchsorted(missing, ends), strict=True):
+        counted = Counter(tokens[i] for i in missing[a:b].tolist())
+        rare.append([{"word": w, "n": n, "ending": ending(w)} for w, n in counted.items()])
     struct = pa.struct([("word", pa.binary()), ("n", pa.int64()), ("ending", pa.int32())])
     return pa.RecordBatch.from_arrays(
         [
-            keys,
-            pa.array(lengths, pa.int64()),
-            pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-            pa.array(np.add.reduceat(log_counts, starts)),
-            pa.array(np.add.reduceat(log_model, starts)),
+            rows.column("key"),
+            rows.column("learn"),
+            pa.array(ends - starts, pa.int64()),
+            pa.array([codes[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
             pa.array(rare, pa.list_(struct)),
         ],
-        ["key", "n_tokens", "frequent", "log_counts", "log_model", "rare"],
+        ["key", "learn", "n_tokens", "codes", "rare"],
+    )
+
+
+def _scored(
+    rows: pa.RecordBatch, codes: np.ndarray, lengths: list[int], words: Vocabulary, model: LogBilinear
+) -> pa.RecordBatch:
+    classes, known = words.classes_of(codes), codes >= 0
+    log_model = model.log10(classes, *words.contexts(classes, lengths))
+    log_model[known] += words.share[codes[known]]
+    log_counts = np.zeros(len(codes))
+    log_counts[known] = np.log10(words.counts + 1)[codes[known]]
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])  # every row has a token
+    sums = [np.add.reduceat(values, starts) for values in (known.astype(np.int64), log_counts, log_model)]
+    return pa.RecordBatch.from_arrays(
+        [*rows.columns, *map(pa.array, sums)], [*rows.schema.names, "frequent", "log_counts", "log_model"]
     )
 
 

@@ -33,7 +33,7 @@ SEED = 20
 
 
 def table_shape(count: int, least: float = LEAST_COSINE, recall: float = RECALL) -> tuple[int, int]:
-    """(bits of a signature, tables) for this many vectors."""
+    """(bits of a signature, tables) for this many vectors that may meet."""
     bits = min(62, max(6, math.ceil(math.log2(max(1, count) / BUCKET))))
     same = (1 - math.acos(least) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - same)))
@@ -98,7 +98,9 @@ def near_vectors(
     nodes = made.where(usable).groupBy("label", "dim", "digest")
     nodes = keep(nodes.agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("unit").alias("unit")), "nodes")
 
-    bits, tables = table_shape(nodes.count(), least, recall)
+    # Only vectors of one label and length meet, so the largest such group sets the size of a bucket.
+    groups = nodes.groupBy("label", "dim").agg(F.count("*").alias("n"))
+    bits, tables = table_shape(groups.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0], least, recall)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -28,14 +29,23 @@ from restframe.session import new_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
-#: Remembered encodings in a worker; beyond that it starts anew.
-MEMORY = 1_000_000
-#: Ids put together before they are handed on.
-BATCH_IDS = 1 << 21
+#: Remembered encodings of a worker.
+MEMORY = 800_000
+#: Texts encoded at once.
+ROWS = 256
 #: Fixed value: the white space of Unicode. Runs without it, each with one space before it, never
 #: share a pre-token of a byte-level pre-tokeniser, so they are encoded one by one and remembered.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: White space other than spaces and line feeds, and two of these in a row.
+OTHER = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+DOUBLE = ("  ", "\n\n", " \n", "\n ")
+
+
+def is_plain(text: str) -> bool:
+    """Whether a text is words with single spaces and line feeds between them."""
+    ends = text[:1] + text[-1:]
+    return bool(ends) and not any(c in " \n" for c in ends) and not any(d in text for d in DOUBLE) and not OTHER.search(text)
 
 
 @lru_cache(maxsize=2)
@@ -46,43 +56,102 @@ def tokenizer(path: str) -> Tokenizer:
     return made
 
 
-@lru_cache(maxsize=2)
-def _memory(path: str) -> dict[str, list[int]]:
+@lru_cache(maxsize=4)
+def _memory(path: str, kind: str) -> dict[str, bytes]:
     return {}
 
 
-def encode_texts(texts: list[str], path: str) -> list[list[int]]:
-    """The ids of each text; units that were met before are looked up."""
-    known, code, units = _memory(path), tokenizer(path), [UNIT.findall(text) for text in texts]
-    new = {unit for row in units for unit in row if unit not in known}
-    if len(known) + len(new) > MEMORY:
-        known.clear()
-        new = {unit for row in units for unit in row}
-    todo = list(new)
-    for i in range(0, len(todo), 10_000):
-        part = todo[i : i + 10_000]
-        for unit, made in zip(part, code.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[unit] = made.ids
-    return [[i for unit in row for i in known[unit]] for row in units]
+@lru_cache(maxsize=2)
+def _token_bytes(path: str) -> np.ndarray:
+    """How many bytes of text each id stands for: a byte-level vocabulary spells a byte as one character."""
+    spelled = tokenizer(path).get_vocab()
+    sizes = np.zeros(max(spelled.values()) + 1, np.int64)
+    sizes[list(spelled.values())] = [len(token) for token in spelled]
+    return sizes
+
+
+def encode_units(units: list[str], path: str) -> list[bytes]:
+    """The ids of each unit as bytes of 32-bit integers.
+
+    Words behind a space or a line feed are encoded in one text, other words behind a line feed that
+    is put there, which never shares a pre-token with what follows. Where the ids of a unit end is
+    told by the bytes they stand for.
+    """
+    code = tokenizer(path)
+    plain = [unit for unit in units if not unit[-1].isspace()]
+    pieces = [piece for unit in plain for piece in ((unit,) if unit[0] in " \n" else ("\n", unit))]
+    made: dict[str, bytes] = {}
+    if pieces:
+        ids = np.array(code.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.cumsum(_token_bytes(path)[ids])
+        stops = np.searchsorted(ends, np.cumsum([len(piece.encode()) for piece in pieces])) + 1
+        starts = np.concatenate([[0], stops[:-1]])
+        flat = ids.tobytes()
+        made = {p: flat[4 * a : 4 * b] for p, a, b in zip(pieces, starts.tolist(), stops.tolist(), strict=True)}
+    rest = [unit for unit in units if unit[-1].isspace()]
+    for unit, found in zip(rest, code.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+        made[unit] = np.array(found.ids, np.int32).tobytes()
+    return [made[unit] for unit in units]
+
+
+def _looked_up(units: list[str], known: dict[str, bytes], path: str, spelled: Callable[[str], str]) -> list[bytes]:
+    """The ids of each unit, from memory or made now from the text that ``spelled`` gives for it.
+
+    What comes first is mostly what is frequent, so a full memory stays as it is, unless the texts
+    have changed so much that a quarter of their units is missing.
+    """
+    found = list(map(known.get, units))
+    missing = [i for i, ids in enumerate(found) if ids is None]
+    if missing:
+        new = list({units[i] for i in missing})
+        made = dict(zip(new, encode_units(list(map(spelled, new)), path), strict=True))
+        for i in missing:
+            found[i] = made[units[i]]
+        if len(known) + len(made) > MEMORY and 4 * len(missing) > len(units):
+            known.clear()
+        if len(known) + len(made) <= MEMORY:
+            known.update(made)
+    return found
+
+
+def encode_texts(texts: list[str], path: str) -> list[bytes]:
+    """The ids of each text as bytes of 32-bit integers; units that were met before are looked up.
+
+    Nearly all texts are words behind single spaces and line feeds, which need no pattern to be cut:
+    their units are words without the space, or with the line feed. The first word is given a line
+    feed, whose id is taken off again. All other texts are cut by ``UNIT``.
+    """
+    out: list[bytes] = [b""] * len(texts)
+    odd = [i for i, text in enumerate(texts) if not is_plain(text)]
+    usual = sorted(set(range(len(texts))) - set(odd))
+    split = [f"\n{texts[i]}".replace("\n", " \n").split(" ")[1:] for i in usual]
+    words = list(chain.from_iterable(split))
+    found = _looked_up(words, _memory(path, "words"), path, lambda word: word if word[0] == "\n" else f" {word}")
+    end = 0
+    for i, row in zip(usual, split, strict=True):
+        start, end = end, end + len(row)
+        out[i] = b"".join(found[start:end])[4:]
+    split = [UNIT.findall(texts[i]) for i in odd]
+    found = _looked_up(list(chain.from_iterable(split)), _memory(path, "units"), path, lambda unit: unit)
+    end = 0
+    for i, row in zip(odd, split, strict=True):
+        start, end = end, end + len(row)
+        out[i] = b"".join(found[start:end])
+    return out
 
 
 def _encode(path: str, end_id: int):
+    end = np.array([end_id], np.int32).tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, start, size = [text or "" for text in batch.column("text").to_pylist()], 0, 0
-            for i, text in enumerate(texts):
-                size += len(text)
-                if size >= BATCH_IDS or i + 1 == len(texts):
-                    rows = [[*row, end_id] for row in encode_texts(texts[start : i + 1], path)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column("key").slice(start, i + 1 - start),
-                            pa.array([len(row) for row in rows], pa.int64()),
-                            pa.array(rows, pa.list_(pa.int32())),
-                        ],
-                        ["key", "n_tokens", "ids"],
-                    )
-                    start, size = i + 1, 0
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                rows = [ids + end for ids in encode_texts([t or "" for t in part.column("text").to_pylist()], path)]
+                counts = np.array([len(row) // 4 for row in rows])
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(counts), ids], ["key", "n_tokens", "ids"])
 
     return run
 
@@ -113,7 +182,7 @@ def write_tokens(
     number = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("key").asc_nulls_last(), F.col("text").asc_nulls_first()]
     # The texts are ordered before they are encoded: they are shuffled once, and encoded once.
-    ordered = rows.repartitionByRange(number, *order).sortWithinPartitions(*order)
+    ordered = rows.repartitionByRange(number, order[0]).sortWithinPartitions(*order)
     kind = rows.schema["key"].dataType.simpleString()
     (
         ordered.mapInArrow(_encode(where, end_id), f"key {kind}, n_tokens long, ids array<int>")

@@ -37,6 +37,10 @@ SEGMENT = 1 << 20
 BLOCK = 256
 #: Ids of candidate lines that may be sent to all executors (a few dozen MB); above, they are joined by a shuffle.
 SENT_IDS = 1_000_000
+#: Different shingles of the lines of a block that are held (a hundred bytes each) before they are made anew.
+HELD_SHINGLES = 1_000_000
+#: Lines remembered in a task, so that a common one is not written again and again.
+SEEN = 200_000
 #: Lines of one band held in memory.
 LONG_RUN = 1 << 18
 EMPTY = np.uint64(2**64 - 1)
@@ -111,25 +115,44 @@ class SimilarLines:
     def __init__(self, shingle: int, similar: tuple[int, int]) -> None:
         self.shingle, self.similar = shingle, similar
 
-    def items(self, batch: pa.RecordBatch) -> tuple[list[str], dict[int, frozenset[str]]]:
-        return batch.column("line").to_pylist(), {}
+    def items(self, batch: pa.RecordBatch) -> ShingleSets:
+        return ShingleSets(batch.column("line").to_pylist(), self.shingle)
 
-    def to_many(self, items, one: int, many: np.ndarray) -> np.ndarray:
-        mine, (least, most) = self._set(items, one), self.similar
-        found = np.zeros(len(many), bool)
-        for k, other in enumerate(many):
-            its = self._set(items, int(other))
-            if min(len(mine), len(its)) * most >= least * max(len(mine), len(its)):
-                both = len(mine & its)
-                found[k] = both * most >= least * (len(mine) + len(its) - both)
-        return found
+    def to_many(self, items: ShingleSets, one: int, many: np.ndarray) -> np.ndarray:
+        least, most = self.similar
+        both, mine, its = items.shared(one, many)
+        return both * most >= least * (mine + its - both)
 
-    def _set(self, items, i: int) -> frozenset[str]:
-        lines, sets = items
-        if i not in sets:
-            line = lines[i]
-            sets[i] = frozenset(line[a : a + self.shingle] for a in range(len(line) - self.shingle + 1))
-        return sets[i]
+
+class ShingleSets:
+    """The sets of shingles of some lines, as numbers given to the shingles of these lines."""
+
+    def __init__(self, lines: list[str], shingle: int) -> None:
+        self.lines, self.shingle = lines, shingle
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.sets: dict[int, np.ndarray] = {}
+
+    def _of(self, i: int) -> np.ndarray:
+        made = self.sets.get(i)
+        if made is None:
+            line, number = self.lines[i], self.numbers
+            shingles = {line[a : a + self.shingle] for a in range(len(line) - self.shingle + 1)}
+            made = self.sets[i] = np.array([number.setdefault(s, len(number)) for s in shingles], np.int64)
+        return made
+
+    def shared(self, one: int, many: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
+        """(shared shingles with each of many, size of one's set, sizes of theirs)."""
+        if len(self.numbers) > HELD_SHINGLES:
+            self._forget()
+        mine, its = self._of(one), [self._of(int(i)) for i in many]
+        sizes = np.array([len(x) for x in its])
+        mark = np.zeros(len(self.numbers), np.int64)
+        mark[mine] = 1
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])  # no line is without a shingle
+        return np.add.reduceat(mark[np.concatenate(its)], starts), len(mine), sizes
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -138,25 +161,76 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(whole).alias("ident"), whole.alias("text"))
 
 
-def _split(text: str | None) -> list[str]:
-    return [normal(line) for line in (text or "").split("\n")]
+def _line_table(rows: DataFrame, shingle: int) -> DataFrame:
+    """One pass over the texts, kept: rows of documents (key, ident, n_lines, places, ids) and rows of
+    lines (line_id, line, bands), each line at least once, with bands if it has a shingle."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            start = 0
+            for split in _groups(batch.column("text")):
+                places = [[n for n, line in enumerate(lines) if line] for lines in split]
+                ids = [[_line_id(line) for line in lines if line] for lines in split]
+                texts = {i: line for own, lines in zip(ids, split, strict=True)
+                         for i, line in zip(own, filter(None, lines), strict=True)
+                         if len(line) >= shingle and i not in seen}
+                if len(seen) > SEEN:
+                    seen = set()
+                seen |= texts.keys()
+                bands = band_keys(signatures(list(texts.values()), shingle)).view(np.int64)
+                documents = {
+                    "key": batch.column("key").slice(start, len(split)),
+                    "ident": batch.column("ident").slice(start, len(split)),
+                    "n_lines": pa.array([len(lines) for lines in split], pa.int32()),
+                    "places": pa.array(places, pa.list_(pa.int32())),
+                    "ids": pa.array(ids, pa.list_(pa.int64())),
+                }
+                lines = {
+                    "line_id": pa.array(list(texts), pa.int64()),
+                    "line": pa.array(list(texts.values()), pa.string()),
+                    "bands": pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel())
+                    ),
+                }
+                start += len(split)
+                for mine, others in ((documents, lines), (lines, documents)):
+                    size = len(next(iter(mine.values())))
+                    blank = {name: pa.nulls(size, column.type) for name, column in others.items()}
+                    row = mine | blank
+                    yield pa.RecordBatch.from_pydict({name: row[name] for name in [*documents, *lines]})
 
-def _candidates(rows: DataFrame, shingle: int) -> DataFrame:
-    """(bucket, id): lines that agree in a band; bands with the same lines make one bucket."""
+    kind = rows.schema["key"].dataType.simpleString()
+    return keep(
+        rows.mapInArrow(
+            run,
+            f"key {kind}, ident long, n_lines int, places array<int>, ids array<long>, "
+            "line_id long, line string, bands array<long>",
+        ),
+        "lines",
+    )
 
-    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = sorted({line for text in batch.column("text") for line in _split(text.as_py()) if len(line) >= shingle})
-            if lines:
-                keys = band_keys(signatures(lines, shingle)).view(np.int64)
-                ids = np.repeat(np.array([_line_id(line) for line in lines]), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], ["band", "id"])
 
-    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _groups(column: pa.Array) -> Iterator[list[list[str]]]:
+    """The normal lines of the texts, of a limited number of characters at once."""
+    held: list[list[str]] = []
+    size = 0
+    for value in column:
+        text = value.as_py() or ""
+        held.append([normal(line) for line in text.split("\n")])
+        size += len(text)
+        if size >= SEGMENT:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _candidates(lines: DataFrame) -> DataFrame:
+    """(bucket, id): lines that agree in a band; bands with the same lines make one bucket."""
+    spread = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        rows.select("text")
-        .mapInArrow(bands, "band long, id long")
+        lines.select(F.explode("bands").alias("band"), F.col("line_id").alias("id"))
         .repartition(spread, "band")
         .sortWithinPartitions("band", "id")
         .mapInArrow(sharing, "bucket long, id long")
@@ -201,23 +275,15 @@ def _named(band: np.ndarray, ids: np.ndarray, long: np.int64 | None) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(band), pa.array(ids)], ["bucket", "id"])
 
 
-def line_components(rows: DataFrame, shingle: int, similar: tuple[int, int]) -> DataFrame:
-    """(id, component) for different lines that have a similar one."""
-    members = keep(_candidates(rows, shingle), "line-buckets")
+def line_components(lines: DataFrame, shingle: int, similar: tuple[int, int]) -> DataFrame:
+    """(id, component) for different lines that have a similar one; lines: (line_id, line, bands)."""
+    members = keep(_candidates(lines), "line-buckets")
     wanted = members.select("id").distinct()
     if wanted.count() <= SENT_IDS:
         wanted = F.broadcast(wanted)
-
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = sorted({line for text in batch.column("text") for line in _split(text.as_py()) if len(line) >= shingle})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_line_id(line) for line in lines], pa.int64()), pa.array(lines, pa.string())], ["id", "line"]
-            )
-
-    lines = rows.select("text").mapInArrow(texts, "id long, line string").join(wanted, "id", "left_semi")
-    lines = keep(lines.groupBy("id").agg(F.first("line").alias("line")), "lines")
-    return components(bucket_links(members, SimilarLines(shingle, similar), lines, BLOCK))
+    texts = lines.select(F.col("line_id").alias("id"), "line").join(wanted, "id", "left_semi")
+    texts = keep(texts.groupBy("id").agg(F.first("line").alias("line")), "line-texts")
+    return components(bucket_links(members, SimilarLines(shingle, similar), texts, BLOCK))
 
 
 def removed_lines(
@@ -233,26 +299,8 @@ def removed_lines(
     """
     rows = _rows(docs, key, text)
 
-    def line_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            split = [_split(value.as_py()) for value in batch.column("text")]
-            places = [[n for n, line in enumerate(lines) if line] for lines in split]
-            ids = [[_line_id(line) for line in lines if line] for lines in split]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key"),
-                    batch.column("ident"),
-                    pa.array([len(lines) for lines in split], pa.int32()),
-                    pa.array(places, pa.list_(pa.int32())),
-                    pa.array(ids, pa.list_(pa.int64())),
-                ],
-                ["key", "ident", "n_lines", "places", "ids"],
-            )
-
-    kind = rows.schema["key"].dataType.simpleString()
-    found = keep(
-        rows.mapInArrow(line_ids, f"key {kind}, ident long, n_lines int, places array<int>, ids array<long>"), "line-ids"
-    )
+    made = _line_table(rows, shingle)
+    found = made.where("n_lines is not null").select("key", "ident", "n_lines", "places", "ids")
     copies = found.withColumn("copy", F.row_number().over(Window.partitionBy("key", "ident").orderBy("n_lines")))
     lines = (
         copies.where("copy = 1")
@@ -261,7 +309,7 @@ def removed_lines(
     )
     order = F.struct(F.col("key").isNull().alias("no_key"), "key", "ident", "place")
     known = keep(lines.groupBy("id").agg(F.min(order).alias("first"), F.count("*").alias("n")), "line-firsts")
-    linked = line_components(rows, shingle, similar)
+    linked = line_components(made.where("line_id is not null"), shingle, similar)
     best = linked.join(known, "id").groupBy("component").agg(F.min("first").alias("best"))
     best = linked.join(best, "component").select("id", "best")
     # Only lines that occur twice or have a similar one matter from here on.

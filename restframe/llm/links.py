@@ -1,13 +1,15 @@
 """Links between items that share a bucket, and connected components of links, at any skew.
 
 Items that share a bucket are candidates; ``near`` decides. What is wanted is connectivity, so only
-a spanning forest of the links of a bucket is written, and only pairs that are not yet connected are
-looked at: no pairs of a group are ever listed. A bucket of up to ``block`` items is one piece of
-work. A larger one is first held against one of its items, its leader, which settles a group of near
-copies in one pass; the items that are not linked to the leader are then compared with each other
-and with the others in blocks, each pair of blocks being one piece of work. So every pair of a
-bucket is compared or known to be connected, whatever its size, and no task holds more than two
-blocks.
+a spanning forest of the links of a bucket is written, and only pairs that are not yet known to be
+connected are looked at: no pairs of a group are ever listed.
+
+First every bucket is held against one of its items, its leader, which settles a group of near
+copies in one pass, and the components of these links are found. Buckets whose items now all lie in
+one component are done. In the others items of different components are compared: a bucket of up to
+``block`` items as one piece of work, a larger one in blocks, where the items connected to the leader
+need no comparison with each other. So every pair of a bucket is compared or known to be connected,
+whatever the bucket's size, and no task holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -18,13 +20,15 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from restframe.llm.base import keep
 
 #: Items of a bucket that are compared in one piece of work.
 BLOCK = 1024
+#: Pairs of one item that are decided before what they connect is taken into account.
+ASKED = 64
 
 
 class Near(Protocol):
@@ -66,23 +70,32 @@ def _one(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
-def forest(left: np.ndarray, right: np.ndarray, linked: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+def forest(
+    left: np.ndarray,
+    right: np.ndarray,
+    linked: Callable[[int, np.ndarray], np.ndarray],
+    group: np.ndarray | None = None,
+) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the links between two sets of positions (or within one, given twice).
 
-    ``linked`` is asked only about positions that are not yet connected.
+    ``linked`` is asked, for a few positions at once, only about those that are not yet connected;
+    positions with the same number in ``group`` are connected from the start.
     """
     size = int(max(left.max(initial=-1), right.max(initial=-1))) + 1
-    group, edges, within = np.arange(size), [], left is right
+    group = np.arange(size) if group is None else np.unique(group, return_inverse=True)[1]
+    edges, within = [], left is right
     for at, one in enumerate(left):
         many = right[at + 1 :] if within else right
-        many = many[group[many] != group[one]]
-        if not len(many):
-            continue
-        hit = many[linked(int(one), many)]
-        if len(hit):
-            names, first = np.unique(group[hit], return_index=True)
-            edges += [(int(one), int(hit[i])) for i in first]
-            group[np.isin(group, names)] = group[one]
+        while True:
+            many = many[group[many] != group[one]]
+            if not len(many):
+                break
+            part, many = many[:ASKED], many[ASKED:]
+            hit = part[linked(int(one), part)]
+            if len(hit):
+                names, first = np.unique(group[hit], return_index=True)
+                edges += [(int(one), int(hit[i])) for i in first]
+                group[np.isin(group, names)] = group[one]
     return edges
 
 
@@ -97,73 +110,17 @@ def bucket_links(members: DataFrame, near: Near, payload: DataFrame | None = Non
     ``payload`` has for each id once what ``near`` needs besides the id. Both are read several times.
     Repeated edges are possible.
     """
-    extra = [c for c in payload.columns if c != "id"] if payload is not None else []
-
-    def loaded(rows: DataFrame) -> DataFrame:
-        return rows.join(payload, "id") if payload is not None else rows
-
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1")
-    rows = members.join(sizes, "bucket")
-
-    large = loaded(rows.where(F.col("n") > block))
-    leaders = large.where("id = lead").select("bucket", *[F.col(c).alias(f"lead_{c}") for c in extra])
-
-    def against_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            own = batch.select(["id", *extra])
-            heads = pa.RecordBatch.from_arrays(
-                [batch.column("lead"), *(batch.column(f"lead_{c}") for c in extra)], schema=own.schema
-            )
-            items = near.items(_one([own, heads]))
-            hit = [bool(near.to_many(items, i, np.array([n + i]))[0]) for i in range(n)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.select(["bucket", "id", "lead"]).columns, pa.array(hit, pa.bool_())], ["bucket", "id", "lead", "hit"]
-            )
-
-    led = large.join(leaders, "bucket") if extra else large
-    judged = keep(led.mapInArrow(against_leader, "bucket long, id long, lead long, hit boolean"), "leaders")
-    led_edges = judged.where("hit and id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v"))
-
-    # What the leader has not settled: blocks of the rest against each other and against the linked ones.
-    split = (
-        judged.groupBy("bucket")
-        .agg(F.count_if("hit").alias("n_hit"), F.count_if(~F.col("hit")).alias("n_rest"))
-        .where("n_rest > 0")
-        .select(
-            "bucket",
-            F.ceil(F.col("n_hit") / block).cast("int").alias("hit_blocks"),
-            F.ceil(F.col("n_rest") / block).cast("int").alias("rest_blocks"),
-        )
-    )
-    blocks = F.when(F.col("hit"), F.col("hit_blocks")).otherwise(F.col("rest_blocks"))
-    numbered = judged.join(split, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-
-    def cell(row, col, side):
-        return F.struct(row.cast("int").alias("row"), col.cast("int").alias("col"), side.cast("int").alias("side"))
-
-    own, rest = F.col("own"), F.sequence(F.lit(0), F.col("rest_blocks") - 1)
-    to_rest = F.transform(rest, lambda i: cell(F.least(i, own), F.greatest(i, own), own > i))
-    to_hit = F.transform(F.sequence(F.lit(0), F.col("hit_blocks") - 1), lambda j: cell(own, -1 - j, F.lit(0)))
-    from_hit = F.transform(rest, lambda i: cell(i, -1 - own, F.lit(1)))
-    cells = F.when(F.col("hit"), from_hit).otherwise(F.concat(to_rest, to_hit))
-    wide = numbered.select("bucket", F.explode(cells).alias("cell"), "id").select(
-        "bucket", "cell.row", "cell.col", "cell.side", "id"
-    )
-    nought = F.lit(0)
-    whole = rows.where(F.col("n") <= block).select(
-        "bucket", nought.alias("row"), nought.alias("col"), nought.alias("side"), "id"
-    )
+    cell_keys = ["bucket", "row", "col"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u: list[int] = []
         v: list[int] = []
-        for run in runs(batches, ["bucket", "row", "col"]):
+        for run in runs(batches, cell_keys):
             ids, side = run.column("id").to_numpy(), run.column("side").to_numpy()
-            items = near.items(run)
             left = np.flatnonzero(side == 0)
             right = left if run.column("row")[0] == run.column("col")[0] else np.flatnonzero(side == 1)
-            for a, b in forest(left, right, partial(near.to_many, items)):
+            asked = partial(near.to_many, near.items(run))
+            for a, b in forest(left, right, asked, run.column("known").to_numpy()):
                 u.append(int(ids[a]))
                 v.append(int(ids[b]))
             if len(u) >= 1 << 16:
@@ -172,13 +129,62 @@ def bucket_links(members: DataFrame, near: Near, payload: DataFrame | None = Non
         yield _edge_batch(u, v)
 
     places = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    compared = (
-        loaded(whole.unionByName(wide))
-        .repartition(places, "bucket", "row", "col")
-        .sortWithinPartitions("bucket", "row", "col", "side", "id")
-        .mapInArrow(compare, "u long, v long")
+
+    def compared(cells: DataFrame) -> DataFrame:
+        """Cells: bucket, row, col, side, id, and known, the component so far."""
+        loaded = cells.join(payload, "id") if payload is not None else cells
+        return (
+            loaded.repartition(places, *cell_keys)
+            .sortWithinPartitions(*cell_keys, "side", "id")
+            .mapInArrow(compare, "u long, v long")
+        )
+
+    def cell(row: Column, col: Column, side: Column) -> Column:
+        return F.struct(row.cast("int").alias("row"), col.cast("int").alias("col"), side.cast("int").alias("side"))
+
+    def spread(rows: DataFrame, cells: Column, known: Column) -> DataFrame:
+        wide = rows.select("bucket", F.explode(cells).alias("cell"), "id", known.alias("known"))
+        return wide.select("bucket", "cell.row", "cell.col", "cell.side", "id", "known")
+
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1")
+    rows = keep(members.join(sizes, "bucket"), "members")
+
+    # The leader goes to every block of its bucket; row and col differ, so sides are compared.
+    nought = F.lit(0)
+    parts = F.ceil(F.col("n") / block)
+    is_lead = F.col("id") == F.col("lead")
+    blocks = F.transform(F.sequence(F.lit(1), parts), lambda i: cell(nought, i, nought))
+    mine = F.array(cell(nought, F.pmod(F.xxhash64("id"), parts) + 1, F.lit(1)))
+    first = keep(compared(spread(rows, F.when(is_lead, blocks).otherwise(mine), F.col("id"))), "leaders")
+
+    known = components(first)
+    label = F.coalesce("component", "id")
+    rows = rows.join(known, "id", "left").select("bucket", "id", "lead", label.alias("label"))
+    open_ = (
+        rows.groupBy("bucket")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.when(is_lead, F.col("label"))).alias("main"))
+        .where("low <> high")
+        .select("bucket", "main")
+    )
+    rows = keep(rows.join(open_, "bucket").select("bucket", "id", "label", (F.col("label") == F.col("main")).alias("hit")), "open")
+    split = rows.groupBy("bucket").agg(F.count_if("hit").alias("n_hit"), F.count_if(~F.col("hit")).alias("n_rest")).select(
+        "bucket",
+        (F.col("n_hit") + F.col("n_rest") <= block).alias("small"),
+        F.ceil(F.col("n_hit") / block).cast("int").alias("hit_blocks"),
+        F.ceil(F.col("n_rest") / block).cast("int").alias("rest_blocks"),
+    )
+    number = F.when(F.col("hit"), F.col("hit_blocks")).otherwise(F.col("rest_blocks"))
+    numbered = rows.join(split, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), number).cast("int"))
+    own, rest = F.col("own"), F.sequence(nought, F.col("rest_blocks") - 1)
+    to_rest = F.transform(rest, lambda i: cell(F.least(i, own), F.greatest(i, own), own > i))
+    to_hit = F.transform(F.sequence(nought, F.col("hit_blocks") - 1), lambda j: cell(own, -1 - j, nought))
+    from_hit = F.transform(rest, lambda i: cell(i, -1 - own, F.lit(1)))
+    cells = (
+        F.when(F.col("small"), F.array(cell(nought, nought, nought)))
+        .when(F.col("hit"), from_hit)
+        .otherwise(F.concat(to_rest, to_hit))
     )
-    return compared.unionByName(led_edges)
+    return first.unionByName(compared(spread(numbered, cells, F.col("label"))))
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -129,9 +129,13 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     marked = with_fingerprints(rows.select("row", "key", "text"), "text", shingle, "id").drop("text")
     # Stored with a number for each row, so that one of several equal rows can be named.
     marked = keep(marked.withColumn("place", F.monotonically_increasing_id()), "fingerprints")
+    return first_of_components(marked, fingerprint_components(marked.select("id").distinct()))
+
+
+def first_of_components(marked: DataFrame, linked: DataFrame) -> DataFrame:
+    """Of stored rows (row, key, id, place) and components of ids, the first row of each component."""
     order = F.struct(F.col("key").isNull().alias("no_key"), "key", "place")
     prints = marked.groupBy("id").agg(F.min(order).alias("first"))
-    linked = fingerprint_components(prints.select("id"))
     chosen = (
         prints.join(linked, "id", "left")
         .groupBy(F.coalesce("component", "id").alias("component"))

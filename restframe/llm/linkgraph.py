@@ -3,8 +3,12 @@
 Rules judge the urls they fit. The hosts they judge are the seeds: of a host, the share of pages that
 rules allow is trust, the share that they block is distrust. Trust flows along links from host to
 host (personalised PageRank from the trusted seeds), distrust against them (from the blocked seeds
-to those that link to them). A host whose distrust exceeds its trust by a margin is blocked; its
-verdict holds for the pages that no rule fits.
+to those that link to them). Both are divided among all that a host hands them to, so they tell how
+much a host has of what there is, and shrink as the graph grows. What judges a host are shares of its
+own links, which do not: blame, the share of the links it has that lead to blamed hosts, and credit,
+the share of the links to it that come from credited hosts, both damped and started from the same
+seeds. A host whose blame exceeds its credit by a margin is blocked; its verdict holds for the pages
+that no rule fits.
 """
 
 from __future__ import annotations
@@ -18,7 +22,8 @@ DAMPING = 0.85
 ROUNDS = 30
 #: Largest change of a score at which the propagation has settled.
 SETTLED = 1e-9
-#: Scores are at most 1; an unlinked host of which a share s is blocked has distrust 0.15 s.
+#: Blame and credit are at most 1; an unlinked host of which a share s is blocked has blame 0.15 s, one
+#: that links to nothing but wholly blocked hosts 0.1275, however many others do.
 MARGIN = 0.075
 #: The rules of the query.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -65,7 +70,7 @@ def rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) from ``edges`` (src, dst, n) and ``seeds`` (host, trust, distrust).
+    """(host, trust, distrust, credit, blame) from ``edges`` (src, dst, n) and ``seeds`` (host, trust, distrust).
 
     Links of a host to itself carry nothing. Every round is written to the shared folder.
     """
@@ -85,35 +90,45 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         (F.coalesce("distrust", F.lit(0.0)) * (1 - damping)).alias("base_distrust"),
     )
     base = keep(base, "seeds")
-    now = base.select("host", F.col("base_trust").alias("trust"), F.col("base_distrust").alias("distrust"))
+    scored = ("trust", "distrust", "credit", "blame")
+    seeded = {"trust": "base_trust", "distrust": "base_distrust", "credit": "base_trust", "blame": "base_distrust"}
+    now = base.select("host", *[F.col(seeded[x]).alias(x) for x in scored])
     if flows.isEmpty():
         return now
+    nothing = F.lit(0.0)
     for _ in range(rounds):
-        scores = now.select("host", "trust", "distrust")
+        scores = now.select("host", *scored)
+        # Divided among the links a host has, or taken as a share of the links the other one has.
         forth = flows.join(scores, flows.src == scores.host).select(
-            F.col("dst").alias("host"), (F.col("trust") * F.col("forth")).alias("t"), F.lit(0.0).alias("d")
+            F.col("dst").alias("host"),
+            (F.col("trust") * F.col("forth")).alias("trust"),
+            nothing.alias("distrust"),
+            (F.col("credit") * F.col("back")).alias("credit"),
+            nothing.alias("blame"),
         )
         back = flows.join(scores, flows.dst == scores.host).select(
-            F.col("src").alias("host"), F.lit(0.0).alias("t"), (F.col("distrust") * F.col("back")).alias("d")
+            F.col("src").alias("host"),
+            nothing.alias("trust"),
+            (F.col("distrust") * F.col("back")).alias("distrust"),
+            nothing.alias("credit"),
+            (F.col("blame") * F.col("forth")).alias("blame"),
         )
-        got = forth.unionByName(back).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        old = scores.select("host", F.col("trust").alias("old_trust"), F.col("distrust").alias("old_distrust"))
+        got = forth.unionByName(back).groupBy("host").agg(*[F.sum(x).alias(f"got_{x}") for x in scored])
+        old = scores.select("host", *[F.col(x).alias(f"old_{x}") for x in scored])
         now = keep(
             base.join(got, "host", "left")
             .join(old, "host")
             .select(
                 "host",
-                (F.col("base_trust") + F.lit(damping) * F.coalesce("t", F.lit(0.0))).alias("trust"),
-                (F.col("base_distrust") + F.lit(damping) * F.coalesce("d", F.lit(0.0))).alias("distrust"),
-                "old_trust",
-                "old_distrust",
+                *[(F.col(seeded[x]) + F.lit(damping) * F.coalesce(f"got_{x}", nothing)).alias(x) for x in scored],
+                *[f"old_{x}" for x in scored],
             ),
             "scores",
         )
-        change = F.greatest(F.abs(F.col("trust") - F.col("old_trust")), F.abs(F.col("distrust") - F.col("old_distrust")))
+        change = F.greatest(*[F.abs(F.col(x) - F.col(f"old_{x}")) for x in scored])
         if now.agg(F.max(change)).first()[0] <= SETTLED:
             break
-    return now.select("host", "trust", "distrust")
+    return now.select("host", *scored)
 
 
 def judge(
@@ -158,7 +173,7 @@ def judge(
     )
     links = parsed.select("host", F.explode("links").alias("dst")).groupBy(F.col("host").alias("src"), "dst")
     scores = propagate(links.agg(F.count("*").alias("n")).where("src <> '' and dst <> ''"), seeds, DAMPING)
-    verdict = F.when(F.col("distrust") - F.col("trust") > margin, "block").otherwise("allow")
+    verdict = F.when(F.col("blame") - F.col("credit") > margin, "block").otherwise("allow")
     return ruled.join(scores, "host", "left").select(
         F.col("key").alias(key), "host", "path", "rule", F.coalesce("verdict", verdict).alias("verdict"), "trust", "distrust"
     )

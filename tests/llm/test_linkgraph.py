@@ -85,6 +85,17 @@ def test_judged_like_brute_force(spark):
     assert verdicts[8] == (None, "block")
 
 
+def test_many_hosts_that_link_to_one_blocked_host(spark):
+    rows = [(0, "http://bad.net/", None), (1, "http://x.org/fr/", link(*[f"good{i}.info" for i in range(40)]))]
+    rows += [(100 + i, f"http://farm{i}.info/", link("bad.net")) for i in range(60)]
+    # Known by a trusted host, or with few of its links to blocked ones.
+    rows += [(200 + i, f"http://good{i}.info/", link("bad.net", "a.info")) for i in range(40)]
+    rows += [(300 + i, f"http://far{i}.info/", link("bad.net", "a.info", "b.info", "c.info")) for i in range(20)]
+    verdicts = {r.page_id: r.verdict for r in run(spark, rows)}
+    assert {verdicts[100 + i] for i in range(60)} == {"block"}
+    assert {verdicts[200 + i] for i in range(40)} | {verdicts[300 + i] for i in range(20)} == {"allow"}
+
+
 def test_first_scheme_mark_counts(one):
     assert one(linkgraph.host_of(F.col("u")), u="x?a://B.c\n/d://e") == "b.c\n"
     assert one(linkgraph.path_of(F.col("u")), u="x://b/Ä b#c?d") == "/Ä b"

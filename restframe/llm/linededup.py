@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 from restframe.llm.base import keep, query, table
 from restframe.llm.links import bucket_links, components, runs
 
-#: Characters of a shingle. Words here are made of few syllables: eight characters keep unrelated
-#: lines below a similarity of 0.1, five do not.
-SHINGLE = 8
+#: Characters of a shingle. One changed character breaks as many shingles, so that with five a line of 49
+#: characters keeps a similarity of 0.8; unrelated lines are left to the bands and the exact comparison.
+SHINGLE = 5
 #: Similarity as a ratio of integers, so that the comparison is exact.
 SIMILAR = (4, 5)
-PASSES, BINS, ROWS = 3, 16, 4
-#: 12 bands of 4 rows find a pair at similarity 0.8 with probability 0.998, at 0.9 with 0.99999.
+PASSES, BINS, ROWS = 4, 20, 5
+#: 16 bands of 5 rows find a pair at similarity 0.8 with probability 0.998, at 0.9 with 0.999999.
 BANDS = PASSES * BINS // ROWS
 #: Characters for which hashes are held at once.
 SEGMENT = 1 << 20
@@ -163,7 +163,7 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def _line_table(rows: DataFrame, shingle: int) -> DataFrame:
     """One pass over the texts, kept: rows of documents (key, ident, n_lines, places, ids) and rows of
-    lines (line_id, line, bands), each line at least once, with bands if it has a shingle."""
+    lines (line_id, line), each line that has a shingle at least once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -178,7 +178,6 @@ def _line_table(rows: DataFrame, shingle: int) -> DataFrame:
                 if len(seen) > SEEN:
                     seen = set()
                 seen |= texts.keys()
-                bands = band_keys(signatures(list(texts.values()), shingle)).view(np.int64)
                 documents = {
                     "key": batch.column("key").slice(start, len(split)),
                     "ident": batch.column("ident").slice(start, len(split)),
@@ -189,9 +188,6 @@ def _line_table(rows: DataFrame, shingle: int) -> DataFrame:
                 lines = {
                     "line_id": pa.array(list(texts), pa.int64()),
                     "line": pa.array(list(texts.values()), pa.string()),
-                    "bands": pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel())
-                    ),
                 }
                 start += len(split)
                 for mine, others in ((documents, lines), (lines, documents)):
@@ -205,7 +201,7 @@ def _line_table(rows: DataFrame, shingle: int) -> DataFrame:
         rows.mapInArrow(
             run,
             f"key {kind}, ident long, n_lines int, places array<int>, ids array<long>, "
-            "line_id long, line string, bands array<long>",
+            "line_id long, line string",
         ),
         "lines",
     )
@@ -226,11 +222,24 @@ def _groups(column: pa.Array) -> Iterator[list[list[str]]]:
         yield held
 
 
-def _candidates(lines: DataFrame) -> DataFrame:
-    """(bucket, id): lines that agree in a band; bands with the same lines make one bucket."""
+def _candidates(lines: DataFrame, shingle: int) -> DataFrame:
+    """(bucket, id): lines that agree in a band; bands with the same lines make one bucket.
+
+    Signatures are made here, so that they are shuffled and not stored as well.
+    """
+
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                keys = band_keys(signatures(part.column("line").to_pylist(), shingle)).view(np.int64)
+                ids = np.repeat(part.column("line_id").to_numpy(), BANDS)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], ["band", "id"])
+
     spread = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        lines.select(F.explode("bands").alias("band"), F.col("line_id").alias("id"))
+        lines.select("line_id", "line")
+        .mapInArrow(banded, "band long, id long")
         .repartition(spread, "band")
         .sortWithinPartitions("band", "id")
         .mapInArrow(sharing, "bucket long, id long")
@@ -276,8 +285,8 @@ def _named(band: np.ndarray, ids: np.ndarray, long: np.int64 | None) -> pa.Recor
 
 
 def line_components(lines: DataFrame, shingle: int, similar: tuple[int, int]) -> DataFrame:
-    """(id, component) for different lines that have a similar one; lines: (line_id, line, bands)."""
-    members = keep(_candidates(lines), "line-buckets")
+    """(id, component) for different lines that have a similar one; lines: (line_id, line)."""
+    members = keep(_candidates(lines, shingle), "line-buckets")
     wanted = members.select("id").distinct()
     if wanted.count() <= SENT_IDS:
         wanted = F.broadcast(wanted)

@@ -104,6 +104,16 @@ def test_long_bands_are_named_once(monkeypatch):
     assert sorted(map(sorted, out.groupby("bucket").id.apply(list))) == [[*range(40)], [1, 2], [3, 4]]
 
 
+def test_one_changed_character_in_lines_of_sixty(spark):
+    rng, rows = random.Random(8), []
+    for i in range(60):
+        line = "".join(rng.choice("abcdefghij klmnop") for _ in range(62)).strip("ab ").ljust(60, "x")
+        at = rng.randrange(6, len(line) - 6)
+        rows += [(i, line), (1000 + i, line[:at] + "Q" + line[at + 1 :])]
+    got = {r.key: list(r.removed) for r in linededup.removed_lines(frame(spark, rows)).collect()}
+    assert got == {key: [0] if key >= 1000 else [] for key, _ in rows}
+
+
 def test_no_rows(spark):
     assert linededup.removed_lines(frame(spark, [])).collect() == []
     assert linededup.deduplicate_lines(frame(spark, [])).collect() == []

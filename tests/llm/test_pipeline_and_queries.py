@@ -83,7 +83,7 @@ def test_empty_table(spark):
 def test_all_are_registered():
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(ORACLES) <= set(entry.oracle_sql())
 
 

@@ -5,8 +5,9 @@ documents gets a signature; lines whose signatures agree in a band are candidate
 by the exact Jaccard similarity of their shingle sets. Connected components of verified links are
 found by Spark, and of each component, and of equal lines, the first occurrence stays.
 
-A signature has ``PASSES`` independent hash functions, each with ``BINS`` bins that keep their least
-value (one-permutation MinHash); an empty bin takes the value of the next one that is not.
+A signature comes from one hash function with ``BINS`` bins that keep their least value
+(one-permutation MinHash); an empty bin takes the value of another one, drawn by hash until one is
+found that is not empty (optimal densification), so that short lines are not alike in neighbouring bins.
 """
 
 from __future__ import annotations
@@ -17,33 +18,37 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from restframe.llm.base import keep, query, table
-from restframe.llm.links import bucket_links, components, runs
+from restframe.llm.links import bucket_links, components
+from restframe.operators.skew import salted_join
 
 #: Characters of a shingle. One changed character breaks as many shingles, so that with five a line of 49
 #: characters keeps a similarity of 0.8; unrelated lines are left to the bands and the exact comparison.
 SHINGLE = 5
 #: Similarity as a ratio of integers, so that the comparison is exact.
 SIMILAR = (4, 5)
-PASSES, BINS, ROWS = 4, 20, 5
-#: 16 bands of 5 rows find a pair at similarity 0.8 with probability 0.998, at 0.9 with 0.999999.
-BANDS = PASSES * BINS // ROWS
+BINS, ROWS = 108, 6
+#: 18 bands of 6 rows find a pair at similarity 0.8 with probability 0.996, at 0.9 with 0.999999, and one at 0.3
+#: with 0.01 (16 bands of 5 rows: 0.04), so that few unrelated lines are compared.
+BANDS = BINS // ROWS
 #: Characters for which hashes are held at once.
 SEGMENT = 1 << 20
 #: Candidates of one bucket compared in one piece of work.
 BLOCK = 256
 #: Ids of candidate lines that may be sent to all executors (a few dozen MB); above, they are joined by a shuffle.
 SENT_IDS = 1_000_000
-#: Different shingles of the lines of a block that are held (a hundred bytes each) before they are made anew.
-HELD_SHINGLES = 1_000_000
+#: Shingles of the lines of a block that are held (8 bytes each) before they are made anew.
+HELD_SHINGLES = 4_000_000
 #: Lines remembered in a task, so that a common one is not written again and again.
 SEEN = 200_000
 #: Lines of one band held in memory.
 LONG_RUN = 1 << 18
-EMPTY = np.uint64(2**64 - 1)
+EMPTY = np.uint32(2**32 - 1)
+#: Draws of another bin; a bin still empty then takes the first that is not.
+DRAWS = 64
 
 
 def normal(line: str) -> str:
@@ -66,8 +71,8 @@ def _windows(codes: np.ndarray, size: int) -> np.ndarray:
 
 
 def signatures(lines: list[str], shingle: int = SHINGLE) -> np.ndarray:
-    """A row of PASSES * BINS values for each line; lines must have a shingle at least."""
-    made = np.full(len(lines) * PASSES * BINS, EMPTY)
+    """A row of BINS values for each line; lines must have a shingle at least."""
+    made = np.full(len(lines) * BINS, EMPTY)
     step = SEGMENT - shingle + 1
     parts = [(i, line[a : a + SEGMENT]) for i, line in enumerate(lines) for a in range(0, len(line) - shingle + 1, step)]
     at = 0
@@ -78,27 +83,37 @@ def signatures(lines: list[str], shingle: int = SHINGLE) -> np.ndarray:
             upto += 1
         codes = np.frombuffer("\n".join(t for _, t in parts[at:upto]).encode("utf-32-le"), "<u4").astype(np.uint64)
         lengths = np.array([len(t) for _, t in parts[at:upto]])
-        counts = lengths - shingle + 1
-        starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-        take = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-        hashed = _windows(codes, shingle)[take]
-        slot = np.repeat(np.array([i for i, _ in parts[at:upto]]) * (PASSES * BINS), counts)
-        for p in range(PASSES):
-            x = _mixed(hashed ^ np.uint64(0xD6E8FEB86659FD93 * (p + 1) % 2**64))
-            np.minimum.at(made, slot + (p * BINS + (x % np.uint64(BINS)).astype(np.int64)), x >> np.uint64(4))
+        # Of the runs that reach into the next line none is taken; there are shingle of them after each line.
+        own = np.repeat(np.array([i for i, _ in parts[at:upto]], np.int64) * BINS, lengths + 1)[: len(codes) - shingle + 1]
+        ends = np.cumsum(lengths + 1)[:-1]
+        inside = np.ones(len(own), bool)
+        for back in range(1, shingle + 1):
+            inside[ends - back] = False
+        x = _mixed(_windows(codes, shingle)[inside])
+        bins = ((x >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)
+        np.minimum.at(made, own[inside] + bins.astype(np.int64), x.astype(np.uint32))
         at = upto
-    made = made.reshape(-1, PASSES, BINS)
-    filled = made.copy()
-    for t in range(1, BINS):
-        lent = np.roll(made, -t, axis=2)
-        use = (filled == EMPTY) & (lent != EMPTY)
-        filled[use] = lent[use] + np.uint64(t * 0x9E3779B97F4A7C15 % 2**64)
-    return filled.reshape(-1, PASSES * BINS)
+    return _filled(made.reshape(-1, BINS))
+
+
+def _filled(made: np.ndarray) -> np.ndarray:
+    """Empty bins take the value of the bin drawn for them first that is not empty, alike in all lines."""
+    line, place = np.nonzero(made == EMPTY)
+    values = made.copy()
+    for t in range(DRAWS):
+        if not len(line):
+            break
+        drawn = _mixed(place.astype(np.uint64) * np.uint64(DRAWS) + np.uint64(t + 1)) % np.uint64(BINS)
+        lent = made[line, drawn.astype(np.int64)]
+        values[line, place] = lent
+        line, place = line[lent == EMPTY], place[lent == EMPTY]
+    values[line, place] = made[line, (made[line] != EMPTY).argmax(axis=1)]
+    return values
 
 
 def band_keys(made: np.ndarray) -> np.ndarray:
     """One 64-bit key for each line and band."""
-    rows = made.reshape(len(made), BANDS, ROWS)
+    rows = made.reshape(len(made), BANDS, ROWS).astype(np.uint64)
     keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2]).copy()
     for r in range(ROWS):
         keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, r])
@@ -125,34 +140,54 @@ class SimilarLines:
 
 
 class ShingleSets:
-    """The sets of shingles of some lines, as numbers given to the shingles of these lines."""
+    """The sets of shingles of some lines, as exact numbers.
+
+    A shingle is a number to the base of the different characters these lines have. Where that does
+    not fit 64 bits, shingles are numbered as they come.
+    """
 
     def __init__(self, lines: list[str], shingle: int) -> None:
         self.lines, self.shingle = lines, shingle
+        alphabet = np.array(sorted(map(ord, set().union(*lines))), np.int64)
+        self.base = max(2, len(alphabet))
+        self.exact = self.base**shingle < 2**63
+        if self.exact:
+            self.digit = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 1, np.int64)
+            self.digit[alphabet] = np.arange(len(alphabet))
         self._forget()
 
     def _forget(self) -> None:
         self.numbers: dict[str, int] = {}
         self.sets: dict[int, np.ndarray] = {}
+        self.held = 0
 
     def _of(self, i: int) -> np.ndarray:
         made = self.sets.get(i)
         if made is None:
-            line, number = self.lines[i], self.numbers
-            shingles = {line[a : a + self.shingle] for a in range(len(line) - self.shingle + 1)}
-            made = self.sets[i] = np.array([number.setdefault(s, len(number)) for s in shingles], np.int64)
+            line, n = self.lines[i], self.shingle
+            if self.exact:
+                digits = self.digit[np.frombuffer(line.encode("utf-32-le"), "<u4")]
+                values = digits[: len(digits) - n + 1]
+                for k in range(1, n):
+                    values = values * self.base + digits[k : len(digits) - n + 1 + k]
+                made = np.unique(values)
+            else:
+                numbers = self.numbers
+                made = np.array(sorted({numbers.setdefault(line[a : a + n], len(numbers)) for a in range(len(line) - n + 1)}), np.int64)
+            self.sets[i] = made
+            self.held += len(made)
         return made
 
     def shared(self, one: int, many: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
         """(shared shingles with each of many, size of one's set, sizes of theirs)."""
-        if len(self.numbers) > HELD_SHINGLES:
+        if self.held > HELD_SHINGLES:
             self._forget()
         mine, its = self._of(one), [self._of(int(i)) for i in many]
         sizes = np.array([len(x) for x in its])
-        mark = np.zeros(len(self.numbers), np.int64)
-        mark[mine] = 1
+        every = np.concatenate(its)
+        found = mine[np.minimum(np.searchsorted(mine, every), len(mine) - 1)] == every
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])  # no line is without a shingle
-        return np.add.reduceat(mark[np.concatenate(its)], starts), len(mine), sizes
+        return np.add.reduceat(found.astype(np.int64), starts), len(mine), sizes
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -292,13 +327,14 @@ def line_components(lines: DataFrame, shingle: int, similar: tuple[int, int]) ->
         wanted = F.broadcast(wanted)
     texts = lines.select(F.col("line_id").alias("id"), "line").join(wanted, "id", "left_semi")
     texts = keep(texts.groupBy("id").agg(F.first("line").alias("line")), "line-texts")
-    return components(bucket_links(members, SimilarLines(shingle, similar), texts, BLOCK))
+    return components(bucket_links(members, SimilarLines(shingle, similar), texts, BLOCK, at_once=True))
 
 
 def removed_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR
 ) -> DataFrame:
-    """One row for each row of ``docs``: key, ident, copy, n_lines, removed (positions from 0, ascending).
+    """One row for each row of ``docs``: key, ident, copy, n_lines, n_filled (lines that are not blank) and
+    removed (positions from 0, ascending).
 
     Lines are the parts of a text between line feeds. Lines that are blank are no duplicates; lines
     shorter than a shingle are duplicates only of equal ones. Of equal or linked lines the first
@@ -324,8 +360,9 @@ def removed_lines(
     # Only lines that occur twice or have a similar one matter from here on.
     again = known.join(best, "id", "left").where("n > 1 or best is not null")
     again = again.select("id", F.coalesce("best", "first").alias("best"))
+    # A line that a large share of the documents has is one id; its rows are spread.
     gone = (
-        lines.join(again, "id")
+        salted_join(lines, again, ["id"], counts=known)
         .where(order != F.col("best"))
         .groupBy(F.col("key").alias("k"), F.col("ident").alias("i"))
         .agg(F.sort_array(F.collect_list("place")).alias("gone"))
@@ -336,6 +373,7 @@ def removed_lines(
         "ident",
         "copy",
         "n_lines",
+        F.size("places").alias("n_filled"),
         F.when(F.col("copy") > 1, F.col("places")).otherwise(F.coalesce("gone", none)).alias("removed"),
     )
 
@@ -353,26 +391,29 @@ def deduplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     A document that loses lines and has nothing but blank lines left goes; one that had none to
     begin with (null, empty, blank) stays as it is. Which lines go: see ``removed_lines``.
     """
-    marks = removed_lines(docs, key, text, **options)
-    marks = marks.select(F.col("key").alias("k"), F.col("ident").alias("i"), F.col("copy").alias("c"), "removed")
+    marks = removed_lines(docs, key, text, **options).where("copy = 1")
     whole = F.col(f"`{text}`")
-    rows = docs.select(
-        F.struct("*").alias("row"), F.col(f"`{key}`").alias("key"), F.xxhash64(whole).alias("ident"), whole.alias("text")
+    # Plain equality of these three, so that one exchange of the texts serves the window and the join.
+    same = ["no_key", "some_key", "ident"]
+
+    def matched(key: Column) -> list[Column]:
+        return [key.isNull().alias("no_key"), F.coalesce(key.cast("string"), F.lit("")).alias("some_key")]
+
+    marks = marks.select(*matched(F.col("key")), "ident", "n_filled", "removed").where(
+        (F.size("removed") > 0) | (F.col("n_filled") > 0)
     )
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("key", "ident").orderBy(F.lit(0))))
-    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("ident") == F.col("i")) & (F.col("copy") == F.col("c"))
-    changed = F.size("removed") > 0
+    rows = docs.select(*matched(F.col(f"`{key}`")), F.xxhash64(whole).alias("ident"), F.struct("*").alias("row"))
+    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0))))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, removed: pd.Series) -> pd.Series:
         return pd.Series([without_lines(*pair) for pair in zip(texts, removed, strict=True)], dtype=object)
 
-    kept = rows.join(marks, same, "left").select(
-        F.when(changed, F.col("row").withField(text, cut("text", "removed"))).otherwise(F.col("row")).alias("row"),
-        changed.alias("changed"),
-    )
-    blank = F.coalesce(F.trim(F.translate(F.col(f"row.`{text}`"), "\t\n\r\x0b\x0c", "     ")), F.lit("")) == ""
-    return kept.where(~(F.coalesce("changed", F.lit(False)) & blank)).select("row.*")
+    # Lines that are not blank go from the first copy as marked, from the others all.
+    n_gone = F.coalesce(F.when(F.col("copy") > 1, F.col("n_filled")).otherwise(F.size("removed")), F.lit(0))
+    kept = rows.join(marks, same, "left").withColumn("n_gone", n_gone).where("n_gone = 0 or n_gone < n_filled")
+    text_left = F.when(F.col("n_gone") > 0, cut(F.col(f"row.`{text}`"), "removed")).otherwise(F.col(f"row.`{text}`"))
+    return kept.select(F.col("row").withField(f"`{text}`", text_left).alias("row")).select("row.*")
 
 
 @query("op3_fuzzy_lines")

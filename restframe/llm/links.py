@@ -103,12 +103,15 @@ def _edge_batch(u: list[int], v: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def bucket_links(members: DataFrame, near: Near, payload: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+def bucket_links(
+    members: DataFrame, near: Near, payload: DataFrame | None = None, block: int = BLOCK, at_once: bool = False
+) -> DataFrame:
     """A spanning forest (u, v) of the links between items that share a bucket.
 
     ``members`` has the columns bucket and id (both long), one row for each item of a bucket;
     ``payload`` has for each id once what ``near`` needs besides the id. Both are read several times.
-    Repeated edges are possible.
+    Repeated edges are possible. With ``at_once`` buckets of up to ``block`` items are compared in one
+    piece of work from the start; that suits many small buckets, of which few lie in one component.
     """
     cell_keys = ["bucket", "row", "col"]
 
@@ -148,9 +151,16 @@ def bucket_links(members: DataFrame, near: Near, payload: DataFrame | None = Non
 
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1")
     rows = keep(members.join(sizes, "bucket"), "members")
+    nought = F.lit(0)
+    done = None
+    if at_once:
+        small = rows.where(F.col("n") <= block)
+        done = keep(compared(spread(small, F.array(cell(nought, nought, nought)), F.col("id"))), "small-buckets")
+        rows = rows.where(F.col("n") > block)
+        if rows.isEmpty():
+            return done
 
     # The leader goes to every block of its bucket; row and col differ, so sides are compared.
-    nought = F.lit(0)
     parts = F.ceil(F.col("n") / block)
     is_lead = F.col("id") == F.col("lead")
     blocks = F.transform(F.sequence(F.lit(1), parts), lambda i: cell(nought, i, nought))
@@ -184,7 +194,8 @@ def bucket_links(members: DataFrame, near: Near, payload: DataFrame | None = Non
         .when(F.col("hit"), from_hit)
         .otherwise(F.concat(to_rest, to_hit))
     )
-    return first.unionByName(compared(spread(numbered, cells, F.col("label"))))
+    links = first.unionByName(compared(spread(numbered, cells, F.col("label"))))
+    return links if done is None else links.unionByName(done)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -23,7 +24,7 @@ from restframe.operators.response import (
     pruned_schema,
 )
 from restframe.operators.skew import salted_join
-from restframe.sources.transport import Transport, spread_calls
+from restframe.sources.transport import Transport, route_calls, spread_calls
 from restframe.spec import LookupSpec
 
 Keys = Mapping[str, str | Column] | Sequence[str]
@@ -62,7 +63,8 @@ def lookup_join(
     columns. Equal requests are sent once; with ``lookup.cache=NONE`` (or ``dedup=False``) every
     row makes its own call, which takes no shuffle and no join back: for keys that hardly repeat,
     and for endpoints that answer every call differently. A partial cache with limits (rows, times,
-    missing keys) makes rows call one by one through a cache that each worker keeps. A row whose top-level key is null matches nothing:
+    missing keys) makes rows call one by one through a cache that each worker keeps for this lookup; rows
+    with equal requests go to one task, so that they meet one cache. A row whose top-level key is null matches nothing:
     it is left out of an inner join and kept by a left join; ``null_keys="request"`` sends it
     all the same. Lookup columns that clash with probe columns must be selected away.
     """
@@ -73,6 +75,8 @@ def lookup_join(
     clash = sorted(set(wanted) & set(fetched))
     if clash:
         raise ValueError(f"columns {clash} are on both sides; use keep= or select=")
+    if spec.limits_cache and spec.cache_scope is None:
+        spec = spec.replace(cache_scope=uuid.uuid4().hex)
     ident, values = key_columns(probe, keys)
     present = reduce(lambda a, b: a & b, [c.isNotNull() for c in values.values()], F.lit(True))
     sent = probe if null_keys == "request" else probe.where(present)
@@ -133,7 +137,10 @@ def _join_row_by_row(
     requests = with_requests(flat, spec, {name: alias for alias, (name, _) in resolved.items()})
     if fail_on_bad_request:
         requests = fail_on_request_error(requests)
-    outcome = fetch_outcomes(requests.where(F.col("error").isNull()), spec, transport, select, list(carried))
+    good = requests.where(F.col("error").isNull())
+    if spec.limits_cache:
+        good = route_calls(good, transport)
+    outcome = fetch_outcomes(good, spec, transport, select, list(carried))
     rows = emit_rows(outcome, spec, metadata, list(carried), select, keep_empty=how == "left")
     if not fail_on_bad_request and (metadata or how == "left"):
         rows = rows.unionByName(_bad_request_rows(requests, list(carried), metadata), allowMissingColumns=True)

@@ -14,9 +14,8 @@ import threading
 import time
 import urllib.error
 import urllib.request
-from collections import OrderedDict
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 from urllib.parse import urljoin, urlsplit
@@ -27,8 +26,9 @@ from pyspark.sql import functions as F
 
 from restframe.functions.formats import encode_json
 from restframe.operators.request import with_requests
-from restframe.operators.retry import backoff, resolve_attempts
-from restframe.operators.skew import salted_join
+from restframe.operators.retry import resolve_attempts
+from restframe.operators.skew import hashable, key_salts, salted_join
+from restframe.sources.calls import Answer, Calls, PartialCache, Request, Send, send_with_retry, worker_cache
 from restframe.spec import ARRAY, LookupSpec, SinkSpec
 
 RESPONSE_DDL = (
@@ -36,14 +36,15 @@ RESPONSE_DDL = (
 )
 RESPONSE_COLUMNS = ["request_id", "attempt", "status", "headers", "body", "io_error"]
 
+__all__ = ["PartialCache", "send_with_retry"]
+
+#: Rows of a batch that are made into requests at once.
+REQUESTS = 1024
+#: Rows with one request that go to one task of a lookup with a partial cache.
+CACHED_ROWS = 1_000_000
 #: Answers, and characters of their bodies, that a task holds before it hands them on.
 ANSWERS, ANSWER_CHARS = 10_000, 16 << 20
 
-Request = dict[str, Any]
-Answer = Mapping[str, Any]
-Send = Callable[[Request], Answer]
-
-
 class Transport(Protocol):
     def fetch(
         self, requests: DataFrame, spec: LookupSpec | SinkSpec, carry: Sequence[str] = ()
@@ -78,90 +79,6 @@ def hook_of(spec: LookupSpec | SinkSpec, hook: Hook | None) -> Hook | None:
     return HOOKS[spec.callback]
 
 
-class PartialCache:
-    """Answers a worker remembers between its calls, under the partial-cache options.
-
-    At most ``cache_max_rows`` answers, the least recently used one goes first; an answer is dropped
-    after its time since it was written or last used. Only successful answers are kept; those
-    without a row to give (an ignored status, a blank body) only with ``cache_missing_key``.
-    """
-
-    def __init__(self, spec: LookupSpec, now: Callable[[], float] = time.monotonic) -> None:
-        self.spec, self.now = spec, now
-        self.held: OrderedDict[tuple, list[Any]] = OrderedDict()
-        self.lock = threading.Lock()
-
-    def get(self, key: tuple) -> dict[str, Any] | None:
-        with self.lock:
-            entry, at = self.held.get(key), self.now()
-            if entry is None:
-                return None
-            answer, written, used = entry
-            write, access = self.spec.cache_expire_after_write, self.spec.cache_expire_after_access
-            if (write is not None and at - written > write) or (access is not None and at - used > access):
-                del self.held[key]
-                return None
-            entry[2] = at
-            self.held.move_to_end(key)
-            return answer
-
-    def put(self, key: tuple, answer: dict[str, Any]) -> None:
-        status = answer["status"]
-        empty = status in self.spec.ignored_set or not (answer["body"] or "").strip()
-        if status not in self.spec.success_set or (empty and not self.spec.cache_missing_key):
-            return
-        with self.lock:
-            self.held[key] = [answer, self.now(), self.now()]
-            self.held.move_to_end(key)
-            while self.spec.cache_max_rows is not None and len(self.held) > self.spec.cache_max_rows:
-                self.held.popitem(last=False)
-
-
-#: The caches of a Python worker, by what decides on their answers.
-_CACHES: dict[str, PartialCache] = {}
-
-
-def worker_cache(spec: LookupSpec | SinkSpec) -> PartialCache | None:
-    """The worker's cache for a lookup with partial-cache limits; it outlives tasks and micro-batches."""
-    if not isinstance(spec, LookupSpec) or not spec.limits_cache:
-        return None
-    return _CACHES.setdefault(repr(spec), PartialCache(spec))
-
-
-def _response(request: Request, answer: Answer, attempt: int) -> dict[str, Any]:
-    headers = answer.get("headers")
-    if headers is not None:
-        headers = {k: list(v) if isinstance(v, (list, tuple)) else [str(v)] for k, v in headers.items()}
-    status = answer.get("status")
-    return {
-        "request_id": request["request_id"],
-        "attempt": attempt,
-        "status": None if status is None else int(status),
-        "headers": headers,
-        "body": answer.get("body"),
-        "io_error": answer.get("io_error"),
-    }
-
-
-def send_with_retry(send: Send, request: Request, spec: LookupSpec | SinkSpec, sleep=time.sleep) -> dict[str, Any]:
-    """One call with the spec's retries: I/O errors and retry codes only. Sinks never retry."""
-    retries = spec.max_retries if isinstance(spec, LookupSpec) else 0
-    retry_codes = spec.retry_set if isinstance(spec, LookupSpec) else frozenset()
-    for attempt in range(1, retries + 2):
-        again = False
-        try:
-            answer: Answer = send(request)
-            again = answer.get("status") in retry_codes
-        except (OSError, http.client.HTTPException) as error:  # also a reply cut short
-            answer, again = {"io_error": str(error) or type(error).__name__}, True
-        except Exception as error:  # any other failure belongs to this one row
-            answer = {"io_error": str(error) or type(error).__name__}
-        if not again or attempt > retries:
-            return _response(request, answer, attempt)
-        sleep(backoff(attempt, spec))
-    raise AssertionError("unreachable")
-
-
 def _threads(spec: LookupSpec | SinkSpec) -> int:
     return spec.threads if isinstance(spec, LookupSpec) else spec.writer_threads
 
@@ -180,13 +97,17 @@ def map_requests(
     threads: int | None = None,
     sleep=time.sleep,
     carry: Sequence[str] = (),
+    fixed: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Run the calls of every partition on the executors, a few at a time.
 
-    Answers go on in portions limited by number and size.
+    Answers go on as they come, in portions limited by number and size. ``fixed`` are headers that
+    ``make_send`` adds to every request. A partial cache belongs to the lookup that ``spec.cache_scope``
+    names, by default to this call.
     """
     workers = threads or _threads(spec)
     hook = hook_of(spec, hook)
+    scope = getattr(spec, "cache_scope", None) or uuid.uuid4().hex
     fields = [c for c in ("request_id", "method", "url", "body", "headers") if c in requests.columns]
     carried = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
     names = [f"carry_{i}" for i in range(len(carry))]
@@ -195,70 +116,46 @@ def map_requests(
     ddl = ", ".join([*[f"{n} {types[n]}" for n in names], RESPONSE_DDL])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        send, cache = make_send(), worker_cache(spec)
         if hook is not None:
             hook.open()
+        calls = Calls(make_send(), spec, workers, worker_cache(spec, scope), fixed, hook and hook.call, sleep)
 
-        def one(request: Request) -> dict[str, Any]:
-            if request.get("headers") is not None:
-                request["headers"] = dict(request["headers"])
-            key = (request["method"], request["url"], request.get("body"))
-            known = cache.get(key) if cache is not None else None
-            if known is not None:
-                return known | {"request_id": request["request_id"]}
-            response = send_with_retry(send, request, spec, sleep)
-            if cache is not None:
-                cache.put(key, response)
-            if hook is not None:
-                hook.call(request, response)
-            return response
-
-        def rows() -> Iterator[tuple[pa.RecordBatch, int, Request]]:
+        def rows() -> Iterator[tuple[tuple[pa.RecordBatch, int], Request]]:
             for batch in batches:
-                for i in range(batch.num_rows):
-                    yield batch, i, {f: batch.column(f)[i].as_py() for f in fields}
-
-        def answered(done: list[tuple[pa.RecordBatch, int, dict[str, Any]]]) -> Iterator[pa.RecordBatch]:
+                for start in range(0, batch.num_rows, REQUESTS):
+                    part = batch.slice(start, REQUESTS)
+                    columns = [part.column(f).to_pylist() for f in fields]
+                    if "headers" in fields:
+                        columns[-1] = [None if h is None else dict(h) for h in columns[-1]]
+                    for i, values in enumerate(zip(*columns, strict=True)):
+                        yield (part, i), dict(zip(fields, values, strict=True))
+
+        def answered(done: list[tuple[tuple[pa.RecordBatch, int], dict[str, Any]]]) -> Iterator[pa.RecordBatch]:
             # Carried columns pass through as they are, from the batch that brought them.
-            sources: dict[int, list[tuple[pa.RecordBatch, int, dict[str, Any]]]] = {}
-            for item in done:
-                sources.setdefault(id(item[0]), []).append(item)
-            for items in sources.values():
-                own = items[0][0].select(names).take(pa.array([i for _, i, _ in items]))
-                arrays = list(own.columns)
+            sources: dict[int, tuple[pa.RecordBatch, list[int], list[dict[str, Any]]]] = {}
+            for (part, i), response in done:
+                _, at, responses = sources.setdefault(id(part), (part, [], []))
+                at.append(i)
+                responses.append(response)
+            for part, at, responses in sources.values():
+                arrays = list(part.select(names).take(pa.array(at)).columns)
                 for column, kind in _response_types().items():
-                    values = [d[column] for _, _, d in items]
+                    values = [d[column] for d in responses]
                     if column == "headers":
                         values = [None if v is None else list(v.items()) for v in values]
                     arrays.append(pa.array(values, kind))
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, *RESPONSE_COLUMNS])
 
-        def calls(pool: ThreadPoolExecutor) -> Iterator[tuple[pa.RecordBatch, int, dict[str, Any]]]:
-            """Answers as they come: a slow call holds up no other one."""
-            if workers == 1:  # calls in row order
-                for batch, i, request in rows():
-                    yield batch, i, one(request)
-                return
-            running: dict[Future, tuple[pa.RecordBatch, int]] = {}
-            for batch, i, request in rows():
-                if len(running) >= 2 * workers:
-                    for future in wait(running, return_when=FIRST_COMPLETED).done:
-                        yield *running.pop(future), future.result()
-                running[pool.submit(one, request)] = (batch, i)
-            for future, place in running.items():
-                yield *place, future.result()
-
         try:
-            with ThreadPoolExecutor(workers) as pool:
-                held: list[tuple[pa.RecordBatch, int, dict[str, Any]]] = []
-                size = 0
-                for item in calls(pool):
-                    held.append(item)
-                    size += len(item[2]["body"] or "")
-                    if size >= ANSWER_CHARS or len(held) >= ANSWERS:
-                        yield from answered(held)
-                        held, size = [], 0
-                yield from answered(held)
+            held: list[tuple[tuple[pa.RecordBatch, int], dict[str, Any]]] = []
+            size = 0
+            for place, response in calls.run(rows()):
+                held.append((place, response))
+                size += len(response["body"] or "")
+                if size >= ANSWER_CHARS or len(held) >= ANSWERS:
+                    yield from answered(held)
+                    held, size = [], 0
+            yield from answered(held)
         finally:
             if hook is not None:
                 hook.close()
@@ -382,7 +279,8 @@ def _ssl_context(spec: LookupSpec | SinkSpec) -> ssl.SSLContext:
 def redirected(method: str, url: str, status: int, location: str | None) -> tuple[str, str] | None:
     """(method, url) of the request that follows a redirect; None where the reply is the answer.
 
-    307 and 308 repeat the request, other redirects turn it into a GET. From https none leads to http.
+    301 and 302 turn a POST into a GET, 303 turns everything but HEAD into one; else the request is
+    repeated with its method and body. From https none leads to http.
     """
     if status not in (301, 302, 303, 307, 308) or not location:
         return None
@@ -390,18 +288,33 @@ def redirected(method: str, url: str, status: int, location: str | None) -> tupl
     old, new = urlsplit(url).scheme.lower(), urlsplit(target).scheme.lower()
     if new not in ("http", "https") or (old == "https" and new == "http"):
         return None
-    return (method if status in (307, 308) or method == "HEAD" else "GET"), target
+    to_get = method != "HEAD" if status == 303 else status in (301, 302) and method == "POST"
+    return ("GET" if to_get else method), target
+
+
+def followed(
+    method: str, url: str, body: bytes | None, status: int, location: str | None, keep_body: bool
+) -> tuple[str, str, bytes | None] | None:
+    """(method, url, body) of the request after a redirect. With ``keep_body`` losing one is an error."""
+    following = redirected(method, url, status, location)
+    if following is None:
+        return None
+    if following[0] != method and body is not None and keep_body:
+        raise OSError(f"redirect {status} to {following[1]} would drop the body of the {method}")
+    return *following, (body if following[0] == method else None)
 
 
 class _Redirects(urllib.request.HTTPRedirectHandler):
     """The same rule for sessions through a proxy."""
 
+    def __init__(self, keep_body: bool = False) -> None:
+        self.keep_body = keep_body
+
     def redirect_request(self, req, fp, code, msg, headers, newurl):  # noqa: ANN001, ANN201
-        following = redirected(req.get_method(), req.full_url, code, newurl)
+        following = followed(req.get_method(), req.full_url, req.data, code, newurl, self.keep_body)
         if following is None:
             return None
-        method, url = following
-        data = req.data if method == req.get_method() else None
+        method, url, data = following
         return urllib.request.Request(url, data=data, headers=dict(req.header_items()), method=method)
 
     http_error_308 = urllib.request.HTTPRedirectHandler.http_error_302
@@ -425,8 +338,11 @@ class Reply:
 class KeptConnections:
     """A session that keeps a connection per thread and host, and opens it anew after an error."""
 
-    def __init__(self, context: ssl.SSLContext, connect: Callable[..., Any] | None = None) -> None:
+    def __init__(
+        self, context: ssl.SSLContext, connect: Callable[..., Any] | None = None, keep_body: bool = False
+    ) -> None:
         self.context, self.connect, self.local = context, connect or self._connect, threading.local()
+        self.keep_body = keep_body
 
     def _connect(self, scheme: str, netloc: str, timeout: float) -> http.client.HTTPConnection:
         if scheme == "https":
@@ -438,13 +354,12 @@ class KeptConnections:
         headers = dict(request.header_items())
         for _ in range(MAX_REDIRECTS):
             reply = self._exchange(method, url, body, headers, timeout)
-            following = redirected(method, url, reply.status, reply.headers.get("Location"))
+            following = followed(method, url, body, reply.status, reply.headers.get("Location"), self.keep_body)
             if following is None:
                 return reply
             if urlsplit(following[1]).netloc != urlsplit(url).netloc:
                 headers = {k: v for k, v in headers.items() if k.lower() != "authorization"}
-            body = body if following[0] == method else None
-            method, url = following
+            method, url, body = following
         raise OSError("too many redirects")
 
     def _exchange(self, method: str, url: str, body: bytes | None, headers: dict[str, str], timeout: float) -> Reply:
@@ -477,14 +392,18 @@ MAX_REDIRECTS = 10
 
 
 def make_opener(spec: LookupSpec | SinkSpec) -> Any:
-    """A session with the spec's TLS and proxy settings; without a proxy it keeps its connections."""
+    """A session with the spec's TLS and proxy settings; without a proxy it keeps its connections.
+
+    A sink's record is its body: a redirect that would drop it is an error, not a delivery.
+    """
+    keep_body = isinstance(spec, SinkSpec)
     if not getattr(spec, "proxy_host", None):
-        return KeptConnections(_ssl_context(spec))
+        return KeptConnections(_ssl_context(spec), keep_body=keep_body)
     login = f"{spec.proxy_username}:{spec.proxy_password}@" if spec.proxy_username else ""
     proxy = f"http://{login}{spec.proxy_host}:{spec.proxy_port}"
     return urllib.request.build_opener(
         urllib.request.HTTPSHandler(context=_ssl_context(spec)),
-        _Redirects(),
+        _Redirects(keep_body),
         urllib.request.ProxyHandler({"http": proxy, "https": proxy}),
     )
 
@@ -533,7 +452,7 @@ class HttpTransport:
             opener = make(spec)
             return lambda request: _call(opener, request, spec, fixed)
 
-        return map_requests(requests, spec, make_send, self.hook, None, self.sleep, carry)
+        return map_requests(requests, spec, make_send, self.hook, None, self.sleep, carry, fixed)
 
 
 def _call(opener: Any, request: Request, spec: LookupSpec | SinkSpec, fixed: Mapping[str, str]) -> Answer:
@@ -560,6 +479,27 @@ def _call(opener: Any, request: Request, spec: LookupSpec | SinkSpec, fixed: Map
         }
 
 
+def route_calls(requests: DataFrame, transport: Transport) -> DataFrame:
+    """Rows with equal requests to one task, for the cache of its worker.
+
+    A request that very many rows make goes to several tasks, each of which then calls for it.
+    """
+    if isinstance(transport, (TableTransport, ReplayTransport, StoreTransport)):
+        return requests
+    counts = requests.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"))
+    salts = F.broadcast(key_salts(counts, ["request_id"], "n", CACHED_ROWS))
+    rows = requests.withColumn("_key", F.xxhash64("request_id")).join(salts, F.col("_key") == F.col("_hash"), "left")
+    others = [c for c in hashable(requests) if c not in ("`method`", "`url`", "`body`", "`headers`", "`request_id`")]
+    salt = F.pmod(F.xxhash64(*others), F.coalesce("_salts", F.lit(1))) if others else F.lit(0)
+    return rows.repartition(_call_tasks(requests, transport), "_key", salt).drop("_key", "_hash", "_salts")
+
+
+def _call_tasks(requests: DataFrame, transport: Transport) -> int:
+    spark = requests.sparkSession
+    usual = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return getattr(transport, "parallelism", None) or usual
+
+
 def spread_calls(requests: DataFrame, transport: Transport) -> DataFrame:
     """Spread distinct requests over the tasks of a transport that makes calls.
 
@@ -570,6 +510,4 @@ def spread_calls(requests: DataFrame, transport: Transport) -> DataFrame:
     """
     if isinstance(transport, (TableTransport, ReplayTransport, StoreTransport)):
         return requests
-    spark = requests.sparkSession
-    usual = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return requests.repartition(getattr(transport, "parallelism", None) or usual)
+    return requests.repartition(_call_tasks(requests, transport))

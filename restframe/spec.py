@@ -132,6 +132,8 @@ class LookupSpec:
     cache_expire_after_write: float | None = None
     cache_expire_after_access: float | None = None
     cache_missing_key: bool = True
+    #: Names the lookup a partial cache belongs to; lookups that share it share their answers.
+    cache_scope: str | None = None
     async_polling: bool = False
     request_threads: int = 8
     response_threads: int = 4

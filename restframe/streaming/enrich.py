@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -26,7 +27,12 @@ def epoch_writer(work: Callable[[DataFrame, int], DataFrame], path: str) -> Call
 def enrich_stream(
     stream: DataFrame, spec: LookupSpec, keys: Keys, transport: Transport, path: str, checkpoint: str, **options: object
 ) -> DataStreamWriter:
-    """Lookup-join an unbounded probe; equal requests of a micro-batch are sent once."""
+    """Lookup-join an unbounded probe; equal requests of a micro-batch are sent once.
+
+    A partial cache with limits belongs to the stream: workers keep it from one micro-batch to the next.
+    """
+    if spec.limits_cache and spec.cache_scope is None:
+        spec = spec.replace(cache_scope=uuid.uuid4().hex)
 
     def work(batch: DataFrame, epoch: int) -> DataFrame:
         return lookup_join(batch, spec, keys, transport, **options)

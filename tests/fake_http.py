@@ -89,6 +89,10 @@ def echo(request):
     return {"status": 200, "body": '{"id":1}'} if not request["url"].endswith("=3") else {"status": 404}
 
 
+def other(request):
+    return {"status": 200, "body": '{"id":2}'}
+
+
 def refuse(request):
     return {"status": 500, "body": ""}
 

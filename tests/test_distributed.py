@@ -12,7 +12,7 @@ from restframe.operators.batches import make_requests, plan_batches, plan_byte_f
 from restframe.operators.cache import access_ttl, lru, write_ttl
 from restframe.operators.greedy import greedy_marks
 from restframe.operators.sequence import last_value_before, number_rows, number_runs
-from restframe.operators.skew import salted_join
+from restframe.operators.skew import key_salts, salted_join
 from restframe.operators.tokens import assign_tokens
 from restframe.spec import SinkSpec
 
@@ -172,6 +172,19 @@ def test_salted_join_spreads_the_hot_key(spark):
     assert len(parts) == 4 and sum(r["count"] for r in parts) == 2001
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right"])
+def test_salts_by_size(spark, how):
+    """A key of 0.05% of the rows is spread too where a task is to get fewer, each key as its size needs."""
+    big = spark.range(20_000).selectExpr("id", "case when id < 10 then 1 when id < 410 then 2 else id end as k")
+    small = spark.range(21_000).selectExpr("id as k", "-id as v")
+    counts = big.groupBy("k").agg(F.count("*").alias("n"))
+    salts = {r._hash: r._salts for r in key_salts(counts, ["k"], "n", 5).collect()}
+    hashes = spark.range(1, 3).select(F.xxhash64("id").alias("h")).collect()
+    assert [salts[r.h] for r in hashes] == [2, 80] and len(salts) == 2
+    got = sorted(map(tuple, salted_join(big, small, ["k"], how, target_rows=5).select("id", "k", "v").collect()), key=str)
+    assert got == sorted(map(tuple, big.join(small, "k", how).select("id", "k", "v").collect()), key=str)
+
+
 def test_tokens(spark):
     tokens = spark.createDataFrame([("t1", 0, 100), ("t2", 50, 1), ("t3", 90_000, 10)], "token string, s long, expires_in int")
     tokens = tokens.select("token", F.timestamp_seconds("s").alias("issued"), "expires_in")

@@ -144,7 +144,8 @@ def test_cache_options_take_effect(spark, tmp_path, options, calls):
         "id int",
     )
     probe = spark.range(40).coalesce(1).selectExpr("id % 4 as k")
-    rows = lookup_join(probe, spec, {"k": "k"}, CallableTransport(echo), select=["id"], keep=["k"])
+    # One task, whose cache sees the keys by turns.
+    rows = lookup_join(probe, spec, {"k": "k"}, CallableTransport(echo, parallelism=1), select=["id"], keep=["k"])
     assert rows.count() == 30
     assert len(log.read_text().split()) == calls
 

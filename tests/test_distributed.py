@@ -5,15 +5,18 @@ import json
 import random
 from collections import OrderedDict, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from restframe.operators.batches import make_requests, plan_batches, plan_byte_flushes, with_elements
-from restframe.operators.cache import access_ttl, lru, write_ttl
-from restframe.operators.greedy import greedy_marks
+from restframe.operators import greedy
+from restframe.operators.cache import access_ttl, lru, smaller_before, write_ttl
+from restframe.operators.greedy import chain_of, greedy_marks
 from restframe.operators.sequence import last_value_before, number_rows, number_runs
 from restframe.operators.skew import key_salts, salted_join
 from restframe.operators.tokens import assign_tokens
+from restframe.session import keep
 from restframe.spec import SinkSpec
 
 SPEC = SinkSpec(url="http://s", format="raw")
@@ -110,6 +113,82 @@ def test_greedy_marks(stream, reach):
     assert all(r.is_mark == (2 * r.id == r.mark_lo) for r in marks)
 
 
+def test_chains_compose_as_their_blocks_do():
+    rng = random.Random(9)
+    for _ in range(400):
+        reach, max_rows = rng.choice([0, 5, 40, 1000]), rng.choice([None, 1, 3, 50])
+        sizes = [rng.randrange(0, 12) for _ in range(rng.randrange(2, 60))]
+        his = np.cumsum(sizes)
+        rows = np.array([his - sizes, his, np.arange(len(sizes))]).T
+        cuts = sorted({0, len(rows), *[rng.randrange(len(rows) + 1) for _ in range(rng.randrange(8))]})
+        parts = [chain_of(rows[a:b], reach, max_rows) for a, b in itertools.pairwise(cuts)]
+        while len(parts) > 1:  # composed in any grouping
+            at = rng.randrange(len(parts) - 1)
+            parts[at : at + 2] = [parts[at].then(parts[at + 1])]
+        for entry in [(-(10**15), -(10**15)), (-rng.randrange(1, 50), -rng.randrange(1, 5))]:
+            lo, at = entry
+            for row_lo, row_hi, row_at in rows.tolist():
+                if row_hi > lo + reach or (max_rows is not None and row_at >= at + max_rows):
+                    lo, at = row_lo, row_at
+            got = parts[0].after(np.int64(entry[0]), np.int64(entry[1]))
+            assert (int(got[0]), int(got[1])) == (lo, at)
+
+
+@pytest.mark.parametrize("reach", [50, 3000])
+def test_a_hot_lane_is_a_tree(spark, monkeypatch, reach):
+    """Half of the rows in one lane, a reach of many blocks: no node has more than FAN children, no chain is longer than a reach."""
+    monkeypatch.setattr(greedy, "FAN_BITS", 2)
+    levels = []
+    monkeypatch.setattr(greedy, "kept_table", lambda df, label: levels.append(keep(df, label)) or levels[-1])
+    frame = spark.range(3000).selectExpr("id", "if(id % 2 = 0, 0, id % 7) as lane", "id div 10 as block", "id * 3 as at")
+    got = greedy_marks(frame, ["lane"], "block", ["id"], "at", "at", reach).collect()
+    want, marks = {}, {}
+    for i in range(3000):
+        lane = 0 if i % 2 == 0 else i % 7
+        if lane not in marks or 3 * i > marks[lane] + reach:
+            marks[lane] = 3 * i
+        want[i] = marks[lane]
+    assert {r.id: r.mark_lo for r in got} == want and len(got) == 3000
+    assert len(levels) >= 5
+    for level in levels[:-1]:
+        assert level.groupBy("lane", F.shiftright("_node", 2)).count().agg(F.max("count")).first()[0] <= 4
+    for level in levels:
+        assert level.agg(F.max(F.size("his"))).first()[0] <= reach // 3 + 2
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "int"])
+def test_blocks_of_other_kinds(spark, kind):
+    frame = spark.range(60).selectExpr("id", "0 as lane", f"cast({'id div 6' if kind == 'int' else 'timestamp_seconds(id * 43200)'} as {kind}) as block")
+    got = {r.id: r.mark_lo for r in greedy_marks(frame, ["lane"], "block", ["id"], "id", "id", 9).collect()}
+    assert got == {i: i - i % 10 for i in range(60)}
+
+
+def test_smaller_before():
+    rng = random.Random(2)
+    for n in (0, 1, 2, 31, 32, 33, 64, 500, 1500):
+        values = [rng.randrange(max(1, n // 2)) for _ in range(n)]
+        assert smaller_before(np.array(values, np.int64)).tolist() == [sum(w < v for w in values[:i]) for i, v in enumerate(values)]
+
+
+@pytest.mark.parametrize("block_rows", [16, 1 << 18])
+def test_lru_of_many_keys(spark, block_rows):
+    """A cache of 100,000 keys has rows as narrow as one of three: four numbers besides the access itself."""
+    rng = random.Random(12)
+    rows = [(i, i % 2 or None, f"k{min(rng.randrange(900), rng.randrange(900))}" if i % 50 else None) for i in range(2500)]
+    frame = spark.createDataFrame(rows, "id long, lane int, key string").withColumn("ts", F.timestamp_seconds(F.col("id") * 7))
+    for max_rows in (40, 300, 100_000):
+        want, caches = {}, defaultdict(OrderedDict)
+        for i, lane, key in rows:
+            cache = caches[lane]
+            want[i] = key in cache
+            cache[key] = None
+            cache.move_to_end(key)
+            if len(cache) > max_rows:
+                cache.popitem(last=False)
+        got = lru(frame, "lane", "key", "ts", ["id"], max_rows, "hour", block_rows=block_rows)
+        assert {r.id: r.hit for r in got.collect()} == want
+
+
 @pytest.fixture(scope="module")
 def accesses(spark):
     rng = random.Random(7)

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from restframe.session import keep as kept_table
 
 #: Bits of a block's position that one level of the tree takes off, and so the most children of a node.
-FAN_BITS = 10
+FAN_BITS = 12
 FAN = 1 << FAN_BITS
 
 _NONE_YET = np.iinfo(np.int64).min

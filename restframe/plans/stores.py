@@ -12,7 +12,7 @@ from restframe.plans.base import query, table
 from restframe.plans.joins import CUSTOMER, _customer_endpoint
 from restframe.session import new_dir
 from restframe.spec import LookupSpec
-from restframe.streaming.cache_state import cache_stream
+from restframe.streaming.cache_state import CachedStream
 
 SIX_HOURS_MS = 6 * 3600 * 1000
 
@@ -82,19 +82,19 @@ def cache_write_ttl(spark, sf_dir):
 
 @query("cache_stream", _WRITE_TTL)
 def cache_stream_query(spark, sf_dir):
-    """The table as several files that are out of order in time, one micro-batch each."""
-    path, checkpoint, parts = (new_dir(spark, label) for label in ("cache", "cache-state", "cache-parts"))
+    """The table as files in the order of time, but up to three hours out of it, one micro-batch each."""
+    path, state, checkpoint, parts = (new_dir(spark, label) for label in ("cache", "cache-state", "cache-log", "cache-parts"))
     events = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp"))
-    events.repartition(5, F.pmod(F.xxhash64("event_id"), F.lit(5))).write.parquet(parts)
-    # One access far ahead closes the stream: the watermark passes all others.
-    last = events.agg(F.max("ts").alias("ts")).selectExpr("-1L as user_id", "-1L as event_id", "ts + interval 3000 days as ts")
-    last.coalesce(1).write.mode("append").parquet(parts)
+    seen = F.unix_seconds("ts") + F.pmod(F.xxhash64("event_id"), F.lit(3 * 3600))
+    low, high = events.agg(F.min(seen), F.max(seen)).first()
+    for i in range(6):
+        part = events.where(F.floor((seen - low) * 6 / (high - low + 1)) == i)
+        part.coalesce(1).write.mode("append").parquet(parts)
     source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(parts)
-    hits = cache_stream(source, "user_id", "ts", "event_id", SIX_HOURS_MS, lateness="1000 days")
-    writer = hits.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    writer.trigger(availableNow=True).start().awaitTermination()
-    got = spark.read.schema(hits.schema).parquet(path).select("event_id", "user_id", "hit")
-    return got.where("event_id >= 0")
+    cache = CachedStream("user_id", "ts", "event_id", SIX_HOURS_MS, "3 hours", path, state)
+    cache.start(source, checkpoint).trigger(availableNow=True).start().awaitTermination()
+    cache.finish(spark)
+    return cache.answers(spark, "key long, ident long").select("event_id", "user_id", "hit")
 
 
 @query(

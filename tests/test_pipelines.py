@@ -22,7 +22,7 @@ from restframe.sources.transport import (
     bearer_token,
     make_opener,
 )
-from restframe.streaming.cache_state import cache_stream
+from restframe.streaming.cache_state import CachedStream, cache_stream
 from restframe.streaming.enrich import deliver_stream, enrich_stream
 
 SPEC = LookupSpec(url="http://h/x", schema="id bigint, twice bigint", max_retries=2, continue_on_error=True)
@@ -306,16 +306,25 @@ def test_cache_stream(spark, tmp_path, lateness):
         rows = spark.range(i * 20, i * 20 + 20).selectExpr("id", "id % 3 as k", "timestamp_seconds(1700000000 + id * 60) as ts")
         rows.coalesce(1).write.mode("append").parquet(str(source))
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(source))
-    hits = cache_stream(stream, "k", "ts", "id", 600_000, lateness)
-    out = str(tmp_path / "out")
-    writer = hits.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "s"))
-    writer.trigger(availableNow=True).start().awaitTermination()
+    out, state = str(tmp_path / "out"), str(tmp_path / "s")
+    if lateness is None:
+        hits = cache_stream(stream, "k", "ts", "id", 600_000)
+        writer = hits.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+        writer.trigger(availableNow=True).start().awaitTermination()
+        got = spark.read.parquet(out)
+    else:
+        cache = CachedStream("k", "ts", "id", 600_000, lateness, out, state)
+        cache.start(stream, str(tmp_path / "log")).trigger(availableNow=True).start().awaitTermination()
+        assert cache.answers(spark, "key long, ident long").count() == 0  # the whole stream is shorter than the lateness
+        cache.finish(spark)
+        cache.finish(spark)  # nothing more to do
+        got = cache.answers(spark, "key long, ident long")
     want, loaded = {}, {}
     for i in range(60):
         want[i] = i % 3 in loaded and (i - loaded[i % 3]) * 60 <= 600
         if not want[i]:
             loaded[i % 3] = i
-    assert {r.id: r.hit for r in spark.read.parquet(out).collect()} == want
+    assert {r.id: r.hit for r in got.collect()} == want and got.count() == 60
 
 
 def test_options():

@@ -217,28 +217,3 @@ def test_hooks_of_threads_are_called_once_each(spark, tmp_path):
     transport = CallableTransport(echo, UrlLog(str(log)))
     assert lookup_join(spark.range(50).coalesce(1), spec, {"k": "id"}, transport, how="left", select=[], keep=["id"], metadata=["http-status-code"]).count() == 50
     assert len(log.read_text().split()) == 50 and threading.active_count() < 200
-
-
-def test_cached_stream_does_not_depend_on_its_cuts(spark, tmp_path):
-    import random
-
-    from restframe.streaming.cache_state import cache_stream
-
-    rng = random.Random(3)
-    rows = [(i, f"k{rng.randrange(4)}", rng.randrange(0, 40_000)) for i in range(120)]
-    want, loaded = {}, {}
-    for i, key, at in sorted(rows, key=lambda r: (r[2], r[0])):
-        want[i] = key in loaded and at - loaded[key] <= 3600
-        if not want[i]:
-            loaded[key] = at
-    rng.shuffle(rows)
-    parts = [rows[i::3] for i in range(3)] + [[(-1, "end", 10**7)]]
-    for part in parts:
-        frame = spark.createDataFrame(part, "id long, key string, secs long").coalesce(1)
-        frame.select("id", "key", F.timestamp_seconds("secs").alias("ts")).write.mode("append").parquet(str(tmp_path / "in"))
-    source = spark.readStream.schema("id long, key string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    hits = cache_stream(source, "key", "ts", "id", 3600_000, lateness="1 day")
-    writer = hits.writeStream.format("parquet").option("path", str(tmp_path / "out"))
-    writer.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
-    got = spark.read.schema(hits.schema).parquet(str(tmp_path / "out")).where("id >= 0").collect()
-    assert {r.id: r.hit for r in got} == want

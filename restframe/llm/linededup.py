@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,8 +45,12 @@ SENT_IDS = 1_000_000
 HELD_SHINGLES = 4_000_000
 #: Lines remembered in a task, so that a common one is not written again and again.
 SEEN = 200_000
-#: Lines of one band held in memory.
-LONG_RUN = 1 << 18
+#: Pairs of a band and a line that a cell holds on average, bounds of the bits that name a cell, parts of
+#: 4,096 lines a task holds before it sends them, and pairs of one cell held in memory.
+CELL_PAIRS = 1 << 15
+MIN_CELL_BITS, MAX_CELL_BITS = 6, 24
+SENT_PARTS = 8
+HELD_PAIRS = 1 << 20
 EMPTY = np.uint32(2**32 - 1)
 #: Draws of another bin; a bin still empty then takes the first that is not.
 DRAWS = 64
@@ -138,6 +143,80 @@ class SimilarLines:
         both, mine, its = items.shared(one, many)
         return both * most >= least * (mine + its - both)
 
+    def weights(self, batch: pa.RecordBatch) -> np.ndarray:
+        """The size of each item, for pieces of work of a limited size."""
+        return np.asarray(pc.utf8_length(batch.column("line")).to_numpy(zero_copy_only=False), np.int64)
+
+    def linked_pairs(self, batch: pa.RecordBatch) -> LinkedPairs | None:
+        """Decides many pairs of a batch at once; None where its shingles are too many different numbers."""
+        sets = joint_sets(batch.column("line").to_pylist(), self.shingle)
+        return None if sets is None else LinkedPairs(*sets, self.similar)
+
+
+class LinkedPairs:
+    """``keys`` are line * span + shingle, sorted and different; ``starts`` is where each line's begin."""
+
+    def __init__(self, keys: np.ndarray, starts: np.ndarray, span: int, similar: tuple[int, int]) -> None:
+        self.keys, self.starts, self.span, self.similar = keys, starts, span, similar
+        self.sizes = np.diff(starts)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        least, most = self.similar
+        small = np.where(self.sizes[left] <= self.sizes[right], left, right)
+        large = left + right - small
+        out = np.zeros(len(left), bool)
+        # Sets of too different sizes cannot be similar.
+        open_ = np.flatnonzero(self.sizes[small] * most >= self.sizes[large] * least)
+        for at in _pieces(self.sizes[small[open_]], SEGMENT):
+            pairs = open_[at]
+            a, b = small[pairs], large[pairs]
+            counts = self.sizes[a]
+            ends = np.cumsum(counts)
+            own = np.arange(ends[-1]) - np.repeat(ends - counts - self.starts[a], counts)
+            wanted = self.keys[own] + np.repeat((b - a) * self.span, counts)
+            place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            both = np.add.reduceat((self.keys[place] == wanted).astype(np.int64), ends - counts)
+            out[pairs] = both * most >= least * (counts + self.sizes[b] - both)
+        return out
+
+
+def _pieces(sizes: np.ndarray, most: int) -> list[slice]:
+    """Slices of neighbours whose sizes add up to about ``most``."""
+    if not len(sizes):
+        return []
+    turns = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(turns)) + 1).tolist(), len(sizes)]
+    return [slice(x, y) for x, y in zip(cuts, cuts[1:], strict=False)]
+
+
+def joint_sets(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """The shingle sets of all lines as one sorted array, see ``LinkedPairs``.
+
+    A shingle is a number to the base of the different characters, exact; ``None`` if that with the
+    line's number does not fit 64 bits.
+    """
+    codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4")
+    present = np.zeros(int(codes.max()) + 1, bool)
+    present[codes] = True
+    base = int(present.sum())
+    span = base**shingle
+    if span * (len(lines) + 1) >= 2**63:
+        return None
+    digits = (np.cumsum(present) - 1)[codes]
+    values = digits[: len(digits) - shingle + 1].copy()
+    for k in range(1, shingle):
+        values *= base
+        values += digits[k : len(digits) - shingle + 1 + k]
+    lengths = np.array([len(line) for line in lines])
+    ends = np.cumsum(lengths)
+    inside = np.ones(len(values), bool)
+    for back in range(1, shingle):  # shingles that reach into the next line
+        inside[ends[:-1] - back] = False
+    counts = lengths - shingle + 1
+    keys = np.sort(values[inside] + np.repeat(np.arange(len(lines), dtype=np.int64) * span, counts))
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+    return keys, np.searchsorted(keys, np.arange(len(lines) + 1, dtype=np.int64) * span), span
+
 
 class ShingleSets:
     """The sets of shingles of some lines, as exact numbers.
@@ -248,7 +327,7 @@ def _groups(column: pa.Array) -> Iterator[list[list[str]]]:
     size = 0
     for value in column:
         text = value.as_py() or ""
-        held.append([normal(line) for line in text.split("\n")])
+        held.append([" ".join(line.split()) for line in text.lower().split("\n")])  # as ``normal`` makes each
         size += len(text)
         if size >= SEGMENT:
             yield held
@@ -260,63 +339,106 @@ def _groups(column: pa.Array) -> Iterator[list[list[str]]]:
 def _candidates(lines: DataFrame, shingle: int) -> DataFrame:
     """(bucket, id): lines that agree in a band; bands with the same lines make one bucket.
 
-    Signatures are made here, so that they are shuffled and not stored as well.
+    Signatures are made here, so that they are shuffled and not stored as well. Nearly all bands are
+    those of one line only, so they travel packed: the first bits of a band's key name its cell, and a
+    task sends what it has for a cell as one row. The number of cells follows the number of lines, so a
+    cell holds about ``CELL_PAIRS`` pairs whatever the size of the corpus.
     """
+    pairs = lines.count() * BANDS
+    bits = max(MIN_CELL_BITS, min(MAX_CELL_BITS, (pairs // CELL_PAIRS).bit_length()))
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                keys = band_keys(signatures(part.column("line").to_pylist(), shingle)).view(np.int64)
-                ids = np.repeat(part.column("line_id").to_numpy(), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], ["band", "id"])
+                keys = band_keys(signatures(part.column("line").to_pylist(), shingle))
+                held.append((keys.ravel(), np.repeat(part.column("line_id").to_numpy(), BANDS)))
+                if len(held) >= SENT_PARTS:
+                    yield packed(held, bits)
+                    held = []
+        if held:
+            yield packed(held, bits)
 
     spread = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         lines.select("line_id", "line")
-        .mapInArrow(banded, "band long, id long")
-        .repartition(spread, "band")
-        .sortWithinPartitions("band", "id")
+        .mapInArrow(banded, "cell int, pairs binary")
+        .repartition(spread, "cell")
+        .sortWithinPartitions("cell")
         .mapInArrow(sharing, "bucket long, id long")
         .distinct()
     )
 
 
+#: What is left of a band's key in its cell, and the line.
+PAIR = np.dtype([("band", "<u4"), ("id", "<i8")])
+
+
+def packed(held: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
+    """(cell, pairs): the pairs (band, id) of each cell, as bytes."""
+    keys, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+    cells = (keys >> np.uint64(64 - bits)).astype(np.int32)
+    order = np.argsort(cells, kind="stable")
+    made = np.empty(len(keys), PAIR)
+    made["band"], made["id"] = ((keys << np.uint64(bits)) >> np.uint64(32))[order], ids[order]
+    cells = cells[order]
+    starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+    offsets = np.append(starts, len(cells)).astype(np.int64) * PAIR.itemsize
+    rows = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(made.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(cells[starts]), rows.cast(pa.binary())], ["cell", "pairs"])
+
+
 def sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (band, id), sorted: the lines of bands with two or more, under a hash of the set of lines.
+    """From (cell, pairs), sorted by cell: the lines of bands with two or more, under a hash of the set of lines.
 
-    Equal sets get equal names, so a group of lines that agree in many bands is one bucket. A band too
-    long to hold goes out piece by piece under its own key.
+    Equal sets get equal names, so a group of lines that agree in many bands is one bucket. A cell with
+    more than ``HELD_PAIRS`` pairs goes through in pieces, under its bands' own keys: what is held is one
+    piece and one line for each different band, not the lines of a band, however many it has.
     """
-    band, ids, long = np.empty(0, np.int64), np.empty(0, np.int64), None
+    cell, held, size, known = None, [], 0, None
     for batch in batches:
-        band = np.concatenate([band, batch.column("band").to_numpy()])
-        ids = np.concatenate([ids, batch.column("id").to_numpy()])
-        if not len(band):
-            continue
-        new = np.ones(len(band), bool)
-        new[1:] = (band[1:] != band[:-1]) | (ids[1:] != ids[:-1])
-        band, ids = band[new], ids[new]
-        last = int(np.searchsorted(band, band[-1]))  # where the band starts that may go on
-        if last:
-            yield _named(band[:last], ids[:last], long)
-        band, ids = band[last:], ids[last:]
-        if len(band) > LONG_RUN:
-            yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(ids)], ["bucket", "id"])
-            band, ids, long = band[-1:], ids[-1:], band[-1]
-    yield _named(band, ids, long)
-
-
-def _named(band: np.ndarray, ids: np.ndarray, long: np.int64 | None) -> pa.RecordBatch:
+        for this, pairs in zip(batch.column("cell").to_pylist(), batch.column("pairs"), strict=True):
+            if this != cell:
+                if held:
+                    yield _shared(cell, held, known)[0]
+                cell, held, size, known = this, [], 0, None
+            part = np.frombuffer(pairs.as_buffer(), PAIR)
+            held.append(part)
+            size += len(part)
+            if size > HELD_PAIRS:
+                made, known = _shared(cell, held, known if known is not None else np.empty(0, PAIR))
+                yield made
+                held, size = [], 0
+    if held:
+        yield _shared(cell, held, known)[0]
+
+
+def _shared(cell: int, held: list[np.ndarray], known: np.ndarray | None) -> tuple[pa.RecordBatch, np.ndarray | None]:
+    """The buckets of some pairs of a cell. ``known``: one pair of each band that was there before, if there are more pieces."""
+    pairs = np.concatenate([*held, known] if known is not None else held)
+    pairs = pairs[np.argsort(pairs["band"], kind="stable")]
+    first = np.concatenate([[True], pairs["band"][1:] != pairs["band"][:-1]])
+    if known is not None:
+        known = pairs[first]
+    several = ~(first & np.append(first[1:], True))
+    pairs = pairs[several]
+    pairs = pairs[np.lexsort((pairs["id"], pairs["band"]))]
+    if len(pairs):
+        new = np.ones(len(pairs), bool)
+        new[1:] = (pairs["band"][1:] != pairs["band"][:-1]) | (pairs["id"][1:] != pairs["id"][:-1])
+        pairs = pairs[new]
+    band, ids = pairs["band"].astype(np.uint64), np.ascontiguousarray(pairs["id"])
     if len(band):
         starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
         counts = np.diff([*starts, len(band)])
-        names = _mixed(np.add.reduceat(_mixed(ids.view(np.uint64)), starts)).view(np.int64)
-        out = band[starts] == long if long is not None else np.zeros(len(starts), bool)
-        names = np.where(out, band[starts], names)
-        use = np.repeat((counts > 1) | out, counts)
+        if known is None:
+            names = _mixed(np.add.reduceat(_mixed(ids.view(np.uint64)), starts))
+        else:
+            names = _mixed((np.uint64(cell) << np.uint64(32)) | band[starts])
+        use = np.repeat(counts > 1, counts)
         band, ids = np.repeat(names, counts)[use], ids[use]
-    return pa.RecordBatch.from_arrays([pa.array(band), pa.array(ids)], ["bucket", "id"])
+    return pa.RecordBatch.from_arrays([pa.array(band.view(np.int64)), pa.array(ids)], ["bucket", "id"]), known
 
 
 def line_components(lines: DataFrame, shingle: int, similar: tuple[int, int]) -> DataFrame:

@@ -111,7 +111,8 @@ def bucket_links(
     ``members`` has the columns bucket and id (both long), one row for each item of a bucket;
     ``payload`` has for each id once what ``near`` needs besides the id. Both are read several times.
     Repeated edges are possible. With ``at_once`` buckets of up to ``block`` items are compared in one
-    piece of work from the start; that suits many small buckets, of which few lie in one component.
+    piece of work from the start, many buckets together; that suits many small buckets, of which few lie
+    in one component. ``near`` then also has ``weights`` and ``linked_pairs``.
     """
     cell_keys = ["bucket", "row", "col"]
 
@@ -155,7 +156,9 @@ def bucket_links(
     done = None
     if at_once:
         small = rows.where(F.col("n") <= block)
-        done = keep(compared(spread(small, F.array(cell(nought, nought, nought)), F.col("id"))), "small-buckets")
+        loaded = small.select("bucket", "id").join(payload, "id") if payload is not None else small.select("bucket", "id")
+        loaded = loaded.repartition(places, "bucket").sortWithinPartitions("bucket", "id")
+        done = keep(loaded.mapInArrow(partial(_within_buckets, near), "u long, v long"), "small-buckets")
         rows = rows.where(F.col("n") > block)
         if rows.isEmpty():
             return done
@@ -198,6 +201,76 @@ def bucket_links(
     return links if done is None else links.unionByName(done)
 
 
+def _within_buckets(near: Near, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of each small bucket: those of two or three items by all their pairs, decided together."""
+    for some, starts in _whole_buckets(near, batches):
+        ids = some.column("id").to_numpy()
+        decide = near.linked_pairs(some) if len(starts) > 1 else None
+        sizes = np.diff([*starts, len(ids)])
+        u: list[np.ndarray] = []
+        v: list[np.ndarray] = []
+        few = np.zeros(len(starts), bool)
+        if decide is not None:
+            few = sizes <= 3
+            for a, b in ((0, 1), (0, 2), (1, 2)):
+                at = starts[few & (sizes > b)]
+                if len(at):
+                    linked = decide(at + a, at + b)
+                    u.append(ids[(at + a)[linked]])
+                    v.append(ids[(at + b)[linked]])
+        for start, size in zip(starts[~few].tolist(), sizes[~few].tolist(), strict=True):
+            own = np.arange(start, start + size)
+            if decide is not None:
+                edges = forest(own, own, lambda one, many: decide(np.full(len(many), one), many))
+            else:
+                asked = partial(near.to_many, near.items(some.slice(start, size)))
+                edges = [(a + start, b + start) for a, b in forest(own - start, own - start, asked)] if size > 1 else []
+            u.append(ids[[a for a, _ in edges]] if edges else ids[:0])
+            v.append(ids[[b for _, b in edges]] if edges else ids[:0])
+        if u:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
+
+
+#: Weight of the items compared together.
+TOGETHER = 1 << 20
+
+
+def _whole_buckets(near: Near, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows of whole buckets and where each begins, up to about ``TOGETHER`` in weight; a heavier bucket comes alone."""
+    held: list[pa.RecordBatch] = []
+    weight = 0
+    for batch in batches:
+        # A batch may be cut anywhere; only its last bucket can go on.
+        for start in range(0, batch.num_rows, 2048):
+            part = batch.slice(start, 2048)
+            if held and weight >= TOGETHER:
+                whole = _one(held)
+                bucket = whole.column("bucket").to_numpy()
+                last = int(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))[-1])
+                if last:
+                    yield from _by_weight(near, whole.slice(0, last))
+                    held = [whole.slice(last)]
+                    weight = int(near.weights(held[0]).sum())
+            held.append(part)
+            weight += int(near.weights(part).sum())
+    if held:
+        yield from _by_weight(near, _one(held))
+
+
+def _by_weight(near: Near, whole: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    bucket = whole.column("bucket").to_numpy()
+    if not len(bucket):
+        return
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    weights = np.add.reduceat(near.weights(whole), starts)
+    bounds = np.append(starts, len(bucket))
+    at = 0
+    while at < len(starts):
+        upto = at + max(1, int(np.searchsorted(np.cumsum(weights[at:]), TOGETHER, side="right")))
+        yield whole.slice(bounds[at], bounds[upto] - bounds[at]), starts[at:upto] - bounds[at]
+        at = upto
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component) for every node of ``edges`` (u, v long): the smallest id reachable.
 

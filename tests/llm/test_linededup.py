@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from helpers import Groups
 
-from restframe.llm import linededup
+from restframe.llm import linededup, links
 
 SCHEMA = "doc_id long, text string, id string, ident int, removed int, row int"
 
@@ -95,13 +95,60 @@ def test_signatures_of_long_lines_do_not_depend_on_segments(monkeypatch):
     assert (linededup.signatures(lines) == whole).all()
 
 
-def test_long_bands_are_named_once(monkeypatch):
-    monkeypatch.setattr(linededup, "LONG_RUN", 5)
-    band = np.array([1, 2, 2] + [7] * 40 + [9, 9])
-    ids = np.array([5, 1, 2, *range(40), 3, 4])
-    parts = [pa.RecordBatch.from_arrays([pa.array(band[i : i + 4]), pa.array(ids[i : i + 4])], ["band", "id"]) for i in range(0, 45, 4)]
-    out = pa.Table.from_batches(list(linededup.sharing(iter(parts)))).to_pandas().drop_duplicates()
-    assert sorted(map(sorted, out.groupby("bucket").id.apply(list))) == [[*range(40)], [1, 2], [3, 4]]
+@pytest.mark.parametrize("held", [5, 1 << 20])
+def test_buckets_of_packed_bands(monkeypatch, held):
+    """Bands with two or more lines, whether a cell is held whole or goes through in pieces."""
+    monkeypatch.setattr(linededup, "HELD_PAIRS", held)
+    keys = [1 << 60, 2 << 60, 2 << 60, (2 << 60) + (1 << 40)] + [7 << 60] * 40 + [9 << 60] * 3 + [(7 << 60) + (1 << 50)]
+    ids = [5, 1, 2, 1, *range(100, 140), 3, 4, 4, 9]
+    sent = [linededup.packed([(np.array(keys[i : i + 4], np.uint64), np.array(ids[i : i + 4]))], 6) for i in range(0, len(keys), 4)]
+    rows = pa.Table.from_batches(sent).sort_by("cell").to_batches(max_chunksize=3)
+    out = pa.Table.from_batches(list(linededup.sharing(iter(rows)))).to_pandas().drop_duplicates()
+    assert sorted(map(sorted, out.groupby("bucket").id.apply(list))) == [[1, 2], [3, 4], [*range(100, 140)]]
+
+
+@pytest.mark.parametrize("together", [1, 300, 1 << 20])
+def test_small_buckets_compared_together(monkeypatch, together):
+    monkeypatch.setattr(links, "TOGETHER", together)
+    rng, near = random.Random(3), linededup.SimilarLines(5, (4, 5))
+    rows, want, number = [], set(), 0
+    for bucket in range(80):
+        base = "".join(rng.choice("abcdef é日\U0001f600") for _ in range(rng.randrange(5, 70)))
+        own = []
+        for _ in range(rng.choice([1, 2, 2, 3, 3, 4, 9])):
+            at = rng.randrange(len(base))
+            text = base if rng.random() < 0.3 else base[:at] + rng.choice("xyz") + base[at + 1 :] if rng.random() < 0.7 else base[::-1]
+            own.append((number, {text[i : i + 5] for i in range(len(text) - 4)}))
+            rows.append((bucket, number, text))
+            number += 1
+        groups = Groups([i for i, _ in own])
+        for i, a in own:
+            for j, b in own:
+                if i < j and 5 * len(a & b) >= 4 * len(a | b):
+                    groups.join(i, j)
+        want |= {(i, groups.find(i)) for i, _ in own}
+    table = pa.table({"bucket": [r[0] for r in rows], "id": [r[1] for r in rows], "line": [r[2] for r in rows]})
+    edges = pa.Table.from_batches(list(links._within_buckets(near, iter(table.to_batches(max_chunksize=7))))).to_pandas()
+    found = Groups(range(number))
+    for u, v in zip(edges.u, edges.v, strict=True):
+        found.join(int(u), int(v))
+    assert {(i, found.find(i)) for i in range(number)} == want
+
+
+def test_shingles_of_many_characters_are_exact():
+    """More different characters than fit numbers of 64 bits."""
+    lines = ["".join(chr(0x4E00 + (i * 7919 + j * 31) % 20000) for j in range(300)) for i in range(80)]
+    assert linededup.joint_sets(lines, 5) is None
+    sets = linededup.ShingleSets(lines, 5)
+    for many in ([1, 2], [5, 79]):
+        got = sets.shared(0, np.array(many))[0].tolist()
+        assert got == [len({lines[0][i : i + 5] for i in range(296)} & {lines[m][i : i + 5] for i in range(296)}) for m in many]
+
+
+def test_blank_by_any_white_space(spark):
+    rows = [(1, "a line that is long enough\n\u3000"), (2, "\u3000\na line that is long enough"), (3, "a line that is long enough\n  \u00a0"), (4, "\u3000")]
+    kept = linededup.deduplicate_lines(frame(spark, rows)).collect()
+    assert {r.doc_id: r.text for r in kept} == {1: rows[0][1], 4: "\u3000"}
 
 
 def test_one_changed_character_in_lines_of_sixty(spark):

@@ -3,12 +3,16 @@
 Rules judge the urls they fit. The hosts they judge are the seeds: of a host, the share of pages that
 rules allow is trust, the share that they block is distrust. Trust flows along links from host to
 host (personalised PageRank from the trusted seeds), distrust against them (from the blocked seeds
-to those that link to them). Both are divided among all that a host hands them to, so they tell how
-much a host has of what there is, and shrink as the graph grows. What judges a host are shares of its
-own links, which do not: blame, the share of the links it has that lead to blamed hosts, and credit,
-the share of the links to it that come from credited hosts, both damped and started from the same
-seeds. A host whose blame exceeds its credit by a margin is blocked; its verdict holds for the pages
-that no rule fits.
+to those that link to them). Both are divided among all that a host hands them to, so both shrink as the
+graph grows; what judges a host is their ratio, distrust / (trust + distrust), which does not. A host
+can raise its trust only through hosts that have some, and nobody can take it away: links from
+unknown hosts add nothing to either.
+
+A ratio says whom a host stands nearer to, not how much it has to do with either: one link among a
+thousand to a blocked host, and no trust, is a ratio of 1. So distrust is propagated a second time as
+a share, blame: of the links a host has, the share that leads to blamed hosts, damped. A host is
+blocked if its ratio and its blame both exceed their thresholds; its verdict holds for the pages that
+no rule fits.
 """
 
 from __future__ import annotations
@@ -17,14 +21,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restframe.llm.base import keep, query, table
+from restframe.operators.skew import salted_join
 
 DAMPING = 0.85
-ROUNDS = 30
-#: Largest change of a score at which the propagation has settled.
-SETTLED = 1e-9
-#: Blame and credit are at most 1; an unlinked host of which a share s is blocked has blame 0.15 s, one
-#: that links to nothing but wholly blocked hosts 0.1275, however many others do.
-MARGIN = 0.075
+#: Largest change of a score, as a share of it, at which the propagation has settled, and rounds after which it
+#: must have. As a share, since ratios of small scores decide too.
+SETTLED = 1e-4
+MAX_ROUNDS = 500
+#: Thresholds of a host: more distrust than trust, and blame, which is 0.15 s for an unlinked host of which a
+#: share s is blocked and 0.1275 for one that links to nothing but wholly blocked hosts, however many others do.
+RATIO = 0.5
+BLAME = 0.075
 #: The rules of the query.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -49,38 +56,51 @@ def linked_hosts(html: Column) -> Column:
     return F.transform(F.regexp_extract_all(html, F.lit(_LINK), F.lit(1)), _lower)
 
 
-def rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
-    """(host, rules): for each host the rules of its name and of the domains it lies in."""
+def fitting_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path, rule, verdict) of the longest rule that fits each different (host, path) it is given.
+
+    A url meets the rules of the domains its host lies in, by equality of the domain and of as many
+    characters of its path as a rule of that domain has. What is gathered for a domain are the lengths of
+    its rules' paths, not its rules.
+    """
     labels = F.split("host", r"\.")
     domains = F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
     )
     split = rules.select(
-        F.regexp_extract("rule", r"(?s)^([^/]*)(.*)$", 1).alias("domain"),
+        F.regexp_extract("rule", r"(?s)^([^/]*)", 1).alias("domain"),
+        F.regexp_extract("rule", r"(?s)^[^/]*(.*)$", 1).alias("prefix"),
         F.struct(
             F.length("rule").alias("size"),
-            F.length(F.regexp_extract("rule", r"(?s)^([^/]*)(.*)$", 1)).alias("host_size"),
-            "verdict",
+            F.length(F.regexp_extract("rule", r"(?s)^([^/]*)", 1)).alias("host_size"),
+            (F.col("verdict") == "block").alias("block"),
             "rule",
-            F.regexp_extract("rule", r"(?s)^([^/]*)(.*)$", 2).alias("path"),
+            "verdict",
         ).alias("it"),
     )
-    named = hosts.select("host", F.explode(domains).alias("domain")).join(split, "domain")
-    return named.groupBy("host").agg(F.collect_set("it").alias("rules"))
+    split = split.groupBy("domain", "prefix").agg(F.max("it").alias("it"))
+    lengths = split.groupBy("domain").agg(F.collect_set(F.length("prefix")).alias("lengths"))
+    known = salted_join(urls.select("host", "path", F.explode(domains).alias("domain")), lengths, ["domain"])
+    cut = known.withColumn("length", F.explode("lengths")).where(F.col("length") <= F.length("path"))
+    cut = cut.select("host", "path", "domain", F.substring("path", F.lit(1), F.col("length")).alias("prefix"))
+    met = salted_join(cut, split, ["domain", "prefix"])
+    return met.groupBy("host", "path").agg(F.max("it").alias("it")).select("host", "path", "it.rule", "it.verdict")
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust, credit, blame) from ``edges`` (src, dst, n) and ``seeds`` (host, trust, distrust).
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> DataFrame:
+    """(host, trust, distrust, blame) from ``edges`` (src, dst, n) and ``seeds`` (host, trust, distrust).
 
-    Links of a host to itself carry nothing. Every round is written to the shared folder.
+    Links of a host to itself carry nothing. Rounds go on until no score changes by more than
+    ``SETTLED`` of itself; each is written to the shared folder. The edges of a hub are spread over tasks.
     """
     edges = edges.where("src <> dst").groupBy("src", "dst").agg(F.sum("n").alias("n"))
-    leaving = edges.groupBy("src").agg(F.sum("n").alias("leaving"))
-    coming = edges.groupBy("dst").agg(F.sum("n").alias("coming"))
+    edges = keep(edges, "edges")
+    leaving = keep(edges.groupBy("src").agg(F.sum("n").alias("leaving"), F.count("*").alias("n")), "leaving")
+    coming = keep(edges.groupBy("dst").agg(F.sum("n").alias("coming"), F.count("*").alias("n")), "coming")
+    shares = salted_join(edges.withColumnRenamed("n", "links"), leaving.select("src", "leaving"), ["src"], counts=leaving)
+    shares = salted_join(shares, coming.select("dst", "coming"), ["dst"], counts=coming)
     flows = keep(
-        edges.join(leaving, "src")
-        .join(coming, "dst")
-        .select("src", "dst", (F.col("n") / F.col("leaving")).alias("forth"), (F.col("n") / F.col("coming")).alias("back")),
+        shares.select("src", "dst", (F.col("links") / F.col("leaving")).alias("forth"), (F.col("links") / F.col("coming")).alias("back")),
         "flows",
     )
     nodes = flows.select(F.col("src").alias("host")).unionByName(flows.select(F.col("dst").alias("host"))).distinct()
@@ -90,45 +110,39 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         (F.coalesce("distrust", F.lit(0.0)) * (1 - damping)).alias("base_distrust"),
     )
     base = keep(base, "seeds")
-    scored = ("trust", "distrust", "credit", "blame")
-    seeded = {"trust": "base_trust", "distrust": "base_distrust", "credit": "base_trust", "blame": "base_distrust"}
-    now = base.select("host", *[F.col(seeded[x]).alias(x) for x in scored])
+    seeded = {"trust": "base_trust", "distrust": "base_distrust", "blame": "base_distrust"}
+    now = base.select("host", *[F.col(seeded[x]).alias(x) for x in seeded])
     if flows.isEmpty():
         return now
     nothing = F.lit(0.0)
-    for _ in range(rounds):
-        scores = now.select("host", *scored)
-        # Divided among the links a host has, or taken as a share of the links the other one has.
-        forth = flows.join(scores, flows.src == scores.host).select(
-            F.col("dst").alias("host"),
-            (F.col("trust") * F.col("forth")).alias("trust"),
-            nothing.alias("distrust"),
-            (F.col("credit") * F.col("back")).alias("credit"),
-            nothing.alias("blame"),
+    for _ in range(MAX_ROUNDS):
+        scores = now.select("host", *seeded)
+        forth = salted_join(flows, scores.withColumnRenamed("host", "src"), ["src"], counts=leaving).select(
+            F.col("dst").alias("host"), (F.col("trust") * F.col("forth")).alias("trust"), nothing.alias("distrust"), nothing.alias("blame")
         )
-        back = flows.join(scores, flows.dst == scores.host).select(
+        # Divided among the hosts that link to one, and as a share of the links that each of these has.
+        back = salted_join(flows, scores.withColumnRenamed("host", "dst"), ["dst"], counts=coming).select(
             F.col("src").alias("host"),
             nothing.alias("trust"),
             (F.col("distrust") * F.col("back")).alias("distrust"),
-            nothing.alias("credit"),
             (F.col("blame") * F.col("forth")).alias("blame"),
         )
-        got = forth.unionByName(back).groupBy("host").agg(*[F.sum(x).alias(f"got_{x}") for x in scored])
-        old = scores.select("host", *[F.col(x).alias(f"old_{x}") for x in scored])
+        got = forth.unionByName(back).groupBy("host").agg(*[F.sum(x).alias(f"got_{x}") for x in seeded])
+        old = scores.select("host", *[F.col(x).alias(f"old_{x}") for x in seeded])
         now = keep(
             base.join(got, "host", "left")
             .join(old, "host")
             .select(
                 "host",
-                *[(F.col(seeded[x]) + F.lit(damping) * F.coalesce(f"got_{x}", nothing)).alias(x) for x in scored],
-                *[f"old_{x}" for x in scored],
+                *[(F.col(seeded[x]) + F.lit(damping) * F.coalesce(f"got_{x}", nothing)).alias(x) for x in seeded],
+                *[f"old_{x}" for x in seeded],
             ),
             "scores",
         )
-        change = F.greatest(*[F.abs(F.col(x) - F.col(f"old_{x}")) for x in scored])
+        change = F.greatest(*[F.when(F.col(x) > 0, F.abs(F.col(x) - F.col(f"old_{x}")) / F.col(x)).otherwise(0.0) for x in seeded])
         if now.agg(F.max(change)).first()[0] <= SETTLED:
-            break
-    return now.select("host", *scored)
+            return now.select("host", *seeded)
+    raise RuntimeError("the propagation did not settle")
 
 
 def judge(
@@ -137,9 +151,10 @@ def judge(
     key: str = "page_id",
     url: str = "url",
     html: str = "html",
-    margin: float = MARGIN,
+    ratio: float = RATIO,
+    blame: float = BLAME,
 ) -> DataFrame:
-    """One row for each row of ``pages``: key, host, path, rule, verdict, trust and distrust of the host.
+    """One row for each row of ``pages``: key, host, path, rule, verdict, and trust, distrust and blame of the host.
 
     ``rules`` has the columns rule (host and path, like ``example.org/a/``) and verdict (allow or
     block). A rule fits its host and subdomains where the path starts with the rule's; the longest
@@ -154,29 +169,23 @@ def judge(
         F.coalesce(linked_hosts(F.col(f"`{html}`")), F.array().cast("array<string>")).alias("links"),
     )
     parsed = keep(parsed, "pages")
-    hosts = parsed.select("host").distinct()
-    known = hosts.join(rules_by_host(hosts, rules), "host", "left")
-    fitting = F.filter("rules", lambda r: F.col("path").startswith(r["path"]))
-    order = F.transform(
-        fitting,
-        lambda r: F.struct(
-            r["size"].alias("size"), r["host_size"].alias("host_size"), (r["verdict"] == "block").alias("block"),
-            r["rule"].alias("rule"), r["verdict"].alias("verdict"),
-        ),
-    )
-    # The narrow columns only, so that the hot hosts' rows are small when they are joined.
-    ruled = parsed.select("key", "host", "path").join(known, "host").withColumn("fit", F.array_max(order))
-    ruled = keep(ruled.select("key", "host", "path", "fit.rule", "fit.verdict"), "ruled")
+    # The narrow columns only, so that the rows of hot hosts are small when they are joined.
+    counts = keep(parsed.groupBy("host", "path").agg(F.count("*").alias("n")), "urls")
+    fits = fitting_rules(counts.select("host", "path"), rules)
+    ruled = salted_join(parsed.select("key", "host", "path"), fits, ["host", "path"], "left", counts=counts)
+    ruled = keep(ruled.select("key", "host", "path", "rule", "verdict"), "ruled")
     seeds = ruled.groupBy("host").agg(
         (F.count_if(F.col("verdict") == "allow") / F.count("*")).alias("trust"),
         (F.count_if(F.col("verdict") == "block") / F.count("*")).alias("distrust"),
     )
     links = parsed.select("host", F.explode("links").alias("dst")).groupBy(F.col("host").alias("src"), "dst")
     scores = propagate(links.agg(F.count("*").alias("n")).where("src <> '' and dst <> ''"), seeds, DAMPING)
-    verdict = F.when(F.col("blame") - F.col("credit") > margin, "block").otherwise("allow")
-    return ruled.join(scores, "host", "left").select(
-        F.col("key").alias(key), "host", "path", "rule", F.coalesce("verdict", verdict).alias("verdict"), "trust", "distrust"
-    )
+    far = (F.col("distrust") > F.lit(ratio) * (F.col("trust") + F.col("distrust"))) & (F.col("blame") > blame)
+    judged = salted_join(ruled, scores, ["host"], "left", counts=counts.groupBy("host").agg(F.sum("n").alias("n")))
+    return judged.select(
+        F.col("key").alias(key), "host", "path", "rule",
+        F.coalesce("verdict", F.when(far, "block").otherwise("allow")).alias("verdict"), "trust", "distrust", "blame",
+    )
 
 
 @query("op1_link_graph")

@@ -37,6 +37,11 @@ PLANE = 62
 UNKNOWN = "und"
 #: Different words remembered in a task while counting, and in a worker while predicting.
 WORDS = 500_000
+#: Longer words are not remembered; their n-grams are made and counted in parts of ``PART`` starting places.
+LONG_WORD = 256
+PART = 1 << 16
+#: Different n-grams of long words held while counting.
+HELD_GRAMS = 1_000_000
 #: Characters of the texts that are split into words at once.
 PREDICT_CHARS = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
@@ -55,30 +60,48 @@ def grams_of(word: str) -> list[str]:
     return [padded[i : i + n] for n in ORDERS for i in range(len(padded) - n + 1)]
 
 
+def gram_parts(word: str) -> Iterator[list[str]]:
+    """The n-grams of a word of any length, each once, a limited number at a time."""
+    padded = f"_{word}_"
+    for a in range(0, len(padded), PART):
+        piece = padded[a : a + PART + max(ORDERS) - 1]
+        yield [piece[i : i + n] for n in ORDERS for i in range(min(PART, len(piece) - n + 1))]
+
+
 def gram_counts(labelled: DataFrame) -> DataFrame:
     """(lang, gram, n) over all rows of (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter[str]] = {}
+        grams: dict[str, Counter[str]] = {}  # of long words
         for batch in batches:
             for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
-                words.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
-            if sum(map(len, words.values())) > WORDS:
-                yield _summed(words)
-                words = {}
-        yield _summed(words)
+                own, long = words.setdefault(lang.as_py(), Counter()), grams.setdefault(lang.as_py(), Counter())
+                found = words_of(text.as_py())
+                own.update(word for word in found if len(word) <= LONG_WORD)
+                for word in found:
+                    for part in gram_parts(word) if len(word) > LONG_WORD else ():
+                        long.update(part)
+                        if len(long) > HELD_GRAMS:
+                            yield _summed({}, {lang.as_py(): long})
+                            long.clear()
+            if sum(map(len, words.values())) > WORDS or sum(map(len, grams.values())) > HELD_GRAMS:
+                yield _summed(words, grams)
+                words, grams = {}, {}
+        yield _summed(words, grams)
 
     counted = labelled.select("lang", "text").mapInArrow(run, "lang string, gram string, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _summed(words: dict[str, Counter[str]]) -> pa.RecordBatch:
+def _summed(words: dict[str, Counter[str]], more: dict[str, Counter[str]]) -> pa.RecordBatch:
+    """(lang, gram, n) of the n-grams of the words and of others that were counted."""
     langs: list[str] = []
     grams: list[str] = []
     counts: list[int] = []
-    for lang, counter in words.items():
-        total: Counter[str] = Counter()
-        for word, n in counter.items():
+    for lang in words | more:
+        total: Counter[str] = Counter(more.get(lang))
+        for word, n in words.get(lang, {}).items():
             for gram in grams_of(word):
                 total[gram] += n
         langs += [lang] * len(total)
@@ -136,15 +159,28 @@ class LanguageFilter:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The language of each text and its share of the n-grams, without those expected by chance."""
         split = [words_of(text or "") for text in texts]
+        long = [[word for word in words if len(word) > LONG_WORD] for words in split]
+        split = [[word for word in words if len(word) <= LONG_WORD] if more else words for words, more in zip(split, long, strict=True)]
         new = {word for words in split for word in words if word not in self.memory}
         if len(self.memory) + len(new) > WORDS:
             self._forget()
             new = {word for words in split for word in words}
         self._remember(list(new))
-        return [self._decide([self.memory[word] for word in words]) for words in split]
-
-    def _decide(self, at: list[int]) -> tuple[str, float]:
+        return [self._decide([self.memory[word] for word in words], more) for words, more in zip(split, long, strict=True)]
+
+    def _counted(self, word: str) -> np.ndarray:
+        """How many n-grams of a long word every language contains, and how many there are."""
+        row = np.zeros(len(self.langs) + 1, np.int64)
+        for grams in gram_parts(word):
+            masks = self.masks(grams)
+            row[:-1] += [int(((masks[:, i // PLANE] >> np.int64(i % PLANE)) & 1).sum()) for i in range(len(self.langs))]
+            row[-1] += len(grams)
+        return row
+
+    def _decide(self, at: list[int], long: list[str]) -> tuple[str, float]:
         total = self.rows[at].sum(axis=0) if at else np.zeros(len(self.langs) + 1)
+        for word in long:
+            total = total + self._counted(word)
         n = total[-1]
         if not n or not self.langs:
             return UNKNOWN, 0.0

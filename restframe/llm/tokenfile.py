@@ -50,10 +50,13 @@ def is_plain(text: str) -> bool:
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
-    """Strings of special tokens in a text are ordinary text."""
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
-    return made
+    """As the library loads it: strings of added tokens in a text are these tokens."""
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=2)
+def added_tokens(path: str) -> tuple[str, ...]:
+    return tuple(token.content for token in tokenizer(path).get_added_tokens_decoder().values() if token.content)
 
 
 @lru_cache(maxsize=4)
@@ -119,11 +122,19 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
 
     Nearly all texts are words behind single spaces and line feeds, which need no pattern to be cut:
     their units are words without the space, or with the line feed. The first word is given a line
-    feed, whose id is taken off again. All other texts are cut by ``UNIT``.
+    feed, whose id is taken off again. Texts that hold the string of an added token go to the tokenizer
+    as a whole, as an added token may take in what stands beside it. All other texts are cut by ``UNIT``.
     """
     out: list[bytes] = [b""] * len(texts)
-    odd = [i for i, text in enumerate(texts) if not is_plain(text)]
-    usual = sorted(set(range(len(texts))) - set(odd))
+    added = added_tokens(path)
+    # Units are encoded side by side, where an added token with a space in it could come about.
+    cut = not any(c.isspace() for token in added for c in token)
+    whole = [i for i, text in enumerate(texts) if not cut or any(token in text for token in added)]
+    for i, found in zip(whole, tokenizer(path).encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
+        out[i] = np.array(found.ids, np.int32).tobytes()
+    rest = sorted(set(range(len(texts))) - set(whole))
+    odd = [i for i in rest if not is_plain(texts[i])]
+    usual = sorted(set(rest) - set(odd))
     split = [f"\n{texts[i]}".replace("\n", " \n").split(" ")[1:] for i in usual]
     words = list(chain.from_iterable(split))
     found = _looked_up(words, _memory(path, "words"), path, lambda word: word if word[0] == "\n" else f" {word}")

@@ -98,3 +98,30 @@ def test_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     right = [r.lang == r.lang_pred for r in got.join(docs, "doc_id").where("lang is not null").collect()]
     assert len(right) > 20 and np.mean(right) > 0.95
+
+
+@pytest.mark.parametrize("size", [3, 7, 1 << 16])
+def test_long_words_in_parts_have_each_ngram_once(monkeypatch, size):
+    monkeypatch.setattr(langid, "PART", size)
+    for word in ("ab", "abcdefghijklmnop", "漢字かな" * 50):
+        assert Counter(g for part in langid.gram_parts(word) for g in part) == Counter(langid.grams_of(word))
+
+
+def test_long_words_count_as_short_ones(spark, monkeypatch):
+    rows = [(i, ("kalomi" if i % 2 else "zuxewo") * (100 + i), "aa" if i % 2 else "bb", "x", 1, 2) for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    whole = langid.identify(docs, langid.learn(docs)).select("doc_id", "lang_pred", "score").collect()
+    counts = {(r.lang, r.gram): r.n for r in langid.gram_counts(docs.select("lang", "text")).collect()}
+    monkeypatch.setattr(langid, "LONG_WORD", 10**9)
+    assert Counter(map(tuple, whole)) == Counter(map(tuple, langid.identify(docs, langid.learn(docs)).select("doc_id", "lang_pred", "score").collect()))
+    assert counts == {(r.lang, r.gram): r.n for r in langid.gram_counts(docs.select("lang", "text")).collect()}
+
+
+def test_ngrams_of_one_word_are_held_in_parts(monkeypatch):
+    """A text of a million letters without a space: no more n-grams at once than a part has."""
+    monkeypatch.setattr(langid, "PART", 1 << 12)
+    most, masks = [], langid.LanguageFilter.masks
+    monkeypatch.setattr(langid.LanguageFilter, "masks", lambda self, grams: most.append(len(grams)) or masks(self, grams))
+    model = langid.LanguageFilter(["aa", "bb"], np.full((1024, 1), 1, np.int64))
+    assert model.predict(["漢字かな交じり文" * 25_000])[0][0] == "aa"
+    assert max(most) <= 3 << 12 and not model.memory and sum(most) > 590_000

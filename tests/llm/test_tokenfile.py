@@ -14,7 +14,6 @@ PARTS = ["ab", "é", " ", "  ", "\n", "'re", "12", "!?", "日本", " the", "\r\n
 
 def plain():
     code = Tokenizer.from_file(public_tokenizers.path(tokenfile.VOCABULARY))
-    code.encode_special_tokens = True
     return lambda text: code.encode(text or "", add_special_tokens=False).ids
 
 
@@ -25,6 +24,16 @@ def test_remembered_units_equal_whole_texts():
     assert [np.frombuffer(ids, np.int32).tolist() for ids in made] == [encode(text) for text in texts]
 
 
+def test_added_tokens_are_what_the_library_makes_of_them():
+    path = public_tokenizers.path(tokenfile.VOCABULARY)
+    names, encode = tokenfile.added_tokens(path), plain()
+    assert names
+    texts = [t for n in names for t in (n, f"a{n}b", f" {n} ", f"x\n{n}\n{n}{n} y", n[:-1], f"{n[:4]} {n[4:]}", "word " * 3000 + n)]
+    made = [np.frombuffer(ids, np.int32).tolist() for ids in tokenfile.encode_texts(texts, path)]
+    assert made == [encode(text) for text in texts]
+    assert made[1] == [64, 50256, 65]
+
+
 def test_memory_starts_anew(monkeypatch):
     monkeypatch.setattr(tokenfile, "MEMORY", 3)
     made = tokenfile.encode_texts(["a b c d e", "a b f"], public_tokenizers.path(tokenfile.VOCABULARY))

@@ -10,7 +10,7 @@ neighbouring blocks compose to one of the same form. They are composed in a tree
 in the leading bits of their position become one, level by level, until a lane has one left. Then the
 tree is walked down: a node that knows its entry tells its children theirs, and at last every block,
 knowing its entry, sets its marks. A task holds one block, or one chain while it reads the
-``FAN`` below it, however long the lane is.
+4,096 or fewer below it, however long the lane is.
 """
 
 from __future__ import annotations
@@ -26,9 +26,8 @@ from pyspark.sql import types as T
 
 from restframe.session import keep as kept_table
 
-#: Bits of a block's position that one level of the tree takes off, and so the most children of a node.
+#: Bits of a block's position that one level of the tree takes off, which bounds the children of a node.
 FAN_BITS = 12
-FAN = 1 << FAN_BITS
 
 _NONE_YET = np.iinfo(np.int64).min
 
@@ -191,7 +190,13 @@ def greedy_marks(
     )
     code = block_code(block, rows.schema[block].dataType)
     levels = [kept_table(per_block.withColumn("_node", code), "chains")]
-    low, high = levels[0].agg(F.min("_node"), F.max("_node")).first()
+    low, high, count = levels[0].agg(F.min("_node"), F.max("_node"), F.count("*")).first()
+    if count:
+        # Positions count from the first one.
+        levels[0] = levels[0].withColumn("_node", F.col("_node") - F.lit(low))
+        low, high = 0, high - low
+    # As many blocks as one node may have need no bits to be told apart by.
+    bits = FAN_BITS if count > 1 << FAN_BITS else 63
 
     def compose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Children arrive in order within their node.
@@ -213,12 +218,12 @@ def greedy_marks(
 
     def below(level: DataFrame) -> DataFrame:
         """A level with the node each chain belongs to, under the position of its own."""
-        return level.withColumn("_child", F.col("_node")).withColumn("_node", F.shiftright("_node", FAN_BITS))
+        return level.withColumn("_child", F.col("_node")).withColumn("_node", F.shiftright("_node", bits))
 
     while low is not None and low != high:
         level = below(levels[-1]).repartition(*node).sortWithinPartitions(*node, "_child")
         levels.append(kept_table(level.mapInPandas(compose, f"{lane_ddl}_node bigint, {chain_ddl}"), "chains"))
-        low, high = low >> FAN_BITS, high >> FAN_BITS
+        low, high = low >> bits, high >> bits
 
     def enter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The entry of a node comes before its children.

@@ -12,7 +12,7 @@ from restframe.operators.lookup import lookup_join
 from restframe.operators.request import plan_requests
 from restframe.plans.base import query, stream, table
 from restframe.session import new_dir
-from restframe.sources.sqlapi import register_fetch
+from restframe.sources.sqlapi import register_fetch, register_fetch_table
 from restframe.sources.transport import CallableTransport, ReplayTransport, TableTransport
 from restframe.spec import ARRAY, LookupSpec
 from restframe.streaming.enrich import enrich_stream
@@ -351,6 +351,27 @@ def lookup_uncached(spark, sf_dir):
     from part""",
 )
 def lookup_sql(spark, sf_dir):
+    """The calls of a table from SQL, eight at a time in each task."""
+    spec = LookupSpec(url="http://parts.example.com/double", schema="part bigint, twice bigint", async_polling=True)
+    register_fetch_table(spark, "fetch_parts", spec, echo, carry="p_partkey bigint")
+    planned = plan_requests(table(spark, sf_dir, "part"), spec, {"part": "p_partkey"}, ["p_partkey"])
+    planned.createOrReplaceTempView("part_requests")
+    return spark.sql(
+        """
+        select p_partkey, status, from_json(body, 'twice bigint').twice as twice
+        from fetch_parts(table(part_requests))"""
+    )
+
+
+@query(
+    "lookup_sql_row",
+    """
+    select p_partkey, case when p_partkey % 10 = 0 then 404 else 200 end as status,
+           case when p_partkey % 10 <> 0 then 2 * p_partkey end as twice
+    from part""",
+)
+def lookup_sql_row(spark, sf_dir):
+    """The same by a lateral join, one call for each row."""
     spec = LookupSpec(url="http://parts.example.com/double", schema="part bigint, twice bigint")
     register_fetch(spark, "fetch_part", spec, echo)
     planned = plan_requests(table(spark, sf_dir, "part"), spec, {"part": "p_partkey"}, ["p_partkey"])

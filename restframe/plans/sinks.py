@@ -18,6 +18,7 @@ from restframe.operators.batches import (
 from restframe.plans.base import LINE_METHOD, query, stream, table
 from restframe.session import new_dir
 from restframe.sources.delivery import deliver, sink_metrics
+from restframe.sources.http_sink import register_sink
 from restframe.sources.transport import CallableTransport
 from restframe.spec import SinkSpec
 from restframe.streaming.enrich import deliver_stream
@@ -401,6 +402,56 @@ def sink_stream_batch(spark, sf_dir):
     return lanes.crossJoin(F.broadcast(keys))
 
 
+# What the table form delivers of the events, one request for each; its methods are POST and PUT, others are refused.
+_TABLE_WRITE = """
+    with e as (select event_id, case when event_id % 97 = 0 then 'DELETE' when event_id % 2 = 0 then 'PUT' else 'POST' end as verb,
+                      strlen('{"event_id":' || event_id || ',"event_type":"' || event_type || '"}') as s from events),
+    sent as (select * from e where verb <> 'DELETE')
+    select count(*)::bigint as records, count(*)::bigint as requests,
+           count(*) filter (s % 7 = 0 or s % 3 = 0)::bigint as requests_failed,
+           (select count(*) from e where verb = 'DELETE')::bigint as rejected"""
+_WRITE_COUNTS = ["records", "requests", "requests_failed", "rejected"]
+_SENDER = {"url": URL, "format": "json", "sink.writer.request.mode": "single", "sender": "restframe.plans.sinks:answer_by_size"}
+
+
+def _table_elements(events, spec):
+    verb = F.when(F.col("event_id") % 97 == 0, "DELETE").when(F.col("event_id") % 2 == 0, "PUT").otherwise("POST")
+    return with_elements(events, spec, ["event_id", "event_type"], verb).select("method", "element")
+
+
+def _write_log(spark, path):
+    log = spark.read.schema("records long, requests long, requests_failed long, rejected long").json(path)
+    return log.agg(*[F.sum(c).alias(c) for c in _WRITE_COUNTS])
+
+
+@query("sink_table", _TABLE_WRITE + " from sent")
+def sink_table(spark, sf_dir):
+    """``df.write.format("http-sink")``, one record a request, and its log."""
+    register_sink(spark)
+    path = new_dir(spark, "table-log")
+    rows = _table_elements(table(spark, sf_dir, "events"), SinkSpec(url=URL))
+    rows.write.format("http-sink").mode("append").options(**_SENDER, **{"log-path": path}).save()
+    return _write_log(spark, path)
+
+
+@query(
+    "sink_table_stream",
+    _TABLE_WRITE + ", 3::bigint as epochs from sent",
+)
+def sink_table_stream(spark, sf_dir):
+    """``writeStream.format("http-sink")`` over three micro-batches, and the log of their epochs."""
+    register_sink(spark)
+    path, checkpoint, parts = (new_dir(spark, label) for label in ("table-log", "stream-state", "stream-parts"))
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    events.repartition(3, F.pmod(F.xxhash64("event_id"), F.lit(3))).write.parquet(parts)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(parts)
+    writer = _table_elements(source, SinkSpec(url=URL)).writeStream.format("http-sink")
+    writer = writer.options(**_SENDER, **{"log-path": path}).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    epochs = spark.read.schema("write string").json(path).agg(F.count_distinct("write").alias("epochs"))
+    return _write_log(spark, path).crossJoin(F.broadcast(epochs))
+
+
 _ODD_LANES = [
     "case event_id % 4 when 0 then 'a-b' when 1 then 'a' when 2 then 'null' end as one",
     "case event_id % 4 when 0 then 'c' when 1 then 'b-c' when 2 then 'z' when 3 then 'z' end as two",

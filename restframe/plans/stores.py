@@ -87,8 +87,8 @@ def cache_stream_query(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp"))
     seen = F.unix_seconds("ts") + F.pmod(F.xxhash64("event_id"), F.lit(3 * 3600))
     low, high = events.agg(F.min(seen), F.max(seen)).first()
-    for i in range(6):
-        part = events.where(F.floor((seen - low) * 6 / (high - low + 1)) == i)
+    for i in range(4):
+        part = events.where(F.floor((seen - low) * 4 / (high - low + 1)) == i)
         part.coalesce(1).write.mode("append").parquet(parts)
     source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(parts)
     cache = CachedStream("user_id", "ts", "event_id", SIX_HOURS_MS, "3 hours", path, state)

@@ -2,6 +2,7 @@
 
 import io
 import json
+import threading
 import time
 import urllib.error
 from email.message import Message
@@ -102,3 +103,24 @@ def slow_first(request):
     if request["url"].endswith("=0"):
         time.sleep(1.5)
     return {"status": 200, "body": f'{{"id":{time.monotonic_ns() // 10**6 % 10**9}}}'}
+
+
+_NOW, _MOST, _LOCK = [0], [0], threading.Lock()
+
+
+def in_flight(request):
+    """Answers with the most calls that were under way at once in this process."""
+    with _LOCK:
+        _NOW[0] += 1
+        _MOST[0] = max(_MOST[0], _NOW[0])
+    time.sleep(0.05)
+    with _LOCK:
+        _NOW[0] -= 1
+    return {"status": 200, "body": str(_MOST[0])}
+
+
+def keep_key(request):
+    """Writes the key of a request to a folder named in its url."""
+    with open(request["url"].removeprefix("http://"), "a") as out:
+        out.write(request["headers"]["Idempotency-Key"] + "\n")
+    return {"status": 200, "body": ""}

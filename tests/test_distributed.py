@@ -163,6 +163,13 @@ def test_blocks_of_other_kinds(spark, kind):
     assert got == {i: i - i % 10 for i in range(60)}
 
 
+def test_blocks_around_nought(spark, monkeypatch):
+    monkeypatch.setattr(greedy, "FAN_BITS", 1)
+    frame = spark.range(-60, 60).selectExpr("id", "0 as lane", "id div 7 as block")
+    got = {r.id: r.mark_lo for r in greedy_marks(frame, ["lane"], "block", ["id"], "id", "id", 9).collect()}
+    assert got == {i: i - (i + 60) % 10 for i in range(-60, 60)}
+
+
 def test_smaller_before():
     rng = random.Random(2)
     for n in (0, 1, 2, 31, 32, 33, 64, 500, 1500):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
@@ -14,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-__all__ = ["ORACLES", "QUERIES", "WORD", "extended", "keep", "query", "table"]
+__all__ = ["ORACLES", "QUERIES", "WORD", "extended", "keep", "query", "release_memory", "table"]
 
 #: Fixed value: a word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,3 +42,15 @@ def extended(df: DataFrame, added: str) -> StructType:
     """The schema of a Python stage that passes on the columns of a frame and adds others, written as text."""
     passed = [StructField(f.name, f.dataType) for f in df.schema.fields]
     return StructType(passed + StructType.fromDDL(added).fields)
+
+
+def release_memory() -> None:
+    """Give back to the system what earlier tasks of this Python worker have freed; called as a heavy one starts.
+
+    Workers outlive their tasks, and the allocator keeps what it was given: without this a worker holds
+    the largest of all stages it has run, not that of the one it runs.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from restframe.llm.base import extended, keep, query, table
+from restframe.llm.base import extended, keep, query, release_memory, table
 
 #: Lengths of n-grams; words are padded on both sides.
 ORDERS = (2, 3, 4)
@@ -42,6 +42,8 @@ LONG_WORD = 256
 PART = 1 << 16
 #: Different n-grams of long words held while counting.
 HELD_GRAMS = 1_000_000
+#: Rows taken out of Arrow at once.
+ROWS = 1024
 #: Characters of the texts that are split into words at once.
 PREDICT_CHARS = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
@@ -72,6 +74,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     """(lang, gram, n) over all rows of (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         words: dict[str, Counter[str]] = {}
         grams: dict[str, Counter[str]] = {}  # of long words
         for batch in batches:
@@ -238,18 +241,21 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
     sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.planes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         filters = LanguageFilter(*sent.value)
         for batch in batches:
-            made, texts, start, size = [], batch.column(text).to_pylist(), 0, 0
-            for i, whole in enumerate(texts):
-                size += len(whole or "")
-                if size >= PREDICT_CHARS or i + 1 == len(texts):
-                    made += filters.predict(texts[start : i + 1])
-                    start, size = i + 1, 0
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"],
-            )
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                made, texts, start, size = [], part.column(text).to_pylist(), 0, 0
+                for i, whole in enumerate(texts):
+                    size += len(whole or "")
+                    if size >= PREDICT_CHARS or i + 1 == len(texts):
+                        made += filters.predict(texts[start : i + 1])
+                        start, size = i + 1, 0
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
+                    [*part.schema.names, "lang_pred", "score"],
+                )
 
     return docs.mapInArrow(run, extended(docs, "lang_pred string, score double"))
 

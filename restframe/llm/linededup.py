@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from restframe.llm.base import keep, query, table
+from restframe.llm.base import keep, query, release_memory, table
 from restframe.llm.links import bucket_links, components
 from restframe.operators.skew import salted_join
 
@@ -280,6 +280,7 @@ def _line_table(rows: DataFrame, shingle: int) -> DataFrame:
     lines (line_id, line), each line that has a shingle at least once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         seen: set[int] = set()
         for batch in batches:
             start = 0
@@ -348,6 +349,7 @@ def _candidates(lines: DataFrame, shingle: int) -> DataFrame:
     bits = max(MIN_CELL_BITS, min(MAX_CELL_BITS, (pairs // CELL_PAIRS).bit_length()))
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):

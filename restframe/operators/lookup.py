@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from restframe.operators.keys import resolve_keys
@@ -156,10 +156,20 @@ def _bad_request_rows(requests: DataFrame, carry: Sequence[str], metadata: Seque
     return requests.where(F.col("error").isNotNull()).select(*carry, *known)
 
 
-def call_counter(requests: DataFrame) -> DataFrame:
-    """Probe rows, calls made for them, and calls saved by sending equal requests once."""
-    return requests.agg(
+def _call_counters() -> list[Column]:
+    return [
         F.sum("n_rows").alias("probe_rows"),
         F.count(F.lit(1)).alias("calls"),
         (F.sum("n_rows") - F.count(F.lit(1))).alias("calls_saved"),
-    )
+    ]
+
+
+def call_counter(requests: DataFrame) -> DataFrame:
+    """Probe rows, calls made for them, and calls saved by sending equal requests once."""
+    return requests.agg(*_call_counters())
+
+
+def observe_calls(requests: DataFrame) -> tuple[DataFrame, Observation]:
+    """Distinct requests with the counters of ``call_counter`` observed as they are sent."""
+    seen = Observation()
+    return requests.observe(seen, *_call_counters()), seen

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from restframe.functions.codes import is_sink_error
@@ -138,6 +138,30 @@ def sink_metrics(log: DataFrame, by: Sequence[str] = ("url",), flush: str | None
     return per_flush.groupBy(*by).agg(*[F.sum(n).alias(n) for n in names])
 
 
+def delivery_counters() -> list[Column]:
+    """The counters of ``sink_metrics`` over a whole log, as one aggregation."""
+    lost = F.col("io_error").isNotNull()
+    errors = F.when(lost, F.col("n_records")).when(F.col("is_error"), F.lit(1)).otherwise(F.lit(0))
+    failed = F.when(F.col("is_error"), F.col("n_records")).otherwise(F.lit(0))
+    return [
+        F.count(F.lit(1)).alias("requests"),
+        F.coalesce(F.sum("n_records"), F.lit(0)).alias("records"),
+        F.count_if("is_error").alias("requests_failed"),
+        F.coalesce(F.sum(failed), F.lit(0)).alias("records_failed"),
+        F.coalesce(F.sum(errors), F.lit(0)).alias("num_records_send_errors"),
+    ]
+
+
+def observe_delivery(log: DataFrame) -> tuple[DataFrame, Observation]:
+    """The log with its counters observed: ``get`` has them once an action on the log has run.
+
+    They are counted as the rows go by, so neither a pass of their own nor a second delivery is made
+    for them. Rows of another action on the same log are not counted again.
+    """
+    seen = Observation()
+    return log.observe(seen, *delivery_counters()), seen
+
+
 def redrive(log: DataFrame, source: DataFrame) -> DataFrame:
     """Planned requests whose delivery failed, to be sent again (both sides by batch_id)."""
     return source.join(log.where("is_error").select("batch_id").distinct(), "batch_id", "left_semi")

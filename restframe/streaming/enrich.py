@@ -6,11 +6,11 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import DataStreamWriter
 
 from restframe.operators.lookup import Keys, lookup_join
-from restframe.sources.delivery import deliver
+from restframe.sources.delivery import deliver, observe_delivery
 from restframe.sources.transport import Transport
 from restframe.spec import LookupSpec, SinkSpec
 
@@ -49,10 +49,13 @@ def deliver_stream(
     lane: Sequence[str],
     slices: Sequence[str],
     order: Sequence[str],
+    observed: Callable[[int, dict[str, int]], None] | None = None,
     **options: object,
 ) -> DataStreamWriter:
     """Deliver an unbounded stream; the delivery log grows below ``path``.
 
+    ``observed`` is told the counters of every epoch, taken from the rows of the log as they are written.
+
     The trigger interval is the flush time. After a failure the whole micro-batch is sent
     again under the same idempotency keys: at least once. ``checkpoint``, which belongs to one
     stream, and the epoch name a micro-batch, so no other one has its keys.
@@ -62,5 +65,17 @@ def deliver_stream(
         named = json.dumps([checkpoint, epoch])
         return deliver(batch, spec, transport, lane, slices, order, delivery_id=named, **options)
 
-    writer = stream.writeStream.foreachBatch(epoch_writer(work, path)).option("checkpointLocation", checkpoint)
+    def write(batch: DataFrame, epoch: int) -> None:
+        counted: list[Observation] = []
+
+        def watched(rows: DataFrame, number: int) -> DataFrame:
+            log, seen = observe_delivery(work(rows, number))
+            counted.append(seen)
+            return log
+
+        epoch_writer(watched, path)(batch, epoch)
+        if observed is not None:
+            observed(epoch, dict(counted[0].get))
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=f"{spec.max_time_ms} milliseconds")

@@ -7,10 +7,16 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from fake_http import in_flight
+from fake_http import in_flight, post
+from restframe.operators.lookup import observe_calls
+from restframe.operators.request import distinct_requests
+from restframe.session import keep
+from restframe.sources.delivery import deliver, observe_delivery, sink_metrics
 from restframe.sources.http_sink import as_elements, register_sink
 from restframe.sources.sqlapi import register_fetch_table
+from restframe.sources.transport import CallableTransport
 from restframe.spec import LookupSpec, SinkSpec
+from restframe.streaming.enrich import deliver_stream
 
 SPEC = LookupSpec(url="http://s", schema="id int")
 
@@ -82,3 +88,29 @@ def test_log_of_a_table_write(spark, tmp_path):
     rows.write.format("http-sink").mode("append").options(**options).save()
     (log,) = [json.loads(p.read_text()) for p in (tmp_path / "log").iterdir()]
     assert (log["records"], log["rejected"]) == (0, 9)
+
+
+def test_counters_of_a_batch_and_of_a_stream_are_observed(spark, tmp_path):
+    spec = SinkSpec(url="http://s", request_batch_size=3)
+    rows = spark.range(30).withColumn("lane", F.lit(0))
+    args = (spec, CallableTransport(post), ["lane"], ["id"], ["id"])
+    log, seen = observe_delivery(deliver(rows, *args, columns=["id"]))
+    kept = keep(log)
+    want = sink_metrics(kept).drop("url").first().asDict()
+    assert seen.get == want and want["requests"] == 10 and want["requests_failed"] == 1
+    for i in range(2):
+        rows.where(f"id div 15 = {i}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    told = {}
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    writer = deliver_stream(source, spec, CallableTransport(post), str(tmp_path / "out"), str(tmp_path / "state"),
+                            ["lane"], ["id"], ["id"], observed=told.__setitem__, columns=["id"])
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(told) == [0, 1] and sum(x["records"] for x in told.values()) == 30
+    assert sum(x["requests_failed"] for x in told.values()) == 1 and {x["requests"] for x in told.values()} == {5}
+
+
+def test_calls_are_observed(spark):
+    requests, _ = distinct_requests(spark.range(20).selectExpr("id % 4 as k"), SPEC, {"k": "k"})
+    sent, seen = observe_calls(requests)
+    assert sent.count() == 4
+    assert seen.get == {"probe_rows": 20, "calls": 4, "calls_saved": 16}

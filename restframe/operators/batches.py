@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from restframe.functions.formats import ENCODERS, format_options
 from restframe.operators.greedy import greedy_marks
-from restframe.operators.sequence import number_rows, number_runs, running_totals, with_group
+from restframe.operators.sequence import number_runs, running_totals
 from restframe.spec import INSERT_METHODS, SinkSpec
 
 Converter = Callable[[DataFrame], tuple[Column, Column]]
@@ -89,14 +89,20 @@ def plan_batches(
     into requests of ``batch_size`` rows; each is named by the position of its first row. ``slices`` are the leading columns of the
     ordering by which a lane of any size is spread over tasks.
     """
+    # With a limit of bytes, their running total comes from the windows that number the rows.
+    totals = {"_bytes": element_bytes()} if by_bytes else {}
     if by_method:
-        placed = number_runs(elements, lane, slices, order, F.upper("method"))
+        placed = number_runs(elements, lane, slices, order, F.upper("method"), weights=totals)
     else:
-        placed = number_rows(elements, lane, slices, order).withColumn("run_seq", F.lit(0).cast("bigint"))
+        placed = running_totals(elements, lane, slices, order, {"seq": F.lit(1).cast("bigint")} | totals)
+        placed = placed.withColumn("run_seq", F.lit(0).cast("bigint"))
     if by_bytes:
-        flushes = plan_byte_flushes(elements, spec, lane, slices[0], [*slices[1:], *order])
-        places = with_group(flushes, [*lane, "seq"]).select("_group", "flush_seq")
-        placed = with_group(placed, [*lane, "seq"]).join(places, "_group").drop("_group")
+        reached = placed.withColumn("_after", F.col("_bytes") + element_bytes())
+        marked = greedy_marks(
+            reached, lane, slices[0], ["seq"], "_bytes", "_after", spec.max_batch_bytes, seq="seq",
+            max_rows=spec.max_batch_size, keep=placed.columns,
+        )
+        placed = marked.withColumnRenamed("mark_seq", "flush_seq").drop("is_mark", "mark_lo", "_bytes")
     else:
         placed = placed.withColumn("flush_seq", F.col("seq") - F.col("seq") % spec.max_batch_size)
     start = F.greatest(F.col("flush_seq"), F.col("run_seq"))

@@ -103,14 +103,20 @@ def number_runs(
     value: Column,
     seq: str = "seq",
     run: str = "run_seq",
+    weights: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add each row's position in its lane and the position at which its run began.
 
-    A run is a maximal stretch of neighbouring rows with the same ``value``.
+    A run is a maximal stretch of neighbouring rows with the same ``value``. With ``weights``, also for
+    each name the sum of its weight over the rows before this one in the lane, from the same windows.
     """
+    weights = weights or {}
     inside = Window.partitionBy("_group").orderBy(*order)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    weighted = df.withColumns({"_value": value} | {f"_w_{n}": weight for n, weight in weights.items()})
     local = (
-        with_group(df.withColumn("_value", value), [*lane, *slices])
+        with_group(weighted, [*lane, *slices])
+        .withColumns({f"_l_{n}": F.coalesce(F.sum(f"_w_{n}").over(before), F.lit(0)) for n in weights})
         .withColumn("_rn", F.row_number().over(inside))
         .withColumn("_prev", F.lag("_value").over(inside))
         .withColumn(
@@ -123,6 +129,7 @@ def number_runs(
         F.min_by("_value", "_rn").alias("_first"),
         F.max_by("_value", "_rn").alias("_final"),
         F.max("_change").alias("_last_change"),
+        *[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in weights],
     )
     in_lane, earlier = _lane_windows(lane, slices)
     opens = (F.row_number().over(in_lane) == 1) | ~F.col("_first").eqNullSafe(F.lag("_final").over(in_lane))
@@ -136,12 +143,19 @@ def number_runs(
         borders.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .withColumn("_opens", opens)
         .withColumn("_last_start", last_start)
-        .select("_group", "_before", entry.alias("_entry"))
+        .select(
+            "_group",
+            "_before",
+            entry.alias("_entry"),
+            *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in weights],
+        )
     )
     last_change = F.last("_change", ignorenulls=True).over(inside)
     joined = local.withColumn("_at", last_change).join(borders, "_group")
     return (
         joined.withColumn(seq, F.col("_before") + F.col("_rn") - 1)
         .withColumn(run, F.coalesce(F.col("_before") + F.col("_at") - 1, F.col("_entry")))
+        .withColumns({n: F.col(f"_o_{n}") + F.col(f"_l_{n}") for n in weights})
+        .drop(*[f"_{kind}_{n}" for kind in "wlo" for n in weights])
         .drop("_group", "_value", "_rn", "_prev", "_change", "_at", "_before", "_entry")
     )

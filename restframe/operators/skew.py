@@ -37,9 +37,9 @@ def key_salts(counts: DataFrame, keys: Sequence[str], n: str, target_rows: int |
     else:
         target = F.lit(target_rows)
     large = counts.where(F.col(n) > target).orderBy(F.desc(n)).limit(SALTED_KEYS)
-    salted = large.select(F.xxhash64(*keys).alias("_hash"), F.ceil(F.col(n) / target).cast("long").alias("_salts"))
+    salted = large.select(F.xxhash64(*keys).alias("_salted_hash"), F.ceil(F.col(n) / target).cast("long").alias("_salts"))
     # Keys that share their hash are treated alike on both sides.
-    return salted.groupBy("_hash").agg(F.max("_salts").alias("_salts"))
+    return salted.groupBy("_salted_hash").agg(F.max("_salts").alias("_salts"))
 
 
 def salted_join(
@@ -64,7 +64,7 @@ def salted_join(
     salts = F.broadcast(key_salts(counts, keys, n, target_rows))
 
     def with_salts(side: DataFrame) -> DataFrame:
-        return side.withColumn("_key", F.xxhash64(*keys)).join(salts, F.col("_key") == F.col("_hash"), "left").drop("_key", "_hash")
+        return side.withColumn("_salted_key", F.xxhash64(*keys)).join(salts, F.col("_salted_key") == F.col("_salted_hash"), "left").drop("_salted_key", "_salted_hash")
 
     row_hash = F.xxhash64(*[F.col(c) for c in hashable(big)])
     # A null key matches nothing, so its rows may go anywhere.

@@ -488,10 +488,10 @@ def route_calls(requests: DataFrame, transport: Transport) -> DataFrame:
         return requests
     counts = requests.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"))
     salts = F.broadcast(key_salts(counts, ["request_id"], "n", CACHED_ROWS))
-    rows = requests.withColumn("_key", F.xxhash64("request_id")).join(salts, F.col("_key") == F.col("_hash"), "left")
+    rows = requests.withColumn("_salted_key", F.xxhash64("request_id")).join(salts, F.col("_salted_key") == F.col("_salted_hash"), "left")
     others = [c for c in hashable(requests) if c not in ("`method`", "`url`", "`body`", "`headers`", "`request_id`")]
     salt = F.pmod(F.xxhash64(*others), F.coalesce("_salts", F.lit(1))) if others else F.lit(0)
-    return rows.repartition(_call_tasks(requests, transport), "_key", salt).drop("_key", "_hash", "_salts")
+    return rows.repartition(_call_tasks(requests, transport), "_salted_key", salt).drop("_salted_key", "_salted_hash", "_salts")
 
 
 def _call_tasks(requests: DataFrame, transport: Transport) -> int:

@@ -264,7 +264,7 @@ def test_salts_by_size(spark, how):
     big = spark.range(20_000).selectExpr("id", "case when id < 10 then 1 when id < 410 then 2 else id end as k")
     small = spark.range(21_000).selectExpr("id as k", "-id as v")
     counts = big.groupBy("k").agg(F.count("*").alias("n"))
-    salts = {r._hash: r._salts for r in key_salts(counts, ["k"], "n", 5).collect()}
+    salts = {r._salted_hash: r._salts for r in key_salts(counts, ["k"], "n", 5).collect()}
     hashes = spark.range(1, 3).select(F.xxhash64("id").alias("h")).collect()
     assert [salts[r.h] for r in hashes] == [2, 80] and len(salts) == 2
     got = sorted(map(tuple, salted_join(big, small, ["k"], how, target_rows=5).select("id", "k", "v").collect()), key=str)

@@ -398,6 +398,7 @@ def sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     more than ``HELD_PAIRS`` pairs goes through in pieces, under its bands' own keys: what is held is one
     piece and one line for each different band, not the lines of a band, however many it has.
     """
+    release_memory()
     cell, held, size, known = None, [], 0, None
     for batch in batches:
         for this, pairs in zip(batch.column("cell").to_pylist(), batch.column("pairs"), strict=True):
@@ -530,8 +531,10 @@ def deduplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0))))
 
     @F.pandas_udf("string")
-    def cut(texts: pd.Series, removed: pd.Series) -> pd.Series:
-        return pd.Series([without_lines(*pair) for pair in zip(texts, removed, strict=True)], dtype=object)
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        release_memory()
+        for texts, removed in batches:
+            yield pd.Series([without_lines(*pair) for pair in zip(texts, removed, strict=True)], dtype=object)
 
     # Lines that are not blank go from the first copy as marked, from the others all.
     n_gone = F.coalesce(F.when(F.col("copy") > 1, F.col("n_filled")).otherwise(F.size("removed")), F.lit(0))

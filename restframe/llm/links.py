@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from restframe.llm.base import keep
+from restframe.llm.base import keep, release_memory
 
 #: Items of a bucket that are compared in one piece of work.
 BLOCK = 1024
@@ -203,6 +203,7 @@ def bucket_links(
 
 def _within_buckets(near: Near, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A spanning forest of each small bucket: those of two or three items by all their pairs, decided together."""
+    release_memory()
     for some, starts in _whole_buckets(near, batches):
         ids = some.column("id").to_numpy()
         decide = near.linked_pairs(some) if len(starts) > 1 else None

@@ -40,8 +40,9 @@ WORDS = 500_000
 #: Longer words are not remembered; their n-grams are made and counted in parts of ``PART`` starting places.
 LONG_WORD = 256
 PART = 1 << 16
-#: Different n-grams of long words held while counting.
-HELD_GRAMS = 1_000_000
+#: Different n-grams of a language with long words held while counting, and characters of texts counted at once.
+HELD_GRAMS = 2_000_000
+HELD_CHARS = 64 << 20
 #: Rows taken out of Arrow at once.
 ROWS = 1024
 #: Characters of the texts that are split into words at once.
@@ -76,43 +77,45 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
         words: dict[str, Counter[str]] = {}
-        grams: dict[str, Counter[str]] = {}  # of long words
+        chars = 0
         for batch in batches:
             for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
-                own, long = words.setdefault(lang.as_py(), Counter()), grams.setdefault(lang.as_py(), Counter())
-                found = words_of(text.as_py())
-                own.update(word for word in found if len(word) <= LONG_WORD)
-                for word in found:
-                    for part in gram_parts(word) if len(word) > LONG_WORD else ():
-                        long.update(part)
-                        if len(long) > HELD_GRAMS:
-                            yield _summed({}, {lang.as_py(): long})
-                            long.clear()
-            if sum(map(len, words.values())) > WORDS or sum(map(len, grams.values())) > HELD_GRAMS:
-                yield _summed(words, grams)
-                words, grams = {}, {}
-        yield _summed(words, grams)
+                whole = text.as_py()
+                words.setdefault(lang.as_py(), Counter()).update(words_of(whole))
+                chars += len(whole)
+                if chars > HELD_CHARS:
+                    yield from _summed(words)
+                    words, chars = {}, 0
+            if sum(map(len, words.values())) > WORDS:
+                yield from _summed(words)
+                words, chars = {}, 0
+        yield from _summed(words)
 
     counted = labelled.select("lang", "text").mapInArrow(run, "lang string, gram string, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _summed(words: dict[str, Counter[str]], more: dict[str, Counter[str]]) -> pa.RecordBatch:
-    """(lang, gram, n) of the n-grams of the words and of others that were counted."""
-    langs: list[str] = []
-    grams: list[str] = []
-    counts: list[int] = []
-    for lang in words | more:
-        total: Counter[str] = Counter(more.get(lang))
-        for word, n in words.get(lang, {}).items():
-            for gram in grams_of(word):
-                total[gram] += n
-        langs += [lang] * len(total)
-        grams += total.keys()
-        counts += total.values()
-    return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.string()), pa.array(grams, pa.string()), pa.array(counts, pa.int64())], ["lang", "gram", "n"]
-    )
+def _summed(words: dict[str, Counter[str]]) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, n) of the n-grams of the words, a limited number of different ones at once."""
+    for lang, counter in words.items():
+        total: Counter[str] = Counter()
+        for word, n in counter.items():
+            if len(word) <= LONG_WORD:
+                for gram in grams_of(word):
+                    total[gram] += n
+                continue
+            for part in gram_parts(word):
+                for gram in part:
+                    total[gram] += n
+                if len(total) > HELD_GRAMS:
+                    yield _counts(lang, total)
+                    total = Counter()
+        yield _counts(lang, total)
+
+
+def _counts(lang: str, total: Counter[str]) -> pa.RecordBatch:
+    columns = [pa.array([lang] * len(total), pa.string()), pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
 
 @dataclass
@@ -162,14 +165,20 @@ class LanguageFilter:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The language of each text and its share of the n-grams, without those expected by chance."""
         split = [words_of(text or "") for text in texts]
-        long = [[word for word in words if len(word) > LONG_WORD] for words in split]
-        split = [[word for word in words if len(word) <= LONG_WORD] if more else words for words, more in zip(split, long, strict=True)]
         new = {word for words in split for word in words if word not in self.memory}
         if len(self.memory) + len(new) > WORDS:
             self._forget()
             new = {word for words in split for word in words}
-        self._remember(list(new))
-        return [self._decide([self.memory[word] for word in words], more) for words, more in zip(split, long, strict=True)]
+        # Long words are never remembered, so they are among the new ones.
+        long = {word for word in new if len(word) > LONG_WORD}
+        self._remember(list(new - long))
+        found = []
+        for words in split:
+            more = [word for word in words if word in long] if long else []
+            if more:
+                words = [word for word in words if word not in long]
+            found.append(self._decide([self.memory[word] for word in words], more))
+        return found
 
     def _counted(self, word: str) -> np.ndarray:
         """How many n-grams of a long word every language contains, and how many there are."""

@@ -162,7 +162,7 @@ TYPED_KEYS = {
     "orderkey": "o_orderkey",
     "quarter_key": "cast(o_custkey as float) / 4",
     "priority": "o_orderpriority",
-    "eighth_key": "cast(o_custkey / 8 as decimal(9,6))",
+    "eighth_key": "cast(o_custkey / 8 as decimal(25,6))",
     "key_and_half": "array(cast(o_custkey as double), 0.5D)",
     "placed_on": "cast(o_orderdate as date)",
     "placed_at_time": "date_format(o_orderdate, 'HH:mm:ss')",

@@ -35,6 +35,10 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return source.option("maxBytesPerTrigger", str(1 << 30)).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
+#: Bytes of a row group in the files a stream is made of. A file can be read by as many tasks as it has row groups, so
+#: a micro-batch of one file is not one task.
+ROW_GROUP = 1 << 18
+
 # Derivations that read the same in both SQL dialects.
 EVENT_STATUS = "case event_type when 'error' then 503 when 'click' then 404 when 'view' then 201 else 200 end"
 # Bodies of every kind: an object, blank, no JSON, an object with a field of another type.

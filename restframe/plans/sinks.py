@@ -15,7 +15,7 @@ from restframe.operators.batches import (
     split_elements,
     with_elements,
 )
-from restframe.plans.base import LINE_METHOD, query, stream, table
+from restframe.plans.base import LINE_METHOD, ROW_GROUP, query, stream, table
 from restframe.session import new_dir
 from restframe.sources.delivery import deliver, sink_metrics
 from restframe.sources.http_sink import register_sink
@@ -380,7 +380,8 @@ def sink_stream_batch(spark, sf_dir):
     path, checkpoint = new_dir(spark, "stream-log"), new_dir(spark, "stream-state")
     parts = new_dir(spark, "stream-parts")
     # The table as files of their own, one micro-batch each.
-    table(spark, sf_dir, "events").select("event_id", "event_type").repartitionByRange(4, "event_id").write.parquet(parts)
+    files = table(spark, sf_dir, "events").select("event_id", "event_type").repartitionByRange(4, "event_id")
+    files.write.option("parquet.block.size", ROW_GROUP).parquet(parts)
     events = (
         spark.readStream.schema("event_id long, event_type string")
         .option("maxFilesPerTrigger", 1)
@@ -443,7 +444,8 @@ def sink_table_stream(spark, sf_dir):
     register_sink(spark)
     path, checkpoint, parts = (new_dir(spark, label) for label in ("table-log", "stream-state", "stream-parts"))
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
-    events.repartition(3, F.pmod(F.xxhash64("event_id"), F.lit(3))).write.parquet(parts)
+    files = events.repartition(3, "event_id")
+    files.write.option("parquet.block.size", ROW_GROUP).parquet(parts)
     source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(parts)
     writer = _table_elements(source, SinkSpec(url=URL)).writeStream.format("http-sink")
     writer = writer.options(**_SENDER, **{"log-path": path}).option("checkpointLocation", checkpoint)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import importlib
+import itertools
 import json
 import logging
 import uuid
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -98,9 +99,6 @@ class _Sending:
         opener = make_opener(self.spec)
         return lambda request: _call(opener, request, self.spec, self.spec.headers)
 
-    def _deliverable(self, element: str | None, method: str | None) -> bool:
-        return element is not None and method in INSERT_METHODS and len(element.encode()) <= self.spec.max_record_bytes
-
     def _batches(self, iterator: Iterator[pa.RecordBatch], total: Delivered) -> Iterator[tuple[str, list[str]]]:
         """Requests in order: full, at the byte limit, or ended by a change of method."""
         spec = self.spec
@@ -111,10 +109,10 @@ class _Sending:
             named = "method" in batch.schema.names
             verbs = batch.column("method").to_pylist() if named else [spec.method] * len(elements)
             for element, method in zip(elements, verbs, strict=True):
-                if not self._deliverable(element, method):
+                length = -1 if element is None or method not in INSERT_METHODS else len(element.encode())
+                if length < 0 or length > spec.max_record_bytes:
                     total.rejected += 1
                     continue
-                length = len(element.encode())
                 if held and (
                     len(held) == spec.batch_size
                     or size + length > spec.max_batch_bytes
@@ -149,15 +147,25 @@ class _Sending:
             )
             return len(elements), bad
 
-        # One client thread per partition keeps the order of submission.
+        def post_all(items: list[tuple[int, tuple[str, list[str]]]]) -> list[tuple[int, bool]]:
+            return [post(*item) for item in items]
+
+        # One client thread per partition keeps the order of submission. It takes requests by the portion, as
+        # handing over each of them costs more than a short one: one is under way while the next is made.
+        portion = max(1, spec.max_in_flight // 2)
+        under_way: Future | None = None
         with ThreadPoolExecutor(1) as pool:
-            pending = []
-            for number, item in enumerate(self._batches(iterator, total)):
-                pending.append(pool.submit(post, number, item))
-                if len(pending) >= spec.max_in_flight:
-                    _count(total, *pending.pop(0).result())
-            for future in pending:
-                _count(total, *future.result())
+            requests = enumerate(self._batches(iterator, total))
+            while items := list(itertools.islice(requests, portion)):
+                if under_way is not None:
+                    for sent in under_way.result():
+                        _count(total, *sent)
+                under_way = pool.submit(post_all, items)
+                if spec.max_in_flight == 1:
+                    wait([under_way])
+            if under_way is not None:
+                for sent in under_way.result():
+                    _count(total, *sent)
         return total
 
     def _account(self, messages: list[WriterCommitMessage | None], name: str) -> None:

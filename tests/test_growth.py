@@ -1,10 +1,12 @@
 """Queries on rows that only larger tables have, and steps whose cost must not outgrow them."""
 
 import datetime
+import glob
 
+import pyarrow.parquet as pq
 import pytest
 
-from restframe.plans import QUERIES
+from restframe.plans import QUERIES, sinks
 
 
 @pytest.fixture()
@@ -23,3 +25,28 @@ def test_typed_keys_hold_large_customer_numbers(spark, orders_dir):
     path, rows = orders_dir
     got = QUERIES["lookup_join_types"](spark, path).collect()
     assert sorted(map(tuple, got)) == [(r[0], f"order-{r[0]}", r[1], r[2]) for r in rows]
+
+
+@pytest.fixture(scope="module")
+def events_dir(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("events"))
+    events = spark.range(300_000).selectExpr(
+        "id as event_id", "timestamp_seconds(1704067200 + id * 9) as ts", "id % 5000 as user_id",
+        "case id % 3 when 0 then 'view' when 1 then 'click' else 'error' end as event_type",
+    )
+    events.coalesce(1).write.parquet(f"{path}/events.parquet")
+    return path
+
+
+def parts_of(spark, monkeypatch, tmp_path, module, name, sf_dir):
+    """The files, with their rows and row groups, that a query makes a stream of."""
+    monkeypatch.setattr(module, "new_dir", lambda _, label: f"{tmp_path}/{label}")
+    result = QUERIES[name](spark, sf_dir).collect()
+    files = [pq.ParquetFile(p).metadata for p in sorted(glob.glob(f"{tmp_path}/*-parts/*.parquet"))]
+    return result, [(m.num_rows, m.num_row_groups) for m in files]
+
+
+def test_files_of_a_table_stream_are_even_and_read_by_many_tasks(spark, monkeypatch, tmp_path, events_dir):
+    (got,), files = parts_of(spark, monkeypatch, tmp_path, sinks, "sink_table_stream", events_dir)
+    assert got.epochs == 3 and got.records + got.rejected == 300_000
+    assert len(files) == 3 and all(rows > 90_000 and groups > 1 for rows, groups in files), files

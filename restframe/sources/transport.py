@@ -38,11 +38,11 @@ RESPONSE_COLUMNS = ["request_id", "attempt", "status", "headers", "body", "io_er
 
 __all__ = ["PartialCache", "send_with_retry"]
 
-#: Rows of a batch that are made into requests at once.
-REQUESTS = 1024
+#: Rows of a batch, and bytes of them, that are made into requests at once.
+REQUESTS, REQUEST_BYTES = 1024, 8 << 20
 #: Rows with one request that go to one task of a lookup with a partial cache.
 CACHED_ROWS = 1_000_000
-#: Answers, and characters of their bodies, that a task holds before it hands them on.
+#: Answers, and characters of their bodies and bytes of what they carry, that a task holds before it hands them on.
 ANSWERS, ANSWER_CHARS = 10_000, 16 << 20
 
 class Transport(Protocol):
@@ -120,25 +120,29 @@ def map_requests(
             hook.open()
         calls = Calls(make_send(), spec, workers, worker_cache(spec, scope), fixed, hook and hook.call, sleep)
 
-        def rows() -> Iterator[tuple[tuple[pa.RecordBatch, int], Request]]:
+        def rows() -> Iterator[tuple[tuple[pa.RecordBatch, int, float], Request]]:
             for batch in batches:
-                for start in range(0, batch.num_rows, REQUESTS):
-                    part = batch.slice(start, REQUESTS)
+                portion = max(1, min(REQUESTS, REQUEST_BYTES * batch.num_rows // max(1, batch.nbytes)))
+                for start in range(0, batch.num_rows, portion):
+                    part = batch.slice(start, portion)
                     columns = [part.column(f).to_pylist() for f in fields]
                     if "headers" in fields:
                         columns[-1] = [None if h is None else dict(h) for h in columns[-1]]
+                    # A copy, so that an answer that waits to be handed on does not hold the bodies of its batch.
+                    part = part.select(names).take(pa.array(range(part.num_rows)))
+                    size = part.nbytes / part.num_rows
                     for i, values in enumerate(zip(*columns, strict=True)):
-                        yield (part, i), dict(zip(fields, values, strict=True))
+                        yield (part, i, size), dict(zip(fields, values, strict=True))
 
-        def answered(done: list[tuple[tuple[pa.RecordBatch, int], dict[str, Any]]]) -> Iterator[pa.RecordBatch]:
-            # Carried columns pass through as they are, from the batch that brought them.
+        def answered(done: list[tuple[tuple[pa.RecordBatch, int, float], dict[str, Any]]]) -> Iterator[pa.RecordBatch]:
+            # Carried columns pass through as they are, from the part that brought them.
             sources: dict[int, tuple[pa.RecordBatch, list[int], list[dict[str, Any]]]] = {}
-            for (part, i), response in done:
+            for (part, i, _), response in done:
                 _, at, responses = sources.setdefault(id(part), (part, [], []))
                 at.append(i)
                 responses.append(response)
             for part, at, responses in sources.values():
-                arrays = list(part.select(names).take(pa.array(at)).columns)
+                arrays = list(part.take(pa.array(at)).columns)
                 for column, kind in _response_types().items():
                     values = [d[column] for d in responses]
                     if column == "headers":
@@ -147,14 +151,14 @@ def map_requests(
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, *RESPONSE_COLUMNS])
 
         try:
-            held: list[tuple[tuple[pa.RecordBatch, int], dict[str, Any]]] = []
-            size = 0
+            held: list[tuple[tuple[pa.RecordBatch, int, float], dict[str, Any]]] = []
+            size = 0.0
             for place, response in calls.run(rows()):
                 held.append((place, response))
-                size += len(response["body"] or "")
+                size += len(response["body"] or "") + place[2]
                 if size >= ANSWER_CHARS or len(held) >= ANSWERS:
                     yield from answered(held)
-                    held, size = [], 0
+                    held, size = [], 0.0
             yield from answered(held)
         finally:
             if hook is not None:

@@ -2,11 +2,15 @@
 
 import datetime
 import glob
+import resource
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from restframe.plans import QUERIES, sinks
+from restframe.sources.transport import CallableTransport
+from restframe.spec import SinkSpec
 
 
 @pytest.fixture()
@@ -50,3 +54,21 @@ def test_files_of_a_table_stream_are_even_and_read_by_many_tasks(spark, monkeypa
     (got,), files = parts_of(spark, monkeypatch, tmp_path, sinks, "sink_table_stream", events_dir)
     assert got.epochs == 3 and got.records + got.rejected == 300_000
     assert len(files) == 3 and all(rows > 90_000 and groups > 1 for rows, groups in files), files
+
+
+@pytest.mark.parametrize("keep_body", [False, True])
+def test_answers_that_wait_hold_no_bodies(spark, keep_body):
+    def memory_of_worker(request):
+        pages = int(open("/proc/self/statm").read().split()[1])
+        return {"status": 200, "body": str(pages * resource.getpagesize() >> 20)}
+
+    bodies = spark.range(0, 4000, 1, 1).selectExpr("id", "repeat(md5(string(id)), 4000) as text")
+    requests = bodies.selectExpr("string(id) as request_id", "'POST' as method", "'http://s' as url", "text as body", "id", "text")
+    carry = ["id", "text"] if keep_body else ["id"]
+    sent = CallableTransport(memory_of_worker, threads=1).fetch(requests, SinkSpec(url="http://s"), carry)
+    digest = [F.md5("text").alias("digest")] if keep_body else []
+    rows = sent.select("id", F.col("body").cast("int").alias("mb"), *digest).collect()
+    assert sorted(r.id for r in rows) == list(range(4000))
+    # All bodies together are 488 MB.
+    used = [r.mb for r in rows]
+    assert max(used) - used[0] < 300, (used[0], max(used))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from restframe.operators.greedy import greedy_marks, group_bounds
-from restframe.operators.sequence import last_value_before, number_rows, running_totals, time_slices
+from restframe.operators.sequence import is_hot, last_value_before, number_rows, running_totals, time_slices
 from restframe.session import keep as kept_table
 
 
@@ -41,8 +41,7 @@ def write_ttl(
 ) -> DataFrame:
     """expire-after-write: an entry lives ``ttl_ms`` from the miss that loaded it.
 
-    A slice of a key is held in memory; for keys that are not hot, several times the ttl is a
-    good length for it.
+    A slice of a hot key is held in memory; the accesses of any other key stream through one task.
     """
     sliced = accesses.select(
         key,
@@ -50,8 +49,9 @@ def write_ttl(
         *order,
         time_slices(accesses, [key], at, slice_of, hot_slice_of).alias("_slice"),
         F.unix_micros(F.col(at).cast("timestamp")).alias("_us"),
+        is_hot(accesses, [key]).alias("_hot"),
     )
-    marked = greedy_marks(sliced, [key], "_slice", [at, *order], "_us", "_us", ttl_ms * 1000)
+    marked = greedy_marks(sliced, [key], "_slice", [at, *order], "_us", "_us", ttl_ms * 1000, cut=F.col("_hot"))
     return marked.select(key, at, *order, (~F.col("is_mark")).alias("hit"))
 
 

@@ -10,7 +10,8 @@ neighbouring blocks compose to one of the same form. They are composed in a tree
 in the leading bits of their position become one, level by level, until a lane has one left. Then the
 tree is walked down: a node that knows its entry tells its children theirs, and at last every block,
 knowing its entry, sets its marks. A task holds one block, or one chain while it reads the
-4,096 or fewer below it, however long the lane is.
+4,096 or fewer below it, however long the lane is. A lane with so few rows that one task can go
+through it needs none of this: its marks are set from its first row on, as the rows stream by.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ from restframe.session import keep as kept_table
 #: Bits of a block's position that one level of the tree takes off, which bounds the children of a node.
 FAN_BITS = 12
 
+#: Bytes of marked rows that are handed on at once.
+MARKED_BYTES = 8 << 20
+
 _NONE_YET = np.iinfo(np.int64).min
 
 
@@ -128,12 +132,15 @@ def greedy_marks(
     seq: str | None = None,
     max_rows: int | None = None,
     keep: Sequence[str] = (),
+    cut: Column | None = None,
 ) -> DataFrame:
     """(lane, block, order, keep) of every row with ``is_mark`` and ``mark_lo``, its mark's ``lo``.
 
     ``lane`` and ``block`` are never null and ``block``, a whole number, date or time, grows along the
     lane; ``lo`` <= ``hi`` are bigint and never fall along it. With ``max_rows``, ``seq`` numbers the
-    rows of the lane and ``mark_seq`` is added. The chains are written to the shared folder.
+    rows of the lane and ``mark_seq`` is added. ``cut`` tells, by the columns of the lane, which lanes are cut
+    into blocks (by default all); each other one goes through one task, in order, without being held there.
+    The chains are written to the shared folder.
     """
     if (max_rows is None) != (seq is None):
         raise ValueError("max_rows and seq go together")
@@ -146,6 +153,7 @@ def greedy_marks(
         F.col(hi).cast("bigint").alias("_hi"),
         (F.col(seq) if seq else F.lit(0)).cast("bigint").alias("_at"),
         F.lit(1).alias("_kind"),
+        (F.lit(True) if cut is None else cut).alias("_cut"),
     )
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     group_ddl = ", ".join(f"`{c}` {types[c]}" for c in group)
@@ -182,7 +190,8 @@ def greedy_marks(
     lane_ddl = "".join(f"`{c}` {types[c]}, " for c in lane)
     node = [*lane, "_node"]
     per_block = (
-        rows.select(*dict.fromkeys([*group, *order, "_lo", "_hi", "_at"]))
+        rows.where("_cut")
+        .select(*dict.fromkeys([*group, *order, "_lo", "_hi", "_at"]))
         .repartition(*group)
         .sortWithinPartitions(*group, *order)
         .select(*group, "_lo", "_hi", "_at")
@@ -259,7 +268,13 @@ def greedy_marks(
         F.col("_at0").alias("_at"),
         F.lit(0).cast("bigint").alias("_hi"),
         F.lit(0).alias("_kind"),
+        F.lit(True).alias("_cut"),
     )
+    if cut is not None:
+        # Nothing is in force before the first row of a lane.
+        opened = rows.where("not _cut").select(*lane).distinct().select(*lane, none_yet.alias("_lo"), none_yet.alias("_at"))
+        opened = opened.select("*", F.lit(0).cast("bigint").alias("_hi"), F.lit(0).alias("_kind"), F.lit(False).alias("_cut"))
+        entered = entered.unionByName(opened, allowMissingColumns=True)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The entry row of a block comes before its rows; the state is the mark in force.
@@ -292,13 +307,19 @@ def greedy_marks(
                 ],
                 names=[*group, *kept, "is_mark", "mark_lo", "mark_seq"],
             )
-            yield marked.filter(pa.array(kinds == 1))
+            # Filtering copies, so wide rows go on a few at a time.
+            portion = max(1, MARKED_BYTES * len(kinds) // max(1, batch.nbytes))
+            for start in range(0, len(kinds), portion):
+                yield marked.slice(start, portion).filter(pa.array(kinds[start : start + portion] == 1))
 
     kept_ddl = "".join(f", `{c}` {types[c]}" for c in kept)
+    # The rows of a lane that is not cut stay together.
     marked = (
         rows.unionByName(entered, allowMissingColumns=True)
-        .repartition(*group)
-        .sortWithinPartitions(*group, "_kind", *order)
+        .withColumn("_own", F.when(F.col("_cut"), F.col(block)))
+        .repartition(*lane, "_own")
+        .sortWithinPartitions(*lane, "_own", "_kind", block, *order)
+        .drop("_own", "_cut")
         .mapInArrow(mark, f"{group_ddl}{kept_ddl}, is_mark boolean, mark_lo bigint, mark_seq bigint")
     )
     return marked if seq else marked.drop("mark_seq")

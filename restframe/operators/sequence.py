@@ -21,9 +21,14 @@ def time_slices(df: DataFrame, lane: Sequence[str], at: str, slice_of: str, hot_
     wide, fine = (F.unix_seconds(F.date_trunc(unit, at).cast("timestamp")) for unit in (slice_of, hot_slice_of))
     if not lane:
         return fine
+    return F.when(is_hot(df, lane), fine).otherwise(wide)
+
+
+def is_hot(df: DataFrame, lane: Sequence[str]) -> Column:
+    """Whether a row's lane holds more than 1/1000 of the rows of ``df``."""
     counts = df.groupBy(*lane).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.array_contains(hot_hashes(counts, lane, "n"), F.xxhash64(*lane))
-    return F.when(hot, fine).otherwise(wide)
+    # Without rows there is no total, and no lane is hot.
+    return F.coalesce(F.array_contains(hot_hashes(counts, lane, "n"), F.xxhash64(*lane)), F.lit(False))
 
 
 def with_group(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from restframe.operators.cache import access_ttl, calls_made, is_storable, lru,
 from restframe.operators.lookup import call_counter
 from restframe.operators.request import distinct_requests, plan_requests
 from restframe.operators.response import process_responses
-from restframe.plans.base import query, table
+from restframe.plans.base import ROW_GROUP, query, table
 from restframe.plans.joins import CUSTOMER, _customer_endpoint
 from restframe.session import new_dir
 from restframe.spec import LookupSpec
@@ -89,7 +89,7 @@ def cache_stream_query(spark, sf_dir):
     low, high = events.agg(F.min(seen), F.max(seen)).first()
     for i in range(4):
         part = events.where(F.floor((seen - low) * 4 / (high - low + 1)) == i)
-        part.coalesce(1).write.mode("append").parquet(parts)
+        part.repartition(1).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(parts)
     source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(parts)
     cache = CachedStream("user_id", "ts", "event_id", SIX_HOURS_MS, "3 hours", path, state)
     cache.start(source, checkpoint).trigger(availableNow=True).start().awaitTermination()

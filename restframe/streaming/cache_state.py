@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from restframe.operators.greedy import greedy_marks
-from restframe.operators.sequence import time_slices
+from restframe.operators.sequence import is_hot, time_slices
 from restframe.session import keep
 
 
@@ -64,7 +64,7 @@ class CachedStream:
     * *loaded*: the load time of each key's entry, the only thing that goes from one time slice of a
       key to the next. An entry that has expired before the watermark is dropped.
 
-    What the watermark has passed is answered by the operator for chains, slice by slice. Answers are
+    What the watermark has passed is answered by the operator for chains, hot keys slice by slice. Answers are
     written below ``path``, a folder for each micro-batch.
 
     An access later than ``lateness`` is answered with the first ones after it, as if it came at the
@@ -159,10 +159,11 @@ class CachedStream:
         every = every.withColumn("lane", F.coalesce(F.concat(F.lit("="), F.col("key").cast("string")), F.lit("")))
         every = every.withColumn("moment", F.timestamp_micros("us"))
         slices = time_slices(every, ["lane"], "moment", self.slice_of, self.hot_slice_of)
-        every = every.withColumn("slice", slices).drop("moment")
+        every = every.withColumns({"slice": slices, "hot": is_hot(every, ["lane"])}).drop("moment")
         marked = greedy_marks(
-            every, ["lane"], "slice", ["us", "turn", "ident"], "us", "us", self.ttl_ms * 1000, keep=["key", "at_us"]
-        )
+            every, ["lane"], "slice", ["us", "turn", "ident"], "us", "us", self.ttl_ms * 1000, keep=["key", "at_us"],
+            cut=F.col("hot"),
+        )
         marked = keep(marked, "stream-answers")
         hits = marked.where("turn = 1").select("key", "ident", F.col("at_us").alias("us"), (~F.col("is_mark")).alias("hit"))
         return hits, marked.groupBy("key").agg(F.max("mark_lo").alias("us"))

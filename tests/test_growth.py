@@ -8,6 +8,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from restframe import session
+from restframe.operators import greedy
+from restframe.operators.cache import write_ttl
 from restframe.plans import QUERIES, sinks
 from restframe.sources.transport import CallableTransport
 from restframe.spec import SinkSpec
@@ -72,3 +75,27 @@ def test_answers_that_wait_hold_no_bodies(spark, keep_body):
     # All bodies together are 488 MB.
     used = [r.mb for r in rows]
     assert max(used) - used[0] < 300, (used[0], max(used))
+
+
+def test_small_lanes_make_no_chains(spark, monkeypatch):
+    """Expiry after write of keys with few accesses needs no block to know what came before it."""
+    written = []
+
+    def watched(df, label):
+        kept = session.keep(df, label)
+        written.append((label, kept.count()))
+        return kept
+
+    monkeypatch.setattr(greedy, "kept_table", watched)
+    rows = [(i, i % 1500, i * 997 % 400_000) for i in range(6000)]
+    rows += [(i, -1, i * 31 % 400_000) for i in range(6000, 6200)]
+    frame = spark.createDataFrame(rows, "id long, key long, secs long").withColumn("at", F.timestamp_seconds("secs"))
+    got = {r.id: r.hit for r in write_ttl(frame, "key", "at", ["id"], 100_000_000).collect()}
+    want, loaded = {}, {}
+    for i, key, at in sorted(rows, key=lambda r: (r[2], r[0])):
+        want[i] = key in loaded and at - loaded[key] <= 100_000
+        if not want[i]:
+            loaded[key] = at
+    assert got == want
+    # One key holds over a thousandth of all rows; the slices of the others would be 5,700 chains.
+    assert sum(n for _, n in written) <= 600, written

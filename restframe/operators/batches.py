@@ -81,18 +81,19 @@ def plan_batches(
     order: Sequence[str],
     by_method: bool = True,
     by_bytes: bool = False,
+    upper: bool = False,
 ) -> DataFrame:
     """Add ``seq``, ``flush_seq`` and ``batch_seq`` to every row of a lane.
 
     A lane is one ordered stream to the endpoint. It is cut into flushes of ``max_batch_size``
     rows (and of ``max_batch_bytes``, if ``by_bytes``), a flush into runs of equal method, a run
     into requests of ``batch_size`` rows; each is named by the position of its first row. ``slices`` are the leading columns of the
-    ordering by which a lane of any size is spread over tasks.
+    ordering by which a lane of any size is spread over tasks. ``upper``: methods are in upper case already.
     """
     # With a limit of bytes, their running total comes from the windows that number the rows.
     totals = {"_bytes": element_bytes()} if by_bytes else {}
     if by_method:
-        placed = number_runs(elements, lane, slices, order, F.upper("method"), weights=totals)
+        placed = number_runs(elements, lane, slices, order, "method" if upper else F.upper("method"), weights=totals)
     else:
         placed = running_totals(elements, lane, slices, order, {"seq": F.lit(1).cast("bigint")} | totals)
         placed = placed.withColumn("run_seq", F.lit(0).cast("bigint"))
@@ -140,6 +141,30 @@ def plan_byte_flushes(
     return marked.withColumnRenamed("mark_seq", "flush_seq").drop("is_mark", "mark_lo")
 
 
+#: Columns that a plan adds or works on; elements made of such columns are made before it.
+PLANNED = {"method", "element", "seq", "run_seq", "flush_seq", "batch_seq"}
+
+
+def plan_then_elements(
+    df: DataFrame,
+    spec: SinkSpec,
+    lane: Sequence[str],
+    slices: Sequence[str],
+    order: Sequence[str],
+    columns: Sequence[str] | None = None,
+    method: Column | None = None,
+    by_method: bool = True,
+) -> DataFrame:
+    """``plan_batches`` of rows that are all deliverable: elements are made of the rows in their places, so the
+    columns are moved to them, which take less room than the elements."""
+    names = list(columns or df.columns)
+    if PLANNED & set(names):
+        return plan_batches(with_elements(df, spec, names, method), spec, lane, slices, order, by_method)
+    told = df.withColumn("method", F.upper(F.lit(spec.method) if method is None else method))
+    planned = plan_batches(told, spec, lane, slices, order, by_method, upper=True)
+    return planned.withColumn("element", element_column(planned, spec, names))
+
+
 def name_of(*parts: Column) -> Column:
     """A JSON array of texts: other parts give another name, null is not the text ``null``."""
     return F.to_json(F.array(*[p.cast("string") for p in parts]))
@@ -164,8 +189,8 @@ def make_requests(planned: DataFrame, spec: SinkSpec, lane: Sequence[str]) -> Da
             F.col("element").alias("body"),
         )
     # A group holds at most batch_size elements.
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "element")))
-    body = F.concat(F.lit("["), F.array_join(F.transform(ordered, lambda e: e["element"]), ","), F.lit("]"))
+    ordered = F.sort_array(F.collect_list(F.struct("seq", "element")))
+    body = F.concat(F.lit("["), F.array_join(ordered["element"], ","), F.lit("]"))
     return (
         planned.groupBy(*lane, "batch_seq")
         .agg(

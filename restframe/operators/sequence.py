@@ -105,7 +105,7 @@ def number_runs(
     lane: Sequence[str],
     slices: Sequence[str],
     order: Sequence[str],
-    value: Column,
+    value: Column | str,
     seq: str = "seq",
     run: str = "run_seq",
     weights: Mapping[str, Column] | None = None,
@@ -114,25 +114,33 @@ def number_runs(
 
     A run is a maximal stretch of neighbouring rows with the same ``value``. With ``weights``, also for
     each name the sum of its weight over the rows before this one in the lane, from the same windows.
+
+    Lanes and slices are moved as ``_group`` alone. If ``value`` is the name of a column and ``order`` and it are
+    all that is used of the rows afterwards, the rows are shuffled once for both the borders and the result.
     """
     weights = weights or {}
+    own = value if isinstance(value, str) else "_value"
+    names = [*lane, *slices]
+    folded = {c: F.col(f"_group.g{i}") for i, c in enumerate(names) if c not in {*order, own}}
     inside = Window.partitionBy("_group").orderBy(*order)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    weighted = df.withColumns({"_value": value} | {f"_w_{n}": weight for n, weight in weights.items()})
+    added = {} if isinstance(value, str) else {"_value": value}
+    weighted = df.withColumns(added | {f"_w_{n}": weight for n, weight in weights.items()})
     local = (
-        with_group(weighted, [*lane, *slices])
+        with_group(weighted, names)
+        .drop(*folded)
         .withColumns({f"_l_{n}": F.coalesce(F.sum(f"_w_{n}").over(before), F.lit(0)) for n in weights})
         .withColumn("_rn", F.row_number().over(inside))
-        .withColumn("_prev", F.lag("_value").over(inside))
+        .withColumn("_prev", F.lag(own).over(inside))
         .withColumn(
             "_change",
-            F.when((F.col("_rn") > 1) & ~F.col("_value").eqNullSafe(F.col("_prev")), F.col("_rn")),
+            F.when((F.col("_rn") > 1) & ~F.col(own).eqNullSafe(F.col("_prev")), F.col("_rn")),
         )
     )
     borders = local.groupBy("_group").agg(
         F.max("_rn").alias("_n"),
-        F.min_by("_value", "_rn").alias("_first"),
-        F.max_by("_value", "_rn").alias("_final"),
+        F.min_by(own, "_rn").alias("_first"),
+        F.max_by(own, "_rn").alias("_final"),
         F.max("_change").alias("_last_change"),
         *[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in weights],
     )
@@ -160,7 +168,6 @@ def number_runs(
     return (
         joined.withColumn(seq, F.col("_before") + F.col("_rn") - 1)
         .withColumn(run, F.coalesce(F.col("_before") + F.col("_at") - 1, F.col("_entry")))
-        .withColumns({n: F.col(f"_o_{n}") + F.col(f"_l_{n}") for n in weights})
-        .drop(*[f"_{kind}_{n}" for kind in "wlo" for n in weights])
-        .drop("_group", "_value", "_rn", "_prev", "_change", "_at", "_before", "_entry")
+        .withColumns({n: F.col(f"_o_{n}") + F.col(f"_l_{n}") for n in weights} | folded)
+        .select(*[F.col(f"`{c}`") for c in dict.fromkeys([*df.columns, seq, run, *weights])])
     )

@@ -12,6 +12,7 @@ from restframe.operators.batches import (
     method_error,
     plan_batches,
     plan_byte_flushes,
+    plan_then_elements,
     split_elements,
     with_elements,
 )
@@ -71,7 +72,7 @@ def _summary(requests):
 
 @query("sink_batch_count", _batches_sql("seq - seq % 500", _NUMBERED.replace(LINE_METHOD, "'POST'")))
 def sink_batch_count(spark, sf_dir):
-    planned = plan_batches(_line_elements(spark, sf_dir), SPEC, LANE, SLICES, ORDER, by_method=False)
+    planned = plan_then_elements(_lines(spark, sf_dir), SPEC, LANE, SLICES, ORDER, LINE_COLUMNS, by_method=False)
     return _summary(make_requests(planned, SPEC, LANE))
 
 
@@ -87,7 +88,7 @@ _RUNS = f"""
 )
 def sink_batch_method_runs(spark, sf_dir):
     spec = SPEC.replace(request_batch_size=50)
-    planned = plan_batches(_line_elements(spark, sf_dir, spec, methods=True), spec, LANE, SLICES, ORDER)
+    planned = plan_then_elements(_lines(spark, sf_dir), spec, LANE, SLICES, ORDER, LINE_COLUMNS, F.col("verb"))
     return _summary(make_requests(planned, spec, LANE))
 
 

@@ -16,6 +16,7 @@ from restframe.operators.batches import (
     make_requests,
     name_of,
     plan_batches,
+    plan_then_elements,
     reject_reason,
     split_elements,
     with_elements,
@@ -82,7 +83,10 @@ def deliver(
             ).first()
             by_bytes = (seen.largest or 0) * spec.max_batch_size > spec.max_batch_bytes
             any_rejected = seen.bad > 0
-        planned = plan_batches(good, spec, lane, slices, order, by_bytes=by_bytes)
+        if any_rejected or by_bytes or converter is not None:
+            planned = plan_batches(good, spec, lane, slices, order, by_bytes=by_bytes)
+        else:
+            planned = plan_then_elements(df, spec, lane, slices, order, columns, method)
     requests = make_requests(planned, spec, lane).withColumn("request_id", F.col("batch_id"))
     requests = requests.withColumn("idempotency_key", F.sha2(name_of(F.lit(delivery), F.col("batch_id")), 256))
     requests = requests.withColumn(

@@ -99,3 +99,17 @@ def test_small_lanes_make_no_chains(spark, monkeypatch):
     assert got == want
     # One key holds over a thousandth of all rows; the slices of the others would be 5,700 chains.
     assert sum(n for _, n in written) <= 600, written
+
+
+def test_batches_shuffle_columns_once_and_no_elements(spark, sf_dir):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = QUERIES["sink_batch_method_runs"](spark, sf_dir)
+        lines = frame._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    made = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(_group" in line]
+    assert any("ReusedExchange" in line and "l_shipdate" in line for line in lines), "\n".join(lines)
+    assert not any("to_json" in line for i in made for line in lines[i : i + 3])

@@ -89,6 +89,11 @@ def _response_types() -> dict[str, pa.DataType]:
     return dict(zip(RESPONSE_COLUMNS, kinds, strict=True))
 
 
+def _values(column: pa.Array) -> list[Any]:
+    """The values of a column; texts all at once, not one by one."""
+    return column.to_numpy(zero_copy_only=False).tolist() if pa.types.is_string(column.type) else column.to_pylist()
+
+
 def map_requests(
     requests: DataFrame,
     spec: LookupSpec | SinkSpec,
@@ -125,7 +130,7 @@ def map_requests(
                 portion = max(1, min(REQUESTS, REQUEST_BYTES * batch.num_rows // max(1, batch.nbytes)))
                 for start in range(0, batch.num_rows, portion):
                     part = batch.slice(start, portion)
-                    columns = [part.column(f).to_pylist() for f in fields]
+                    columns = [_values(part.column(f)) for f in fields]
                     if "headers" in fields:
                         columns[-1] = [None if h is None else dict(h) for h in columns[-1]]
                     # A copy, so that an answer that waits to be handed on does not hold the bodies of its batch.

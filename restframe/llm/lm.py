@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from restframe.llm.base import keep, query, table
+from restframe.llm.base import keep, query, release_memory, table
 
 #: Words with their counts on every executor, and the least count of such a word.
 FREQUENT, LEAST_COUNT = 200_000, 5
@@ -43,8 +43,8 @@ COUNTED = 500_000
 CHARS = 1 << 21
 #: Codes of tokens read at once.
 CODES = 1 << 20
-#: Contexts normalised by one matrix product.
-CONTEXTS = 4096
+#: Tokens of a step whose noise is scored at once, so that the scores stay in the processor's cache.
+SCORED = 1024
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -78,6 +78,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
     """(word, c): how often every token occurs; the end is the empty word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         counts: Counter[bytes] = Counter()
         for batch in batches:
             for texts in batches_of(batch.column("text")):
@@ -167,9 +168,10 @@ class LogBilinear:
             at += p.size
         return self
 
-    def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    def moved(self) -> tuple[np.ndarray, np.ndarray]:
+        """All context vectors through the matrix of each position: there are far fewer classes than tokens."""
         given, _, positions, _ = self.parameters
-        return given[one] @ positions[0] + given[two] @ positions[1]
+        return given @ positions[0], given @ positions[1]
 
     def train(self, target: np.ndarray, one: np.ndarray, two: np.ndarray, rng: np.random.Generator) -> None:
         """One step of noise-contrastive estimation; the noise is drawn once for the whole batch."""
@@ -178,26 +180,37 @@ class LogBilinear:
             self.steps = [np.full_like(p, 1e-3) for p in self.parameters]
         noise = rng.choice(len(self.noise), NOISE, p=self.noise)
         log_noise = np.log(NOISE * self.noise).astype(np.float32)
-        a, b = given[one], given[two]
-        context = a @ positions[0] + b @ positions[1]
-        real = (context * classes[target]).sum(axis=1) + bias[target] - log_noise[target]
+        near, far = self.moved()
+        context = near.take(one, axis=0)
+        context += far.take(two, axis=0)
+        d_context = classes.take(target, axis=0)
+        real = np.einsum("ij,ij->i", context, d_context) + (bias - log_noise)[target]
         # Gradients of the log-likelihood of telling the data from the noise.
         d_real = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        d_false = context @ classes[noise].T
-        d_false += bias[noise] - log_noise[noise]
-        np.clip(d_false, -30, 30, out=d_false)
-        np.negative(d_false, out=d_false)
-        np.exp(d_false, out=d_false)
-        d_false += 1
-        np.divide(-1, d_false, out=d_false)
-        d_context = d_real[:, None] * classes[target] + d_false @ classes[noise]
+        false, shift = classes[noise], bias[noise] - log_noise[noise]
+        away = np.ascontiguousarray(-false.T)
+        d_false = np.empty((len(target), NOISE), np.float32)
+        for i in range(0, len(target), SCORED):
+            part = d_false[i : i + SCORED]
+            np.matmul(context[i : i + SCORED], away, out=part)
+            part -= shift
+            np.clip(part, -30, 30, out=part)
+            np.exp(part, out=part)
+            part += 1
+            np.divide(-1, part, out=part)
+        d_context *= d_real[:, None]
+        d_context += d_false @ false
         scale = np.float32(1 / len(target))
-        d_classes = _scattered(target, d_real[:, None] * context, len(bias))
-        np.add.at(d_classes, noise, d_false.T @ context)
+        d_noise = d_false.T @ context
+        context *= d_real[:, None]
+        d_classes = _scattered(target, context, len(bias))
+        np.add.at(d_classes, noise, d_noise)
         d_bias = np.bincount(target, weights=d_real, minlength=len(bias)).astype(np.float32)
         np.add.at(d_bias, noise, d_false.sum(axis=0))
-        d_given = _scattered(np.concatenate([one, two]), np.concatenate([d_context @ positions[0].T, d_context @ positions[1].T]), len(bias))
-        d_positions = np.stack([a.T @ d_context, b.T @ d_context])
+        # Tokens with the same context class are added up before the matrices, which are linear.
+        by_one, by_two = _scattered(one, d_context, len(bias)), _scattered(two, d_context, len(bias))
+        d_given = by_one @ positions[0].T + by_two @ positions[1].T
+        d_positions = np.stack([given.T @ by_one, given.T @ by_two])
         for p, s, g in zip(self.parameters, self.steps, (d_given, d_classes, d_positions, d_bias), strict=True):
             g *= scale
             s += g * g
@@ -205,28 +218,35 @@ class LogBilinear:
 
     def log10(self, target: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """The normalised log10 probability of each class after its context."""
-        given, classes, positions, bias = self.parameters
+        _, classes, _, bias = self.parameters
         size = len(bias)
+        near, far = self.moved()
         if self.norms is None:
-            self.norms = np.full(size * size, np.nan)
-        code = two * size + one
-        new = np.unique(code[np.isnan(self.norms[code])])
-        for i in range(0, len(new), CONTEXTS):
-            part = new[i : i + CONTEXTS]
-            scores = (self.predicted(part % size, part // size) @ classes.T + bias).astype(np.float64)
-            top = scores.max(axis=1)
-            self.norms[part] = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
-        score = np.einsum("ij,ij->i", self.predicted(one, two), classes[target]) + bias[target]
-        return (score - self.norms[code]) / np.log(10)
+            self.norms = np.full((size, size), np.nan)
+        # All contexts with the same class two before at once, so that a norm depends on the parameters alone.
+        for i in np.flatnonzero(np.bincount(two, minlength=size)):
+            if np.isnan(self.norms[i, 0]):
+                scores = ((near + far[i]) @ classes.T + bias).astype(np.float64)
+                top = scores.max(axis=1)
+                self.norms[i] = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
+        score = bias[target]
+        for i in range(0, len(target), BATCH):
+            at = slice(i, i + BATCH)
+            predicted = near.take(one[at], axis=0)
+            predicted += far.take(two[at], axis=0)
+            score[at] += np.einsum("ij,ij->i", predicted, classes.take(target[at], axis=0))
+        return (score - self.norms[two, one]) / np.log(10)
 
 
 def _scattered(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Sums of the rows that go to the same place."""
+    # Numbers of 16 bits are sorted by counting.
+    places = places.astype(np.uint16) if size <= 1 << 16 else places
     order = np.argsort(places, kind="stable")
     sorted_places = places[order]
     starts = np.flatnonzero(np.concatenate([[True], sorted_places[1:] != sorted_places[:-1]]))
     out = np.zeros((size, rows.shape[1]), np.float32)
-    out[sorted_places[starts]] = np.add.reduceat(rows[order], starts)
+    out[sorted_places[starts]] = np.add.reduceat(rows.take(order, axis=0), starts)
     return out
 
 
@@ -249,6 +269,7 @@ def train_round(coded: DataFrame, vocabulary: Vocabulary, start: np.ndarray, num
     sent = coded.sparkSession.sparkContext.broadcast((vocabulary, start))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         words, first = sent.value
         model, rng, seen = LogBilinear(words).load(first), np.random.default_rng([SEED, number]), 0
         for batch in batches:
@@ -317,6 +338,7 @@ def score_texts(docs: DataFrame, is_training: Column, key: str = "doc_id", text:
     kind = rows.schema["key"].dataType.simpleString()
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             start = 0
             for texts in batches_of(batch.column("text")):
@@ -336,10 +358,12 @@ def score_texts(docs: DataFrame, is_training: Column, key: str = "doc_id", text:
     flat = LogBilinear(vocabulary).flat()
     for number in range(rounds if whole.n else 0):
         flat = train_round(coded.where("learn"), vocabulary, flat, number)
-    trained = docs.sparkSession.sparkContext.broadcast(flat)
+    # The norms it has found stay with it for the later tasks of a worker (eight bytes for each context).
+    trained = docs.sparkSession.sparkContext.broadcast(LogBilinear(vocabulary).load(flat))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = LogBilinear(sent.value).load(trained.value)
+        release_memory()
+        model = trained.value
         for batch in batches:
             start = 0
             for codes, lengths in coded_groups(batch.column("codes")):

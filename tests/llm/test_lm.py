@@ -100,3 +100,36 @@ def test_nothing_to_learn_from_and_no_rows(spark):
     out = lm.score_texts(frame(spark, [(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in out) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
     assert lm.score_texts(frame(spark, []), F.lit(True)).collect() == []
+
+
+def test_step_equals_the_formulas_and_norms_stay():
+    words = lm.Vocabulary([b"", b"a", b"b", b"c"], np.array([9.0, 7, 6, 5]), np.ones(lm.ENDINGS))
+    model, rng = lm.LogBilinear(words), np.random.default_rng(3)
+    target, one, two = (rng.integers(0, words.size, 3000) for _ in range(3))
+    given, classes, positions, bias = (p.astype(np.float64) for p in model.parameters)
+    noise = np.random.default_rng(5).choice(words.size, lm.NOISE, p=model.noise)
+    log_noise = np.log(lm.NOISE * model.noise)
+    context = given[one] @ positions[0] + given[two] @ positions[1]
+    d_real = 1 / (1 + np.exp((context * classes[target]).sum(axis=1) + bias[target] - log_noise[target]))
+    d_false = -1 / (1 + np.exp(-(context @ classes[noise].T + bias[noise] - log_noise[noise])))
+    d_context = d_real[:, None] * classes[target] + d_false @ classes[noise]
+    grads = [np.zeros_like(given), np.zeros_like(classes), np.stack([given[c].T @ d_context for c in (one, two)]), np.zeros_like(bias)]
+    np.add.at(grads[0], one, d_context @ positions[0].T)
+    np.add.at(grads[0], two, d_context @ positions[1].T)
+    np.add.at(grads[1], target, d_real[:, None] * context)
+    np.add.at(grads[1], noise, d_false.T @ context)
+    np.add.at(grads[3], target, d_real)
+    np.add.at(grads[3], noise, d_false.sum(axis=0))
+    model.train(target, one, two, np.random.default_rng(5))
+    for p, q, g in zip(model.parameters, (given, classes, positions, bias), grads, strict=True):
+        g = g / len(target)
+        assert np.allclose(p, q + lm.RATE * g / np.sqrt(1e-3 + g * g), atol=1e-5)
+    # A norm depends on the parameters alone, not on what else is asked with it, and is found once.
+    whole = model.log10(target, one, two)
+    norms = model.norms
+    assert norms.shape == (words.size, words.size)
+    fresh = lm.LogBilinear(words).load(model.flat())
+    assert np.allclose([fresh.log10(target[i : i + 1], one[i : i + 1], two[i : i + 1])[0] for i in range(50)], whole[:50], atol=1e-6)
+    asked = ~np.isnan(fresh.norms)
+    assert (fresh.norms[asked] == norms[asked]).all()
+    assert model.log10(target, one, two).tobytes() == whole.tobytes() and model.norms is norms

@@ -8,6 +8,10 @@ one global order of finish time, and the order is cut where the total budget is
 Both running sums (within a source, and over the global order) are taken in two levels: totals of a
 few thousand ranges of the order, a running sum over these totals, and a window inside each range.
 So a source that holds a third of all rows is spread over thousands of ranges.
+
+All this is done on keys and sizes. What the mix takes of a source are the first of its documents in
+the order of the shuffle, once for each repeat, so the rows themselves are held against the last one
+taken of their source where they are: they are neither shuffled nor written.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from restframe.llm.base import WORD, keep, query, table
 #: Ranges of each order: hexadecimal digits of the shuffling hash, and as many of finish times.
 RANGE_DIGITS = 3
 RANGES = 16**RANGE_DIGITS
+#: Sources whose last rows taken may be sent to all executors (some hundred bytes each); above, they are joined by a shuffle.
+SENT_SOURCES = 100_000
 
 
 def count_words(text: Column) -> Column:
@@ -74,15 +80,16 @@ def mix(
     source of its own. A null size counts as 0; rows of size 0 cost nothing and are taken once where
     their place in the order comes before the cut. Reruns agree. An empty table gives an empty one.
     """
+    name, whole_key = F.col(f"`{source}`"), F.col(f"`{key}`")
     spread = rows.select(
         F.struct("*").alias("row"),
-        F.col(f"`{source}`").alias("source"),
-        F.col(f"`{key}`").alias("key"),
+        name.alias("source"),
+        F.struct(whole_key.isNull().alias("none"), whole_key.alias("key")).alias("key"),
         F.coalesce(size, F.lit(0)).cast("long").alias("size"),
-        F.md5(F.concat(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("null")), F.lit(f":{seed}"))).alias("h"),
+        F.md5(F.concat(F.coalesce(whole_key.cast("string"), F.lit("null")), F.lit(f":{seed}"))).alias("h"),
     )
     # The sizes cost a pass over the texts; what follows reads them several times.
-    sized = keep(spread.withColumn("range", F.substring("h", 1, RANGE_DIGITS)), "mix-sizes")
+    sized = keep(spread.drop("row").withColumn("range", F.substring("h", 1, RANGE_DIGITS)), "mix-sizes")
     ranges = sized.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     totals = ranges.groupBy("source").agg(F.sum("range_size").alias("source_size"))
     targets = source_targets(totals, list(weights), max_repeats)
@@ -94,17 +101,17 @@ def mix(
             F.col("source").alias("s"), F.col("range").alias("r"), "start", "source_size", "source_no", "weight", "target"
         )
     )
-    inside = Window.partitionBy("source", "range").orderBy("h", F.col("key").asc_nulls_last(), "size")
+    inside = Window.partitionBy("source", "range").orderBy("h", "key", "size")
     placed = (
         sized.withColumn("within", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
         .withColumn("ends", F.col("start") + F.col("within"))
-        .select("row", "key", "size", "h", "source_size", "source_no", "weight", "target", "ends")
+        .select("source", "key", "size", "h", "source_size", "source_no", "weight", "target", "ends")
     )
     placed = keep(placed, "mix-places")
 
     epochs = F.when(F.col("size") > 0, F.sequence(F.lit(0), F.lit(max_repeats - 1))).otherwise(F.array(F.lit(0)))
-    items = placed.drop("row").withColumn("epoch", F.explode(epochs)).withColumn("finish", _finish(F.col("epoch")))
+    items = placed.withColumn("epoch", F.explode(epochs)).withColumn("finish", _finish(F.col("epoch")))
     # Finish times have no upper end: x / (1 + x) brings them into [0, 1) and keeps their order.
     items = items.withColumn("part", F.floor(F.lit(RANGES) * F.col("finish") / (F.col("finish") + 1)))
     parts = items.groupBy("part").agg(F.sum("size").alias("part_size"))
@@ -130,12 +137,47 @@ def mix(
         ).otherwise(0)
         for e in range(max_repeats)
     ]
-    copies = F.when(F.col("size") > 0, sum(taken[1:], taken[0])).otherwise(taken[0])
-    return placed.crossJoin(F.broadcast(cut)).select(
+    taken = [taken[0], *[F.when(F.col("size") > 0, t).otherwise(0) for t in taken[1:]]]
+    about = ["source", "source_size", "source_no", "weight", "target"]
+    # Equal places: of their rows so many are taken, of so many.
+    places = (
+        placed.crossJoin(F.broadcast(cut))
+        .groupBy(*about, F.struct("h", "key", "size").alias("at"))
+        .agg(F.count("*").alias("n"), *[F.sum(t).alias(f"taken_{e}") for e, t in enumerate(taken)])
+    )
+    lasts = places.groupBy(*about).agg(
+        *[
+            F.max(F.when(F.col(f"taken_{e}") > 0, F.struct("at", F.col(f"taken_{e}").alias("taken"), "n"))).alias(f"last_{e}")
+            for e in range(max_repeats)
+        ]
+    )
+    lasts = keep(lasts.withColumnRenamed("source", "s"), "mix-lasts")
+    few = lasts.count() <= SENT_SOURCES
+    at = F.struct("h", "key", "size")
+    held = spread.join(F.broadcast(lasts) if few else lasts, F.col("source").eqNullSafe(F.col("s"))).withColumn("nth", F.lit(1))
+    # Of rows with the same place some are taken and some are not: only these are numbered.
+    parted = [F.col(f"last_{e}.taken") < F.col(f"last_{e}.n") for e in range(max_repeats)]
+    if not lasts.where(_any(parted)).isEmpty():
+        numbered = _any([p & (at == F.col(f"last_{e}.at")) for e, p in enumerate(parted)])
+        same = Window.partitionBy("source_no", "h", "key", "size").orderBy(F.to_json("row"))
+        held = held.where(~numbered).unionByName(held.where(numbered).withColumn("nth", F.row_number().over(same)))
+
+    def is_taken(e: int) -> Column:
+        last = F.col(f"last_{e}")
+        before = (at < last["at"]) | ((at == last["at"]) & (F.col("nth") <= last["taken"]))
+        return F.coalesce(before, F.lit(False)).cast("int")
+
+    again = sum([is_taken(e) for e in range(1, max_repeats)], F.lit(0))
+    copies = is_taken(0) + F.when(F.col("size") > 0, again).otherwise(0)
+    return held.select(
         "row", "size", "source_size", "source_no", "weight", "target", copies.cast("int").alias("copies")
     )
 
 
+def _any(conditions: list[Column]) -> Column:
+    return F.greatest(F.lit(False), *[F.coalesce(c, F.lit(False)) for c in conditions])
+
+
 _ORDER = ("finish", "source_no", "h", "key", "size", "epoch")
 
 

@@ -1,8 +1,10 @@
 from collections import Counter, defaultdict
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from restframe.llm import mixing
+from restframe.session import shared_dir
 
 SCHEMA = "doc_id long, text string, source string, size string, h int, row int"
 
@@ -68,3 +70,27 @@ def test_stage_keeps_columns_and_repeats(spark):
 def test_empty_and_wordless(spark):
     assert plan(spark, []) == []
     assert [(r.size, r.target) for r in plan(spark, [(1, None, "a", None, None, None)])] == [(0, 0.0)]
+
+
+def test_rows_with_one_place_are_parted(spark):
+    # 40 equal rows of one key and 40 of none: the budget ends among them.
+    rows = [(1, "a b c", "x", "k", 1, 2)] * 40 + [(None, "d e", "x", "k", 1, 2)] * 40 + [(9, "f", "y", "k", 1, 2)]
+    got = plan(spark, rows)
+    assert len(got) == len(rows)
+    taken = sum(r.size * r.copies for r in got)
+    assert sum(r.size for r in got) - 3 <= taken <= sum(r.size for r in got)
+    copies = Counter((r.row.doc_id, r.copies) for r in got)
+    assert {k for _, k in copies} <= {0, 1, 2, 3} and len({k for d, k in copies if d in (1, None)}) > 1
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert mixing.mixed(docs).count() == sum(r.copies for r in got)
+
+
+def test_texts_are_not_written_nor_shuffled(spark):
+    folder = Path(shared_dir(spark)) / "restframe"
+    before = set(folder.glob("mix-*"))
+    rows = [(i, f"word {i}", "ab"[i % 2], "k", 1, 2) for i in range(50)]
+    out = mixing.mixed(spark.createDataFrame(rows, SCHEMA))
+    written = set(folder.glob("mix-*")) - before
+    assert written and not any({"row", "text"} & set(spark.read.parquet(str(f)).columns) for f in written)
+    plan_text = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan_text and "hashpartitioning" not in plan_text

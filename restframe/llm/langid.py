@@ -11,9 +11,11 @@ Spark; the filter's size is bounded by the least frequency, whatever the size of
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain, count, islice
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,9 @@ PART = 1 << 16
 #: Different n-grams of a language with long words held while counting, and characters of texts counted at once.
 HELD_GRAMS = 2_000_000
 HELD_CHARS = 64 << 20
+#: Different n-grams whose languages a worker remembers, and words whose n-grams are numbered at once.
+GRAMS = 200_000
+NUMBERED_WORDS = 4096
 #: Rows taken out of Arrow at once.
 ROWS = 1024
 #: Characters of the texts that are split into words at once.
@@ -57,10 +62,33 @@ def words_of(text: str) -> list[str]:
 
 def grams_of(word: str) -> list[str]:
     """The n-grams of a word; none if no character of it is a letter."""
-    if not any(map(str.isalpha, word)):
+    if not word.isalpha() and not any(map(str.isalpha, word)):
         return []
     padded = f"_{word}_"
-    return [padded[i : i + n] for n in ORDERS for i in range(len(padded) - n + 1)]
+    made, runs = [], list(padded)
+    for n in range(2, max(ORDERS) + 1):
+        runs = list(map(add, runs, padded[n - 1 :]))
+        if n in ORDERS:
+            made += runs
+    return made
+
+
+def numbering() -> defaultdict[str, int]:
+    """Gives every different n-gram asked for the next number."""
+    return defaultdict(count().__next__)
+
+
+def numbered(index: defaultdict[str, int], grams: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all n-grams, one after the other, and how many each list has; new ones get the next numbers."""
+    sizes: list[int] = []
+
+    def made() -> Iterator[list[str]]:
+        for own in grams:
+            sizes.append(len(own))
+            yield own
+
+    at = np.fromiter(map(index.__getitem__, chain.from_iterable(made())), np.int64)
+    return at, np.array(sizes, np.int64)
 
 
 def gram_parts(word: str) -> Iterator[list[str]]:
@@ -98,23 +126,33 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 def _summed(words: dict[str, Counter[str]]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n) of the n-grams of the words, a limited number of different ones at once."""
     for lang, counter in words.items():
-        total: Counter[str] = Counter()
-        for word, n in counter.items():
-            if len(word) <= LONG_WORD:
-                for gram in grams_of(word):
-                    total[gram] += n
-                continue
-            for part in gram_parts(word):
-                for gram in part:
-                    total[gram] += n
-                if len(total) > HELD_GRAMS:
-                    yield _counts(lang, total)
-                    total = Counter()
-        yield _counts(lang, total)
-
-
-def _counts(lang: str, total: Counter[str]) -> pa.RecordBatch:
-    columns = [pa.array([lang] * len(total), pa.string()), pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())]
+        index, totals = numbering(), np.zeros(0, np.int64)
+        short = [word for word in counter if len(word) <= LONG_WORD]
+        for at in range(0, len(short), NUMBERED_WORDS):
+            part = short[at : at + NUMBERED_WORDS]
+            index, totals = _added(index, totals, map(grams_of, part), [counter[w] for w in part])
+        for word in counter if len(short) < len(counter) else ():
+            for grams in gram_parts(word) if len(word) > LONG_WORD else ():
+                index, totals = _added(index, totals, [grams], [counter[word]])
+                if len(index) > HELD_GRAMS:
+                    yield _counts(lang, index, totals)
+                    index, totals = numbering(), np.zeros(0, np.int64)
+        yield _counts(lang, index, totals)
+
+
+def _added(
+    index: defaultdict[str, int], totals: np.ndarray, grams: Iterable[list[str]], times: list[int]
+) -> tuple[defaultdict[str, int], np.ndarray]:
+    """The totals by number, after each list of n-grams has occurred so many times."""
+    at, sizes = numbered(index, grams)
+    more = np.zeros(max(len(index), 1), np.int64)
+    more[: len(totals)] = totals
+    np.add.at(more, at, np.repeat(np.array(times, np.int64), sizes))
+    return index, more
+
+
+def _counts(lang: str, index: dict[str, int], totals: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([lang] * len(index), pa.string()), pa.array(list(index), pa.string()), pa.array(totals[: len(index)], pa.int64())]
     return pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
 
@@ -131,6 +169,21 @@ class LanguageFilter:
         bits = [(self.planes[:, i // PLANE] >> np.int64(i % PLANE)) & 1 for i in range(len(self.langs))]
         self.false_positive = np.array([b.mean() for b in bits]) ** HASHES
         self._forget()
+        self._forget_grams()
+
+    def _forget_grams(self) -> None:
+        self.index, self.known = numbering(), np.zeros((0, self.planes.shape[1]), np.int64)
+
+    def _known_masks(self, grams: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """``masks`` of all n-grams, one after the other, each different one looked up once; how many each list has."""
+        at, sizes = numbered(self.index, grams)
+        if len(self.index) > len(self.known):
+            new = list(islice(self.index, len(self.known), None))
+            self.known = np.concatenate([self.known, self.masks(new)])
+        masks = self.known[at]
+        if len(self.index) > GRAMS:
+            self._forget_grams()
+        return masks, sizes
 
     def _forget(self) -> None:
         self.memory, self.rows = {}, np.zeros((1024, len(self.langs) + 1), np.int64)
@@ -146,13 +199,11 @@ class LanguageFilter:
 
     def _remember(self, words: list[str]) -> None:
         """How many n-grams of each word every language contains, and how many there are."""
-        grams = [grams_of(word) for word in words]
-        counts = np.array([len(g) for g in grams])
+        masks, counts = self._known_masks(map(grams_of, words))
         rows = np.zeros((len(words), len(self.langs) + 1), np.int64)
         rows[:, -1] = counts
         some = np.flatnonzero(counts)
         if len(some):
-            masks = self.masks([g for row in grams for g in row])
             starts = np.concatenate([[0], np.cumsum(counts[some])[:-1]])
             for i in range(len(self.langs)):
                 rows[some, i] = np.add.reduceat((masks[:, i // PLANE] >> np.int64(i % PLANE)) & 1, starts)
@@ -165,20 +216,25 @@ class LanguageFilter:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The language of each text and its share of the n-grams, without those expected by chance."""
         split = [words_of(text or "") for text in texts]
-        new = {word for words in split for word in words if word not in self.memory}
+        every = set().union(*split)
+        new = every.difference(self.memory)
         if len(self.memory) + len(new) > WORDS:
             self._forget()
-            new = {word for words in split for word in words}
+            new = every
         # Long words are never remembered, so they are among the new ones.
         long = {word for word in new if len(word) > LONG_WORD}
         self._remember(list(new - long))
-        found = []
-        for words in split:
-            more = [word for word in words if word in long] if long else []
-            if more:
-                words = [word for word in words if word not in long]
-            found.append(self._decide([self.memory[word] for word in words], more))
-        return found
+        more: list[list[str]] = [[]] * len(split)
+        if long:
+            more = [[word for word in words if word in long] for words in split]
+            split = [[word for word in words if word not in long] for words in split]
+        lengths = np.array([len(words) for words in split], np.int64)
+        at = np.fromiter(map(self.memory.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
+        totals = np.zeros((len(split), len(self.langs) + 1), np.int64)
+        some = np.flatnonzero(lengths)
+        if len(some):
+            totals[some] = np.add.reduceat(self.rows[at], (np.cumsum(lengths) - lengths)[some])
+        return [self._decide(*row) for row in zip(totals, more, strict=True)]
 
     def _counted(self, word: str) -> np.ndarray:
         """How many n-grams of a long word every language contains, and how many there are."""
@@ -189,8 +245,7 @@ class LanguageFilter:
             row[-1] += len(grams)
         return row
 
-    def _decide(self, at: list[int], long: list[str]) -> tuple[str, float]:
-        total = self.rows[at].sum(axis=0) if at else np.zeros(len(self.langs) + 1)
+    def _decide(self, total: np.ndarray, long: list[str]) -> tuple[str, float]:
         for word in long:
             total = total + self._counted(word)
         n = total[-1]

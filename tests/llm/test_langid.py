@@ -125,3 +125,15 @@ def test_ngrams_of_one_word_are_held_in_parts(monkeypatch):
     model = langid.LanguageFilter(["aa", "bb"], np.full((1024, 1), 1, np.int64))
     assert model.predict(["漢字かな交じり文" * 25_000])[0][0] == "aa"
     assert max(most) <= 3 << 12 and not model.memory and sum(most) > 590_000
+
+
+def test_each_different_gram_is_hashed_once(monkeypatch):
+    asked = []
+    whole = langid.LanguageFilter.masks
+    monkeypatch.setattr(langid.LanguageFilter, "masks", lambda self, grams: asked.extend(grams) or whole(self, grams))
+    planes = np.random.default_rng(1).integers(0, 4, (1 << 12, 1))
+    texts = ["banana bandana", "ananas anna", None, "123", "banana ananas", "a" * 600 + " anna"]
+    split = langid.LanguageFilter(["x", "y"], planes)
+    alone = [split.predict([t])[0] for t in texts[:5]]
+    assert len(asked) == len(set(asked))
+    assert langid.LanguageFilter(["x", "y"], planes).predict(texts)[:5] == alone

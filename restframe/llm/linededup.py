@@ -37,6 +37,8 @@ BINS, ROWS = 108, 6
 BANDS = BINS // ROWS
 #: Characters for which hashes are held at once.
 SEGMENT = 1 << 20
+#: Of them, those in work at once: their numbers stay in the processor's cache.
+PIECE = 1 << 16
 #: Candidates of one bucket compared in one piece of work.
 BLOCK = 256
 #: Ids of candidate lines that may be sent to all executors (a few dozen MB); above, they are joined by a shuffle.
@@ -78,12 +80,12 @@ def _windows(codes: np.ndarray, size: int) -> np.ndarray:
 def signatures(lines: list[str], shingle: int = SHINGLE) -> np.ndarray:
     """A row of BINS values for each line; lines must have a shingle at least."""
     made = np.full(len(lines) * BINS, EMPTY)
-    step = SEGMENT - shingle + 1
-    parts = [(i, line[a : a + SEGMENT]) for i, line in enumerate(lines) for a in range(0, len(line) - shingle + 1, step)]
+    step = PIECE - shingle + 1
+    parts = [(i, line[a : a + PIECE]) for i, line in enumerate(lines) for a in range(0, len(line) - shingle + 1, step)]
     at = 0
     while at < len(parts):
         upto, size = at, 0
-        while upto < len(parts) and size < SEGMENT:
+        while upto < len(parts) and size < PIECE:
             size += len(parts[upto][1]) + 1
             upto += 1
         codes = np.frombuffer("\n".join(t for _, t in parts[at:upto]).encode("utf-32-le"), "<u4").astype(np.uint64)
@@ -126,7 +128,8 @@ def band_keys(made: np.ndarray) -> np.ndarray:
 
 
 def _line_id(line: str) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(line.encode())).view(np.int64))
+    made = xxhash.xxh3_64_intdigest(line.encode())
+    return made - (1 << 64) if made >> 63 else made
 
 
 class SimilarLines:
@@ -167,7 +170,7 @@ class LinkedPairs:
         out = np.zeros(len(left), bool)
         # Sets of too different sizes cannot be similar.
         open_ = np.flatnonzero(self.sizes[small] * most >= self.sizes[large] * least)
-        for at in _pieces(self.sizes[small[open_]], SEGMENT):
+        for at in _pieces(self.sizes[small[open_]], PIECE):
             pairs = open_[at]
             a, b = small[pairs], large[pairs]
             counts = self.sizes[a]

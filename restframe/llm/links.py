@@ -233,7 +233,7 @@ def _within_buckets(near: Near, batches: Iterator[pa.RecordBatch]) -> Iterator[p
 
 
 #: Weight of the items compared together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 
 
 def _whole_buckets(near: Near, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:

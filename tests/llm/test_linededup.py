@@ -164,3 +164,12 @@ def test_one_changed_character_in_lines_of_sixty(spark):
 def test_no_rows(spark):
     assert linededup.removed_lines(frame(spark, [])).collect() == []
     assert linededup.deduplicate_lines(frame(spark, [])).collect() == []
+
+
+def test_signatures_hold_few_characters_at_once(monkeypatch):
+    lines = [f"line number {i} of some others " * (1 + i % 40) for i in range(400)] + ["abcdef" * 40_000]
+    sizes, windows = [], linededup._windows
+    monkeypatch.setattr(linededup, "_windows", lambda codes, size: sizes.append(len(codes)) or windows(codes, size))
+    made = linededup.signatures(lines)
+    assert max(sizes) <= 3 << 16
+    assert (made == np.concatenate([linededup.signatures([line]) for line in lines])).all()

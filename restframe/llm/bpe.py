@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from restframe.llm.base import extended, query, table
+from restframe.llm.base import extended, query, release_memory, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Characters of a chunk without its overlap, and of the overlap.
@@ -115,6 +115,7 @@ def encode(
     key_type = rows.schema["key"].dataType.simpleString()
 
     def encode_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         code = encoder(ranks, pattern)
         for batch in batches:
             for part, texts in _slices(batch, "text"):
@@ -139,6 +140,7 @@ def encode(
             yield pa.RecordBatch.from_arrays([*batch.columns, *bounds], [*batch.schema.names, "head", "tail"])
 
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         code = encoder(ranks, pattern)
         for batch in batches:
             for part, texts in _slices(batch, "piece"):
@@ -193,6 +195,7 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> Dat
     encoded = encoded.drop("bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         token = {rank: piece for piece, rank in load_ranks(ranks).items()}.__getitem__
         for batch in batches:
             out = [None if row is None else b"".join(map(token, row)) for row in _lists(batch.column(ids))]

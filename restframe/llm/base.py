@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-__all__ = ["ORACLES", "QUERIES", "WORD", "extended", "keep", "query", "release_memory", "table"]
+__all__ = ["ORACLES", "QUERIES", "WORD", "extended", "keep", "query", "release_memory", "returns_memory", "table"]
 
 #: Fixed value: a word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,3 +55,18 @@ def release_memory() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim is not None:
         trim(0)
+
+
+def returns_memory(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """For the function of a heavy Python stage: memory is released as its task starts, and again when it has ended.
+
+    A worker that no later task takes up would else hold what its last task had.
+    """
+
+    @wraps(run)
+    def call(*args) -> Iterator[pa.RecordBatch]:
+        release_memory()
+        yield from run(*args)
+        release_memory()
+
+    return call

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from restframe.llm.base import keep, query, release_memory, table
+from restframe.llm.base import keep, query, release_memory, returns_memory, table
 from restframe.llm.links import bucket_links, components
 from restframe.operators.skew import salted_join
 
@@ -62,24 +62,43 @@ def normal(line: str) -> str:
     return " ".join(line.lower().split())
 
 
+#: White space other than blanks and line feeds, as ``str.split`` has it.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+
+
+def normal_lines(text: str) -> list[str]:
+    """``normal`` of each line of a text; lines that are so already are not taken apart."""
+    lower = text.lower()
+    lines = lower.split("\n")
+    if any(map(lower.__contains__, _OTHER_SPACE)):
+        return [" ".join(line.split()) for line in lines]
+    if "  " in lower or lower[:1] == " " or lower[-1:] == " " or " \n" in lower or "\n " in lower:
+        return [" ".join(line.split()) if "  " in line or line[:1] == " " or line[-1:] == " " else line for line in lines]
+    return lines
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A finalising mix of 64-bit values (multipliers of a well-known public one)."""
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    x = x ^ (x >> np.uint64(33))
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x *= np.uint64(factor)
+        x ^= x >> np.uint64(33)
+    return x
 
 
 def _windows(codes: np.ndarray, size: int) -> np.ndarray:
     """A polynomial hash of every run of ``size`` characters."""
-    out = np.zeros(len(codes) - size + 1, np.uint64)
-    for i in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[i : len(codes) - size + 1 + i]
+    out = codes[: len(codes) - size + 1].copy()
+    for i in range(1, size):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += codes[i : len(codes) - size + 1 + i]
     return out
 
 
 def signatures(lines: list[str], shingle: int = SHINGLE) -> np.ndarray:
     """A row of BINS values for each line; lines must have a shingle at least."""
-    made = np.full(len(lines) * BINS, EMPTY)
+    made = np.full((len(lines) + 1) * BINS, EMPTY)
+    nowhere = len(lines) * BINS
     step = PIECE - shingle + 1
     parts = [(i, line[a : a + PIECE]) for i, line in enumerate(lines) for a in range(0, len(line) - shingle + 1, step)]
     at = 0
@@ -90,32 +109,43 @@ def signatures(lines: list[str], shingle: int = SHINGLE) -> np.ndarray:
             upto += 1
         codes = np.frombuffer("\n".join(t for _, t in parts[at:upto]).encode("utf-32-le"), "<u4").astype(np.uint64)
         lengths = np.array([len(t) for _, t in parts[at:upto]])
-        # Of the runs that reach into the next line none is taken; there are shingle of them after each line.
+        # The runs that reach into the next line, shingle of them after each line, go to a row behind the last one.
         own = np.repeat(np.array([i for i, _ in parts[at:upto]], np.int64) * BINS, lengths + 1)[: len(codes) - shingle + 1]
         ends = np.cumsum(lengths + 1)[:-1]
-        inside = np.ones(len(own), bool)
         for back in range(1, shingle + 1):
-            inside[ends - back] = False
-        x = _mixed(_windows(codes, shingle)[inside])
-        bins = ((x >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)
-        np.minimum.at(made, own[inside] + bins.astype(np.int64), x.astype(np.uint32))
+            own[ends - back] = nowhere
+        x = _mixed(_windows(codes, shingle))
+        least = x.astype(np.uint32)
+        x >>= np.uint64(32)
+        x *= np.uint64(BINS)
+        x >>= np.uint64(32)
+        own += x.view(np.int64)
+        np.minimum.at(made, own, least)
         at = upto
-    return _filled(made.reshape(-1, BINS))
+    return _filled(made[:nowhere].reshape(-1, BINS))
+
+
+#: The bin that each draw names for each bin.
+_DRAWN = (
+    _mixed(np.arange(BINS, dtype=np.uint64) * np.uint64(DRAWS) + np.arange(1, DRAWS + 1, dtype=np.uint64)[:, None]) % np.uint64(BINS)
+).astype(np.int64)
 
 
 def _filled(made: np.ndarray) -> np.ndarray:
     """Empty bins take the value of the bin drawn for them first that is not empty, alike in all lines."""
-    line, place = np.nonzero(made == EMPTY)
-    values = made.copy()
+    flat = made.ravel()
+    at = np.flatnonzero(flat == EMPTY)
+    values = flat.copy()
+    place = at % BINS
     for t in range(DRAWS):
-        if not len(line):
+        if not len(at):
             break
-        drawn = _mixed(place.astype(np.uint64) * np.uint64(DRAWS) + np.uint64(t + 1)) % np.uint64(BINS)
-        lent = made[line, drawn.astype(np.int64)]
-        values[line, place] = lent
-        line, place = line[lent == EMPTY], place[lent == EMPTY]
-    values[line, place] = made[line, (made[line] != EMPTY).argmax(axis=1)]
-    return values
+        lent = flat[at - place + _DRAWN[t][place]]
+        values[at] = lent
+        left = lent == EMPTY
+        at, place = at[left], place[left]
+    values[at] = made[at // BINS, (made[at // BINS] != EMPTY).argmax(axis=1)]
+    return values.reshape(made.shape)
 
 
 def band_keys(made: np.ndarray) -> np.ndarray:
@@ -282,8 +312,8 @@ def _line_table(rows: DataFrame, shingle: int) -> DataFrame:
     """One pass over the texts, kept: rows of documents (key, ident, n_lines, places, ids) and rows of
     lines (line_id, line), each line that has a shingle at least once."""
 
+    @returns_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
         seen: set[int] = set()
         for batch in batches:
             start = 0
@@ -329,13 +359,13 @@ def _groups(column: pa.Array) -> Iterator[list[list[str]]]:
     """The normal lines of the texts, of a limited number of characters at once."""
     held: list[list[str]] = []
     size = 0
-    for value in column:
-        text = value.as_py() or ""
-        held.append([" ".join(line.split()) for line in text.lower().split("\n")])  # as ``normal`` makes each
-        size += len(text)
-        if size >= SEGMENT:
-            yield held
-            held, size = [], 0
+    for start in range(0, len(column), 64):
+        for text in column.slice(start, 64).to_pylist():
+            held.append(normal_lines(text or ""))
+            size += len(text or "")
+            if size >= SEGMENT:
+                yield held
+                held, size = [], 0
     if held:
         yield held
 
@@ -351,8 +381,8 @@ def _candidates(lines: DataFrame, shingle: int) -> DataFrame:
     pairs = lines.count() * BANDS
     bits = max(MIN_CELL_BITS, min(MAX_CELL_BITS, (pairs // CELL_PAIRS).bit_length()))
 
+    @returns_memory
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
@@ -384,7 +414,7 @@ def packed(held: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.RecordBat
     """(cell, pairs): the pairs (band, id) of each cell, as bytes."""
     keys, ids = (np.concatenate(x) for x in zip(*held, strict=True))
     cells = (keys >> np.uint64(64 - bits)).astype(np.int32)
-    order = np.argsort(cells, kind="stable")
+    order = np.argsort(cells.astype(np.uint16) if bits <= 16 else cells, kind="stable")  # numbers of 16 bits are sorted by their digits
     made = np.empty(len(keys), PAIR)
     made["band"], made["id"] = ((keys << np.uint64(bits)) >> np.uint64(32))[order], ids[order]
     cells = cells[order]
@@ -394,6 +424,7 @@ def packed(held: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(cells[starts]), rows.cast(pa.binary())], ["cell", "pairs"])
 
 
+@returns_memory
 def sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (cell, pairs), sorted by cell: the lines of bands with two or more, under a hash of the set of lines.
 
@@ -401,7 +432,6 @@ def sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     more than ``HELD_PAIRS`` pairs goes through in pieces, under its bands' own keys: what is held is one
     piece and one line for each different band, not the lines of a band, however many it has.
     """
-    release_memory()
     cell, held, size, known = None, [], 0, None
     for batch in batches:
         for this, pairs in zip(batch.column("cell").to_pylist(), batch.column("pairs"), strict=True):
@@ -538,6 +568,8 @@ def deduplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
         release_memory()
         for texts, removed in batches:
             yield pd.Series([without_lines(*pair) for pair in zip(texts, removed, strict=True)], dtype=object)
+        texts = removed = None
+        release_memory()
 
     # Lines that are not blank go from the first copy as marked, from the others all.
     n_gone = F.coalesce(F.when(F.col("copy") > 1, F.col("n_filled")).otherwise(F.size("removed")), F.lit(0))

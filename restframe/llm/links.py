@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from restframe.llm.base import keep, release_memory
+from restframe.llm.base import keep, returns_memory
 
 #: Items of a bucket that are compared in one piece of work.
 BLOCK = 1024
@@ -201,37 +201,56 @@ def bucket_links(
     return links if done is None else links.unionByName(done)
 
 
+@returns_memory
 def _within_buckets(near: Near, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A spanning forest of each small bucket: those of two or three items by all their pairs, decided together."""
-    release_memory()
+    """Links that connect what is linked within each small bucket, the pairs of many buckets decided together."""
     for some, starts in _whole_buckets(near, batches):
         ids = some.column("id").to_numpy()
         decide = near.linked_pairs(some) if len(starts) > 1 else None
         sizes = np.diff([*starts, len(ids)])
         u: list[np.ndarray] = []
         v: list[np.ndarray] = []
-        few = np.zeros(len(starts), bool)
         if decide is not None:
-            few = sizes <= 3
-            for a, b in ((0, 1), (0, 2), (1, 2)):
-                at = starts[few & (sizes > b)]
-                if len(at):
-                    linked = decide(at + a, at + b)
-                    u.append(ids[(at + a)[linked]])
-                    v.append(ids[(at + b)[linked]])
-        for start, size in zip(starts[~few].tolist(), sizes[~few].tolist(), strict=True):
-            own = np.arange(start, start + size)
-            if decide is not None:
-                edges = forest(own, own, lambda one, many: decide(np.full(len(many), one), many))
-            else:
-                asked = partial(near.to_many, near.items(some.slice(start, size)))
-                edges = [(a + start, b + start) for a, b in forest(own - start, own - start, asked)] if size > 1 else []
+            left, right = _stepped(sizes, decide)
+            u.append(ids[left])
+            v.append(ids[right])
+        for start, size in zip(starts.tolist(), sizes.tolist(), strict=True) if decide is None else ():
+            own = np.arange(size)
+            asked = partial(near.to_many, near.items(some.slice(start, size)))
+            edges = [(a + start, b + start) for a, b in forest(own, own, asked)] if size > 1 else []
             u.append(ids[[a for a, _ in edges]] if edges else ids[:0])
             v.append(ids[[b for _, b in edges]] if edges else ids[:0])
         if u:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
 
 
+def _stepped(sizes: np.ndarray, decide: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of linked pairs that connect all that is linked within runs of these sizes.
+
+    Items are held against the next of their run, the one after it and so on, all runs at once; pairs that are
+    known to be connected are not asked about.
+    """
+    last = np.repeat(np.cumsum(sizes), sizes)
+    label = np.arange(len(last))
+    active, step = label, 1
+    us, vs = [active[:0]], [active[:0]]
+    while True:
+        active = active[active + step < last[active]]
+        if not len(active):
+            return np.concatenate(us), np.concatenate(vs)
+        asked = active[label[active] != label[active + step]]
+        if len(asked):
+            hit = asked[decide(asked, asked + step)]
+            us.append(hit)
+            vs.append(hit + step)
+            low, high = label[hit], label[hit + step]
+            label = label.copy()
+            np.minimum.at(label, np.maximum(low, high), np.minimum(low, high))
+            while (label[label] != label).any():
+                label = label[label]
+        step += 1
+
+
 #: Weight of the items compared together.
 TOGETHER = 1 << 18
 

@@ -173,3 +173,32 @@ def test_signatures_hold_few_characters_at_once(monkeypatch):
     made = linededup.signatures(lines)
     assert max(sizes) <= 3 << 16
     assert (made == np.concatenate([linededup.signatures([line]) for line in lines])).all()
+
+
+def test_normal_lines_of_any_white_space():
+    odd = ["", " ", "a\n", " a\nb ", "A  b\nc", "a \nb", "a\n b", "a\r\nb", "é x  \ny", "日　本\nz"]
+    odd += [f"x{chr(c)}y\nz {chr(c)}" for c in range(0x3100)]
+    for text in odd:
+        assert linededup.normal_lines(text) == [linededup.normal(line) for line in text.lower().split("\n")]
+
+
+def test_runs_are_compared_together():
+    """As many decisions as the longest bucket has items, not some for each bucket; links that connect what is linked."""
+    rng, asked = random.Random(5), []
+    sizes = np.array([rng.choice([1, 2, 3, 5, 9]) for _ in range(300)])
+    kind = np.array([rng.randrange(3) for _ in range(sizes.sum())])
+
+    def decide(left, right):
+        asked.append(len(left))
+        return kind[left] == kind[right]
+
+    left, right = links._stepped(sizes, decide)
+    assert len(asked) <= 8
+    bucket = np.repeat(np.arange(300), sizes)
+    groups = Groups(range(len(kind)))
+    for a, b in zip(left.tolist(), right.tolist(), strict=True):
+        assert bucket[a] == bucket[b] and kind[a] == kind[b]
+        groups.join(a, b)
+    named = {}
+    for i, key in enumerate(zip(bucket.tolist(), kind.tolist(), strict=True)):
+        assert groups.find(named.setdefault(key, i)) == groups.find(i)

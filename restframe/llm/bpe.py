@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from restframe.llm.base import extended, query, release_memory, table
+from restframe.llm.base import extended, query, returns_memory, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Characters of a chunk without its overlap, and of the overlap.
@@ -41,6 +41,11 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+@lru_cache(maxsize=4)
+def tokens(path: str) -> dict[int, bytes]:
+    return {rank: piece for piece, rank in load_ranks(path).items()}
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
@@ -101,9 +106,13 @@ def encode(
     pattern: str = public_tokenizers.PATTERN,
     chunk_chars: int = CHUNK_CHARS,
     overlap: int = OVERLAP,
+    decoded: bool = False,
 ) -> DataFrame:
     """One row (key, ids array<int>) for each row of ``docs``.
 
+    With ``decoded`` there is also a column bytes, as ``decode`` adds it; the ids of short texts are decoded
+    by the worker that made them, so that a task needs one worker and not two.
+
     A null text counts as empty and has no ids; null and repeated keys are kept, a row for each;
     other columns are left out. ``path`` is the file of ranks on the driver and the workers.
     ``overlap`` must be more than the look-ahead of the pattern and less than ``chunk_chars``.
@@ -114,12 +123,15 @@ def encode(
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     key_type = rows.schema["key"].dataType.simpleString()
 
+    @returns_memory
     def encode_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
         code = encoder(ranks, pattern)
+        token = tokens(ranks) if decoded else {}
         for batch in batches:
             for part, texts in _slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays([part.column("key"), _ids(texts, code)], ["key", "ids"])
+                ids = _ids(texts, code)
+                made = {"key": part.column("key"), "ids": ids} | ({"bytes": _bytes(ids, token)} if decoded else {})
+                yield pa.RecordBatch.from_pydict(made)
 
     def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,8 +151,8 @@ def encode(
             bounds = [pa.array(side, pa.list_(pa.int32())) for side in zip(*ends, strict=True)] or [[], []]
             yield pa.RecordBatch.from_arrays([*batch.columns, *bounds], [*batch.schema.names, "head", "tail"])
 
+    @returns_memory
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
         code = encoder(ranks, pattern)
         for batch in batches:
             for part, texts in _slices(batch, "piece"):
@@ -148,7 +160,7 @@ def encode(
                 yield pa.RecordBatch.from_arrays([*kept, _ids(texts, code)], ["key", "digest", "copies", "first", "ids"])
 
     is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk_chars
-    short = rows.where(~is_long).mapInArrow(encode_whole, f"key {key_type}, ids array<int>")
+    short = rows.where(~is_long).mapInArrow(encode_whole, f"key {key_type}, ids array<int>" + ", bytes binary" * decoded)
     chunks = (
         rows.where(is_long)
         .mapInArrow(chunks_of, f"key {key_type}, digest binary, number int, text string")
@@ -183,7 +195,8 @@ def encode(
         .agg(F.sort_array(F.collect_list(F.struct("first", "ids"))).alias("parts"))
         .select("key", F.flatten("parts.ids").alias("ids"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     )
-    return short.unionByName(long.drop("copy")).withColumnRenamed("key", key)
+    long = long.drop("copy")
+    return short.unionByName(decode(long, path=path) if decoded else long).withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
@@ -194,16 +207,20 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> Dat
     ranks = path or public_tokenizers.path(RANKS)
     encoded = encoded.drop("bytes")
 
+    @returns_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
-        token = {rank: piece for piece, rank in load_ranks(ranks).items()}.__getitem__
+        token = tokens(ranks)
         for batch in batches:
-            out = [None if row is None else b"".join(map(token, row)) for row in _lists(batch.column(ids))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "bytes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _bytes(batch.column(ids), token)], [*batch.schema.names, "bytes"])
 
     return encoded.mapInArrow(run, extended(encoded, "bytes binary"))
 
 
+def _bytes(ids: pa.Array, token: dict[int, bytes]) -> pa.Array:
+    found = token.__getitem__
+    return pa.array([None if row is None else b"".join(map(found, row)) for row in _lists(ids)], pa.binary())
+
+
 def _lists(column: pa.Array) -> Iterator[list[int] | None]:
     for row in column:
         yield None if not row.is_valid else row.values.to_numpy(zero_copy_only=False).tolist()
@@ -211,9 +228,17 @@ def _lists(column: pa.Array) -> Iterator[list[int] | None]:
 
 def described(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """Adds n_tokens and the SHA-256 of the ids as text (decimal, by commas) and of the decoded bytes."""
+    return _digested(decode(encoded, path=path))
+
+
+def encoded_and_described(docs: DataFrame, **options) -> DataFrame:
+    """``described`` of ``encode``."""
+    return _digested(encode(docs, decoded=True, **options))
+
+
+def _digested(decoded: DataFrame) -> DataFrame:
     return (
-        decode(encoded, path=path)
-        .withColumn("n_tokens", F.size("ids").cast("long"))
+        decoded.withColumn("n_tokens", F.size("ids").cast("long"))
         .withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256))
         .withColumn("decoded_sha256", F.sha2(F.col("bytes"), 256))
         .drop("bytes")
@@ -223,4 +248,4 @@ def described(encoded: DataFrame, path: str | None = None) -> DataFrame:
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, decoded, and described by digests."""
-    return described(encode(table(spark, sf_dir, "documents"))).drop("ids")
+    return encoded_and_described(table(spark, sf_dir, "documents")).drop("ids")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from restframe.llm.base import extended, keep, query, release_memory, table
+from restframe.llm.base import extended, keep, query, returns_memory, table
 
 #: Lengths of n-grams; words are padded on both sides.
 ORDERS = (2, 3, 4)
@@ -37,8 +37,8 @@ HASHES = 4
 #: Languages in one word of a position.
 PLANE = 62
 UNKNOWN = "und"
-#: Different words remembered in a task while counting, and in a worker while predicting.
-WORDS = 500_000
+#: Different words remembered in a task while counting, and in a worker while predicting (about 0.2 KB each).
+WORDS = 150_000
 #: Longer words are not remembered; their n-grams are made and counted in parts of ``PART`` starting places.
 LONG_WORD = 256
 PART = 1 << 16
@@ -102,8 +102,8 @@ def gram_parts(word: str) -> Iterator[list[str]]:
 def gram_counts(labelled: DataFrame) -> DataFrame:
     """(lang, gram, n) over all rows of (lang, text)."""
 
+    @returns_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
         words: dict[str, Counter[str]] = {}
         chars = 0
         for batch in batches:
@@ -111,12 +111,9 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                 whole = text.as_py()
                 words.setdefault(lang.as_py(), Counter()).update(words_of(whole))
                 chars += len(whole)
-                if chars > HELD_CHARS:
+                if chars > HELD_CHARS or sum(map(len, words.values())) > WORDS:
                     yield from _summed(words)
                     words, chars = {}, 0
-            if sum(map(len, words.values())) > WORDS:
-                yield from _summed(words)
-                words, chars = {}, 0
         yield from _summed(words)
 
     counted = labelled.select("lang", "text").mapInArrow(run, "lang string, gram string, n long")
@@ -304,8 +301,8 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
     docs = docs.drop("lang_pred", "score")
     sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.planes))
 
+    @returns_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
         filters = LanguageFilter(*sent.value)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
@@ -340,8 +337,12 @@ def keep_identified(docs: DataFrame, key: str = "doc_id", least_score: float = L
     best language. The filter is learned from the rows that are not held out.
     """
     model = learn(docs.where(~is_held_out(F.col(f"`{key}`"))))
-    row = docs.select(F.struct("*").alias("row"), "text")
-    return identify(row, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")
+    # Under names of their own, so that no column is replaced and the text goes to the workers once.
+    names = docs.columns
+    text = next(f"c{i}" for i, name in enumerate(names) if name.lower() == "text")
+    found = identify(docs.toDF(*[f"c{i}" for i in range(len(names))]), model, text)
+    found = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return found.drop("lang_pred", "score").toDF(*names)
 
 
 @query("op10_language_id")

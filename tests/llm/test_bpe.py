@@ -1,10 +1,11 @@
 import random
+import weakref
 
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from restframe.llm import bpe
+from restframe.llm import base, bpe
 
 PARTS = ["ab", "é", " ", "  ", "\n", "'re", "'s", "12", "!?", "日本", " the", " ", "z" * 40, " " * 30, "'" * 30, "\x1c", "😀"]
 
@@ -55,3 +56,35 @@ def test_no_rows_and_bad_options(spark):
 def test_null_ids_decode_to_null(spark):
     rows = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert {r.doc_id: r.bytes for r in bpe.decode(rows).collect()} == {1: None, 2: b""}
+
+
+def test_bytes_made_with_the_ids(spark, rows):
+    """As ``decode`` gives them, with one Python stage for short texts and not two."""
+    docs = frame(spark, rows)
+    made = bpe.encode(docs, chunk_chars=64, overlap=16, decoded=True)
+    one_by_one = bpe.decode(bpe.encode(docs, chunk_chars=64, overlap=16))
+    assert made.columns == one_by_one.columns
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.ids)
+    assert sorted(made.collect(), key=key) == sorted(one_by_one.collect(), key=key)
+    plan = bpe.encoded_and_described(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("MapInArrow")
+
+
+def test_memory_is_given_back_when_a_task_ends(monkeypatch):
+    seen = []
+    monkeypatch.setattr(base, "release_memory", lambda: seen.append(alive()))
+
+    class Held:
+        pass
+
+    @base.returns_memory
+    def run(batches):
+        held = Held()
+        refs.append(weakref.ref(held))
+        for batch in batches:
+            yield batch
+
+    refs = []
+    alive = lambda: sum(ref() is not None for ref in refs)
+    assert list(run(iter([1, 2]))) == [1, 2]
+    assert len(refs) == 1 and seen == [0, 0]

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from restframe.llm import langid
@@ -137,3 +138,38 @@ def test_each_different_gram_is_hashed_once(monkeypatch):
     alone = [split.predict([t])[0] for t in texts[:5]]
     assert len(asked) == len(set(asked))
     assert langid.LanguageFilter(["x", "y"], planes).predict(texts)[:5] == alone
+
+
+def test_words_counted_are_bounded_within_a_batch(monkeypatch, spark):
+    """However many rows a batch has, the words held while counting stay few; the counts are those of all texts."""
+    monkeypatch.setattr(langid, "WORDS", 20)
+    held, summed = [], langid._summed
+    monkeypatch.setattr(langid, "_summed", lambda words: held.append(sum(map(len, words.values()))) or summed(words))
+    texts = [f"{chr(97 + i % 26) * 2}{chr(97 + i // 26) * 3} same" for i in range(400)]
+
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            self.parts = list(run(iter([pa.RecordBatch.from_pydict({"lang": ["aa"] * 400, "text": texts})])))
+            raise StopIteration
+
+    rows = Rows()
+    with pytest.raises(StopIteration):
+        langid.gram_counts(rows)
+    assert max(held) <= 24
+    got, want = Counter(), Counter(g for text in texts for word in langid.words_of(text) for g in langid.grams_of(word))
+    for part in rows.parts:
+        got.update(dict(zip(part.column("gram").to_pylist(), part.column("n").to_pylist(), strict=True)))
+    assert got == want
+
+
+def test_texts_go_to_the_workers_once(spark, rows):
+    """The rows kept have their columns, whatever their names, and no second copy of the text travels with them."""
+    ship(spark)
+    kept = langid.keep_identified(frame(spark, rows))
+    assert kept.columns == ["doc_id", "text", "lang", "lang_pred", "score", "row"]
+    assert {(r.lang_pred, r.score, r.row) for r in kept.collect()} == {("x", 1, 2)}
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "struct(" not in plan

@@ -37,8 +37,8 @@ HASHES = 4
 #: Languages in one word of a position.
 PLANE = 62
 UNKNOWN = "und"
-#: Different words remembered in a task while counting, and in a worker while predicting (about 0.2 KB each).
-WORDS = 150_000
+#: Different words remembered in a task while counting, and in a worker while predicting.
+WORDS = 500_000
 #: Longer words are not remembered; their n-grams are made and counted in parts of ``PART`` starting places.
 LONG_WORD = 256
 PART = 1 << 16

@@ -156,8 +156,10 @@ def bucket_links(
     done = None
     if at_once:
         small = rows.where(F.col("n") <= block)
-        loaded = small.select("bucket", "id").join(payload, "id") if payload is not None else small.select("bucket", "id")
-        loaded = loaded.repartition(places, "bucket").sortWithinPartitions("bucket", "id")
+        loaded = small.select("lead", "bucket", "id")
+        loaded = loaded.join(payload, "id") if payload is not None else loaded
+        # Buckets with one leader have most items in common, which are then prepared and compared once.
+        loaded = loaded.repartition(places, "lead").sortWithinPartitions("lead", "bucket", "id")
         done = keep(loaded.mapInArrow(partial(_within_buckets, near), "u long, v long"), "small-buckets")
         rows = rows.where(F.col("n") > block)
         if rows.isEmpty():
@@ -206,14 +208,15 @@ def _within_buckets(near: Near, batches: Iterator[pa.RecordBatch]) -> Iterator[p
     """Links that connect what is linked within each small bucket, the pairs of many buckets decided together."""
     for some, starts in _whole_buckets(near, batches):
         ids = some.column("id").to_numpy()
-        decide = near.linked_pairs(some) if len(starts) > 1 else None
+        different, first, item = np.unique(ids, return_index=True, return_inverse=True)
+        decide = near.linked_pairs(some.take(pa.array(first))) if len(starts) > 1 else None
         sizes = np.diff([*starts, len(ids)])
         u: list[np.ndarray] = []
         v: list[np.ndarray] = []
         if decide is not None:
-            left, right = _stepped(sizes, decide)
-            u.append(ids[left])
-            v.append(ids[right])
+            left, right = _stepped(sizes, decide, item)
+            u.append(different[left])
+            v.append(different[right])
         for start, size in zip(starts.tolist(), sizes.tolist(), strict=True) if decide is None else ():
             own = np.arange(size)
             asked = partial(near.to_many, near.items(some.slice(start, size)))
@@ -224,26 +227,38 @@ def _within_buckets(near: Near, batches: Iterator[pa.RecordBatch]) -> Iterator[p
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
 
 
-def _stepped(sizes: np.ndarray, decide: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of linked pairs that connect all that is linked within runs of these sizes.
+def _stepped(
+    sizes: np.ndarray, decide: Callable[[np.ndarray, np.ndarray], np.ndarray], item: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs that connect all that is linked within runs of these sizes.
 
-    Items are held against the next of their run, the one after it and so on, all runs at once; pairs that are
-    known to be connected are not asked about.
+    ``item`` numbers what is at each position, from 0, so that several runs may hold the same; without it
+    every position is an item of its own. Items are held against the next of their run, the one after it and
+    so on, all runs at once; pairs that are known to be connected, or have been asked about, are not asked about.
     """
     last = np.repeat(np.cumsum(sizes), sizes)
-    label = np.arange(len(last))
-    active, step = label, 1
-    us, vs = [active[:0]], [active[:0]]
+    active, step = np.arange(len(last)), 1
+    item = active if item is None else item
+    label = np.arange(int(item.max(initial=-1)) + 1)
+    refused = item[:0]
+    us, vs = [item[:0]], [item[:0]]
     while True:
         active = active[active + step < last[active]]
         if not len(active):
             return np.concatenate(us), np.concatenate(vs)
-        asked = active[label[active] != label[active + step]]
-        if len(asked):
-            hit = asked[decide(asked, asked + step)]
-            us.append(hit)
-            vs.append(hit + step)
-            low, high = label[hit], label[hit + step]
+        one, other = item[active], item[active + step]
+        open_ = label[one] != label[other]
+        if open_.any():
+            one, other = one[open_], other[open_]
+            pairs = np.unique(np.minimum(one, other) * len(label) + np.maximum(one, other))
+            if len(refused):
+                pairs = pairs[refused[np.minimum(np.searchsorted(refused, pairs), len(refused) - 1)] != pairs]
+            one, other = np.divmod(pairs, len(label))
+            linked = decide(one, other) if len(pairs) else np.zeros(0, bool)
+            refused = np.sort(np.concatenate([refused, pairs[~linked]]))
+            us.append(one[linked])
+            vs.append(other[linked])
+            low, high = label[one[linked]], label[other[linked]]
             label = label.copy()
             np.minimum.at(label, np.maximum(low, high), np.minimum(low, high))
             while (label[label] != label).any():

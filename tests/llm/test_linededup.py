@@ -202,3 +202,58 @@ def test_runs_are_compared_together():
     named = {}
     for i, key in enumerate(zip(bucket.tolist(), kind.tolist(), strict=True)):
         assert groups.find(named.setdefault(key, i)) == groups.find(i)
+
+
+def test_pairs_of_several_buckets_are_compared_once():
+    """Lines that several buckets share are prepared once for a piece of work, and no pair is decided twice."""
+    rng, prepared, asked = random.Random(9), [], []
+    texts = ["".join(rng.choice("abcdef ") for _ in range(40)) for _ in range(12)]
+    texts += [t[:20] + "x" + t[21:] for t in texts]
+    buckets = [sorted(rng.sample(range(len(texts)), rng.choice([2, 3, 5]))) for _ in range(200)]
+    rows = sorted({(own[0], bucket, i) for bucket, own in enumerate(buckets) for i in own})
+
+    class Near(linededup.SimilarLines):
+        def linked_pairs(self, batch):
+            decide = super().linked_pairs(batch)
+            prepared.append(batch.column("id").to_pylist())
+
+            def noted(left, right):
+                asked.extend(map(frozenset, zip(left.tolist(), right.tolist(), strict=True)))
+                return decide(left, right)
+
+            return noted
+
+    table = pa.table({"lead": [r[0] for r in rows], "bucket": [r[1] for r in rows], "id": [r[2] for r in rows], "line": [texts[r[2]] for r in rows]})
+    edges = pa.Table.from_batches(list(links._within_buckets(Near(5, (3, 5)), iter(table.to_batches(max_chunksize=50))))).to_pandas()
+    assert len(prepared) == 1 and len(prepared[0]) == len(set(prepared[0]))
+    assert len(asked) == len(set(asked))
+    want = {(a, b) for own in buckets for a in own for b in own if b == a + 12}
+    assert {(min(e), max(e)) for e in zip(edges.u.tolist(), edges.v.tolist(), strict=True)} == want and want
+
+
+def test_lines_that_occur_once_are_not_kept(spark, rows, monkeypatch):
+    kept, keep = {}, linededup.keep
+
+    def noted(df, label):
+        kept[label] = keep(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(linededup, "keep", noted)
+    linededup.removed_lines(frame(spark, rows)).collect()
+    known = kept["line-firsts"].collect()
+    assert known and all(r.n > 1 or r.component is not None for r in known)
+
+
+def test_texts_with_lines_that_are_not_normal_are_marked():
+    rng = random.Random(2)
+    odd = ["", None, " ", "a\n", " a\nb ", "A  b\nc", "a \nb", "a\n b", "a\r\nb", "é x  \ny", "日　本\nz", "“quoted” – dash"]
+    odd += [f"x{chr(c)}y\nz {chr(c)}" for c in range(0x3100)]
+    odd += ["".join(rng.choice(" \n\tabéx　") for _ in range(rng.randrange(6))) for _ in range(500)]
+    rng.shuffle(odd)
+    for column in (pa.array(odd), pa.array(odd, pa.large_string()).slice(3, 700), pa.array([None, ""], pa.string())):
+        texts = [text or "" for text in column.to_pylist()]
+        changed = [any(linededup.normal(line) != line for line in text.lower().split("\n")) for text in texts]
+        marked = linededup.not_normal(column).tolist()
+        assert all(m for m, c in zip(marked, changed, strict=True) if c)
+        assert [own for some in linededup._groups(column) for own in some] == [[linededup.normal(line) for line in text.lower().split("\n")] for text in texts]
+    assert not linededup.not_normal(pa.array(["Plain «text», é, two\n\nlines of it", None, "", "\n"])).any()

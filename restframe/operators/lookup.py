@@ -108,10 +108,12 @@ def lookup_join(
         keyed = {n: F.when(present, c) if how == "left" else c for n, c in ident.items()}
         base = sent if how == "inner" else probe
         sides = base.select(*wanted, *[c.alias(n) for n, c in keyed.items()])
+    # Keys as text (those that hold a map) are larger than the columns they are made of.
+    broadcast = set(ident) <= set(values)
     if skew:
-        joined = salted_join(sides, rows, on, how, counts, "n_rows")
+        joined = salted_join(sides, rows, on, how, counts, "n_rows", broadcast=broadcast)
     else:
-        joined = sides.join(rows, on, how)
+        joined = (sides if broadcast else sides.hint("merge")).join(rows, on, how)
     return joined.select(*wanted, *[F.col(f"`{c}`") for c in fetched])
 
 

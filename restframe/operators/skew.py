@@ -50,13 +50,16 @@ def salted_join(
     counts: DataFrame | None = None,
     n: str = "n",
     target_rows: int | None = None,
+    broadcast: bool = True,
 ) -> DataFrame:
     """``big JOIN small USING (keys)``, large keys of ``big`` spread over as many tasks as their rows need.
 
     ``how`` is inner, left or right. Only rows of large keys get a salt and only the matching rows of
     ``small`` are copied, once per salt; with no large key this is the plain join. The salt is a
     hash of the row, so a task that is run again sends every row to the same place. ``counts`` is a
-    (keys, n) table of ``big`` when the caller already has one.
+    (keys, n) table of ``big`` when the caller already has one. Without ``broadcast`` both sides are
+    shuffled and sorted, whatever size the optimizer takes them for: it guesses from the files they come
+    from, and text made of their columns may be many times larger.
     """
     if counts is None:
         counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
@@ -71,6 +74,8 @@ def salted_join(
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     free = F.when(null_key, F.greatest(F.coalesce("_salts", F.lit(1)), F.lit(64))).otherwise(F.coalesce("_salts", F.lit(1)))
     left = with_salts(big.withColumn("_row", row_hash)).withColumn("_salt", F.pmod("_row", free)).drop("_row", "_salts")
+    if not broadcast:
+        left = left.hint("merge")
     right = with_salts(small).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)) - 1)))
     if how != "right":
         return left.join(right.drop("_salts"), [*keys, "_salt"], how).drop("_salt")

@@ -234,7 +234,8 @@ class TableTransport:
 
     The table's own rows are run through the request planner, so a request finds its rows by
     request id. With ``result-type=array`` every row is an answer part of its own: a key with
-    very many rows is never gathered into one document.
+    very many rows is never gathered into one document. Documents are never broadcast: a small file
+    may make very large ones.
     """
 
     table: DataFrame
@@ -254,9 +255,9 @@ class TableTransport:
         served = planned.select(F.col("_rq_request_id").alias("request_id"), document.alias("body"))
         wanted = requests.select("request_id", *carry)
         if spec.result_type == ARRAY:
-            found = salted_join(served, wanted, ["request_id"], "right")
+            found = salted_join(served, wanted, ["request_id"], "right", broadcast=False)
         else:
-            found = wanted.join(served, "request_id", "left")
+            found = wanted.hint("merge").join(served, "request_id", "left")
         status = F.when(F.col("body").isNull(), self.missing_status).otherwise(200)
         return found.select(
             *carry,

@@ -9,7 +9,8 @@ from restframe.operators.lookup import lookup_join
 from restframe.operators.sequence import last_value_before, number_rows, number_runs
 from restframe.plans.base import table
 from restframe.plans.joins import CUSTOMER, _customer_endpoint
-from restframe.sources.transport import CallableTransport
+from restframe.sources.transport import CallableTransport, TableTransport
+from restframe.spec import ARRAY, LookupSpec
 
 
 @pytest.fixture()
@@ -77,3 +78,22 @@ def test_uncached_lookup_has_no_shuffle(spark, sf_dir):
         table(spark, sf_dir, "orders"), spec, {"c_custkey": "o_custkey"}, echo, select=["c_name"], keep=["o_orderkey"]
     )
     assert "Exchange" not in plan(joined)
+
+
+@pytest.mark.parametrize("skew", [True, False])
+@pytest.mark.parametrize("result_type", ["single-value", ARRAY])
+def test_documents_and_keys_as_text_are_never_broadcast(spark, tmp_path, result_type, skew):
+    """A file of some kilobytes may be a table of any size as documents and as JSON keys."""
+    made = spark.range(300).selectExpr("id", "map('k', id % 200) as place", "concat('n', id % 200) as name")
+    made.union(spark.sql("select 300L, null, null")).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    spec = LookupSpec(url="http://places.example.com/", schema="place map<string,bigint>, name string", method="POST",
+                      result_type=result_type)
+    served = TableTransport(rows.where("id < 200").select("place", "name"), ["place"])
+    joined = lookup_join(rows.select("id", F.col("place").alias("at")), spec, {"place": "at"}, served, how="left",
+                         select=["name"], keep=["id"], skew=skew)
+    assert sorted(map(tuple, joined.collect())) == [*((i, f"n{i % 200}") for i in range(300)), (300, None)]
+    text = plan(joined).split("== Initial Plan ==")[0]
+    joins = re.findall(r"(\w+Join) \[(request_id|_key)#", text)
+    assert {key for _, key in joins} == {"request_id", "_key"}
+    assert all(kind == "SortMergeJoin" for kind, _ in joins), joins
